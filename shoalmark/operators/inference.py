@@ -1,6 +1,6 @@
 """Column type inference over text columns, per source file, in one aggregation.
 
-The columns are unpivoted first, so the aggregate has the same dozen expressions whether a file
+The columns are turned into (column, cell) rows first, so the aggregate has the same dozen expressions whether a file
 has five columns or five hundred, and only one row per file and column is shuffled by each task.
 """
 
@@ -46,9 +46,10 @@ def profile(rows: DataFrame, names: list[str], per: list[str] | None = None) ->
     type, ``<type>_ok`` the cells that can be read as it where that differs from matching.
     """
     per = [SOURCE_FILE] if per is None else per
-    cells = rows.select(*per, *[strip(F.col(n)).alias(n) for n in names]).unpivot(
-        per, names, "column_name", "cell"
-    )
+    pairs = [
+        F.struct(F.lit(n).alias("column_name"), strip(F.col(n)).alias("cell")) for n in names
+    ]
+    cells = rows.select(*per, F.inline(F.array(*pairs)))
     cell = F.when(F.col("cell") != "", F.col("cell"))
     counts = [F.count_if(MATCHERS[t](cell)).alias(f"{_slug(t)}_n") for t in TYPE_ORDER]
     readable = [

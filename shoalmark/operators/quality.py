@@ -23,6 +23,9 @@ log = logging.getLogger(__name__)
 PASSED, FAILED, ERROR = "passed", "failed", "error"
 UNIQUENESS, CUSTOM_SQL, ROW_COUNT = "uniqueness", "custom_sql", "row_count_range"
 
+# What a faulty check can raise: Spark errors, missing or unexpected parameters.
+_PROBLEMS = (PySparkException, KeyError, TypeError)
+
 RESULT_COLUMNS = [
     "check_name",
     "check_type",
@@ -244,32 +247,35 @@ def run_suite(
 ) -> list[dict[str, Any]]:
     """Run all checks; one result per check, in the given order.
 
-    Checks that name an unknown type, table or column are errors from the start. The rest run
-    together; only if that fails does each run alone, so that one bad check does not spoil others.
+    Checks that name an unknown type, table or column are errors from the start. Custom queries
+    run one by one. The rest run together; only if that fails does each run alone, so that one
+    bad check does not spoil others.
     """
     results: dict[str, dict[str, Any]] = {}
-    sound: list[Check] = []
+    together: list[Check] = []
+    alone: list[Check] = []
     for check in checks:
         problem = _problem(check, tables)
         if problem:
             results[check.name] = _error(check, problem)
         else:
-            sound.append(check)
+            (alone if check.check_type == CUSTOM_SQL else together).append(check)
 
     def collect(group: list[Check]) -> None:
         for row in plan_suite(spark, group, tables).collect():
             results[row["check_name"]] = row.asDict()
 
     try:
-        if sound:
-            collect(sound)
-    except (PySparkException, KeyError, TypeError) as whole:
-        log.warning("suite failed as a whole, running checks one by one: %s", whole)
-        for check in sound:
-            try:
-                collect([check])
-            except (PySparkException, KeyError, TypeError) as problem:
-                results[check.name] = _error(check, f"Error: {str(problem)[:ERROR_LIMIT]}")
+        if together:
+            collect(together)
+    except _PROBLEMS as problem:
+        log.warning("checks failed as a whole, running them one by one: %s", problem)
+        alone = together + alone
+    for check in alone:
+        try:
+            collect([check])
+        except _PROBLEMS as problem:
+            results[check.name] = _error(check, f"Error: {str(problem)[:ERROR_LIMIT]}")
     return [results[check.name] for check in checks]
 
 

@@ -120,10 +120,8 @@ def ingest_files(
     types = {c: VARCHAR for c in columns} | types_by_first_file(profiled) | known
 
     added = [] if created else missing_columns([(c, types[c]) for c in columns], list(known))
-    typing = T.StructType()
-    for c in columns:
-        typing.add(c, SPARK_TYPES[types[c]])
-    fields = typing.fields
+    ddl = ", ".join(f"`{c}` {SPARK_TYPES[types[c]]}" for c in columns)
+    fields = T.StructType.fromDDL(ddl).fields
     if created:
         schema = table_schema(T.StructType([*fields, *AUDIT]))
         catalog.create_table(spark, table, schema, path, [SOURCE_BUCKET])

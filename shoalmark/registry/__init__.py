@@ -1,5 +1,5 @@
 """Runnable queries over the test tables, each with the SQL that has to give the same rows."""
 
-from . import quality_queries, report_queries, upsert_queries
+from . import ingest_queries, quality_queries, report_queries, upsert_queries, version_queries
 
-MODULES = [report_queries, quality_queries, upsert_queries]
+MODULES = [report_queries, quality_queries, ingest_queries, upsert_queries, version_queries]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .listing import LARGE_FILE_BYTES, decoded_path
 
@@ -13,42 +13,46 @@ FALLBACK = ","
 BYTE_ORDER_MARK = chr(0xFEFF)
 
 
-def _lines(head: Column) -> Column:
-    """Complete lines of a file head. The last line may be cut off, so it goes if others exist."""
-    text = F.regexp_replace(F.ltrim(head, F.lit(BYTE_ORDER_MARK)), "\r\n?", "\n")
-    whole = F.filter(F.split(text, "\n"), lambda line: line != "")
-    cut = (F.length(head) >= HEAD_CHARS) & (F.size(whole) > 1)
-    return F.when(cut, F.slice(whole, 1, F.size(whole) - 1)).otherwise(whole)
+def with_dialect(heads: DataFrame) -> DataFrame:
+    """Add ``delimiter`` and ``header`` to rows with a file's ``head``.
 
-
-def _counts(lines: Column, delimiter: str) -> Column:
-    """Occurrences of the delimiter per line, quoted text left out."""
-    bare = F.transform(lines, lambda line: F.regexp_replace(line, '"[^"]*"', ""))
-    return F.transform(
-        bare, lambda line: F.length(line) - F.length(F.replace(line, F.lit(delimiter), F.lit("")))
-    )
-
-
-def _score(lines: Column, delimiter: str) -> Column:
-    """Lines that hold the delimiter as often as the header does; zero if the header lacks it."""
-    counts = _counts(lines, delimiter)
-    wanted = F.try_element_at(counts, F.lit(1))
-    agreeing = F.size(F.filter(counts, lambda n: n == wanted))
-    return F.when(wanted > 0, agreeing).otherwise(0)
-
-
-def detect_delimiter(head: Column) -> Column:
-    """The delimiter on which most lines agree; a tie goes to the order of ``DELIMITERS``.
-
-    At least half of the lines have to agree with the header, otherwise the fallback is used.
+    A delimiter scores the lines that hold it as often as the header line does, quoted text left
+    out, provided that the header holds it at all. The best score wins, a tie goes to the order of
+    ``DELIMITERS``. At least half of the lines have to agree, otherwise the fallback is used. The
+    last line may be cut off, so it does not count if there are others.
     """
-    lines = _lines(head)
-    scores = F.array(*[_score(lines, d) for d in DELIMITERS])
-    best = F.array_max(scores)
-    chosen = F.element_at(
-        F.array(*[F.lit(d) for d in DELIMITERS]), F.array_position(scores, best).cast("int")
+    text = F.regexp_replace(F.ltrim("head", F.lit(BYTE_ORDER_MARK)), "\r\n?", "\n")
+    cut = (F.length("head") >= HEAD_CHARS) & (F.size("_all") > 1)
+    scores = [f"_score{i}" for i in range(len(DELIMITERS))]
+    steps = (
+        heads.withColumn("_all", F.filter(F.split(text, "\n"), lambda line: line != ""))
+        .withColumn("_lines", F.slice("_all", 1, F.size("_all") - cut.cast("int")))
+        .withColumn(
+            "_bare",
+            F.transform("_lines", lambda line: F.regexp_replace(line, '"[^"]*"', "")),
+        )
+    )
+    for i, d in enumerate(DELIMITERS):
+        steps = steps.withColumn(
+            f"_count{i}",
+            F.transform(
+                "_bare",
+                lambda line, d=d: F.length(line) - F.length(F.replace(line, F.lit(d), F.lit(""))),
+            ),
+        ).withColumn(f"_wanted{i}", F.coalesce(F.get(f"_count{i}", F.lit(0)), F.lit(0)))
+    for i, name in enumerate(scores):
+        agreeing = F.size(F.filter(f"_count{i}", lambda n, i=i: n == F.col(f"_wanted{i}")))
+        steps = steps.withColumn(name, F.when(F.col(f"_wanted{i}") > 0, agreeing).otherwise(0))
+    steps = steps.withColumn("_best", F.greatest(*scores))
+    enough = (F.col("_best") > 0) & (F.col("_best") * 2 >= F.size("_lines"))
+    chosen = F.when(~enough, FALLBACK)
+    for name, d in zip(scores, DELIMITERS, strict=True):
+        chosen = chosen.when(F.col(name) == F.col("_best"), d)
+    return steps.select(
+        *heads.columns,
+        chosen.alias("delimiter"),
+        F.get("_all", F.lit(0)).alias("header"),
     )
-    return F.when((best > 0) & (best * 2 >= F.size(lines)), chosen).otherwise(F.lit(FALLBACK))
 
 
 def _small_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -128,10 +132,4 @@ def fingerprint(spark: SparkSession, files: DataFrame, small: list[str], large:
     if large:
         parts.append(_large_heads(spark, files.where(F.col("size") > LARGE_FILE_BYTES), large))
     heads = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return heads.select(
-        "path",
-        "etag",
-        detect_delimiter(F.col("head")).alias("delimiter"),
-        F.try_element_at(_lines(F.col("head")), F.lit(1)).alias("header"),
-        "multi_line",
-    )
+    return with_dialect(heads).drop("head")

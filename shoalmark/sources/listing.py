@@ -21,8 +21,9 @@ def relative_key(path: Column, root: str) -> Column:
 
 
 def decoded_path(c: Column) -> Column:
-    """``_metadata.file_path`` is percent-encoded, listings are not; this makes them equal."""
-    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    """``_metadata.file_path`` as listings show it: not percent-encoded, one slash after ``file:``."""
+    plain = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
 
 
 def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:

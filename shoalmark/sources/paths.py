@@ -16,12 +16,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def qualified(spark: SparkSession, path: str) -> str:
-    """The path with its scheme, without a trailing slash, the way file listings show it."""
+    """The path with its scheme, the way file listings show it."""
     fs, jpath = _client(spark, path)
-    text = fs.makeQualified(jpath).toString()
-    return text.replace("file:/", "file:///", 1) if text.startswith("file:/") and not text.startswith(
-        "file://"
-    ) else text
+    return fs.makeQualified(jpath).toString()
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
