@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .listing import LARGE_FILE_BYTES, decoded_path
 
@@ -13,6 +15,14 @@ FALLBACK = ","
 BYTE_ORDER_MARK = chr(0xFEFF)
 
 
+def _occurrences(delimiter: str) -> Callable[[Column], Column]:
+    return lambda line: F.length(line) - F.length(F.replace(line, F.lit(delimiter), F.lit("")))
+
+
+def _equal_to(name: str) -> Callable[[Column], Column]:
+    return lambda n: n == F.col(name)
+
+
 def with_dialect(heads: DataFrame) -> DataFrame:
     """Add ``delimiter`` and ``header`` to rows with a file's ``head``.
 
@@ -35,13 +45,10 @@ def with_dialect(heads: DataFrame) -> DataFrame:
     for i, d in enumerate(DELIMITERS):
         steps = steps.withColumn(
             f"_count{i}",
-            F.transform(
-                "_bare",
-                lambda line, d=d: F.length(line) - F.length(F.replace(line, F.lit(d), F.lit(""))),
-            ),
+            F.transform("_bare", _occurrences(d)),
         ).withColumn(f"_wanted{i}", F.coalesce(F.get(f"_count{i}", F.lit(0)), F.lit(0)))
     for i, name in enumerate(scores):
-        agreeing = F.size(F.filter(f"_count{i}", lambda n, i=i: n == F.col(f"_wanted{i}")))
+        agreeing = F.size(F.filter(f"_count{i}", _equal_to(f"_wanted{i}")))
         steps = steps.withColumn(name, F.when(F.col(f"_wanted{i}") > 0, agreeing).otherwise(0))
     steps = steps.withColumn("_best", F.greatest(*scores))
     enough = (F.col("_best") > 0) & (F.col("_best") * 2 >= F.size("_lines"))
