@@ -37,10 +37,11 @@ TYPE_OF_SPARK = {spark: name for name, spark in SPARK_TYPES.items()}
 _WHOLE = r"^-?[0-9]+$"
 _REAL = r"^-?[0-9]+(\.[0-9]*([eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)$"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_YEAR_FIRST = r"^[0-9]{4}([-/])[0-9]{1,2}\1[0-9]{1,2}$"
-_YEAR_LAST = r"^([0-9]{1,2})([-/])([0-9]{1,2})\2([0-9]{4})$"
+_YEAR = "(?!0000)[0-9]{4}"
+_YEAR_FIRST = rf"^{_YEAR}([-/])[0-9]{{1,2}}\1[0-9]{{1,2}}$"
+_YEAR_LAST = rf"^([0-9]{{1,2}})([-/])([0-9]{{1,2}})\2({_YEAR})$"
 _CLOCK = r"[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,6})?"
-_MOMENT = rf"^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}(T{_CLOCK}Z?| {_CLOCK})$"
+_MOMENT = rf"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}}(T{_CLOCK}Z?| {_CLOCK})$"
 
 
 def read_boolean(c: Column) -> Column:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.paths import exists, remove
+from ..sources.paths import children, exists, remove
 
+LISTERS = 16
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -39,25 +41,35 @@ def append_rows(df: DataFrame, path: str, column: str) -> None:
     df.hint("rebalance", column).write.mode("append").partitionBy(column).parquet(path)
 
 
+def _first_files(spark: SparkSession, folders: list[str]) -> dict[str, str]:
+    """One data file of each folder that has any. Folders are listed side by side."""
+
+    def first(folder: str) -> str | None:
+        return min((c for c in children(spark, folder) if c.endswith(".parquet")), default=None)
+
+    with ThreadPoolExecutor(LISTERS) as pool:
+        found = dict(zip(folders, pool.map(first, folders), strict=True))
+    return {folder: file for folder, file in found.items() if file}
+
+
 def overwrite_partitions(df: DataFrame, path: str, column: str, touched: set[Any]) -> None:
     """Make ``df`` the new content of the ``touched`` partitions; the others stay as they are.
 
     ``df`` may read the table itself: Spark writes to a staging folder and exchanges the partition
     folders only when every task has succeeded, so a failed job leaves the old rows. Partitions
-    that received no rows are removed afterwards.
+    that received no rows are not exchanged; they still have an old file and are removed.
     """
     spark = df.sparkSession
-    seen = Observation()
+    old = _first_files(spark, [partition_folder(spark, path, column, v) for v in touched])
     (
-        df.observe(seen, F.collect_set(F.struct(column)).alias("filled"))
-        .hint("rebalance", column)
+        df.hint("rebalance", column)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(path)
     )
-    filled = {row[column] for row in seen.get["filled"]}
-    for value in touched - filled:
-        folder = partition_folder(spark, path, column, value)
-        if exists(spark, folder):
+    with ThreadPoolExecutor(LISTERS) as pool:
+        left = list(pool.map(lambda file: exists(spark, file), old.values()))
+    for folder, not_exchanged in zip(old, left, strict=True):
+        if not_exchanged:
             remove(spark, folder)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 from ..sources.paths import exists
@@ -18,7 +18,6 @@ from .partitions import (
 
 @dataclass(frozen=True)
 class UpsertResult:
-    rows_in: int
     rows_merged: int
     partitions_rewritten: int
 
@@ -75,25 +74,23 @@ def upsert(
     it out for a source with unique keys. Columns in ``drop`` only serve the order. Rewritten are the partitions of the source rows and the
     partitions that hold the old version of an updated row, found by a scan of two columns.
     """
-    counted = Observation()
-    source = source.observe(counted, F.count("*").alias("rows"))
     rows = latest_per_key(source, key, order) if order else source
     rows = rows.drop(*(drop or []))
     batch_path = scratch_path(spark, "upsert")
     rows.write.parquet(batch_path)
     batch = spark.read.schema(rows.schema).parquet(batch_path)
-    rows_in, rows_merged = counted.get["rows"], batch.count()
+    rows_merged = batch.count()
     if rows_merged == 0:
-        return UpsertResult(rows_in, 0, 0)
+        return UpsertResult(0, 0)
     if not exists(spark, path):
         append_rows(batch, path, partition)
-        return UpsertResult(rows_in, rows_merged, 0)
+        return UpsertResult(rows_merged, 0)
     target = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
     old_places = target.select(key, partition).join(batch.select(key), key, "left_semi")
     touched = partition_values(old_places.unionByName(batch.select(key, partition)), partition)
     affected = target.where(in_values(partition, touched))
     overwrite_partitions(merged(affected, batch, key), path, partition, touched)
-    return UpsertResult(rows_in, rows_merged, len(touched))
+    return UpsertResult(rows_merged, len(touched))
 
 
 def overwrite_by_partition(df: DataFrame, path: str, partition: str) -> None:

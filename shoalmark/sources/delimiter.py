@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .listing import LARGE_FILE_BYTES, decoded_path
+from .listing import decoded_path
 
 # How much of a file is looked at, the delimiters tried and the fallback.
 HEAD_CHARS = 8192
@@ -34,7 +34,8 @@ def with_dialect(heads: DataFrame) -> DataFrame:
     text = F.regexp_replace(F.ltrim("head", F.lit(BYTE_ORDER_MARK)), "\r\n?", "\n")
     cut = (F.length("head") >= HEAD_CHARS) & (F.size("_all") > 1)
     scores = [f"_score{i}" for i in range(len(DELIMITERS))]
-    steps = (
+    each = list(enumerate(DELIMITERS))
+    lines = (
         heads.withColumn("_all", F.filter(F.split(text, "\n"), lambda line: line != ""))
         .withColumn("_lines", F.slice("_all", 1, F.size("_all") - cut.cast("int")))
         .withColumn(
@@ -42,15 +43,20 @@ def with_dialect(heads: DataFrame) -> DataFrame:
             F.transform("_lines", lambda line: F.regexp_replace(line, '"[^"]*"', "")),
         )
     )
-    for i, d in enumerate(DELIMITERS):
-        steps = steps.withColumn(
-            f"_count{i}",
-            F.transform("_bare", _occurrences(d)),
-        ).withColumn(f"_wanted{i}", F.coalesce(F.get(f"_count{i}", F.lit(0)), F.lit(0)))
-    for i, name in enumerate(scores):
-        agreeing = F.size(F.filter(f"_count{i}", _equal_to(f"_wanted{i}")))
-        steps = steps.withColumn(name, F.when(F.col(f"_wanted{i}") > 0, agreeing).otherwise(0))
-    steps = steps.withColumn("_best", F.greatest(*scores))
+    counts = lines.withColumns({f"_count{i}": F.transform("_bare", _occurrences(d)) for i, d in each})
+    wanted = counts.withColumns(
+        {f"_wanted{i}": F.coalesce(F.get(f"_count{i}", F.lit(0)), F.lit(0)) for i, _ in each}
+    )
+    scored = wanted.withColumns(
+        {
+            scores[i]: F.when(
+                F.col(f"_wanted{i}") > 0,
+                F.size(F.filter(f"_count{i}", _equal_to(f"_wanted{i}"))),
+            ).otherwise(0)
+            for i, _ in each
+        }
+    )
+    steps = scored.withColumn("_best", F.greatest(*scores))
     enough = (F.col("_best") > 0) & (F.col("_best") * 2 >= F.size("_lines"))
     chosen = F.when(~enough, FALLBACK)
     for name, d in zip(scores, DELIMITERS, strict=True):
@@ -131,12 +137,12 @@ def _large_heads(spark: SparkSession, files: DataFrame, paths: list[str]) -> Dat
 def fingerprint(spark: SparkSession, files: DataFrame, small: list[str], large: list[str]) -> DataFrame:
     """``path, etag, delimiter, header, multi_line`` for the given files of a listing.
 
-    ``small`` and ``large`` are the paths at or below and above ``LARGE_FILE_BYTES``.
+    ``small`` and ``large`` are the paths of its small and of its large files.
     """
     parts = []
     if small:
         parts.append(_small_heads(spark, small))
     if large:
-        parts.append(_large_heads(spark, files.where(F.col("size") > LARGE_FILE_BYTES), large))
+        parts.append(_large_heads(spark, files.where("is_large"), large))
     heads = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return with_dialect(heads).drop("head")

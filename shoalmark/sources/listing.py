@@ -42,7 +42,8 @@ def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
 def list_csv(spark: SparkSession, root: str) -> DataFrame:
     """CSV files inside a folder below ``root``: ``key, path, size, modified_at, table_name, is_large``.
 
-    A file directly at the root has no folder to name its table and is left out.
+    A file directly at the root has no folder to name its table and is left out. So is a file
+    without any content; it shows up as soon as it has some.
     """
     base = qualified(spark, root)
     key = relative_key(F.col("path"), base)
