@@ -44,94 +44,124 @@ _CLOCK = r"[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,6})?"
 _MOMENT = rf"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}}(T{_CLOCK}Z?| {_CLOCK})$"
 
 
-def read_boolean(c: Column) -> Column:
-    word = F.lower(strip(c))
-    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
+# The functions below take a cell that is stripped already. Their first tests compare bytes, which
+# spares most cells the regular expressions.
 
 
-def read_integer(c: Column) -> Column:
-    v = strip(c)
-    return F.when(v.rlike(_WHOLE), v.try_cast("int"))
+def _numeric_start(v: Column) -> Column:
+    """First character between ``+`` and ``9`` in byte order: sign, point or digit among them."""
+    return (v >= "+") & (v < ":")
 
 
-def read_bigint(c: Column) -> Column:
-    v = strip(c)
-    return F.when(v.rlike(_WHOLE), v.try_cast("bigint"))
+def _whole(v: Column) -> Column:
+    return _numeric_start(v) & v.rlike(_WHOLE)
 
 
-def read_double(c: Column) -> Column:
-    v = strip(c)
-    return F.when(v.rlike(_NUMBER), v.try_cast("double"))
+def _boolean(v: Column) -> Column:
+    word = F.lower(v)
+    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
 
 
-def read_date(c: Column) -> Column:
-    """Day first wins where both day-first and month-first are possible."""
-    v = strip(c)
-    day_first = F.regexp_replace(v, _YEAR_LAST, "$4-$3-$1").try_cast("date")
-    month_first = F.regexp_replace(v, _YEAR_LAST, "$4-$1-$3").try_cast("date")
-    return F.when(v.rlike(_YEAR_FIRST), F.translate(v, "/", "-").try_cast("date")).when(
-        v.rlike(_YEAR_LAST), F.coalesce(day_first, month_first)
-    )
+def _integer(v: Column) -> Column:
+    return F.when(_whole(v), v.try_cast("int"))
 
 
-def read_timestamp(c: Column) -> Column:
-    """A trailing Z is part of the text only; values are taken in the session zone (UTC)."""
-    v = strip(c)
-    return F.when(v.rlike(_MOMENT), F.rtrim(v, F.lit("Z")).try_cast("timestamp"))
+def _bigint(v: Column) -> Column:
+    return F.when(_whole(v), v.try_cast("bigint"))
 
 
-def read_text(c: Column) -> Column:
-    return blank_to_null(c)
+def _double(v: Column) -> Column:
+    return F.when(_numeric_start(v) & v.rlike(_NUMBER), v.try_cast("double"))
 
 
-_READERS = {
-    BOOLEAN: read_boolean,
-    INTEGER: read_integer,
-    BIGINT: read_bigint,
-    DOUBLE: read_double,
-    DATE: read_date,
-    TIMESTAMP: read_timestamp,
-    VARCHAR: read_text,
-}
+def _date(v: Column) -> Column:
+    day_first = F.regexp_replace(v, _YEAR_LAST, "$4-$3-$1").try_cast("date")
+    month_first = F.regexp_replace(v, _YEAR_LAST, "$4-$1-$3").try_cast("date")
+    possible = _numeric_start(v) & F.length(v).between(8, 10)
+    return F.when(
+        possible & v.rlike(_YEAR_FIRST), F.translate(v, "/", "-").try_cast("date")
+    ).when(possible & v.rlike(_YEAR_LAST), F.coalesce(day_first, month_first))
 
 
-def read_as(c: Column, type_name: str) -> Column:
-    """The cell as ``type_name``; blank or unreadable cells become NULL."""
-    return _READERS[type_name](c)
+def _timestamp(v: Column) -> Column:
+    possible = _numeric_start(v) & F.contains(v, F.lit(":"))
+    return F.when(possible & v.rlike(_MOMENT), F.rtrim(v, F.lit("Z")).try_cast("timestamp"))
 
 
-def is_boolean(c: Column) -> Column:
-    return read_boolean(c).isNotNull()
+_READERS = {
+    BOOLEAN: _boolean,
+    INTEGER: _integer,
+    BIGINT: _bigint,
+    DOUBLE: _double,
+    DATE: _date,
+    TIMESTAMP: _timestamp,
+}
+
 
+def read_stripped(v: Column, type_name: str) -> Column:
+    """A stripped cell as ``type_name``; NULL if it does not read as that."""
+    return v if type_name == VARCHAR else _READERS[type_name](v)
 
-def is_integer(c: Column) -> Column:
-    """Whole and within 32 bits."""
-    return read_integer(c).isNotNull()
 
+# Kinds of cells. A cell has one kind, found by a single CASE; a type counts several kinds.
+WORD, BIT, INT32, INT64, WHOLE, REAL, NUMBER, DAY, MOMENT = range(1, 10)
+MATCHING = {
+    BOOLEAN: (WORD, BIT),
+    INTEGER: (BIT, INT32),
+    BIGINT: (BIT, INT32, INT64, WHOLE),
+    DOUBLE: (REAL,),
+    DATE: (DAY,),
+    TIMESTAMP: (MOMENT,),
+}
+READABLE = MATCHING | {
+    BIGINT: (BIT, INT32, INT64),
+    DOUBLE: (BIT, INT32, INT64, WHOLE, REAL, NUMBER),
+}
 
-def is_bigint(c: Column) -> Column:
-    """Any whole number; the check has no upper bound, reading it has."""
-    return strip(c).rlike(_WHOLE)
 
+def kind_of(v: Column) -> Column:
+    """Kind of a stripped cell; zero for plain text.
 
-def is_double(c: Column) -> Column:
-    """A number that shows a decimal point or an exponent."""
-    return strip(c).rlike(_REAL)
+    BIT is 0 or 1, WHOLE an integer too large for 64 bits, REAL a number with a decimal point or an
+    exponent, NUMBER one that only reads as a number (``+5``, ``.5``).
+    """
+    word = F.lower(v)
+    whole = (
+        F.when(v.try_cast("int").isNotNull(), INT32)
+        .when(v.try_cast("bigint").isNotNull(), INT64)
+        .otherwise(WHOLE)
+    )
+    day = F.when(_date(v).isNotNull(), DAY).otherwise(0)
+    moment = F.when(_timestamp(v).isNotNull(), MOMENT).otherwise(0)
+    number = (
+        F.when(v.isin("0", "1"), BIT)
+        .when(F.contains(v, F.lit(":")), moment)
+        .when(F.contains(v, F.lit("/")), day)
+        .when(v.rlike(_WHOLE), whole)
+        .when(v.rlike(_REAL), REAL)
+        .when(v.rlike(_NUMBER), NUMBER)
+        .otherwise(day)
+    )
+    return (
+        F.when(_numeric_start(v), number)
+        .when(word.isin(*TRUE_WORDS, *FALSE_WORDS), WORD)
+        .otherwise(0)
+    )
 
 
-def is_date(c: Column) -> Column:
-    return read_date(c).isNotNull()
+def matches(c: Column, type_name: str) -> Column:
+    """Whether a cell counts for ``type_name`` in the inference.
 
+    BIGINT takes any whole number, also one too large to be read, and DOUBLE only a number that
+    shows a decimal point or an exponent. The others take what can be read.
+    """
+    return kind_of(strip(c)).isin(*MATCHING[type_name])
 
-def is_timestamp(c: Column) -> Column:
-    return read_timestamp(c).isNotNull()
 
+def read_as(c: Column, type_name: str) -> Column:
+    """The cell as ``type_name``; blank or unreadable cells become NULL.
 
-MATCHERS = {
-    BOOLEAN: is_boolean,
-    INTEGER: is_integer,
-    BIGINT: is_bigint,
-    DOUBLE: is_double,
-    DATE: is_date,
-    TIMESTAMP: is_timestamp,
-}
+    Of a date that can be both, the day comes first. A Z behind a time is part of the text only;
+    times are taken in the session zone (UTC). Text is not stripped.
+    """
+    return blank_to_null(c) if type_name == VARCHAR else read_stripped(strip(c), type_name)

@@ -19,8 +19,13 @@ ERROR_LIMIT = 500
 
 
 def strip(c: Column) -> Column:
-    """Remove blanks of every kind from both ends."""
-    return F.trim(c, F.lit(WHITESPACE))
+    """Remove blanks of every kind from both ends.
+
+    Most cells begin and end with a visible ASCII character; two comparisons leave those alone.
+    """
+    last = F.substring(c, -1, 1)
+    clean = (c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(clean, c).otherwise(F.trim(c, F.lit(WHITESPACE)))
 
 
 def blank_to_null(c: Column) -> Column:

@@ -6,16 +6,17 @@ has five columns or five hundred, and only one row per file and column is shuffl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.coltypes import (
     BIGINT,
     DOUBLE,
     MATCH_SHARE,
-    MATCHERS,
+    MATCHING,
+    READABLE,
     TYPE_ORDER,
     VARCHAR,
-    read_as,
+    kind_of,
 )
 from ..functions.text import strip
 from ..sources.csvfiles import SOURCE_FILE
@@ -50,13 +51,18 @@ def profile(rows: DataFrame, names: list[str], per: list[str] | None = None) ->
         F.struct(F.lit(n).alias("column_name"), strip(F.col(n)).alias("cell")) for n in names
     ]
     cells = rows.select(*per, F.inline(F.array(*pairs)))
-    cell = F.when(F.col("cell") != "", F.col("cell"))
-    counts = [F.count_if(MATCHERS[t](cell)).alias(f"{_slug(t)}_n") for t in TYPE_ORDER]
-    readable = [
-        F.count(read_as(cell, t)).alias(f"{_slug(t)}_ok") for t in (BIGINT, DOUBLE)
-    ]
-    return cells.groupBy(*per, "column_name").agg(
-        F.count("*").alias("row_count"), F.count(cell).alias("filled"), *counts, *readable
+    kinds = cells.select(
+        *per, "column_name", (F.col("cell") != "").alias("filled"), kind_of(F.col("cell")).alias("kind")
+    )
+
+    def count(of: tuple[int, ...]) -> Column:
+        return F.count_if(F.col("kind").isin(*of))
+
+    return kinds.groupBy(*per, "column_name").agg(
+        F.count("*").alias("row_count"),
+        F.count_if("filled").alias("filled"),
+        *[count(MATCHING[t]).alias(f"{_slug(t)}_n") for t in TYPE_ORDER],
+        *[count(READABLE[t]).alias(f"{_slug(t)}_ok") for t in (BIGINT, DOUBLE)],
     )
 
 

@@ -19,8 +19,15 @@ SOURCE_SCHEMA = T.StructType(
 )
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table of the folder. Its file footers are read for the schema once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def sales_view(spark: SparkSession, folder: str) -> DataFrame:
