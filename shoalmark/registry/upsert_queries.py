@@ -74,7 +74,7 @@ def last_wins(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def overwrite_by_date(spark: SparkSession, folder: str) -> DataFrame:
-    """The months of 1997 are replaced by their urgent orders; all others stay."""
+    """The months of 1997 are replaced by their urgent orders, where there are any."""
     path, rows = scratch_path(spark, "table"), monthly_sales(spark, folder)
     append_rows(rows, path, MONTH)
     urgent = rows.where((F.year(MONTH) == 1997) & (F.col("priority") == "1-URGENT"))
@@ -180,7 +180,9 @@ COALESCE(l_extendedprice, o_totalprice) AS amount,
 strftime(date_trunc('month', COALESCE(l_shipdate, o_orderdate)), '%Y-%m-%d') AS ingestion_date
 FROM orders FULL JOIN last ON o_orderkey = l_orderkey""",
     "overwrite_by_date": f"""SELECT {_ROW}, o_totalprice AS amount, {_MONTH}, {_TAIL} FROM orders
-WHERE year(o_orderdate) <> 1997 OR o_orderpriority = '1-URGENT'""",
+WHERE o_orderpriority = '1-URGENT' OR date_trunc('month', o_orderdate) NOT IN (
+  SELECT date_trunc('month', o_orderdate) FROM orders
+  WHERE year(o_orderdate) = 1997 AND o_orderpriority = '1-URGENT')""",
     "watermark_advance": f"""WITH {SALES_CTE}, months AS (
 SELECT date_trunc('month', ingestion_date) AS month, amount FROM sales)
 SELECT strftime(month, '%Y-%m-%d') AS ingestion_date, COUNT(*) AS orders,
