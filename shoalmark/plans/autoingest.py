@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections import defaultdict
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
@@ -44,6 +45,7 @@ class Options:
     delimiter: str | None = None
     buckets: int = BUCKETS
     files_per_wave: int = FILES_PER_WAVE
+    tables_at_once: int = 4
 
 
 @dataclass(frozen=True)
@@ -206,11 +208,13 @@ def ingest_folder(
         by_table: dict[str, list[Any]] = defaultdict(list)
         for f in sorted(described, key=lambda row: row["key"]):
             by_table[f["table_name"]].append(f)
-        done = [
-            record
-            for name, files in by_table.items()
-            for record in _load_table(spark, root, lake, name, files, run_id, opts)
-        ]
+        # Tables are independent, so their jobs may share the cluster.
+        with ThreadPoolExecutor(opts.tables_at_once) as pool:
+            loads = [
+                pool.submit(_load_table, spark, root, lake, name, files, run_id, opts)
+                for name, files in by_table.items()
+            ]
+        done = [record for load in loads for record in load.result()]
         metadata.append(spark, lake, metadata.REGISTRY, done)
         records.extend(done)
     return records

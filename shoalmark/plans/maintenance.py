@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
@@ -16,6 +17,7 @@ from ..sources.filemeta import data_files
 
 log = logging.getLogger(__name__)
 
+TABLES_AT_ONCE = 4
 COMPLETED, ERROR = "completed", "error"
 OPTIMIZE, EXPIRE, ORPHANS = "optimize", "expire_snapshots", "remove_orphan_files"
 
@@ -107,9 +109,9 @@ def maintain_all(
     days: int = maintain.RETENTION_DAYS,
 ) -> list[dict[str, Any]]:
     """Maintain user tables (no leading underscore) and log what was done."""
-    records: list[dict[str, Any]] = []
-    for table in sorted(tables, key=lambda t: t.name):
-        if not table.name.startswith("_"):
-            records.extend(maintain_table(spark, table, run_id, now, days))
+    wanted = sorted((t for t in tables if not t.name.startswith("_")), key=lambda t: t.name)
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        runs = [pool.submit(maintain_table, spark, t, run_id, now, days) for t in wanted]
+    records = [record for run in runs for record in run.result()]
     metadata.append(spark, lake, metadata.MAINTENANCE_LOG, records)
     return records

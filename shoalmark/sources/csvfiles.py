@@ -32,13 +32,15 @@ def check_columns(actual: list[str], expected: list[str]) -> None:
 def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a CSV whose header must equal ``schema``; missing or empty files are errors.
 
+    The header of the first file is compared here. ``enforceSchema`` makes the reader compare those
+    of all others when it comes to them, so no file can slip in with its columns in another order.
     Cells that do not fit their type become NULL. Count them with ``contract_violations``.
     """
     if not exists(spark, path):
         raise FileNotFoundError(path)
     options = {"header": True, "escape": '"'}
     check_columns(spark.read.options(**options).csv(path).columns, schema.fieldNames())
-    rows = spark.read.options(**options).schema(schema).csv(path)
+    rows = spark.read.options(enforceSchema=False, **options).schema(schema).csv(path)
     if rows.isEmpty():
         raise EmptySource(path)
     return rows

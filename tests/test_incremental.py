@@ -98,3 +98,12 @@ def test_mark_never_moves_back(spark, path):
     assert advance_watermark(spark, path, "p", None) == day(5)
     assert advance_watermark(spark, path, "q", day(1)) == day(1)
     assert read_watermark(spark, path, "p") == day(5)
+
+
+def test_every_file_of_a_folder_needs_the_header(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + "\na,c1,1,Italy,2024-01-01\n")
+    (folder / "b.csv").write_text("customer_id,order_id,amount,country,ingestion_date\nc1,b,1,Italy,2024-01-01\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_sales(spark, str(folder), str(tmp_path / "sales"), str(tmp_path / "state"))
