@@ -19,7 +19,7 @@ from ..functions.coltypes import (
     kind_of,
 )
 from ..functions.text import strip
-from ..sources.csvfiles import SOURCE_FILE
+from ..sources.csvfiles import BAD_RECORD, SOURCE_FILE
 
 # Fixed value: rows looked at per file in sampling mode.
 SAMPLE_ROWS = 1000
@@ -110,17 +110,23 @@ def infer_schema(
 def types_by_first_file(profiled: DataFrame) -> dict[str, str]:
     """Type per column, taken from the first source file (in key order) that fills the column."""
     ranked = F.struct((F.col("filled") == 0).alias("blank"), F.col(SOURCE_FILE))
-    found = profiled.groupBy("column_name").agg(F.min_by("type", ranked).alias("type"))
+    columns = profiled.where(F.col("column_name") != BAD_RECORD)
+    found = columns.groupBy("column_name").agg(F.min_by("type", ranked).alias("type"))
     return {r["column_name"]: r["type"] for r in found.collect()}
 
 
 def file_counts(profiled: DataFrame, types: dict[str, str]) -> DataFrame:
-    """``_source_file, row_count, rejected``: rows per file and filled cells unreadable as ``types``."""
+    """``_source_file, row_count, rejected, ragged``: rows per file, filled cells unreadable as
+    ``types``, and rows with too few or too many cells."""
     readable = F.col("filled")
     for name, t in types.items():
         if t != VARCHAR:
             column = f"{_slug(t)}_ok" if t in (BIGINT, DOUBLE) else f"{_slug(t)}_n"
             readable = F.when(F.col("column_name") == name, F.col(column)).otherwise(readable)
+    # The text that the reader keeps of a ragged row comes as one more column.
+    ragged = F.col("column_name") == BAD_RECORD
     return profiled.groupBy(SOURCE_FILE).agg(
-        F.max("row_count").alias("row_count"), F.sum(F.col("filled") - readable).alias("rejected")
+        F.max("row_count").alias("row_count"),
+        F.sum(F.when(ragged, 0).otherwise(F.col("filled") - readable)).alias("rejected"),
+        F.sum(F.when(ragged, F.col("filled")).otherwise(0)).alias("ragged"),
     )

@@ -19,7 +19,7 @@ SCHEMAS = {
     REGISTRY: (
         "file_key string, etag string, table_name string, row_count bigint, status string, "
         "error_message string, ingested_at timestamp, run_id string, "
-        "size bigint, modified_at timestamp, rejected bigint"
+        "size bigint, modified_at timestamp, rejected bigint, ragged bigint"
     ),
     QUALITY_RESULTS: (
         "check_name string, check_type string, table_name string, column_name string, "

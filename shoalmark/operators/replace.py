@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import staged
+from ..session import held
 from ..sources.csvfiles import SOURCE_FILE
 from ..sources.paths import exists
 from .partitions import append_rows, in_values, overwrite_partitions, partition_values
@@ -58,10 +58,10 @@ def replace_by_source(
     if not stale:
         append_rows(rows, path, SOURCE_BUCKET)
         return
-    # Two writes follow, which would otherwise read the source text once each.
-    rows = staged(rows, "replace")
     in_stale = in_values(SOURCE_BUCKET, stale)
-    kept = table.where(in_stale).join(names, SOURCE_FILE, "left_anti")
-    replaced = kept.select(*schema.fieldNames()).unionByName(rows.where(in_stale))
-    overwrite_partitions(replaced, path, SOURCE_BUCKET, stale)
-    append_rows(rows.where(~in_stale), path, SOURCE_BUCKET)
+    kept = table.where(in_stale).join(names, SOURCE_FILE, "left_anti").select(*schema.fieldNames())
+    # Two writes follow, which would otherwise read the source text once each.
+    with held(rows, "replace") as rows:
+        replaced = kept.unionByName(rows.where(in_stale))
+        overwrite_partitions(replaced, path, SOURCE_BUCKET, stale)
+        append_rows(rows.where(~in_stale), path, SOURCE_BUCKET)

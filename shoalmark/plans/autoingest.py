@@ -18,12 +18,13 @@ from ..operators.evolve import missing_columns, united
 from ..operators.inference import file_counts, first_rows, profile, types_by_first_file, with_type
 from ..operators.replace import BUCKETS, SOURCE_BUCKET, replace_by_source, table_schema
 from ..operators.typed_load import typed_rows
-from ..session import staged
+from ..session import held
 from ..sources import catalog
-from ..sources.csvfiles import INGESTED_AT, SOURCE_FILE, read_text_csv
+from ..sources.csvfiles import BAD_RECORD, INGESTED_AT, SOURCE_FILE, read_text_csv
 from ..sources.delimiter import fingerprint
+from ..sources.filemeta import data_files
 from ..sources.listing import list_csv, warn_large
-from ..sources.paths import qualified
+from ..sources.paths import exists, qualified
 
 log = logging.getLogger(__name__)
 
@@ -46,6 +47,16 @@ class Options:
     buckets: int = BUCKETS
     files_per_wave: int = FILES_PER_WAVE
     tables_at_once: int = 4
+    dialects_at_once: int = 32
+
+
+@dataclass(frozen=True)
+class FileCounts:
+    """Rows of a file, cells that could not be read, rows with too few or too many cells."""
+
+    row_count: int = 0
+    rejected: int = 0
+    ragged: int = 0
 
 
 @dataclass(frozen=True)
@@ -54,7 +65,7 @@ class TableResult:
 
     created: bool
     columns_added: list[str]
-    rows: dict[str, tuple[int, int]]
+    files: dict[str, FileCounts]
 
 
 def _waves(files: DataFrame, size: int) -> Iterator[list[Any]]:
@@ -69,14 +80,26 @@ def _waves(files: DataFrame, size: int) -> Iterator[list[Any]]:
         yield wave
 
 
+def _dialect(f: Any) -> tuple:
+    """Files of one dialect can be taken by one reader."""
+    return f["header"], f["delimiter"], f["multi_line"]
+
+
 def _groups(files: list[Any]) -> dict[tuple, list[Any]]:
-    """Files that one reader can take together."""
     groups: dict[tuple, list[Any]] = defaultdict(list)
     for f in files:
-        groups[(f["header"], f["delimiter"], f["multi_line"])].append(f)
+        groups[_dialect(f)].append(f)
     return groups
 
 
+def _portions(files: list[Any], size: int) -> list[list[Any]]:
+    """Portions with a limited number of dialects each, which bounds the size of a plan."""
+    groups = list(_groups(files).values())
+    return [
+        [f for group in groups[i : i + size] for f in group] for i in range(0, len(groups), size)
+    ]
+
+
 def _known_types(spark: SparkSession, table: str) -> dict[str, str]:
     fields = spark.table(table).schema.fields
     return {
@@ -86,6 +109,13 @@ def _known_types(spark: SparkSession, table: str) -> dict[str, str]:
     }
 
 
+def _register_existing(spark: SparkSession, table: str, path: str) -> None:
+    """Bring a table back that has its files but is not in the catalog (any more)."""
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    catalog.create_table(spark, table, table_schema(found), path, [SOURCE_BUCKET])
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
 def ingest_files(
     spark: SparkSession, root: str, lake: str, table_name: str, files: list[Any], opts: Options
 ) -> TableResult:
@@ -99,10 +129,14 @@ def ingest_files(
     table = f"`{opts.database}`.`{table_name}`"
     path = f"{lake}/{table_name}"
     created = not catalog.table_exists(spark, f"{opts.database}.{table_name}")
+    if created and exists(spark, path) and not data_files(spark, path).isEmpty():
+        _register_existing(spark, table, path)
+        created = False
     known = {} if created else _known_types(spark, table)
 
     frames: list[tuple[DataFrame, list[str]]] = []
     profiles: list[DataFrame] = []
+    samples: list[DataFrame] = []
     columns: dict[str, None] = {}
     for (header, delimiter, multi_line), group in _groups(files).items():
         rows, names = read_text_csv(
@@ -115,11 +149,17 @@ def ingest_files(
         )
         frames.append((rows, names))
         columns.update(dict.fromkeys(names))
-        sample = first_rows(rows, opts.sample_rows) if opts.sample_rows else rows
-        found = profile(sample, names)
-        profiles.append(with_type(found, opts.numeric_lattice))
-    profiled = staged(united(profiles), "profile")
-    types = {c: VARCHAR for c in columns} | types_by_first_file(profiled) | known
+        profiles.append(with_type(profile(rows, [*names, BAD_RECORD]), opts.numeric_lattice))
+        if opts.sample_rows:
+            first = profile(first_rows(rows, opts.sample_rows), names)
+            samples.append(with_type(first, opts.numeric_lattice))
+    with held(united(profiles), "profile") as profiled:
+        found = types_by_first_file(united(samples) if samples else profiled)
+        types = {c: VARCHAR for c in columns} | found | known
+        counts = {
+            r[SOURCE_FILE]: FileCounts(r["row_count"], r["rejected"], r["ragged"])
+            for r in file_counts(profiled, types).collect()
+        }
 
     added = [] if created else missing_columns([(c, types[c]) for c in columns], list(known))
     ddl = ", ".join(f"`{c}` {SPARK_TYPES[types[c]]}" for c in columns)
@@ -141,27 +181,22 @@ def ingest_files(
     replace_by_source(spark, path, schema, typed, keys, opts.buckets)
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.catalog.refreshTable(f"{opts.database}.{table_name}")
-
-    counts = file_counts(profiled, types).collect()
-    return TableResult(
-        created,
-        [name for name, _ in added],
-        {r[SOURCE_FILE]: (r["row_count"], r["rejected"]) for r in counts},
-    )
+    return TableResult(created, [name for name, _ in added], counts)
 
 
-def _record(f: Any, run_id: str, status: str, rows: tuple[int, int], error: str = "") -> dict:
+def _record(f: Any, run_id: str, status: str, counts: FileCounts, error: str = "") -> dict:
     return {
         "file_key": f["key"],
         "etag": f["etag"],
         "table_name": f["table_name"],
-        "row_count": rows[0],
+        "row_count": counts.row_count,
         "status": status,
         "error_message": error,
         "run_id": run_id,
         "size": f["size"],
         "modified_at": f["modified_at"],
-        "rejected": rows[1],
+        "rejected": counts.rejected,
+        "ragged": counts.ragged,
     }
 
 
@@ -169,10 +204,19 @@ def _load_table(
     spark: SparkSession, root: str, lake: str, name: str, files: list[Any], run_id: str, opts: Options
 ) -> list[dict]:
     """Registry records of one table's files. If they fail together, each is tried alone."""
+    portions = _portions(files, opts.dialects_at_once)
+    if len(portions) > 1:
+        return [
+            record
+            for portion in portions
+            for record in _load_table(spark, root, lake, name, portion, run_id, opts)
+        ]
     try:
         done = ingest_files(spark, root, lake, name, files, opts)
-        log.info("%s: %d file(s), created=%s, added=%s", name, len(files), done.created, done.columns_added)
-        return [_record(f, run_id, "success", done.rows.get(f["key"], (0, 0))) for f in files]
+        log.info("%s: %d file(s), %s", name, len(files), "created" if done.created else done.columns_added)
+        return [
+            _record(f, run_id, "success", done.files.get(f["key"], FileCounts())) for f in files
+        ]
     except (PySparkException, ValueError, OSError) as problem:
         if len(files) > 1:
             return [
@@ -181,7 +225,7 @@ def _load_table(
                 for record in _load_table(spark, root, lake, name, [f], run_id, opts)
             ]
         log.warning("%s failed: %s", files[0]["key"], problem)
-        return [_record(files[0], run_id, "failed", (0, 0), str(problem))]
+        return [_record(files[0], run_id, "failed", FileCounts(), str(problem))]
 
 
 def ingest_folder(
@@ -197,24 +241,24 @@ def ingest_folder(
     catalog.create_database(spark, opts.database)
     listed = list_csv(spark, root)
     registry = metadata.read(spark, lake, metadata.REGISTRY)
-    candidates = staged(metadata.new_files(listed, registry), "candidates")
-    warn_large(candidates)
     records: list[dict] = []
-    for wave in _waves(candidates, opts.files_per_wave):
-        small = [f["path"] for f in wave if not f["is_large"]]
-        large = [f["path"] for f in wave if f["is_large"]]
-        probed = fingerprint(spark, candidates, small, large)
-        described = metadata.changed_files(candidates.join(probed, "path"), registry).collect()
-        by_table: dict[str, list[Any]] = defaultdict(list)
-        for f in sorted(described, key=lambda row: row["key"]):
-            by_table[f["table_name"]].append(f)
-        # Tables are independent, so their jobs may share the cluster.
-        with ThreadPoolExecutor(opts.tables_at_once) as pool:
-            loads = [
-                pool.submit(_load_table, spark, root, lake, name, files, run_id, opts)
-                for name, files in by_table.items()
-            ]
-        done = [record for load in loads for record in load.result()]
-        metadata.append(spark, lake, metadata.REGISTRY, done)
-        records.extend(done)
+    with held(metadata.new_files(listed, registry), "candidates") as candidates:
+        warn_large(candidates)
+        for wave in _waves(candidates, opts.files_per_wave):
+            small = [f["path"] for f in wave if not f["is_large"]]
+            large = [f["path"] for f in wave if f["is_large"]]
+            probed = fingerprint(spark, candidates, small, large)
+            described = metadata.changed_files(candidates.join(probed, "path"), registry).collect()
+            by_table: dict[str, list[Any]] = defaultdict(list)
+            for f in sorted(described, key=lambda row: row["key"]):
+                by_table[f["table_name"]].append(f)
+            # Tables are independent, so their jobs may share the cluster.
+            with ThreadPoolExecutor(opts.tables_at_once) as pool:
+                loads = [
+                    pool.submit(_load_table, spark, root, lake, name, files, run_id, opts)
+                    for name, files in by_table.items()
+                ]
+            done = [record for load in loads for record in load.result()]
+            metadata.append(spark, lake, metadata.REGISTRY, done)
+            records.extend(done)
     return records

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.contract import SALES_COLUMNS, SALES_KEYS, SALES_TYPES, contract_violations
 from ..operators.upsert import scan_order, upsert
 from ..operators.watermark import advance_watermark, newer_than, read_watermark
-from ..session import staged
+from ..session import held
 from ..sources.csvfiles import check_columns, read_contract_csv, with_audit
 from .sales import DAY, KEY, SOURCE_SCHEMA
 
@@ -79,19 +79,20 @@ def load_sales(
     # The file order has to be taken at the scan; it decides which of two rows of a key is last.
     # Everything after this reads the staged columns it needs, not the text again.
     order = {f"_order{i}": c for i, c in enumerate(scan_order())}
-    rows = staged(rows.select("*", *[c.alias(name) for name, c in order.items()]), "sales")
-    total, late, last = mark_figures(rows, before)
-    if last is None:
-        return LoadResult(total, 0, late, before, before, True)
-    audited = with_audit(newer_than(rows, DAY, before), source_name or csv_path)
-    merged = upsert(
-        spark,
-        table_path,
-        audited,
-        KEY,
-        DAY,
-        order=[F.col(name) for name in order],
-        drop=list(order),
-    )
+    ordered = rows.select("*", *[c.alias(name) for name, c in order.items()])
+    with held(ordered, "sales") as source:
+        total, late, last = mark_figures(source, before)
+        if last is None:
+            return LoadResult(total, 0, late, before, before, True)
+        audited = with_audit(newer_than(source, DAY, before), source_name or csv_path)
+        merged = upsert(
+            spark,
+            table_path,
+            audited,
+            KEY,
+            DAY,
+            order=[F.col(name) for name in order],
+            drop=list(order),
+        )
     after = advance_watermark(spark, state_path, PIPELINE, last)
     return LoadResult(total, merged.rows_merged, late, before, after, False)

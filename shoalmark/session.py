@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.paths import remove
+
 
 def build_session(app: str = "shoalmark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs count on (UTC, adaptive execution).
@@ -57,3 +61,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def held(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``staged`` for as long as a job needs it; the scratch table is removed afterwards."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)

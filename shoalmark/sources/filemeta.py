@@ -8,6 +8,10 @@ from .listing import list_files, relative_key
 from .paths import qualified
 
 
+# Names that begin with an underscore or a point are hidden, unless they are partition folders.
+_HIDDEN = r"(^|/)[_.][^=/]*(/|$)"
+
+
 def data_files(spark: SparkSession, path: str) -> DataFrame:
     """``path, size, modified_at, partition`` of the table's data files, from the listing alone.
 
@@ -18,7 +22,7 @@ def data_files(spark: SparkSession, path: str) -> DataFrame:
     folder = F.regexp_extract(key, "^(.*)/[^/]*$", 1)
     return (
         list_files(spark, path, "*.parquet")
-        .where(~key.rlike("(^|/)[_.]"))
+        .where(~key.rlike(_HIDDEN))
         .withColumn("partition", folder)
     )
 

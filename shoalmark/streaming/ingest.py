@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.replace import BUCKETS, replace_by_source, table_schema
 from ..operators.upsert import upsert
 from ..operators.watermark import advance_watermark, newer_than, read_watermark
-from ..session import staged
+from ..session import held
 from ..sources.csvfiles import INGESTED_AT, SOURCE_FILE
 from ..sources.listing import decoded_path, relative_key
 from ..sources.paths import qualified
@@ -50,9 +50,9 @@ def stream_ingest(
     schema = table_schema(rows.schema)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        held = staged(batch, f"ingest-{batch_id}")
-        files = held.select(SOURCE_FILE).distinct()
-        replace_by_source(batch.sparkSession, table_path, schema, held, files, buckets)
+        with held(batch, f"ingest-{batch_id}") as rows:
+            files = rows.select(SOURCE_FILE).distinct()
+            replace_by_source(batch.sparkSession, table_path, schema, rows, files, buckets)
 
     return _start(rows.writeStream.foreachBatch(load), checkpoint, once)
 
@@ -76,17 +76,17 @@ def stream_upsert(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = staged(batch, f"upsert-{batch_id}")
-        if state_path:
+        if not state_path:
+            upsert(spark, table_path, batch, key, partition, order)
+            return
+        with held(batch, f"upsert-{batch_id}") as arrived:
             mark = read_watermark(spark, state_path, pipeline)
-            fresh = newer_than(held, partition, mark)
+            fresh = newer_than(arrived, partition, mark)
             last = fresh.agg(F.max(partition)).first()[0]
-            late = 0 if mark is None else held.where(F.col(partition) <= F.lit(mark)).count()
+            late = 0 if mark is None else arrived.where(F.col(partition) <= F.lit(mark)).count()
             if late:
                 log.info("batch %d: %d row(s) at or before the mark %s", batch_id, late, mark)
             upsert(spark, table_path, fresh, key, partition, order)
             advance_watermark(spark, state_path, pipeline, last)
-        else:
-            upsert(spark, table_path, held, key, partition, order)
 
     return _start(rows.writeStream.foreachBatch(load), checkpoint, once)

@@ -98,6 +98,8 @@ def test_ragged_rows_and_unreadable_values(lake):
     assert lake.run() == {"t/a.csv": ("success", 22, 1)}
     rows = lake.rows("t", "a", "b")
     assert (None, 1) in rows and (21, None) in rows and (22, 3) in rows
+    registry = metadata.read(lake.spark, lake.lake, metadata.REGISTRY)
+    assert [r["ragged"] for r in registry.collect()] == [2]
 
 
 def test_existing_type_wins(lake):
@@ -174,3 +176,39 @@ def test_portions_and_large_files(spark, tmp_path, monkeypatch):
     assert {k: v[1] for k, v in done.items()} == {f"t/f{n}.csv": n for n in range(5)}
     assert len(lake.rows("t", "a")) == 10
     assert lake.run() == {}
+
+
+def test_sampling_counts_all_rows(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path), sample_rows=5)
+    lake.put("t/a.csv", "a\n" + "".join(f"{n}\n" for n in range(2, 9)) + "x\ny\n")
+    assert lake.run() == {"t/a.csv": ("success", 9, 2)}
+    assert lake.types("t")["a"] == "INT"
+
+
+def test_many_headers_are_loaded_in_portions(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path), dialects_at_once=2)
+    for n in range(5):
+        lake.put(f"t/f{n}.csv", f"a,c{n}\n{n + 2},x\n")
+    assert set(lake.run().values()) == {("success", 1, 0)}
+    assert lake.rows("t", "a") == [(n + 2,) for n in range(5)]
+    assert {f"c{n}" for n in range(5)} < set(lake.types("t"))
+
+
+def test_table_missing_in_the_catalog_keeps_its_rows(lake):
+    lake.put("t/a.csv", "a,b\n5,x\n")
+    lake.put("t/b.csv", "a,c\n6,y\n")
+    lake.run()
+    lake.spark.sql(f"DROP TABLE {lake.opts.database}.t")
+    lake.put("t/a.csv", "a\n7\n")
+    assert lake.run() == {"t/a.csv": ("success", 1, 0)}
+    assert lake.rows("t", "a", "b", "c") == [(6, None, "y"), (7, None, None)]
+
+
+def test_nothing_stays_in_the_scratch_folder(lake):
+    root = lake.spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root)) if os.path.exists(root) else set()
+    lake.put("t/a.csv", "a\n5\n")
+    lake.run()
+    lake.put("t/a.csv", "a\n6\n")
+    lake.run()
+    assert set(os.listdir(root)) == before

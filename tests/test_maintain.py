@@ -126,3 +126,12 @@ def test_maintenance_run(spark, tmp_path):
     assert by["broken", "optimize"]["status"] == "completed"
     effect = maintain.log_effect(metadata.read(spark, base, metadata.MAINTENANCE_LOG)).collect()
     assert {r["files_removed"] for r in effect if r["table_name"] == "plain"} == {4, 0}
+
+
+def test_partition_column_with_an_underscore(spark, path):
+    df = spark.range(100).select("id", (F.col("id") % 2).cast("int").alias("_source_bucket"))
+    df.repartition(6).write.partitionBy("_source_bucket").parquet(path)
+    assert file_count(spark, path) == 12
+    done = maintain.compact(spark, path, ["_source_bucket"])
+    assert (done.files_rewritten, done.files_after) == (12, 2)
+    assert spark.read.parquet(path).select("id").distinct().count() == 100
