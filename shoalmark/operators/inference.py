@@ -1,7 +1,8 @@
 """Column type inference over text columns, per source file, in one aggregation.
 
-The columns are turned into (column, cell) rows first, so the aggregate has the same dozen expressions whether a file
-has five columns or five hundred, and only one row per file and column is shuffled by each task.
+The columns are turned into (column, cell) rows first, so the aggregate has the same dozen
+expressions whether a file has five columns or five hundred, and each task shuffles only one row
+per file and column.
 """
 
 from __future__ import annotations

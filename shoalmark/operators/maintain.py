@@ -91,19 +91,19 @@ def compact(
 
     A portion of the listed files is rewritten by one job into a work folder inside the table
     (hidden from readers), the list of replaced files is stored, then the old files are removed
-    and the new ones moved to their place. Until the list is stored, nothing has changed; after that the exchange can be completed by
-    anyone with ``finish_interrupted``.
+    and the new ones moved to their place. Until the list is stored, nothing has changed; after
+    that the exchange can be completed by anyone with ``finish_interrupted``. The files of a
+    portion may have different columns; the new ones have all of them.
     """
     path = paths.qualified(spark, path)
     finish_interrupted(spark, path)
     before = data_files(spark, path).count()
     todo = small_files(spark, path, below)
     rewritten = 0
-    schema = spark.read.parquet(path).schema
     for number, wave in enumerate(_waves(todo, per_wave)):
         work = f"{path}/{WORK_FOLDER}/{number:06d}"
         rows = (
-            spark.read.schema(schema)
+            spark.read.option("mergeSchema", True)
             .option("basePath", path)
             .parquet(*[row["path"] for row in wave])
         )

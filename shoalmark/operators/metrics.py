@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import percent
-from .partitions import overwrite_partitions, partition_values
+from .partitions import overwrite_partitions, partition_folder, partition_values
 
 # Trailing window, sampling step, hold times, threshold in percent, retention.
 WINDOW_SECONDS = 300
@@ -167,7 +167,8 @@ def held_alerts(
 
     One row per unbroken run of active samples that lasts long enough: ``active_from``,
     ``firing_from`` (hold time later) and ``firing_to`` (last active sample). A run is broken by an
-    inactive sample and by a gap of more than ``max_gap`` seconds.
+    inactive sample and by a gap of more than ``max_gap`` seconds. Needs one sample per series and
+    time.
 
     Runs are formed per chunk. Those that touch neither end of their chunk are complete; of the
     rest each chunk has two at most, and only these are joined along the series.
@@ -239,6 +240,11 @@ def retain(
     limit = now - dt.timedelta(days=days)
     table = spark.read.parquet(path)
     touched = partition_values(table.where(F.col(day) <= F.lit(limit.date())), day)
-    boundary = table.where((F.col(day) == F.lit(limit.date())) & (F.col(time) >= F.lit(limit)))
-    if touched:
-        overwrite_partitions(boundary, path, day, touched)
+    if not touched:
+        return
+    kept = table.where(F.lit(False))
+    if limit.date() in touched:
+        folder = partition_folder(spark, path, day, limit.date())
+        boundary = spark.read.option("mergeSchema", True).option("basePath", path).parquet(folder)
+        kept = boundary.where(F.col(time) >= F.lit(limit))
+    overwrite_partitions(kept, path, day, touched)

@@ -71,8 +71,9 @@ def upsert(
     """Update rows with a known key in all columns, insert the others.
 
     ``order`` decides which row of a key counts when the source repeats it (the last one); leave
-    it out for a source with unique keys. Columns in ``drop`` only serve the order. Rewritten are the partitions of the source rows and the
-    partitions that hold the old version of an updated row, found by a scan of two columns.
+    it out for a source with unique keys. Columns in ``drop`` only serve the order. Rewritten are
+    the partitions of the source rows and the partitions that hold the old version of an updated
+    row, found by a scan of two columns. The source needs all columns of the table.
     """
     rows = latest_per_key(source, key, order) if order else source
     rows = rows.drop(*(drop or []))
@@ -83,6 +84,9 @@ def upsert(
         if not exists(spark, path):
             append_rows(batch, path, partition)
             return UpsertResult(rows_merged, 0)
+        lacking = set(spark.read.parquet(path).columns) - set(batch.columns)
+        if lacking:
+            raise ValueError(f"the source lacks columns of the table: {sorted(lacking)}")
         target = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
         old_places = target.select(key, partition).join(batch.select(key), key, "left_semi")
         touched = partition_values(old_places.unionByName(batch.select(key, partition)), partition)

@@ -32,9 +32,12 @@ def commit(
     ).parquet(path)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log with ``batch_id`` as a number."""
-    log = spark.read.parquet(path)
+def read_log(spark: SparkSession, path: str, all_columns: bool = False) -> DataFrame:
+    """The log with ``batch_id`` as a number.
+
+    ``all_columns`` looks into every file for columns, for a log whose batches differ in them.
+    """
+    log = spark.read.option("mergeSchema", all_columns).parquet(path)
     return log.withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
 
@@ -125,7 +128,7 @@ def expire(spark: SparkSession, path: str, key: str, cutoff: dt.datetime) -> int
 
     Only old batches are rewritten. The rows keep their batch, so emptied batches disappear.
     """
-    log = read_log(spark, path)
+    log = read_log(spark, path, all_columns=True)
     old = log.where(F.col(INGESTED_AT) <= F.lit(cutoff).cast("timestamp"))
     touched = partition_values(old, BATCH)
     before = version_count(log)

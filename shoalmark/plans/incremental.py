@@ -50,7 +50,7 @@ def require_contract(spark: SparkSession, csv_path: str) -> None:
 
 
 def mark_figures(rows: DataFrame, mark: dt.date | None) -> tuple[int, int, dt.date | None]:
-    """Rows in the source, rows at or before the mark, latest date after it."""
+    """Rows in the source, rows not after the mark, latest date after it."""
     after = F.lit(True) if mark is None else F.col(DAY) > F.lit(mark)
     figures = rows.agg(
         F.count("*").alias("n"),
@@ -82,7 +82,7 @@ def load_sales(
     ordered = rows.select("*", *[c.alias(name) for name, c in order.items()])
     with held(ordered, "sales") as source:
         total, late, last = mark_figures(source, before)
-        if last is None:
+        if total == late:
             return LoadResult(total, 0, late, before, before, True)
         audited = with_audit(newer_than(source, DAY, before), source_name or csv_path)
         merged = upsert(

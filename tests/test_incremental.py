@@ -104,6 +104,15 @@ def test_every_file_of_a_folder_needs_the_header(spark, tmp_path):
     folder = tmp_path / "many"
     folder.mkdir()
     (folder / "a.csv").write_text(HEADER + "\na,c1,1,Italy,2024-01-01\n")
-    (folder / "b.csv").write_text("customer_id,order_id,amount,country,ingestion_date\nc1,b,1,Italy,2024-01-01\n")
+    other = "customer_id,order_id,amount,country,ingestion_date"
+    (folder / "b.csv").write_text(other + "\nc1,b,1,Italy,2024-01-01\n")
     with pytest.raises(Exception, match="(?i)header"):
         load_sales(spark, str(folder), str(tmp_path / "sales"), str(tmp_path / "state"))
+
+
+def test_rows_without_a_date(job):
+    assert job("a,c1,1,Italy,").rows_merged == 1
+    done = job("a,c1,2,Italy,2024-01-01", "b,c1,3,Italy,")
+    assert (done.rows_merged, done.late_rows, done.watermark_after) == (2, 0, day(1))
+    again = job("b,c1,4,Italy,")
+    assert again.skipped and again.late_rows == 1

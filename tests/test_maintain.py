@@ -135,3 +135,13 @@ def test_partition_column_with_an_underscore(spark, path):
     done = maintain.compact(spark, path, ["_source_bucket"])
     assert (done.files_rewritten, done.files_after) == (12, 2)
     assert spark.read.parquet(path).select("id").distinct().count() == 100
+
+
+def test_files_with_different_columns(spark, path):
+    spark.range(5).coalesce(1).write.parquet(path)
+    for _ in range(2):
+        more = spark.range(5, 8).select("id", F.lit("x").alias("later")).coalesce(1)
+        more.write.mode("append").parquet(path)
+    maintain.compact(spark, path)
+    table = spark.read.parquet(path)
+    assert table.where("later = 'x'").count() == 6 and table.where("later IS NULL").count() == 5

@@ -112,3 +112,10 @@ def test_failed_job_leaves_the_table(spark, path):
     with pytest.raises(Exception, match="broken"):
         overwrite_partitions(bad, path, "day", {D[0]})
     assert content(spark, path) == [("a", 1.0, "IT", D[0])]
+
+
+def test_source_without_a_column_is_refused(spark, path):
+    put(spark, path, [("a", 1.0, "IT", D[0])])
+    with pytest.raises(ValueError, match="country"):
+        upsert(spark, path, frame(spark, [("a", 2.0, "", D[0])]).drop("country"), "order_id", "day")
+    assert content(spark, path) == [("a", 1.0, "IT", D[0])]
