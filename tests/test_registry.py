@@ -2,9 +2,11 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry_module
+from shoalmark.registry import MODULES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES = {k: run for module in MODULES for k, run in module.QUERIES.items()}
+ORACLES = {k: text for module in MODULES for k, text in module.ORACLES.items()}
 
 
 @pytest.fixture(scope="module")
@@ -22,5 +24,10 @@ def test_query_equals_sql(spark, con, name):
     assert same, note
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= entry_module.queries().items()
+    assert ORACLES.items() <= entry_module.oracle_sql().items()
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
