@@ -259,3 +259,18 @@ def score(
         "doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
         "n_hits", "terms",
     )
+
+
+def keep_clean(documents: DataFrame, lexicon: Lexicon, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``documents`` whose score is below ``threshold``, with all their columns.
+
+    Rows without text are kept. The text is scored in place, so nothing is joined or shuffled.
+    """
+    hidden, packed = "__text", "__score"
+    rows = documents.select(F.struct("*").alias(hidden), F.col("text"))
+    scored = map_texts(
+        rows,
+        lambda: (lambda measure: lambda texts: [lexicon.score(measure(texts)[0])])(_measurer(lexicon)),
+        [(packed, pa.float64(), "double")],
+    )
+    return scored.where(F.col(packed) < threshold).select(f"{hidden}.*")
