@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, quality, tokens, toxicity, urlfilter
+from . import decontaminate, langid, linededup, neardup, quality, tokens, toxicity, urlfilter
 
 #: Host and path rules of the URL filter query.
 URL_RULES = [
@@ -25,6 +25,11 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(documents, quality.train(documents, table(spark, folder, "labels")))
 
 
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Lexicon toxicity score of every document."""
     documents = table(spark, folder, "documents")
@@ -32,6 +37,16 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, lexicon)
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items."""
+    found = decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on the URL of every page; a page counts as bad if its document is labelled so."""
     pages, labels = table(spark, folder, "pages"), table(spark, folder, "labels")
@@ -57,11 +72,108 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(documents, langid.train(documents))
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without lines that ten or more sources carry, but for their first place."""
+    made = linededup.remove_boilerplate(table(spark, folder, "documents"))
+    return made.select(
+        "row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+NEAR_DUPLICATES_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE
+    list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b
+    ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM sets
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM sets JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) ON doc_id = x
+"""
+
+DECONTAMINATION_SQL = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS k
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark)
+  WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item, k, array_to_string(w[p:p + k - 1], ' ') AS t
+  FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM i)
+), places AS (
+  SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS t
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p
+        FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k)
+), found AS (
+  SELECT doc_id, k, p, item FROM places JOIN windows USING (k, t)
+), hit AS (
+  SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS t
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(items.t, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+LINE_DEDUP_CTE = """
+lines AS (
+  SELECT doc_id, source, p, l, trim(l, ' ' || chr(9) || chr(13)) AS t
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS l,
+               unnest(range(0, len(string_split(text, chr(10))))) AS p FROM documents)
+), spread AS (
+  SELECT t, min(row(doc_id, p)) AS first_place FROM lines WHERE t <> '' GROUP BY t
+  HAVING count(DISTINCT source) >= 10
+), judged AS (
+  SELECT lines.*, spread.t IS NOT NULL AND row(doc_id, p) <> first_place AS gone
+  FROM lines LEFT JOIN spread ON lines.t = spread.t
+), cleaned AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(l, chr(10) ORDER BY p) FILTER (NOT gone), '') AS text
+  FROM judged GROUP BY doc_id
+)"""
+
+LINE_DEDUP_SQL = f"""
+WITH {LINE_DEDUP_CTE}
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       sha256(CASE WHEN n_removed > 0 THEN c.text ELSE d.text END) AS text_sha256
+FROM documents d LEFT JOIN cleaned c USING (doc_id)
+"""
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
+    "op6_decontamination": op6_decontamination,
     "op7_url_filter": op7_url_filter,
     "op8_token_counts": op8_token_counts,
     "op9_language": op9_language,
+    "op10_line_dedup": op10_line_dedup,
+}
+ORACLES = {
+    "op4_near_duplicates": NEAR_DUPLICATES_SQL,
+    "op6_decontamination": DECONTAMINATION_SQL,
+    "op10_line_dedup": LINE_DEDUP_SQL,
 }
-ORACLES: dict[str, str] = {}
