@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, linededup, neardup, quality, tokens, toxicity, urlfilter
+from . import (
+    decontaminate,
+    langid,
+    linededup,
+    mixing,
+    neardup,
+    neighbours,
+    quality,
+    tokens,
+    toxicity,
+    urlfilter,
+)
 
 #: Host and path rules of the URL filter query.
 URL_RULES = [
@@ -14,6 +25,23 @@ URL_RULES = [
     ("allow", "org/fr/"),
 ]
 
+#: The tree of the mixing query. The tables have no domain, so it is taken from the source: the one
+#: large crawl, sources with one digit, and the others. Paths that are not listed weigh 1.
+LEVELS = {
+    "domain": (
+        "CASE WHEN source = 'src0' THEN 'crawl' WHEN length(source) = 4 THEN 'forum' ELSE 'press' END"
+    ),
+    "lang": "lang",
+    "source": "source",
+}
+WEIGHTS = {
+    ("crawl",): 2,
+    ("forum",): 3,
+    ("press",): 5,
+    **{(d, lang): w for d in ("crawl", "forum", "press")
+       for lang, w in (("en", 5), ("de", 2), ("fr", 2), ("es", 1))},
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -25,6 +53,17 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(documents, quality.train(documents, table(spark, folder, "labels")))
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How often every document is taken in a mix as large as the corpus, in two epochs at most."""
+    made = mixing.mix(table(spark, folder, "documents"), LEVELS, WEIGHTS)
+    return made.select("row.doc_id", "domain", "lang", "source", "n_tokens", "copies")
+
+
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return neardup.near_duplicates(table(spark, folder, "documents"))
@@ -162,8 +201,66 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_remo
 FROM documents d LEFT JOIN cleaned c USING (doc_id)
 """
 
+MIXING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, CASE WHEN source = 'src0' THEN 'crawl' WHEN length(source) = 4 THEN 'forum' ELSE 'press' END AS domain,
+         coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens
+  FROM documents
+), weights AS (
+  SELECT * FROM (VALUES ('crawl', 2), ('forum', 3), ('press', 5)) v(name, w)
+  UNION ALL SELECT * FROM (VALUES ('en', 5), ('de', 2), ('fr', 2), ('es', 1)) v(name, w)
+), leaf AS (
+  SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(2 * sum(n_tokens) AS BIGINT) AS cap
+  FROM d GROUP BY ALL
+), a0 AS (
+  SELECT domain, coalesce(w, 1) AS w, CAST(sum(cap) AS BIGINT) AS cap,
+         CAST(least((SELECT sum(tokens) FROM leaf), (SELECT sum(cap) FROM leaf)) AS BIGINT) AS budget
+  FROM leaf LEFT JOIN weights ON domain = name GROUP BY domain, w HAVING sum(cap) > 0
+), a1 AS (
+  SELECT *, cap * sum(w) OVER (ORDER BY cap / w, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= (budget - coalesce(sum(cap) OVER (ORDER BY cap / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * w AS whole
+  FROM a0
+), a AS (
+  SELECT domain, CAST(CASE WHEN whole THEN cap ELSE
+    ((budget - sum(CASE WHEN whole THEN cap ELSE 0 END) OVER ()) * w) // sum(CASE WHEN whole THEN 0 ELSE w END) OVER () END AS BIGINT) AS alloc
+  FROM a1
+), b0 AS (
+  SELECT domain, lang, coalesce(w, 1) AS w, CAST(sum(cap) AS BIGINT) AS cap, any_value(alloc) AS budget
+  FROM leaf JOIN a USING (domain) LEFT JOIN weights ON lang = name GROUP BY domain, lang, w HAVING sum(cap) > 0
+), b1 AS (
+  SELECT *, cap * sum(w) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= (budget - coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * w AS whole
+  FROM b0
+), b AS (
+  SELECT domain, lang, CAST(CASE WHEN whole THEN cap ELSE
+    ((budget - sum(CASE WHEN whole THEN cap ELSE 0 END) OVER p) * w) // sum(CASE WHEN whole THEN 0 ELSE w END) OVER p END AS BIGINT) AS alloc
+  FROM b1 WINDOW p AS (PARTITION BY domain)
+), c1 AS (
+  SELECT leaf.*, alloc AS budget, cap * count(*) OVER (PARTITION BY domain, lang ORDER BY cap / 1, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= (alloc - coalesce(sum(cap) OVER (PARTITION BY domain, lang ORDER BY cap / 1, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS whole
+  FROM leaf JOIN b USING (domain, lang) WHERE cap > 0
+), c AS (
+  SELECT domain, lang, source, tokens, CAST(CASE WHEN whole THEN cap ELSE
+    (budget - sum(CASE WHEN whole THEN cap ELSE 0 END) OVER p) // sum(CASE WHEN whole THEN 0 ELSE 1 END) OVER p END AS BIGINT) AS alloc
+  FROM c1 WINDOW p AS (PARTITION BY domain, lang)
+), placed AS (
+  SELECT d.*, coalesce(alloc // tokens, 0) AS epochs, coalesce(alloc % tokens, 0) AS rest
+  FROM d LEFT JOIN c USING (domain, lang, source)
+), summed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+    ORDER BY md5('1:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, n_tokens) AS upto
+  FROM placed
+)
+SELECT doc_id, domain, lang, source, n_tokens,
+       CAST(epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM summed
+"""
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_mixing": op2_mixing,
+    "op3_neighbours": op3_neighbours,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
@@ -173,6 +270,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES = {
+    "op2_mixing": MIXING_SQL,
     "op4_near_duplicates": NEAR_DUPLICATES_SQL,
     "op6_decontamination": DECONTAMINATION_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
