@@ -309,7 +309,7 @@ def _union_common(a: list[int], b: list[int]) -> int:
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``documents``.
+    """(doc_id, text_key, n_shingles, component_id, kept) of every row of ``documents``.
 
     Words are what stands between blanks and control characters, with A-Z in lower case. A text of
     one word has that word as its only shingle. Texts with 100 * intersection >= 80 * union of
@@ -317,11 +317,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     component, ``kept`` marks the row that has it.
 
     Null texts, and texts without words, have no shingles and are linked with nothing: they are
-    components of their own. Null ids come after all others; a row without id in a component without
+    components of their own. ``text_key`` is a 64-bit hash of the text, to tell rows of one id apart. Null ids come after all others; a row without id in a component without
     any has a null component and is kept. Repeated rows are linked with each other and share what
     they get. An empty table gives an empty result; further columns are ignored.
     """
-    sets = staged(_with_sets(documents.select("doc_id", "text"), False), "sketches")
+    sets = staged(
+        _with_sets(
+            documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), False
+        ),
+        "sketches",
+    )
     classes = staged(
         sets.where("n > 0").groupBy("cls").agg(
             F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
@@ -345,7 +350,24 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return sets.join(named, "cls", "left").select(
         "doc_id",
+        "text_key",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def deduplicated(documents: DataFrame) -> DataFrame:
+    """The columns of ``documents``, one row of each component: the one with the least doc_id.
+
+    Of rows repeated with one id and text one stays; rows without words all stay, but for repeated
+    ones.
+    """
+    kept = near_duplicates(documents).where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
+    rows = documents.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
+    met = rows.join(
+        kept, F.col("row.doc_id").eqNullSafe(kept["doc_id"]) & (F.col("key") == kept["text_key"])
+    )
+    once = met.where("copies = 1").select("row.*")
+    repeated = met.where("copies > 1").dropDuplicates(["doc_id", "text_key"]).select("row.*")
+    return once.union(repeated)

@@ -66,7 +66,7 @@ def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate component of every document."""
-    return neardup.near_duplicates(table(spark, folder, "documents"))
+    return neardup.near_duplicates(table(spark, folder, "documents")).drop("text_key")
 
 
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
