@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,8 +24,8 @@ log = logging.getLogger(__name__)
 PASSED, FAILED, ERROR = "passed", "failed", "error"
 UNIQUENESS, CUSTOM_SQL, ROW_COUNT = "uniqueness", "custom_sql", "row_count_range"
 
-# What a faulty check can raise: Spark errors, missing or unexpected parameters.
-_PROBLEMS = (PySparkException, KeyError, TypeError)
+# What a faulty check can raise: errors of Spark and of file systems, missing or unexpected parameters.
+_PROBLEMS = (PySparkException, Py4JJavaError, KeyError, TypeError)
 
 RESULT_COLUMNS = [
     "check_name",
@@ -141,9 +142,10 @@ def _filled_in(template: str, check: Check, failing: Column, total: Column) -> C
     return F.concat(*pieces)
 
 
-def _result(check: Check, failing: Column, total: Column) -> Column:
+def _result(position: int, check: Check, failing: Column, total: Column) -> Column:
     passed, failed = DETAILS[check.check_type]
     return F.struct(
+        F.lit(position).alias("position"),
         F.lit(check.name).alias("check_name"),
         F.lit(check.check_type).alias("check_type"),
         F.lit(check.table_name).alias("table_name"),
@@ -157,43 +159,63 @@ def _result(check: Check, failing: Column, total: Column) -> Column:
     )
 
 
-def _failing(check: Check) -> Column:
-    """Failing count as an aggregate over the checked table."""
-    if check.check_type == ROW_COUNT:
-        n = F.count("*")
-        inside = (n >= check.params["min_count"]) & (n <= check.params["max_count"])
-        return F.when(inside, 0).otherwise(1).cast("bigint")
-    rule = ROW_RULES[check.check_type]
-    return F.count_if(rule(F.col(check.column_name), **check.params))
+def _failing(check: Check, total: Column, failed: Column) -> Column:
+    """Failing count from the row count of the table and the count of failed rows."""
+    if check.check_type != ROW_COUNT:
+        return failed
+    inside = (total >= check.params["min_count"]) & (total <= check.params["max_count"])
+    return F.when(inside, 0).otherwise(1).cast("bigint")
 
 
-def _fused(checks: list[Check], table: DataFrame) -> DataFrame:
-    """All row-level and row-count checks of one table from one aggregate."""
-    counted = table.agg(
-        F.count("*").alias("total"), *[_failing(c).alias(f"f{i}") for i, c in enumerate(checks)]
-    )
-    rows = [_result(c, F.col(f"f{i}"), F.col("total")) for i, c in enumerate(checks)]
-    return counted.select(F.inline(F.array(*rows)))
-
-
-def _unique(check: Check, table: DataFrame) -> DataFrame:
-    """Values that occur more than once; counted in each task first, so a hot value is harmless."""
-    name = check.column_name
-    counted = table.groupBy(name).agg(F.count("*").alias("n"))
-    figures = counted.agg(
-        F.count_if((F.col("n") > 1) & F.col(name).isNotNull()).alias("failing"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-    )
-    return figures.select(F.inline(F.array(_result(check, F.col("failing"), F.col("total")))))
-
+def _fused(checks: list[tuple[int, Check]], table: DataFrame) -> DataFrame:
+    """All checks of one table but custom queries, from one scan.
 
-def _custom(spark: SparkSession, check: Check, table: DataFrame) -> DataFrame:
+    Row rules are counted in one aggregate. If there is a uniqueness check, they are counted per
+    value of its column and then added up, so the table is still read once; values are counted in
+    each task first, so a hot value is harmless. Further unique columns take a scan each.
+    """
+    unique = [(i, c) for i, c in checks if c.check_type == UNIQUENESS]
+    plain = [(i, c) for i, c in checks if c.check_type != UNIQUENESS]
+    rules = {
+        f"f{i}": F.count_if(ROW_RULES[c.check_type](F.col(c.column_name), **c.params))
+        for i, c in plain
+        if c.check_type != ROW_COUNT
+    }
+    counts = [F.count("*").alias("total"), *[rule.alias(name) for name, rule in rules.items()]]
+    if unique:
+        name = unique[0][1].column_name
+        repeated = (F.col("total") > 1) & F.col(name).isNotNull()
+        counted = (
+            table.groupBy(name)
+            .agg(*counts)
+            .agg(
+                F.count_if(repeated).alias("repeated"),
+                *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", *rules)],
+            )
+        )
+    else:
+        counted = table.agg(*counts)
+    total = F.col("total")
+    rows = [
+        _result(i, c, _failing(c, total, F.col(f"f{i}") if f"f{i}" in rules else total), total)
+        for i, c in plain
+    ]
+    rows += [_result(i, c, F.col("repeated"), total) for i, c in unique[:1]]
+    found = counted.select(F.inline(F.array(*rows)))
+    for other in unique[1:]:
+        found = found.unionByName(_fused([other], table))
+    return found
+
+
+def _custom(spark: SparkSession, position: int, check: Check, table: DataFrame) -> DataFrame:
     """Rows returned by the query are the failing ones. ``args`` fill its named parameters."""
     rows = spark.sql(check.params["sql"], args=check.params.get("args"))
     figures = rows.agg(F.count("*").alias("failing")).withColumn(
         "total", table.agg(F.count("*")).scalar()
     )
-    return figures.select(F.inline(F.array(_result(check, F.col("failing"), F.col("total")))))
+    return figures.select(
+        F.inline(F.array(_result(position, check, F.col("failing"), F.col("total"))))
+    )
 
 
 def _problem(check: Check, tables: Mapping[str, DataFrame]) -> str | None:
@@ -208,20 +230,17 @@ def _problem(check: Check, tables: Mapping[str, DataFrame]) -> str | None:
     return None
 
 
-def plan_suite(
-    spark: SparkSession, checks: list[Check], tables: Mapping[str, DataFrame]
+def _planned(
+    spark: SparkSession, checks: list[tuple[int, Check]], tables: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Results of all checks as one lazy DataFrame; for checks known to be valid."""
+    """Results with the position of their check; names may repeat."""
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for check in checks:
-        table = tables[check.table_name]
-        if check.check_type == UNIQUENESS:
-            parts.append(_unique(check, table))
-        elif check.check_type == CUSTOM_SQL:
-            parts.append(_custom(spark, check, table))
+    by_table: dict[str, list[tuple[int, Check]]] = {}
+    for position, check in checks:
+        if check.check_type == CUSTOM_SQL:
+            parts.append(_custom(spark, position, check, tables[check.table_name]))
         else:
-            by_table.setdefault(check.table_name, []).append(check)
+            by_table.setdefault(check.table_name, []).append((position, check))
     parts.extend(_fused(group, tables[name]) for name, group in by_table.items())
     result = parts[0]
     for part in parts[1:]:
@@ -229,6 +248,13 @@ def plan_suite(
     return result
 
 
+def plan_suite(
+    spark: SparkSession, checks: list[Check], tables: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Results of all checks as one lazy DataFrame; for checks known to be valid."""
+    return _planned(spark, list(enumerate(checks)), tables).drop("position")
+
+
 def _error(check: Check, message: str) -> dict[str, Any]:
     return {
         "check_name": check.name,
@@ -251,19 +277,20 @@ def run_suite(
     run one by one. The rest run together; only if that fails does each run alone, so that one
     bad check does not spoil others.
     """
-    results: dict[str, dict[str, Any]] = {}
-    together: list[Check] = []
-    alone: list[Check] = []
-    for check in checks:
+    results: dict[int, dict[str, Any]] = {}
+    together: list[tuple[int, Check]] = []
+    alone: list[tuple[int, Check]] = []
+    for position, check in enumerate(checks):
         problem = _problem(check, tables)
         if problem:
-            results[check.name] = _error(check, problem)
+            results[position] = _error(check, problem)
         else:
-            (alone if check.check_type == CUSTOM_SQL else together).append(check)
+            (alone if check.check_type == CUSTOM_SQL else together).append((position, check))
 
-    def collect(group: list[Check]) -> None:
-        for row in plan_suite(spark, group, tables).collect():
-            results[row["check_name"]] = row.asDict()
+    def collect(group: list[tuple[int, Check]]) -> None:
+        for row in _planned(spark, group, tables).collect():
+            found = row.asDict()
+            results[found.pop("position")] = found
 
     try:
         if together:
@@ -271,12 +298,13 @@ def run_suite(
     except _PROBLEMS as problem:
         log.warning("checks failed as a whole, running them one by one: %s", problem)
         alone = together + alone
-    for check in alone:
+    for position, check in alone:
         try:
-            collect([check])
+            collect([(position, check)])
         except _PROBLEMS as problem:
-            results[check.name] = _error(check, f"Error: {str(problem)[:ERROR_LIMIT]}")
-    return [results[check.name] for check in checks]
+            log.warning("check %s failed: %s", check.name, problem)
+            results[position] = _error(check, f"Error: {str(problem)[:ERROR_LIMIT]}")
+    return [results[position] for position in range(len(checks))]
 
 
 def results_frame(spark: SparkSession, results: list[dict[str, Any]]) -> DataFrame:

@@ -31,23 +31,32 @@ def scan_order() -> list[Column]:
     ]
 
 
-def latest_per_key(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """The last row of every key; rows without a key are all kept.
+def latest_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The last row of every key by the columns ``order``; rows without a key are all kept.
 
-    ``max`` of a struct combines inside each task before the shuffle, so a key that owns a third
-    of the rows reaches its reducer as one row per task.
+    Rows that are equal in ``order`` are told apart by their other columns, the greatest counts, so
+    the result never depends on how the rows are dealt out. Only rows of keys that repeat are
+    compared. ``max`` of a struct combines inside each task before the shuffle, so a key that owns a
+    third of the rows reaches its reducer as one row per task.
     """
-    names = rows.columns
-    ordered = rows.select(
-        F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("_order"), *names
+    repeated = (
+        rows.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count("*").alias("_n"))
+        .where("_n > 1")
+        .select(key)
     )
-    keyed = (
-        ordered.where(F.col(key).isNotNull())
+    if repeated.isEmpty():
+        return rows
+    names = rows.columns
+    ranked = F.struct(*order, *[c for c in names if c not in order])
+    last = (
+        rows.join(repeated, key, "left_semi")
         .groupBy(key)
-        .agg(F.max_by(F.struct(*names), "_order").alias("_last"))
-        .select("_last.*")
+        .agg(F.max(ranked).alias("_last"))
+        .select(*[F.col(f"_last.`{c}`") for c in names])
     )
-    return keyed.unionByName(ordered.where(F.col(key).isNull()).select(*names))
+    return rows.join(repeated, key, "left_anti").select(*names).unionByName(last)
 
 
 def merged(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -70,14 +79,17 @@ def upsert(
 ) -> UpsertResult:
     """Update rows with a known key in all columns, insert the others.
 
-    ``order`` decides which row of a key counts when the source repeats it (the last one); leave
-    it out for a source with unique keys. Columns in ``drop`` only serve the order. Rewritten are
-    the partitions of the source rows and the partitions that hold the old version of an updated
-    row, found by a scan of two columns. The source needs all columns of the table.
+    ``order`` decides which row of a key counts when the source repeats it (the last one); without
+    it, the row with the greatest values in the order of the columns. Columns in ``drop`` only serve
+    the order. Rewritten are the partitions of the source rows and the partitions that hold the old
+    version of an updated row, found by a scan of two columns. The source needs all columns of the
+    table.
     """
-    rows = latest_per_key(source, key, order) if order else source
-    rows = rows.drop(*(drop or []))
-    with held(rows, "upsert") as batch:
+    places = {f"_rank{i}": c for i, c in enumerate(order or [])}
+    ordered = source.select("*", *[c.alias(name) for name, c in places.items()])
+    with held(ordered, "source") as given, held(
+        latest_per_key(given, key, list(places)).drop(*places, *(drop or [])), "upsert"
+    ) as batch:
         rows_merged = batch.count()
         if rows_merged == 0:
             return UpsertResult(0, 0)

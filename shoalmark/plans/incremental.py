@@ -11,7 +11,8 @@ from ..operators.contract import SALES_COLUMNS, SALES_KEYS, SALES_TYPES, contrac
 from ..operators.upsert import scan_order, upsert
 from ..operators.watermark import advance_watermark, newer_than, read_watermark
 from ..session import held
-from ..sources.csvfiles import check_columns, read_contract_csv, with_audit
+from ..sources import catalog
+from ..sources.csvfiles import check_columns, read_contract_csv, record_options, with_audit
 from .sales import DAY, KEY, SOURCE_SCHEMA
 
 PIPELINE = "sales_pipeline"
@@ -29,18 +30,20 @@ class LoadResult:
     watermark_before: dt.date | None
     watermark_after: dt.date | None
     skipped: bool
+    undated_rows: int = 0
 
 
 def land_raw(spark: SparkSession, csv_path: str, raw_path: str) -> None:
-    """Copy the source lines unchanged, replacing an earlier copy."""
-    spark.read.text(csv_path).write.mode("overwrite").text(raw_path)
+    """Copy the source records as text, replacing an earlier copy; every part has the header."""
+    rows = spark.read.options(**record_options(spark, csv_path)).csv(csv_path)
+    rows.write.mode("overwrite").options(header=True, escape='"', emptyValue="").csv(raw_path)
 
 
-def require_contract(spark: SparkSession, csv_path: str) -> None:
+def require_contract(spark: SparkSession, csv_path: str, types: dict[str, str], keys: list[str]) -> None:
     """Raise if a cell cannot be read as its type or a key is missing."""
-    text = spark.read.options(header=True, escape='"').csv(csv_path)
+    text = spark.read.options(**record_options(spark, csv_path)).csv(csv_path)
     check_columns(text.columns, SALES_COLUMNS)
-    bad = contract_violations(text, SALES_TYPES, SALES_KEYS).where("uncastable + null_keys > 0")
+    bad = contract_violations(text, types, keys).where("uncastable + null_keys > 0")
     problems = [
         f"{r['column_name']}: {r['uncastable']} uncastable, {r['null_keys']} empty keys"
         for r in bad.collect()
@@ -49,15 +52,26 @@ def require_contract(spark: SparkSession, csv_path: str) -> None:
         raise ContractViolation("; ".join(problems))
 
 
-def mark_figures(rows: DataFrame, mark: dt.date | None) -> tuple[int, int, dt.date | None]:
-    """Rows in the source, rows not after the mark, latest date after it."""
-    after = F.lit(True) if mark is None else F.col(DAY) > F.lit(mark)
+def mark_figures(rows: DataFrame, mark: dt.date | None) -> tuple[int, int, int, dt.date | None]:
+    """Rows in the source, rows not after the mark, rows without a date, latest date after it."""
+    after = F.col(DAY).isNotNull() if mark is None else F.col(DAY) > F.lit(mark)
     figures = rows.agg(
         F.count("*").alias("n"),
         F.count_if(after).alias("fresh"),
+        F.count_if(F.col(DAY).isNull()).alias("undated"),
         F.max(F.when(after, F.col(DAY))).alias("last"),
     ).first()
-    return figures["n"], figures["n"] - figures["fresh"], figures["last"]
+    late = figures["n"] - figures["fresh"] - figures["undated"]
+    return figures["n"], late, figures["undated"], figures["last"]
+
+
+def register(spark: SparkSession, table: str, path: str) -> None:
+    """Make the loaded folder a table of the catalog, with all its partitions."""
+    catalog.create_database(spark, table.rsplit(".", 1)[0])
+    schema = spark.read.parquet(path).schema
+    catalog.create_table(spark, table, schema, path, [DAY])
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def load_sales(
@@ -68,11 +82,21 @@ def load_sales(
     raw_path: str | None = None,
     source_name: str | None = None,
     strict: bool = False,
+    allow_undated: bool = False,
+    table: str | None = None,
 ) -> LoadResult:
-    """Load what is newer than the mark. The mark moves only after the upsert has succeeded."""
+    """Load what is newer than the mark. The mark moves only after the upsert has succeeded.
+
+    A date that cannot be read is always an error, and so is an empty one unless ``allow_undated``;
+    such rows are then merged by every run, since no mark can tell whether they are new. ``strict``
+    raises for all other cells that do not fit, too. ``table`` (``database.name``) registers the
+    folder in the catalog.
+    """
     rows = read_contract_csv(spark, csv_path, SOURCE_SCHEMA)
     if strict:
-        require_contract(spark, csv_path)
+        require_contract(spark, csv_path, SALES_TYPES, SALES_KEYS)
+    else:
+        require_contract(spark, csv_path, {DAY: SALES_TYPES[DAY]}, [])
     if raw_path:
         land_raw(spark, csv_path, raw_path)
     before = read_watermark(spark, state_path, PIPELINE)
@@ -81,18 +105,24 @@ def load_sales(
     order = {f"_order{i}": c for i, c in enumerate(scan_order())}
     ordered = rows.select("*", *[c.alias(name) for name, c in order.items()])
     with held(ordered, "sales") as source:
-        total, late, last = mark_figures(source, before)
+        total, late, undated, last = mark_figures(source, before)
+        if undated and not allow_undated:
+            raise ContractViolation(f"{DAY}: {undated} row(s) without a date")
         if total == late:
             return LoadResult(total, 0, late, before, before, True)
-        audited = with_audit(newer_than(source, DAY, before), source_name or csv_path)
+        fresh = newer_than(source, DAY, before)
+        if before is not None and undated:
+            fresh = fresh.unionByName(source.where(F.col(DAY).isNull()))
         merged = upsert(
             spark,
             table_path,
-            audited,
+            with_audit(fresh, source_name or csv_path),
             KEY,
             DAY,
             order=[F.col(name) for name in order],
             drop=list(order),
         )
+    if table:
+        register(spark, table, table_path)
     after = advance_watermark(spark, state_path, PIPELINE, last)
-    return LoadResult(total, merged.rows_merged, late, before, after, False)
+    return LoadResult(total, merged.rows_merged, late, before, after, False, undated)

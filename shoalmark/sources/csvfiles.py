@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -29,6 +30,15 @@ def check_columns(actual: list[str], expected: list[str]) -> None:
         raise ContractError(f"expected columns {list(expected)}, found {list(actual)}")
 
 
+def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a line has an odd number of quotes, the mark of a line break inside a field.
+
+    Files without one can be read in splits; the others have to be read record by record.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a CSV whose header must equal ``schema``; missing or empty files are errors.
 
@@ -38,7 +48,7 @@ def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType) -> D
     """
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    options = {"header": True, "escape": '"'}
+    options = record_options(spark, path)
     check_columns(spark.read.options(**options).csv(path).columns, schema.fieldNames())
     rows = spark.read.options(enforceSchema=False, **options).schema(schema).csv(path)
     if rows.isEmpty():
@@ -46,9 +56,23 @@ def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType) -> D
     return rows
 
 
+def record_options(spark: SparkSession, path: str) -> dict:
+    """Reader options for CSV with a header, whole records whatever their line breaks."""
+    return {"header": True, "escape": '"', "multiLine": has_quoted_breaks(spark, path)}
+
+
 def header_cells(header: str, delimiter: str) -> list[str]:
-    """Split one header line the way the CSV reader does."""
-    return [cell.strip() for cell in next(csv.reader([header], delimiter=delimiter))]
+    """Split a header record, which may span lines, the way the CSV reader does."""
+    return [cell.strip() for cell in next(csv.reader(io.StringIO(header), delimiter=delimiter))]
+
+
+def header_record(spark: SparkSession, path: str, delimiter: str) -> str:
+    """The first record of a file whose header spans lines, as one text."""
+    reader = spark.read.options(sep=delimiter, escape='"', multiLine=True)
+    cells = [c or "" for c in reader.csv(path).first()]
+    text = io.StringIO()
+    csv.writer(text, delimiter=delimiter, lineterminator="").writerow(cells)
+    return text.getvalue()
 
 
 def read_text_csv(

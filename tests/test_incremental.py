@@ -41,7 +41,9 @@ def test_first_run_then_nothing_new(job, spark):
     again = job(*lines)
     assert again.skipped and again.rows_merged == 0 and again.late_rows == 2
     assert again.watermark_after == day(2)
-    assert [r[0] for r in spark.read.text(str(job.path / "raw")).collect()] == [HEADER, *lines]
+    assert [r[0] for r in spark.read.text(str(job.path / "raw")).collect()][:1] == [HEADER]
+    raw = spark.read.csv(str(job.path / "raw"), header=True)
+    assert sorted(",".join(r) for r in raw.collect()) == lines
     audit = spark.read.parquet(str(job.path / "sales")).select("_source_file").distinct().collect()
     assert [r[0] for r in audit] == ["sales.csv"]
 
@@ -111,8 +113,40 @@ def test_every_file_of_a_folder_needs_the_header(spark, tmp_path):
 
 
 def test_rows_without_a_date(job):
-    assert job("a,c1,1,Italy,").rows_merged == 1
-    done = job("a,c1,2,Italy,2024-01-01", "b,c1,3,Italy,")
-    assert (done.rows_merged, done.late_rows, done.watermark_after) == (2, 0, day(1))
-    again = job("b,c1,4,Italy,")
-    assert again.skipped and again.late_rows == 1
+    with pytest.raises(ContractViolation, match="1 row.s. without a date"):
+        job("a,c1,1,Italy,")
+    assert job("a,c1,1,Italy,", allow_undated=True).rows_merged == 1
+    done = job("a,c1,2,Italy,2024-01-01", "b,c1,3,Italy,", allow_undated=True)
+    assert (done.rows_merged, done.late_rows, done.undated_rows, done.watermark_after) == (2, 0, 1, day(1))
+    again = job("b,c1,4,Italy,", "a,c1,9,Italy,2024-01-01", allow_undated=True)
+    assert (again.rows_merged, again.late_rows, again.undated_rows) == (1, 1, 1)
+    assert job.rows() == [("a", 2.0, day(1)), ("b", 4.0, None)]
+
+
+def test_no_record_is_lost_behind_the_mark(job, spark):
+    job("a,c1,1,Italy,2024-01-01")
+    with pytest.raises(ContractViolation, match="ingestion_date: 1 uncastable"):
+        job("b,c2,2,Italy,02/01/2024")
+    done = job('b,c2,2,"It""aly\nand, more",2024-01-02', "c,c3,3,Spain,2024-01-03")
+    assert (done.rows_in, done.rows_merged, done.late_rows, done.watermark_after) == (2, 2, 0, day(3))
+    assert job.rows() == [("a", 1.0, day(1)), ("b", 2.0, day(2)), ("c", 3.0, day(3))]
+    raw = spark.read.csv(str(job.path / "raw"), header=True, escape='"', multiLine=True)
+    assert sorted(r["country"] for r in raw.collect()) == ['It"aly\nand, more', "Spain"]
+
+
+def test_the_raw_copy_can_be_read_back_from_parts(spark, tmp_path):
+    lines = [f"k{i},c{i},{i}.5,Italy,2024-01-01" for i in range(2000)]
+    for n in range(3):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{n}.csv").write_text("\n".join([HEADER, *lines[n::3]]) + "\n")
+    load_sales(spark, str(tmp_path / "in"), str(tmp_path / "sales"), str(tmp_path / "state"), str(tmp_path / "raw"))
+    raw = spark.read.csv(str(tmp_path / "raw"), header=True)
+    assert raw.count() == 2000 and raw.columns == HEADER.split(",")
+
+
+def test_the_table_is_in_the_catalog(job, spark):
+    name = "sales_db.sales_of_this_test"
+    job("a,c1,1,Italy,2024-01-01", table=name)
+    job("b,c1,1,Italy,2024-01-02", table=name)
+    assert [r[0] for r in spark.sql(f"SELECT order_id FROM {name} ORDER BY 1").collect()] == ["a", "b"]
+    spark.sql("DROP DATABASE sales_db CASCADE")

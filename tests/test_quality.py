@@ -181,3 +181,29 @@ def test_long_details_are_cut(spark, tmp_path):
     metadata.append(spark, str(tmp_path), metadata.QUALITY_RESULTS, [row])
     stored = metadata.read(spark, str(tmp_path), metadata.QUALITY_RESULTS).first()
     assert (len(stored["details"]), stored["column_name"]) == (1000, "")
+
+
+def test_a_namesake_does_not_hide_a_failure(spark):
+    a = spark.createDataFrame([(1,), (None,)], "v int")
+    b = spark.createDataFrame([(1,), (2,)], "v int")
+    checks = [Check("nn", "not_null", "a", "v"), Check("nn", "not_null", "b", "v")]
+    results = quality.run_suite(spark, checks, {"a": a, "b": b})
+    assert [(r["table_name"], r["status"]) for r in results] == [("a", "failed"), ("b", "passed")]
+    with pytest.raises(QualityGateError, match="1 of 2"):
+        quality.gate(results)
+
+
+def test_suite_with_uniqueness_reads_its_table_once(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    checks = [
+        Check("u", "uniqueness", "orders", "o_custkey"),
+        Check("n", "not_null", "orders", "o_orderkey"),
+        Check("c", "row_count_range", "orders", None, {"min_count": 1, "max_count": 10}),
+    ]
+    plan = quality.plan_suite(spark, checks, {"orders": table})
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1
+    n = table.count()
+    repeated = table.groupBy("o_custkey").count().where("count > 1").count()
+    got = {r["check_name"]: (r["failing_rows"], r["total_rows"]) for r in plan.collect()}
+    assert got == {"u": (repeated, n), "n": (0, n), "c": (1, n)}

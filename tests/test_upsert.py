@@ -81,7 +81,7 @@ def test_last_row_wins_with_a_hot_key(spark, parts):
     shuffled = rows[:]
     rnd.shuffle(shuffled)
     df = spark.createDataFrame(shuffled, "k string, i int").repartition(parts)
-    got = {r["k"]: r["i"] for r in latest_per_key(df, "k", [F.col("i")]).collect()}
+    got = {r["k"]: r["i"] for r in latest_per_key(df, "k", ["i"]).collect()}
     assert got == last
 
 
