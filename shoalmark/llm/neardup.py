@@ -10,10 +10,12 @@
    sketch speaks against a similarity of 0.8 go; the rest is confirmed on full sets, and components
    are formed.
 4. Only lists that still hold several components are searched pair by pair, in blocks, inside the
-   tasks; pairs within a component or below the estimate never leave the task.
+   tasks. The largest component of a list is not compared with itself. Sets of up to ``WIDE``
+   shingles are compared whole, and only the links that connect components leave the task; larger
+   ones by a wide sketch, and what it leaves is confirmed on full sets.
 
-Up to about 136 shingles the sketch can lose no link. Beyond, a link at exactly 0.8 is lost with a
-probability below 1e-10.
+Up to about 128 shingles the sketches can lose no link. Beyond, a link at exactly 0.8 is lost with a
+probability of about 1e-8, a closer one with less.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ from ..session import staged
 from .common import byte_slices, map_batches
 from .words import NOT_SPACE, mix, word_hashes
 
-SKETCH, FEWEST, BLOCK = 64, 28, 256
+SKETCH, FEWEST, BLOCK = 64, 32, 1024
+#: Shingles that are compared at once inside a block, and how many of them a link shares at least.
+WIDE, WIDE_FEWEST, _COLUMNS = 256, 158, 4096
 _ROUNDS = 60
 
 
@@ -171,18 +175,18 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(common >= least).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
-    """Pairs with 100 * intersection >= 80 * union of the full sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct().join(
-        classes.select(F.col("cls").alias("wanted"), "first_id"), "wanted"
+def _full_sets(wanted: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """(cls, shingles): the full sets of the distinct classes in ``wanted``."""
+    ids = classes.select(F.col("cls").alias("wanted"), "first_id").join(
+        wanted.select(F.col("cls").alias("wanted")).distinct(), "wanted"
     )
-    texts = documents.select("doc_id", "text")
-    met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["first_id"]))
-    sets = staged(
-        _with_sets(met.select("wanted", "text"), True).where("cls = wanted")
-        .dropDuplicates(["cls"]).select("cls", "shingles"),
-        "sets",
-    )
+    met = documents.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")))
+    made = _with_sets(met.select("wanted", "text"), True).where("cls = wanted")
+    return staged(made.dropDuplicates(["cls"]).select("cls", "shingles"), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with 100 * intersection >= 80 * union of the full sets."""
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
@@ -221,91 +225,143 @@ def _with_component(df: DataFrame, labels: DataFrame) -> DataFrame:
     return df.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
 
 
-def _rest_pairs(lists: DataFrame, leaders: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Plausible pairs of different components in lists that the leaders have not settled."""
-    larger = leaders.where("size > 2")
-    placed = _with_component(lists.join(larger.select("value", "band"), ["value", "band"]), labels)
+def _open_members(lists: DataFrame, leaders: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of lists that the leaders have not settled, with the pairs of blocks they go to.
+
+    The members of the largest component of a list have blocks of their own, which meet those of
+    the others only; the others meet everyone.
+    """
+    larger = leaders.where("size > 2").select("value", "band")
+    placed = _with_component(lists.join(larger, ["value", "band"]), labels)
+    sizes = placed.groupBy("value", "band", "comp").agg(F.count("*").alias("n"))
+    most = F.max(F.struct("n", "comp"))
     open_lists = (
-        placed.groupBy("value", "band")
-        .agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-        .where("x <> y").select("value", "band")
-        .join(larger, ["value", "band"])
-        .select("value", "band", F.transform("leaders", lambda x: x["cls"]).alias("leaders"),
-                F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        sizes.groupBy("value", "band")
+        .agg(F.sum("n").alias("all"), most.alias("most"))
+        .where(F.col("all") > F.col("most.n"))
+        .select(
+            "value", "band", F.col("most.comp").alias("big"),
+            F.ceil(F.col("most.n") / BLOCK).cast("int").alias("big_blocks"),
+            F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("blocks"),
+        )
     )
-    met = placed.join(open_lists, ["value", "band"]).where(~F.array_contains("leaders", F.col("cls")))
-    own = F.pmod(F.xxhash64("cls", F.lit(5)), F.col("blocks")).cast("int")
-    # A member goes to every pair of blocks that holds its own.
+    met = placed.join(open_lists, ["value", "band"])
+    in_big, first = F.col("comp") == F.col("big"), F.col("big_blocks")
+    draw = F.xxhash64("cls", F.lit(5))
+    mine = F.when(in_big, F.pmod(draw, first)).otherwise(first + F.pmod(draw, F.col("blocks")))
+    others = F.sequence(first, first + F.col("blocks") - 1)
+    everyone = F.sequence(F.lit(0), first + F.col("blocks") - 1)
     meetings = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda i: F.struct(F.least(i, F.col("mine")).alias("i"), F.greatest(i, F.col("mine")).alias("j")),
+        F.when(in_big, others).otherwise(everyone),
+        lambda k: F.struct(F.least(k, F.col("mine")).alias("i"), F.greatest(k, F.col("mine")).alias("j")),
     )
-    spread = (
-        met.withColumn("mine", own)
+    return (
+        met.withColumn("mine", mine.cast("int"))
         .select("value", "band", "cls", "n", "comp", "native", "mine", F.explode(meetings).alias("at"))
         .select("value", "band", "at.i", "at.j", "cls", "n", "comp", "native", "mine")
-        .join(classes.select("cls", "sketch"), "cls")
     )
-    dealt = spread.repartition("value", "band", "i", "j").sortWithinPartitions("value", "band", "i", "j")
-    return map_batches(dealt, _search_blocks, "a binary, b binary").distinct()
+
+
+def _searched(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, sure): links between components found in blocks, and pairs left to be confirmed."""
+    wide = sets.select("cls", F.slice("shingles", 1, WIDE).alias("shingles"))
+    spread = members.join(wide, "cls")
+    keys = ["value", "band", "i", "j"]
+    dealt = spread.repartition(*keys).sortWithinPartitions(*keys)
+    return map_batches(dealt, _search_blocks, "a binary, b binary, sure boolean").distinct()
 
 
 def _search_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by list and pair of blocks; each run of equal keys is searched."""
-    key, rows = None, []
-    columns = ("cls", "n", "comp", "native", "mine", "sketch")
+    key, parts = None, []
 
-    def done() -> pa.RecordBatch:
-        found = list(_block_pairs(rows, key[2] == key[3]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"]
-        )
+    def done() -> Iterator[pa.RecordBatch]:
+        found = _block_pairs(pa.Table.from_batches(parts).combine_chunks(), key[2] == key[3])
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*found), (pa.binary(), pa.binary(), pa.bool_()))],
+                names=["a", "b", "sure"],
+            )
 
     for batch in batches:
-        keys = zip(*[batch.column(c).to_pylist() for c in ("value", "band", "i", "j")])
-        values = zip(*[batch.column(c).to_pylist() for c in columns])
-        for k, row in zip(keys, values):
-            if k != key:
-                if len(rows) > 1:
-                    yield done()
-                key, rows = k, []
-            rows.append(row)
-    if len(rows) > 1:
-        yield done()
-
-
-def _block_pairs(rows: list[tuple], same_block: bool) -> Iterator[tuple[bytes, bytes]]:
-    """Pairs of different components, at least one native, of fitting size and union sketch."""
-    if len({r[2] for r in rows}) < 2:
-        return
-    n = np.array([r[1] for r in rows])
-    comp = np.unique([r[2] for r in rows], return_inverse=True)[1]
-    native = np.array([r[3] for r in rows])
-    mine = np.array([r[4] for r in rows])
-    sizes = np.array([len(r[5]) for r in rows])
-    values, at = np.unique(np.concatenate([np.asarray(r[5]) for r in rows]), return_inverse=True)
-    holds = np.zeros((len(rows), len(values)), np.float32)
-    holds[np.repeat(np.arange(len(rows)), sizes), at] = 1
-    holds = holds[:, holds.sum(0) > 1]
-    shared = holds @ holds.T
-    need = np.where(n <= 51, np.ceil(n * 0.8), np.where(n < SKETCH, 42, np.maximum(FEWEST, np.ceil(SKETCH - n / 4))))
-    wanted = (
-        (shared >= np.maximum(need[:, None], need[None]))
-        & (comp[:, None] != comp[None])
-        & (native[:, None] | native[None])
-        & (100 * np.minimum(n[:, None], n[None]) >= 80 * np.maximum(n[:, None], n[None]))
-    )
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("value", "band", "i", "j")]
+        changes = np.zeros(max(0, batch.num_rows - 1), bool)
+        for c in columns:
+            changes |= c[1:] != c[:-1]
+        starts = np.concatenate([[0], np.flatnonzero(changes) + 1])
+        ends = np.concatenate([starts[1:], [batch.num_rows]])
+        for start, end in zip(starts.tolist(), ends.tolist()):
+            if start == end:
+                continue
+            here = tuple(int(c[start]) for c in columns)
+            if here != key and parts:
+                yield from done()
+                parts = []
+            key = here
+            parts.append(batch.slice(start, end - start))
+    if parts:
+        yield from done()
+
+
+def _block_pairs(rows: pa.Table, same_block: bool) -> list[tuple[bytes, bytes, bool]]:
+    """Links of different components, at least one native, of fitting size.
+
+    Of links between whole sets only as many are returned as it takes to connect the components.
+    """
+    comps = rows.column("comp").to_pylist()
+    if len(rows) < 2 or len(set(comps)) < 2:
+        return []
+    cls, n = rows.column("cls").to_pylist(), rows.column("n").to_numpy()
+    comp = np.unique(comps, return_inverse=True)[1]
+    native, mine = np.array(rows.column("native").to_pylist()), rows.column("mine").to_numpy()
+    shingles = rows.column("shingles").combine_chunks()
+    sizes = np.diff(shingles.offsets.to_numpy())
+    shared = _shared(shingles.flatten().to_numpy(), sizes)
+    ok = (comp[:, None] != comp[None]) & (native[:, None] | native[None])
+    ok &= 100 * np.minimum(n[:, None], n[None]) >= 80 * np.maximum(n[:, None], n[None])
     if not same_block:
-        wanted &= mine[:, None] != mine[None]
-    for x, y in zip(*np.nonzero(np.triu(wanted, 1))):
-        a, b = sorted((rows[x][0], rows[y][0]))
-        if a != b and _union_common(rows[x][5], rows[y][5]) >= max(need[x], need[y]):
-            yield a, b
-
-
-def _union_common(a: list[int], b: list[int]) -> int:
-    x, y = set(a), set(b)
-    return len((x & y).intersection(sorted(x | y)[:SKETCH]))
+        ok &= mine[:, None] != mine[None]
+    ok = np.triu(ok, 1)
+    whole = (n[:, None] <= WIDE) & (n[None] <= WIDE)
+    linked = ok & whole & (100 * shared >= 80 * (n[:, None] + n[None] - shared))
+    # At most n / 4 shingles of the union are not shared by a linked pair.
+    least = np.maximum(WIDE_FEWEST, WIDE - np.maximum(n[:, None], n[None]) / 4)
+    likely = ok & ~whole & (shared >= np.minimum(least, 0.8 * np.maximum(n[:, None], n[None])))
+    parent = list(range(int(comp.max()) + 1))
+
+    def top(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    found = []
+    for x, y in zip(*np.nonzero(linked)):
+        a, b = top(comp[x]), top(comp[y])
+        if a != b:
+            parent[a] = b
+            found.append((*sorted((cls[x], cls[y])), True))
+    found += [(*sorted((cls[x], cls[y])), False) for x, y in zip(*np.nonzero(likely))]
+    return found
+
+
+def _shared(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many values each two of the sets have in common."""
+    _, at, seen = np.unique(values, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    often = seen[at] > 1
+    columns = np.cumsum(seen > 1) - 1
+    at, owner = columns[at[often]], owner[often]
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    shared = np.zeros((len(sizes), len(sizes)), np.float32)
+    width = int(at[-1]) + 1 if len(at) else 0
+    for start in range(0, width, _COLUMNS):
+        low, high = np.searchsorted(at, [start, start + _COLUMNS])
+        holds = np.zeros((len(sizes), min(_COLUMNS, width - start)), np.float32)
+        holds[owner[low:high], at[low:high] - start] = 1
+        shared += holds @ holds.T
+    return shared
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -333,15 +389,19 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    lists = inverted_lists(classes)
-    counted = staged(_leaders(staged_lists := staged(lists, "lists")), "leaders")
-    first = staged(_plausible(_leader_pairs(staged_lists, counted), classes), "pairs")
-    edges = staged(_confirmed(first, classes, documents), "links")
+    lists = staged(inverted_lists(classes), "lists")
+    leaders = staged(_leaders(lists), "leaders")
+    first = staged(_plausible(_leader_pairs(lists, leaders), classes), "pairs")
+    ends = first.select(F.explode(F.array("a", "b")).alias("cls"))
+    edges = staged(_confirmed(first, _full_sets(ends, classes, documents)), "links")
     labels = components(edges)
-    second = staged(_rest_pairs(staged_lists, counted, labels, classes), "pairs")
-    if not second.isEmpty():
-        more = staged(_confirmed(second, classes, documents), "links")
-        labels = components(reduce(DataFrame.union, [edges, more]))
+    members = staged(_open_members(lists, leaders, labels), "members")
+    if not members.isEmpty():
+        full = _full_sets(members.select("cls"), classes, documents)
+        found = staged(_searched(members, full), "found")
+        unsure = found.where("NOT sure").select("a", "b")
+        more = [found.where("sure").select("a", "b"), _confirmed(unsure, full)]
+        labels = components(reduce(DataFrame.union, [edges, *more]))
     of_class = staged(
         _with_component(classes.select("cls", "first_id"), labels).select("cls", "first_id", "comp"), "members"
     )
