@@ -7,7 +7,7 @@ of rows per file and column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.coltypes import (
     BIGINT,
@@ -22,25 +22,10 @@ from ..functions.coltypes import (
 from ..functions.text import strip
 from ..sources.csvfiles import BAD_RECORD, SOURCE_FILE
 
-# Fixed value: rows looked at per file in sampling mode.
-SAMPLE_ROWS = 1000
-
-
 def _slug(type_name: str) -> str:
     return type_name.lower().removesuffix("(6)")
 
 
-def first_rows(rows: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The first ``n`` rows of every source file, in file order."""
-    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
-    in_file = Window.partitionBy(SOURCE_FILE).orderBy("_row")
-    return (
-        numbered.withColumn("_nth", F.row_number().over(in_file))
-        .where(F.col("_nth") <= n)
-        .drop("_row", "_nth")
-    )
-
-
 def profile(rows: DataFrame, names: list[str], per: list[str] | None = None) -> DataFrame:
     """Counts per column (and per value of ``per``, by default the source file).
 
@@ -107,12 +92,10 @@ def with_type(profiled: DataFrame, numeric_lattice: bool = False) -> DataFrame:
 def infer_schema(
     rows: DataFrame,
     names: list[str],
-    sample_rows: int | None = None,
     numeric_lattice: bool = False,
 ) -> list[tuple[str, str]]:
     """``(name, type)`` in column order, over all rows taken together."""
-    source = first_rows(rows, sample_rows) if sample_rows else rows
-    found = with_type(profile(source, names, per=[]), numeric_lattice).select("column_name", "type")
+    found = with_type(profile(rows, names, per=[]), numeric_lattice).select("column_name", "type")
     types = {r["column_name"]: r["type"] for r in found.collect()}
     return [(n, types.get(n, VARCHAR)) for n in names]
 
@@ -128,11 +111,15 @@ def types_by_first_file(profiled: DataFrame) -> dict[str, str]:
 def file_counts(profiled: DataFrame, types: dict[str, str]) -> DataFrame:
     """``_source_file, row_count, rejected, ragged``: rows per file, filled cells unreadable as
     ``types``, and rows with too few or too many cells."""
-    readable = F.col("filled")
+    of_type: dict[str, list[str]] = {}
     for name, t in types.items():
-        if t != VARCHAR:
-            column = f"{_slug(t)}_ok" if t in (BIGINT, DOUBLE) else f"{_slug(t)}_n"
-            readable = F.when(F.col("column_name") == name, F.col(column)).otherwise(readable)
+        of_type.setdefault(t, []).append(name)
+    # One branch for each type, however many columns there are.
+    readable = F
+    for t in sorted(of_type.keys() - {VARCHAR}):
+        column = f"{_slug(t)}_ok" if t in (BIGINT, DOUBLE) else f"{_slug(t)}_n"
+        readable = readable.when(F.col("column_name").isin(of_type[t]), F.col(column))
+    readable = F.col("filled") if readable is F else readable.otherwise(F.col("filled"))
     # The text that the reader keeps of a ragged row comes as one more column.
     ragged = F.col("column_name") == BAD_RECORD
     return profiled.groupBy(SOURCE_FILE).agg(

@@ -11,14 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import paths
 from ..sources.filemeta import data_files
+from .exchange import WORK_FOLDER, exchange_files, finish_interrupted
 
 # Files below this size are compacted; days of retention.
 SMALL_FILE_BYTES = 10 * 1024 * 1024
 RETENTION_DAYS = 7
 TARGET_BYTES = 128 * 1024 * 1024
 FILES_PER_WAVE = 10_000
-WORK_FOLDER = "_compaction"
-_NEW, _PLAN = "new", "plan"
 
 
 @dataclass(frozen=True)
@@ -49,36 +48,6 @@ def _waves(files: DataFrame, size: int) -> Iterator[list]:
         yield wave
 
 
-def _swap(spark: SparkSession, table: str, work: str) -> None:
-    """Put the new files in place of the old ones. Safe to run again after an interruption."""
-    plan = spark.read.parquet(f"{work}/{_PLAN}").toLocalIterator()
-    for row in plan:
-        if paths.exists(spark, row["path"]):
-            paths.remove(spark, row["path"])
-    folders = [f"{work}/{_NEW}"]
-    base = paths.qualified(spark, folders[0])
-    while folders:
-        for child in paths.children(spark, folders.pop()):
-            name = child.rsplit("/", 1)[1]
-            if "=" in name and not name.endswith(".parquet"):
-                folders.append(child)
-            elif name.endswith(".parquet"):
-                inner = paths.qualified(spark, child)[len(base) + 1 :]
-                paths.move(spark, child, f"{table}/{inner}")
-    paths.remove(spark, work)
-
-
-def finish_interrupted(spark: SparkSession, path: str) -> int:
-    """Complete or undo what an earlier, interrupted compaction left behind."""
-    pending = paths.children(spark, f"{path}/{WORK_FOLDER}")
-    for work in pending:
-        if paths.exists(spark, f"{work}/{_PLAN}/_SUCCESS"):
-            _swap(spark, path, work)
-        else:
-            paths.remove(spark, work)
-    return len(pending)
-
-
 def compact(
     spark: SparkSession,
     path: str,
@@ -89,32 +58,19 @@ def compact(
 ) -> Compaction:
     """Merge small files; rows and large files stay as they are. Nothing to do is no error.
 
-    A portion of the listed files is rewritten by one job into a work folder inside the table
-    (hidden from readers), the list of replaced files is stored, then the old files are removed
-    and the new ones moved to their place. Until the list is stored, nothing has changed; after
-    that the exchange can be completed by anyone with ``finish_interrupted``. The files of a
-    portion may have different columns; the new ones have all of them.
+    A portion of the listed files is rewritten by one job and exchanged. The files of a portion may
+    have different columns; the new ones have all of them.
     """
     path = paths.qualified(spark, path)
     finish_interrupted(spark, path)
     before = data_files(spark, path).count()
     todo = small_files(spark, path, below)
     rewritten = 0
-    for number, wave in enumerate(_waves(todo, per_wave)):
-        work = f"{path}/{WORK_FOLDER}/{number:06d}"
-        rows = (
-            spark.read.option("mergeSchema", True)
-            .option("basePath", path)
-            .parquet(*[row["path"] for row in wave])
-        )
-        if partitions:
-            writer = rows.hint("rebalance", *partitions).write.partitionBy(*partitions)
-        else:
-            writer = rows.coalesce(math.ceil(sum(row["size"] for row in wave) / target)).write
-        writer.parquet(f"{work}/{_NEW}")
-        listed = spark.createDataFrame([(row["path"],) for row in wave], "path string")
-        listed.coalesce(1).write.parquet(f"{work}/{_PLAN}")
-        _swap(spark, path, work)
+    for wave in _waves(todo, per_wave):
+        old = [row["path"] for row in wave]
+        rows = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*old)
+        files = math.ceil(sum(row["size"] for row in wave) / target)
+        exchange_files(spark, path, old, rows, partitions or [], files=files)
         rewritten += len(wave)
     if rewritten:
         paths.remove(spark, f"{path}/{WORK_FOLDER}")

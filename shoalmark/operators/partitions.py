@@ -8,9 +8,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.paths import children, exists, remove
+from ..sources.paths import qualified, remove_if_empty
+from .exchange import MOVERS, data_files_below, exchange_files, finish_interrupted
 
-LISTERS = 16
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -41,35 +41,19 @@ def append_rows(df: DataFrame, path: str, column: str) -> None:
     df.hint("rebalance", column).write.mode("append").partitionBy(column).parquet(path)
 
 
-def _first_files(spark: SparkSession, folders: list[str]) -> dict[str, str]:
-    """One data file of each folder that has any. Folders are listed side by side."""
-
-    def first(folder: str) -> str | None:
-        return min((c for c in children(spark, folder) if c.endswith(".parquet")), default=None)
-
-    with ThreadPoolExecutor(LISTERS) as pool:
-        found = dict(zip(folders, pool.map(first, folders), strict=True))
-    return {folder: file for folder, file in found.items() if file}
-
-
 def overwrite_partitions(df: DataFrame, path: str, column: str, touched: set[Any]) -> None:
-    """Make ``df`` the new content of the ``touched`` partitions; the others stay as they are.
+    """Make ``df`` the new content of the ``touched`` partitions, and of all others it has rows for.
 
-    ``df`` may read the table itself: Spark writes to a staging folder and exchanges the partition
-    folders only when every task has succeeded, so a failed job leaves the old rows. Partitions
-    that received no rows are not exchanged; they still have an old file and are removed.
+    ``df`` may read the table itself: the new files are written to a hidden folder first. Only when
+    every task has succeeded are they exchanged, emptied partitions in the same step, so a failed
+    job leaves the old rows and an interrupted exchange can be completed.
     """
     spark = df.sparkSession
-    old = _first_files(spark, [partition_folder(spark, path, column, v) for v in touched])
-    (
-        df.hint("rebalance", column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
-    with ThreadPoolExecutor(LISTERS) as pool:
-        left = list(pool.map(lambda file: exists(spark, file), old.values()))
-    for folder, not_exchanged in zip(old, left, strict=True):
-        if not_exchanged:
-            remove(spark, folder)
+    path = qualified(spark, path)
+    folders = [partition_folder(spark, path, column, v) for v in touched]
+    with ThreadPoolExecutor(MOVERS) as pool:
+        old = [f for files in pool.map(lambda x: data_files_below(spark, x), folders) for f in files]
+    exchange_files(spark, path, old, df, [column], whole_folders=True)
+    finish_interrupted(spark, path)
+    with ThreadPoolExecutor(MOVERS) as pool:
+        list(pool.map(lambda x: remove_if_empty(spark, x), folders))

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import held
 from ..sources.csvfiles import SOURCE_FILE
-from ..sources.paths import exists
-from .partitions import append_rows, in_values, overwrite_partitions, partition_values
+from ..sources.listing import decoded_path
+from ..sources.paths import exists, qualified
+from .exchange import exchange_files, finish_interrupted
+from .partitions import append_rows
 
-# Tables are partitioned by a hash bucket of the source file: replacing a file then touches one
-# bucket, and small files from many sources still end up together in large data files.
 SOURCE_BUCKET = "_source_bucket"
+# Tables are partitioned by a hash bucket of the source file: the rows of a source then lie in few
+# data files, and small sources still end up together in large ones.
 BUCKETS = 256
 
 
@@ -40,28 +41,26 @@ def replace_by_source(
     """Drop the table rows of ``files`` and add ``rows``; rows of all other files stay.
 
     ``files`` has one ``_source_file`` per replaced file, also for files that have no rows now.
-    Files the table has not seen are appended. Only buckets that hold rows of a replaced file are
-    rewritten, and they are found from two columns of the buckets in question.
+    Sources the table has not seen are appended. Otherwise only the data files that hold rows of a
+    replaced source are written anew, without these rows; they are found by a scan of one column of
+    the table, so it does not matter with how many buckets it was written.
     """
     rows = with_bucket(rows, buckets).select(*schema.fieldNames())
     if not exists(spark, path):
         append_rows(rows, path, SOURCE_BUCKET)
         return
-    files = with_bucket(files.select(SOURCE_FILE), buckets)
-    table = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-    candidates = table.where(in_values(SOURCE_BUCKET, partition_values(files, SOURCE_BUCKET)))
+    path = qualified(spark, path)
+    finish_interrupted(spark, path)
+    table = spark.read.schema(schema).parquet(path)
     names = files.select(SOURCE_FILE)
-    stale = partition_values(
-        candidates.select(SOURCE_FILE, SOURCE_BUCKET).join(names, SOURCE_FILE, "left_semi"),
-        SOURCE_BUCKET,
-    )
+    held_in = table.select(SOURCE_FILE, decoded_path(F.col("_metadata.file_path")).alias("path"))
+    stale = [
+        r["path"]
+        for r in held_in.join(names, SOURCE_FILE, "left_semi").select("path").distinct().collect()
+    ]
     if not stale:
         append_rows(rows, path, SOURCE_BUCKET)
         return
-    in_stale = in_values(SOURCE_BUCKET, stale)
-    kept = table.where(in_stale).join(names, SOURCE_FILE, "left_anti").select(*schema.fieldNames())
-    # Two writes follow, which would otherwise read the source text once each.
-    with held(rows, "replace") as rows:
-        replaced = kept.unionByName(rows.where(in_stale))
-        overwrite_partitions(replaced, path, SOURCE_BUCKET, stale)
-        append_rows(rows.where(~in_stale), path, SOURCE_BUCKET)
+    old = spark.read.schema(schema).option("basePath", path).parquet(*stale)
+    kept = old.join(names, SOURCE_FILE, "left_anti").select(*schema.fieldNames())
+    exchange_files(spark, path, stale, kept.unionByName(rows), [SOURCE_BUCKET])

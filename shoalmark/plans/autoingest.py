@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import logging
 from collections import defaultdict
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.coltypes import SPARK_TYPES, TYPE_OF_SPARK, VARCHAR
 from ..operators import metadata
 from ..operators.evolve import missing_columns, united
-from ..operators.inference import file_counts, first_rows, profile, types_by_first_file, with_type
+from ..operators.inference import file_counts, profile, types_by_first_file, with_type
 from ..operators.replace import BUCKETS, SOURCE_BUCKET, replace_by_source, table_schema
 from ..operators.typed_load import typed_rows
 from ..session import held
@@ -29,6 +30,8 @@ from ..sources.paths import exists, qualified
 log = logging.getLogger(__name__)
 
 FILES_PER_WAVE = 10_000
+# What can go wrong with some files of many: errors of Spark and of file systems, bad content.
+_PROBLEMS = (PySparkException, Py4JJavaError, ValueError, OSError)
 AUDIT = [
     T.StructField(SOURCE_FILE, T.StringType()),
     T.StructField(INGESTED_AT, T.TimestampType()),
@@ -41,7 +44,6 @@ class Options:
 
     database: str
     strict: bool = False
-    sample_rows: int | None = None
     numeric_lattice: bool = False
     delimiter: str | None = None
     buckets: int = BUCKETS
@@ -61,23 +63,16 @@ class FileCounts:
 
 @dataclass(frozen=True)
 class TableResult:
-    """What loading some files did to one table."""
+    """What loading some files did to one table; ``refused`` says why a file was left out."""
 
     created: bool
     columns_added: list[str]
     files: dict[str, FileCounts]
+    refused: dict[str, str]
 
 
-def _waves(files: DataFrame, size: int) -> Iterator[list[Any]]:
-    """Listing entries in portions; a reader takes its paths as a list, so a list has to be made."""
-    wave: list[Any] = []
-    for row in files.orderBy("key").toLocalIterator():
-        wave.append(row)
-        if len(wave) == size:
-            yield wave
-            wave = []
-    if wave:
-        yield wave
+def _waves(files: list[Any], size: int) -> list[list[Any]]:
+    return [files[i : i + size] for i in range(0, len(files), size)]
 
 
 def _dialect(f: Any) -> tuple:
@@ -92,12 +87,14 @@ def _groups(files: list[Any]) -> dict[tuple, list[Any]]:
     return groups
 
 
-def _portions(files: list[Any], size: int) -> list[list[Any]]:
-    """Portions with a limited number of dialects each, which bounds the size of a plan."""
+def _portions(files: list[Any], opts: Options) -> list[list[Any]]:
+    """Portions with a limited number of dialects and files each, which bounds a plan's size."""
     groups = list(_groups(files).values())
-    return [
-        [f for group in groups[i : i + size] for f in group] for i in range(0, len(groups), size)
+    joined = [
+        [f for group in groups[i : i + opts.dialects_at_once] for f in group]
+        for i in range(0, len(groups), opts.dialects_at_once)
     ]
+    return [wave for portion in joined for wave in _waves(portion, opts.files_per_wave)]
 
 
 def _known_types(spark: SparkSession, table: str) -> dict[str, str]:
@@ -116,13 +113,27 @@ def _register_existing(spark: SparkSession, table: str, path: str) -> None:
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
+def _frames(
+    spark: SparkSession, root: str, files: list[Any], opts: Options
+) -> list[tuple[DataFrame, list[str]]]:
+    """Text rows and column names of the files, a frame for each dialect."""
+    return [
+        read_text_csv(
+            spark, [f["path"] for f in group], root, header, opts.delimiter or delimiter, multi_line
+        )
+        for (header, delimiter, multi_line), group in _groups(files).items()
+    ]
+
+
 def ingest_files(
     spark: SparkSession, root: str, lake: str, table_name: str, files: list[Any], opts: Options
 ) -> TableResult:
     """Infer, create or evolve, and replace the rows of ``files`` in one table.
 
     ``files`` are entries with key, path, header, delimiter and multi_line, all of one table.
-    An existing column keeps its type. A new one gets the type found in the first file with it.
+    An existing column keeps its type. A new one gets the type found in the first file, by key, that
+    fills it; all files are looked at before the first is loaded, so it does not matter in which
+    portions they are taken. With ``strict``, files with unreadable cells are left out.
     """
     if any(not f["header"] for f in files):
         raise ValueError("no header row")
@@ -134,32 +145,31 @@ def ingest_files(
         created = False
     known = {} if created else _known_types(spark, table)
 
-    frames: list[tuple[DataFrame, list[str]]] = []
-    profiles: list[DataFrame] = []
-    samples: list[DataFrame] = []
+    portions = _portions(files, opts)
     columns: dict[str, None] = {}
-    for (header, delimiter, multi_line), group in _groups(files).items():
-        rows, names = read_text_csv(
-            spark,
-            [f["path"] for f in group],
-            root,
-            header,
-            opts.delimiter or delimiter,
-            multi_line,
-        )
-        frames.append((rows, names))
-        columns.update(dict.fromkeys(names))
-        profiles.append(with_type(profile(rows, [*names, BAD_RECORD]), opts.numeric_lattice))
-        if opts.sample_rows:
-            first = profile(first_rows(rows, opts.sample_rows), names)
-            samples.append(with_type(first, opts.numeric_lattice))
-    with held(united(profiles), "profile") as profiled:
-        found = types_by_first_file(united(samples) if samples else profiled)
-        types = {c: VARCHAR for c in columns} | found | known
+    with ExitStack() as stack:
+        profiles = []
+        for portion in portions:
+            found = []
+            for rows, names in _frames(spark, root, portion, opts):
+                columns.update(dict.fromkeys(names))
+                typed = with_type(profile(rows, [*names, BAD_RECORD]), opts.numeric_lattice)
+                found.append(typed)
+            profiles.append(stack.enter_context(held(united(found), "profile")))
+        profiled = united(profiles)
+        types = {c: VARCHAR for c in columns} | types_by_first_file(profiled) | known
         counts = {
             r[SOURCE_FILE]: FileCounts(r["row_count"], r["rejected"], r["ragged"])
             for r in file_counts(profiled, types).collect()
         }
+    refused = {
+        key: f"{n.rejected} cell(s) that cannot be read"
+        for key, n in counts.items()
+        if opts.strict and n.rejected
+    }
+    portions = [p for p in ([f for f in p if f["key"] not in refused] for p in portions) if p]
+    if not portions:
+        return TableResult(False, [], counts, refused)
 
     added = [] if created else missing_columns([(c, types[c]) for c in columns], list(known))
     ddl = ", ".join(f"`{c}` {SPARK_TYPES[types[c]]}" for c in columns)
@@ -172,16 +182,20 @@ def ingest_files(
         catalog.add_columns(spark, table, [f for f in fields if f.name in new])
     schema = spark.table(table).schema
 
-    typed = united(
-        [typed_rows(rows, [(n, types[n]) for n in names], opts.strict) for rows, names in frames]
-    )
-    absent = [f for f in schema.fields if f.name not in (*typed.columns, SOURCE_BUCKET)]
-    typed = typed.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
-    keys = spark.createDataFrame([(f["key"],) for f in files], f"{SOURCE_FILE} string")
-    replace_by_source(spark, path, schema, typed, keys, opts.buckets)
+    for portion in portions:
+        typed = united(
+            [
+                typed_rows(rows, [(n, types[n]) for n in names], opts.strict)
+                for rows, names in _frames(spark, root, portion, opts)
+            ]
+        )
+        absent = [f for f in schema.fields if f.name not in (*typed.columns, SOURCE_BUCKET)]
+        typed = typed.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
+        keys = spark.createDataFrame([(f["key"],) for f in portion], f"{SOURCE_FILE} string")
+        replace_by_source(spark, path, schema, typed, keys, opts.buckets)
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.catalog.refreshTable(f"{opts.database}.{table_name}")
-    return TableResult(created, [name for name, _ in added], counts)
+    return TableResult(created, [name for name, _ in added], counts, refused)
 
 
 def _record(f: Any, run_id: str, status: str, counts: FileCounts, error: str = "") -> dict:
@@ -200,32 +214,56 @@ def _record(f: Any, run_id: str, status: str, counts: FileCounts, error: str = "
     }
 
 
+def _failed(f: Any, run_id: str, problem: str) -> dict:
+    log.warning("%s failed: %s", f["key"], problem)
+    return _record(f, run_id, "failed", FileCounts(), problem)
+
+
 def _load_table(
     spark: SparkSession, root: str, lake: str, name: str, files: list[Any], run_id: str, opts: Options
 ) -> list[dict]:
-    """Registry records of one table's files. If they fail together, each is tried alone."""
-    portions = _portions(files, opts.dialects_at_once)
-    if len(portions) > 1:
-        return [
-            record
-            for portion in portions
-            for record in _load_table(spark, root, lake, name, portion, run_id, opts)
-        ]
+    """Registry records of one table's files. If they fail together, each half is tried alone."""
+    headless = [f for f in files if not f["header"]]
+    if headless:
+        rest = [f for f in files if f["header"]]
+        records = [_failed(f, run_id, "no header row") for f in headless]
+        return records + (_load_table(spark, root, lake, name, rest, run_id, opts) if rest else [])
     try:
         done = ingest_files(spark, root, lake, name, files, opts)
         log.info("%s: %d file(s), %s", name, len(files), "created" if done.created else done.columns_added)
         return [
-            _record(f, run_id, "success", done.files.get(f["key"], FileCounts())) for f in files
+            _failed(f, run_id, done.refused[f["key"]])
+            if f["key"] in done.refused
+            else _record(f, run_id, "success", done.files.get(f["key"], FileCounts()))
+            for f in files
         ]
-    except (PySparkException, ValueError, OSError) as problem:
-        if len(files) > 1:
-            return [
-                record
-                for f in files
-                for record in _load_table(spark, root, lake, name, [f], run_id, opts)
-            ]
-        log.warning("%s failed: %s", files[0]["key"], problem)
-        return [_record(files[0], run_id, "failed", FileCounts(), str(problem))]
+    except _PROBLEMS as problem:
+        if len(files) == 1:
+            return [_failed(files[0], run_id, str(problem))]
+        middle = len(files) // 2
+        return [
+            record
+            for half in (files[:middle], files[middle:])
+            for record in _load_table(spark, root, lake, name, half, run_id, opts)
+        ]
+
+
+def _described(
+    spark: SparkSession, candidates: DataFrame, wave: list[Any], registry: DataFrame
+) -> tuple[list[Any], list[Any]]:
+    """Listing entries of changed files with tag and dialect, and of files that could not be read."""
+    try:
+        with fingerprint(spark, [f["path"] for f in wave]) as probed:
+            with held(candidates.join(probed, "path"), "described") as described:
+                changed = metadata.changed_files(described, registry).collect()
+                seen = {r["path"] for r in described.select("path").toLocalIterator()}
+        return changed, [f for f in wave if f["path"] not in seen]
+    except _PROBLEMS:
+        if len(wave) == 1:
+            return [], wave
+        middle = len(wave) // 2
+        halves = [_described(spark, candidates, w, registry) for w in (wave[:middle], wave[middle:])]
+        return halves[0][0] + halves[1][0], halves[0][1] + halves[1][1]
 
 
 def ingest_folder(
@@ -233,32 +271,40 @@ def ingest_folder(
 ) -> list[dict]:
     """Load all new and changed CSV files below ``root``; returns their registry records.
 
-    Files whose size and time are in the registry are not opened. The others are read once for a
+    Files whose size and time are in the registry are not opened. The others are read as lines for a
     content tag, which also gives delimiter and header. All files of a table that a run finds are
-    loaded by one write, whatever their number.
+    typed together. The driver holds the listing entries of the new files, as a reader takes its
+    paths as a list; whatever happens to one table, the records of the others are stored.
     """
     root = qualified(spark, root)
     catalog.create_database(spark, opts.database)
-    listed = list_csv(spark, root)
     registry = metadata.read(spark, lake, metadata.REGISTRY)
     records: list[dict] = []
-    with held(metadata.new_files(listed, registry), "candidates") as candidates:
+    with held(metadata.new_files(list_csv(spark, root), registry), "candidates") as candidates:
         warn_large(candidates)
-        for wave in _waves(candidates, opts.files_per_wave):
-            small = [f["path"] for f in wave if not f["is_large"]]
-            large = [f["path"] for f in wave if f["is_large"]]
-            probed = fingerprint(spark, candidates, small, large)
-            described = metadata.changed_files(candidates.join(probed, "path"), registry).collect()
-            by_table: dict[str, list[Any]] = defaultdict(list)
-            for f in sorted(described, key=lambda row: row["key"]):
+        by_table: dict[str, list[Any]] = defaultdict(list)
+        listed = candidates.orderBy("key").collect()
+        for wave in _waves(listed, opts.files_per_wave):
+            changed, unread = _described(spark, candidates, wave, registry)
+            for f in changed:
                 by_table[f["table_name"]].append(f)
-            # Tables are independent, so their jobs may share the cluster.
-            with ThreadPoolExecutor(opts.tables_at_once) as pool:
-                loads = [
-                    pool.submit(_load_table, spark, root, lake, name, files, run_id, opts)
-                    for name, files in by_table.items()
-                ]
-            done = [record for load in loads for record in load.result()]
-            metadata.append(spark, lake, metadata.REGISTRY, done)
-            records.extend(done)
+            for f in unread:
+                there = exists(spark, f["path"])
+                problem = "no header row" if there else "the file is gone"
+                records.append(_failed({**f.asDict(), "etag": None}, run_id, problem))
+        # Tables are independent, so their jobs may share the cluster.
+        with ThreadPoolExecutor(opts.tables_at_once) as pool:
+            loads = [
+                pool.submit(
+                    _load_table, spark, root, lake, name,
+                    sorted(files, key=lambda f: f["key"]), run_id, opts,
+                )
+                for name, files in by_table.items()
+            ]
+        for load in loads:
+            if load.exception() is None:
+                records.extend(load.result())
+        metadata.append(spark, lake, metadata.REGISTRY, records)
+        for load in loads:
+            load.result()
     return records

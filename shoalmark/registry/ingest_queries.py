@@ -14,7 +14,7 @@ from ..operators.inference import match_shares, profile, with_type
 from ..operators.replace import SOURCE_BUCKET, replace_by_source, table_schema
 from ..operators.typed_load import rejected_cells, typed_rows
 from ..plans.autoingest import Options, ingest_folder
-from ..session import scratch_path
+from ..session import scratch_path, staged
 from ..sources.delimiter import fingerprint
 from ..sources.listing import list_csv
 from .common import load, plain
@@ -133,8 +133,9 @@ def detect_delimiter(spark: SparkSession, folder: str) -> DataFrame:
         _write_csv(_as_text(spark, folder, name), f"{root}/{name}", delimiter)
     files = list_csv(spark, root)
     paths = [r["path"] for r in files.select("path").collect()]
-    probed = files.join(fingerprint(spark, files, paths, []), "path")
-    return probed.select("table_name", "delimiter", "header").distinct()
+    with fingerprint(spark, paths) as probed:
+        found = files.join(probed, "path").select("table_name", "delimiter", "header").distinct()
+        return staged(found, "dialects")
 
 
 def new_files(spark: SparkSession, folder: str) -> DataFrame:

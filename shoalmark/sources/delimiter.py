@@ -1,148 +1,127 @@
-"""Header line, delimiter and content tag of dropped CSV files, worked out for many files at once."""
+"""Header record, delimiter and content tag of dropped CSV files, worked out for many files at once.
+
+All files are read as lines, whatever their size, and lines are counted by kind inside the tasks: how
+often they hold each delimiter outside quoted text. Nothing is cut: the header is a whole record.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import held
+from .csvfiles import header_record
 from .listing import decoded_path
 
-# How much of a file is looked at, the delimiters tried and the fallback.
-HEAD_CHARS = 8192
+# The delimiters tried and the fallback.
 DELIMITERS = (",", ";", "\t", "|")
 FALLBACK = ","
 BYTE_ORDER_MARK = chr(0xFEFF)
+_COUNTS = [f"c{i}" for i in range(len(DELIMITERS))]
 
 
-def _occurrences(delimiter: str) -> Callable[[Column], Column]:
-    return lambda line: F.length(line) - F.length(F.replace(line, F.lit(delimiter), F.lit("")))
-
+def _occurrences(text: Column, what: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(what), F.lit("")))
 
-def _equal_to(name: str) -> Callable[[Column], Column]:
-    return lambda n: n == F.col(name)
 
+def _with_counts(lines: DataFrame) -> DataFrame:
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    return lines.withColumns({c: _occurrences(bare, d) for c, d in zip(_COUNTS, DELIMITERS)})
 
-def with_dialect(heads: DataFrame) -> DataFrame:
-    """Add ``delimiter`` and ``header`` to rows with a file's ``head``.
 
-    A delimiter scores the lines that hold it as often as the header line does, quoted text left
-    out, provided that the header holds it at all. The best score wins, a tie goes to the order of
-    ``DELIMITERS``. At least half of the lines have to agree, otherwise the fallback is used. The
-    last line may be cut off, so it does not count if there are others.
-    """
-    text = F.regexp_replace(F.ltrim("head", F.lit(BYTE_ORDER_MARK)), "\r\n?", "\n")
-    cut = (F.length("head") >= HEAD_CHARS) & (F.size("_all") > 1)
-    scores = [f"_score{i}" for i in range(len(DELIMITERS))]
-    each = list(enumerate(DELIMITERS))
-    lines = (
-        heads.withColumn("_all", F.filter(F.split(text, "\n"), lambda line: line != ""))
-        .withColumn("_lines", F.slice("_all", 1, F.size("_all") - cut.cast("int")))
-        .withColumn(
-            "_bare",
-            F.transform("_lines", lambda line: F.regexp_replace(line, '"[^"]*"', "")),
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines with their file, block and number; a file that has gone meanwhile has none."""
+    return (
+        spark.read.option("ignoreMissingFiles", True)
+        .text(paths)
+        .select(
+            decoded_path(F.col("_metadata.file_path")).alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line_no"),
+            F.ltrim("value", F.lit(BYTE_ORDER_MARK)).alias("value"),
         )
-    )
-    counts = lines.withColumns({f"_count{i}": F.transform("_bare", _occurrences(d)) for i, d in each})
-    wanted = counts.withColumns(
-        {f"_wanted{i}": F.coalesce(F.get(f"_count{i}", F.lit(0)), F.lit(0)) for i, _ in each}
-    )
-    scored = wanted.withColumns(
-        {
-            scores[i]: F.when(
-                F.col(f"_wanted{i}") > 0,
-                F.size(F.filter(f"_count{i}", _equal_to(f"_wanted{i}"))),
-            ).otherwise(0)
-            for i, _ in each
-        }
-    )
-    steps = scored.withColumn("_best", F.greatest(*scores))
-    enough = (F.col("_best") > 0) & (F.col("_best") * 2 >= F.size("_lines"))
-    chosen = F.when(~enough, FALLBACK)
-    for name, d in zip(scores, DELIMITERS, strict=True):
-        chosen = chosen.when(F.col(name) == F.col("_best"), d)
-    return steps.select(
-        *heads.columns,
-        chosen.alias("delimiter"),
-        F.get("_all", F.lit(0)).alias("header"),
+        .where("value <> ''")
     )
 
 
-def _small_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files up to the warning size: read once for the content tag; the head comes with it."""
-    content = F.col("content")
+def _line_kinds(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Per file and kind of line: how many, the sum of their hashes, odd quotes, the first line."""
     return (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .select(
-            "path",
-            F.md5(content).alias("etag"),
-            # Four bytes per character at most; a character cut at the end becomes one stray mark.
-            F.substring(
-                F.make_valid_utf8(F.substring(content, 1, 4 * HEAD_CHARS).cast("string")),
-                1,
-                HEAD_CHARS,
-            ).alias("head"),
-            F.lit(True).alias("multi_line"),
+        _with_counts(_lines(spark, paths))
+        .groupBy("path", *_COUNTS)
+        .agg(
+            F.count("*").alias("n"),
+            F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("hashes"),
+            F.max(_occurrences(F.col("value"), '"') % 2).alias("odd"),
+            F.min(F.when(F.col("block") == 0, F.col("line_no"))).alias("line_no"),
         )
     )
 
 
-def _large_heads(spark: SparkSession, files: DataFrame, paths: list[str]) -> DataFrame:
-    """Larger files: told apart by size and time, read line by line in splits.
+def _first_lines(spark: SparkSession, paths: list[str], kinds: DataFrame) -> DataFrame:
+    firsts = kinds.groupBy("path").agg(F.min("line_no").alias("line_no"))
+    return _lines(spark, paths).where("block = 0").join(firsts, ["path", "line_no"]).select("path", "value")
+
 
-    No line of 8192 characters is shorter than one, so the first 8192 lines of a file's first
-    split hold the head. A file where every line has an even number of quotes has no quoted line
-    break and can be read in splits later; the others cannot.
+def _agreeing(name: str, wanted: str) -> Column:
+    return F.sum(F.when((F.col(wanted) > 0) & (F.col(name) == F.col(wanted)), F.col("n")).otherwise(0))
+
+
+def _with_delimiter(kinds: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``path, etag, delimiter, header, multi_line``.
+
+    A delimiter scores the lines that hold it as often as the first line does, quoted text left out,
+    provided that the first line holds it at all. The best score wins, a tie goes to the order of
+    ``DELIMITERS``. At least half of the lines have to agree, otherwise the fallback is used. The
+    tag is that of the lines as a set with repetition and of the header.
     """
-    text = spark.read.text(paths).select(
-        decoded_path(F.col("_metadata.file_path")).alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_no"),
-        "value",
-    )
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    split_safe = text.groupBy("path").agg(F.bool_or(quotes % 2 == 1).alias("multi_line"))
-    in_file = Window.partitionBy("path").orderBy("line_no")
-    first_lines = (
-        text.where("block = 0")
-        .withColumn("value", F.substring("value", 1, HEAD_CHARS))
-        .withColumn("nth", F.row_number().over(in_file))
-        .where(F.col("nth") <= HEAD_CHARS)
-        .withColumn("before", F.sum(F.length("value") + 1).over(in_file) - F.length("value") - 1)
-        .where(F.col("before") < HEAD_CHARS)
-    )
-    heads = first_lines.groupBy("path").agg(
-        F.substring(
-            F.array_join(
-                F.transform(
-                    F.array_sort(F.collect_list(F.struct("nth", "value"))), lambda x: x["value"]
-                ),
-                "\n",
-            ),
-            1,
-            HEAD_CHARS,
-        ).alias("head")
+    wanted = {c: f"wanted_{c}" for c in _COUNTS}
+    first = _with_counts(firsts).withColumnsRenamed(wanted)
+    scored = kinds.join(first, "path").groupBy("path", "value").agg(
+        F.sum("n").alias("lines"),
+        F.sum("hashes").alias("hashes"),
+        (F.max("odd") == 1).alias("multi_line"),
+        *[_agreeing(c, w).alias(f"score_{c}") for c, w in wanted.items()],
     )
-    tags = files.select(
-        "path", F.concat_ws("-", F.col("size"), F.unix_micros("modified_at")).alias("etag")
-    )
-    return (
-        tags.join(split_safe, "path")
-        .join(heads, "path")
-        .select("path", "etag", "head", "multi_line")
+    best = F.greatest(*[f"score_{c}" for c in _COUNTS])
+    chosen = F.when((best == 0) | (best * 2 < F.col("lines")), FALLBACK)
+    for c, d in zip(_COUNTS, DELIMITERS):
+        chosen = chosen.when(F.col(f"score_{c}") == best, d)
+    return scored.select(
+        "path",
+        F.md5(F.concat_ws("-", "lines", "hashes", "value")).alias("etag"),
+        chosen.alias("delimiter"),
+        F.col("value").alias("header"),
+        "multi_line",
     )
 
 
-def fingerprint(spark: SparkSession, files: DataFrame, small: list[str], large: list[str]) -> DataFrame:
-    """``path, etag, delimiter, header, multi_line`` for the given files of a listing.
+@contextmanager
+def fingerprint(spark: SparkSession, paths: list[str]) -> Iterator[DataFrame]:
+    """``path, etag, delimiter, header, multi_line`` for the files at ``paths`` that have lines.
 
-    ``small`` and ``large`` are the paths of its small and of its large files.
+    ``multi_line`` says that some line has an odd number of quotes, the mark of a line break inside
+    a field; the others can be read in splits later.
     """
-    parts = []
-    if small:
-        parts.append(_small_heads(spark, small))
-    if large:
-        parts.append(_large_heads(spark, files.where("is_large"), large))
-    heads = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return with_dialect(heads).drop("head")
+    with held(_line_kinds(spark, paths), "lines") as kinds:
+        with held(_with_delimiter(kinds, _first_lines(spark, paths, kinds)), "dialects") as found:
+            yield _whole_headers(spark, found)
+
+
+def _whole_headers(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """A header whose first line leaves a quote open goes on; these few are read as records."""
+    open_quote = _occurrences(F.col("header"), '"') % 2 == 1
+    headers = [
+        (r["path"], header_record(spark, r["path"], r["delimiter"]))
+        for r in found.where(open_quote).select("path", "delimiter").collect()
+    ]
+    if not headers:
+        return found
+    whole = spark.createDataFrame(headers, "path string, whole string")
+    return (
+        found.join(whole, "path", "left")
+        .withColumn("header", F.coalesce("whole", "header"))
+        .drop("whole")
+    )

@@ -11,7 +11,7 @@ from .paths import qualified
 
 log = logging.getLogger(__name__)
 
-# Fixed value: files above this size are reported, and are told apart by size and time only.
+# Fixed value: files above this size are reported.
 LARGE_FILE_BYTES = 100 * 1024 * 1024
 
 

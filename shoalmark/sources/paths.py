@@ -34,6 +34,13 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(jpath, True)
 
 
+def remove_if_empty(spark: SparkSession, path: str) -> None:
+    """Remove a folder that holds nothing but hidden files."""
+    left = [c for c in children(spark, path) if c.rsplit("/", 1)[1][:1] not in "._"]
+    if not left:
+        remove(spark, path)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, jpath = _client(spark, path)
     fs.mkdirs(jpath)

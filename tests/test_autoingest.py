@@ -4,8 +4,10 @@ import os
 import pytest
 
 from shoalmark.operators import metadata
+from shoalmark.plans import autoingest
 from shoalmark.plans.autoingest import Options, ingest_folder
-from shoalmark.sources import catalog, listing
+from shoalmark.session import staged
+from shoalmark.sources import catalog
 
 _numbers = itertools.count()
 
@@ -167,8 +169,7 @@ def test_strict_mode_fails_the_file(spark, tmp_path):
     assert lake.run() == {"t/a.csv": ("failed", 0, 0)}
 
 
-def test_portions_and_large_files(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(listing, "LARGE_FILE_BYTES", 8)
+def test_portions(spark, tmp_path):
     lake = Lake(spark, str(tmp_path), files_per_wave=2)
     for n in range(5):
         lake.put(f"t/f{n}.csv", "a|b\n" + f"{n + 2}|x\n" * n)
@@ -178,11 +179,79 @@ def test_portions_and_large_files(spark, tmp_path, monkeypatch):
     assert lake.run() == {}
 
 
-def test_sampling_counts_all_rows(spark, tmp_path):
-    lake = Lake(spark, str(tmp_path), sample_rows=5)
-    lake.put("t/a.csv", "a\n" + "".join(f"{n}\n" for n in range(2, 9)) + "x\ny\n")
-    assert lake.run() == {"t/a.csv": ("success", 9, 2)}
-    assert lake.types("t")["a"] == "INT"
+@pytest.mark.parametrize("portions", [{}, {"files_per_wave": 1}, {"dialects_at_once": 1}])
+def test_portions_do_not_change_the_table(spark, tmp_path, portions):
+    lake = Lake(spark, str(tmp_path), **portions)
+    lake.put("t/a.csv", "x,a\nhello,1\nworld,2\n")
+    lake.put("t/b.csv", "x,b\n1,1\n2,2\n")
+    lake.put("t/c.csv", "c,x\n7,5\n")
+    assert set(v[0] for v in lake.run().values()) == {"success"}
+    assert lake.types("t")["x"] == "STRING"
+    assert lake.rows("t", "x") == [("1",), ("2",), ("5",), ("hello",), ("world",)]
+
+
+def test_whole_headers(lake):
+    names = [f"column_{n:04d}_" + "n" * 30 for n in range(240)]
+    lake.put("wide/a.csv", ",".join(names) + "\n" + ",".join(str(n + 2) for n in range(240)) + "\n")
+    lake.put("broken/a.csv", 'id;"unit\nof ""measure""";last\n5;kg;x\n6;"m\nm";y\n')
+    assert lake.run() == {"wide/a.csv": ("success", 1, 0), "broken/a.csv": ("success", 2, 0)}
+    assert lake.rows("wide", *names) == [tuple(range(2, 242))]
+    assert lake.rows("broken", "id", "unit_of_measure", "last") == [(5, "kg", "x"), (6, "m\nm", "y")]
+    lake.put("broken/a.csv", 'id;"unit\nof ""measure""";last\n5;kg;x\n')
+    assert lake.run() == {"broken/a.csv": ("success", 1, 0)}
+
+
+def test_one_bad_file_among_many_is_left_out(spark, tmp_path, monkeypatch):
+    lake, loads = Lake(spark, str(tmp_path)), []
+    real = autoingest.ingest_files
+
+    def counted(*args):
+        loads.append(len(args[4]))
+        if any("f13" in f["key"] for f in args[4]):
+            raise OSError("cannot be opened")
+        return real(*args)
+
+    monkeypatch.setattr(autoingest, "ingest_files", counted)
+    for n in range(16):
+        lake.put(f"t/f{n:02d}.csv", f"a\n{n + 2}\n")
+    done = lake.run()
+    assert [k for k, v in done.items() if v[0] == "failed"] == ["t/f13.csv"]
+    assert len(loads) == 9 and len(lake.rows("t", "a")) == 15
+    monkeypatch.undo()
+    assert lake.run() == {"t/f13.csv": ("success", 1, 0)}
+    assert len(lake.rows("t", "a")) == 16
+
+
+def test_a_gone_file_is_recorded(lake, monkeypatch):
+    lake.put("t/a.csv", "a\n5\n")
+    lake.put("t/b.csv", "a\n6\n")
+    real = autoingest.list_csv
+
+    def listed(spark, root):
+        found = staged(real(spark, root), "listing")
+        os.remove(f"{lake.root}/t/b.csv")
+        return found
+
+    monkeypatch.setattr(autoingest, "list_csv", listed)
+    assert {k: v[0] for k, v in lake.run().items()} == {"t/a.csv": "success", "t/b.csv": "failed"}
+    assert lake.rows("t", "a") == [(5,)]
+
+
+def test_records_of_finished_tables_are_stored(lake, monkeypatch):
+    lake.put("good/a.csv", "a\n5\n")
+    lake.put("bad/a.csv", "a\n6\n")
+    real = autoingest.ingest_files
+
+    def broken(*args):
+        if args[3] == "bad":
+            raise RuntimeError("not foreseen")
+        return real(*args)
+
+    monkeypatch.setattr(autoingest, "ingest_files", broken)
+    with pytest.raises(RuntimeError, match="not foreseen"):
+        lake.run()
+    stored = metadata.read(lake.spark, lake.lake, metadata.REGISTRY).collect()
+    assert [(r["file_key"], r["status"]) for r in stored] == [("good/a.csv", "success")]
 
 
 def test_many_headers_are_loaded_in_portions(spark, tmp_path):

@@ -3,8 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from shoalmark.sources import listing
-from shoalmark.sources.delimiter import HEAD_CHARS, fingerprint, with_dialect
+from shoalmark.sources.delimiter import fingerprint
 from shoalmark.sources.listing import decoded_path, list_csv
 
 HEADS = {
@@ -21,17 +20,13 @@ HEADS = {
 }
 
 
-def test_delimiters(spark):
-    df = spark.createDataFrame([(k, h) for k, (h, _) in HEADS.items()], "k string, head string")
-    rows = with_dialect(df).collect()
-    assert {r["k"]: r["delimiter"] for r in rows} == {k: d for k, (_, d) in HEADS.items()}
-    assert {r["k"]: r["header"] for r in rows}["marked"] == "a|b"
-
-
-def test_cut_off_line_does_not_count(spark):
-    head = ("a;b\n" + "1;2\n" * 3000)[:HEAD_CHARS]
-    row = with_dialect(spark.createDataFrame([(head,)], "head string")).first()
-    assert row["delimiter"] == ";"
+def test_delimiters(spark, tmp_path):
+    for k, (text, _) in HEADS.items():
+        (tmp_path / k).mkdir()
+        (tmp_path / k / "f.csv").write_text(text, encoding="utf-8", newline="")
+    found = _probe(spark, str(tmp_path))
+    assert {k.split("/")[0]: r["delimiter"] for k, r in found.items()} == {k: d for k, (_, d) in HEADS.items()}
+    assert found["marked/f.csv"]["header"] == "a|b"
 
 
 @pytest.fixture
@@ -72,40 +67,38 @@ def test_metadata_paths_equal_listed_paths(spark, drops):
     assert {r[0] for r in read.distinct().collect()} == listed
 
 
-def _probe(spark, root, large):
+def _probe(spark, root):
     files = list_csv(spark, root).cache()
     paths = sorted(r["path"] for r in files.collect())
-    small, big = ([], paths) if large else (paths, [])
-    probed = files.join(fingerprint(spark, files, small, big), "path").collect()
-    return {r["key"]: r for r in probed}
-
-
-@pytest.mark.parametrize("large", [False, True])
-def test_fingerprint(spark, drops, monkeypatch, large):
-    if large:
-        monkeypatch.setattr(listing, "LARGE_FILE_BYTES", 0)
-    found = _probe(spark, drops, large)
-    assert {k: (r["delimiter"], r["header"]) for k, r in found.items()} == {
-        "customers/q1.csv": (";", "id;name"),
-        "customers/q 2+%.CSV": (";", "id;name"),
-        "My Data!/deep/er/f.csv": (",", "a,b"),
+    with fingerprint(spark, paths) as probed:
+        return {r["key"]: r for r in files.join(probed, "path").collect()}
+
+
+@pytest.mark.parametrize("split_bytes", ["128m", "7b"])
+def test_fingerprint(spark, drops, split_bytes):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        found = _probe(spark, drops)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {k: (r["delimiter"], r["header"], r["multi_line"]) for k, r in found.items()} == {
+        "customers/q1.csv": (";", "id;name", False),
+        "customers/q 2+%.CSV": (";", "id;name", False),
+        "My Data!/deep/er/f.csv": (",", "a,b", True),
     }
-    assert found["My Data!/deep/er/f.csv"]["multi_line"]
-    if large:
-        assert not found["customers/q1.csv"]["multi_line"]
+    assert {r["etag"] for r in _probe(spark, drops).values()} == {r["etag"] for r in found.values()}
 
 
 def test_tag_follows_the_content(spark, drops):
-    before = _probe(spark, drops, False)["customers/q1.csv"]["etag"]
+    before = _probe(spark, drops)["customers/q1.csv"]["etag"]
     with open(f"{drops}/customers/q1.csv", "a") as f:
         f.write("2;y\n")
-    assert _probe(spark, drops, False)["customers/q1.csv"]["etag"] != before
+    assert _probe(spark, drops)["customers/q1.csv"]["etag"] != before
 
 
-def test_long_lines_of_large_files(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(listing, "LARGE_FILE_BYTES", 0)
+def test_long_lines(spark, tmp_path):
     (tmp_path / "t").mkdir()
-    lines = ["a|b"] + ["x" * 5000 + "|1"] * 4 + [f"{n}|{n}" for n in range(9000)]
+    lines = ["a|" + "b" * 20000] + ["x" * 5000 + "|1"] * 4 + [f"{n}|{n}" for n in range(9000)]
     (tmp_path / "t" / "f.csv").write_text("\n".join(lines) + "\n")
-    found = _probe(spark, str(tmp_path), True)["t/f.csv"]
-    assert (found["delimiter"], found["header"], found["multi_line"]) == ("|", "a|b", False)
+    found = _probe(spark, str(tmp_path))["t/f.csv"]
+    assert (found["delimiter"], found["header"], found["multi_line"]) == ("|", lines[0], False)

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from shoalmark.operators.upsert import upsert
 from shoalmark.operators import maintain, metadata, versions
 from shoalmark.plans.maintenance import Table, maintain_all
 from shoalmark.sources import paths
@@ -60,22 +61,49 @@ def test_interrupted_before_the_exchange(spark, path):
     assert rows(spark, path) == before
 
 
-def test_interrupted_during_the_exchange(spark, path):
+@pytest.mark.parametrize("at", [0, 1, 2, 4, 7])
+def test_interrupted_during_the_exchange(spark, path, monkeypatch, at):
     tiny_files(spark, path, 6, ["p"])
-    before = rows(spark, path)
-    listed = [r["path"] for r in data_files(spark, path).collect()]
-    work = f"{paths.qualified(spark, path)}/{maintain.WORK_FOLDER}/000000"
-    spark.read.parquet(path).coalesce(1).write.partitionBy("p").parquet(f"{work}/new")
-    spark.createDataFrame([(p,) for p in listed], "path string").write.parquet(f"{work}/plan")
-    for p in listed[:4]:
-        paths.remove(spark, p)
-    moved = paths.children(spark, f"{work}/new/p=0")
-    target = [m for m in moved if m.endswith(".parquet")][0]
-    paths.move(spark, target, f"{path}/p=0/" + target.rsplit("/", 1)[1])
+    before, calls = rows(spark, path), []
+    for name in ("move", "remove"):
+
+        def failing(*args, real=getattr(paths, name)):
+            calls.append(args)
+            if len(calls) > at:
+                raise OSError("interrupted")
+            return real(*args)
+
+        monkeypatch.setattr(paths, name, failing)
+    with pytest.raises(OSError, match="interrupted"):
+        maintain.compact(spark, path, ["p"])
+    monkeypatch.undo()
     maintain.finish_interrupted(spark, path)
     assert rows(spark, path) == before
 
 
+@pytest.mark.parametrize("at", [0, 1, 2, 3])
+def test_interrupted_upsert_leaves_no_row_twice(spark, path, monkeypatch, at):
+    first = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (3, "b", 1)], "k int, p string, v int")
+    upsert(spark, path, first, "k", "p")
+    moved = spark.createDataFrame([(3, "a", 2)], "k int, p string, v int")
+    calls = []
+    for name in ("move", "remove"):
+
+        def failing(*args, real=getattr(paths, name)):
+            calls.append(args)
+            if len(calls) > at:
+                raise OSError("interrupted")
+            return real(*args)
+
+        monkeypatch.setattr(paths, name, failing)
+    with pytest.raises(OSError, match="interrupted"):
+        upsert(spark, path, moved, "k", "p")
+    monkeypatch.undo()
+    maintain.finish_interrupted(spark, path)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "p", "v").collect())
+    assert got == [(1, "a", 1), (2, "a", 1), (3, "a", 2)]
+
+
 def test_orphans(spark, path):
     tiny_files(spark, path, 3)
     files = sorted(r["path"] for r in data_files(spark, path).collect())

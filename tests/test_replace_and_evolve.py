@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoalmark.operators.evolve import missing_columns, reconcile, united
+from shoalmark.sources.filemeta import data_files
 from shoalmark.operators.replace import SOURCE_BUCKET, replace_by_source, source_bucket, table_schema
 
 SCHEMA = "id int, _source_file string"
@@ -76,3 +77,19 @@ def test_reconcile(spark):
     assert out.dtypes == [("c", "double"), ("key", "bigint")]
     with pytest.raises(ValueError, match="cannot widen"):
         reconcile(df, widen={"c": "int"})
+
+
+def test_another_number_of_buckets_replaces_all_the_same(spark, path):
+    put(spark, path, [(n, f"s{n % 8}") for n in range(200)], buckets=16)
+    put(spark, path, [(1000 + n, f"s{n % 8}") for n in range(200)], buckets=256)
+    table = spark.read.parquet(path)
+    assert table.count() == 200 and table.where(f"{table.columns[0]} < 1000").isEmpty()
+
+
+def test_only_files_with_rows_of_the_source_are_rewritten(spark, path):
+    put(spark, path, [(1, "a")], buckets=1)
+    put(spark, path, [(2, "b")], buckets=1)
+    before = {r["path"] for r in data_files(spark, path).collect()}
+    put(spark, path, [(3, "a")], buckets=1)
+    after = {r["path"] for r in data_files(spark, path).collect()}
+    assert len(before) == len(after) == 2 and len(before & after) == 1

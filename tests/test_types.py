@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoalmark.functions import coltypes
 from shoalmark.functions.text import WHITESPACE, blank_to_null, money_label, percent, strip
-from shoalmark.operators.inference import first_rows, infer_schema, match_shares, profile, with_type
+from shoalmark.operators.inference import infer_schema, match_shares, profile, with_type
 
 BIG = "9999999999"
 VECTORS = {
@@ -61,17 +61,6 @@ def test_lattice_option_widens(spark):
     assert infer_schema(df, ["a"], numeric_lattice=True) == [("a", "DOUBLE")]
 
 
-def test_sampling_looks_at_the_first_rows_of_each_file(spark, path):
-    text = spark.createDataFrame([(str(n),) for n in range(2, 30)] + [("x",)] * 40, "a string")
-    text.coalesce(1).write.text(path)
-    rows = spark.read.text(path).select(
-        F.col("value").alias("a"), F.lit("one.csv").alias("_source_file")
-    )
-    assert first_rows(rows, 20).count() == 20
-    assert infer_schema(rows, ["a"], sample_rows=20) == [("a", "INTEGER")]
-    assert infer_schema(rows, ["a"]) == [("a", "VARCHAR")]
-
-
 def test_shares(spark):
     df = spark.createDataFrame([("f", "1"), ("f", "2"), ("f", " ")], "_source_file string, a string")
     row = match_shares(profile(df, ["a"])).first()
