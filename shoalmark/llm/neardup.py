@@ -32,6 +32,8 @@ from .common import byte_slices, map_batches
 from .words import NOT_SPACE, mix, word_hashes
 
 SKETCH, FEWEST, BLOCK = 64, 32, 1024
+#: Retained values that may get lists, and how many of them a link shares at least.
+LISTED, LISTED_FEWEST = 32, 12
 #: Shingles that are compared at once inside a block, and how many of them a link shares at least.
 WIDE, WIDE_FEWEST, _COLUMNS = 256, 158, 4096
 _ROUNDS = 60
@@ -98,38 +100,45 @@ def _with_sets(df: DataFrame, full: bool) -> DataFrame:
     return map_batches(df, run, f"{schema}, n bigint, cls binary, {last} array<bigint>")
 
 
-def least_shared(n: Column) -> Column:
-    """Retained values that a class of ``n`` shingles shares at least with a linked one."""
+def least_shared(n: Column, kept: int = SKETCH, fewest: int = FEWEST) -> Column:
+    """Of its ``kept`` smallest hashes, those that a class of ``n`` shares at least with a linked one.
+
+    If the union is not larger than ``kept``, four fifths of it are shared; else at most n / 4 of the
+    smallest hashes of the union are not.
+    """
     return (
-        F.when(n <= 51, F.ceil(n * F.lit(0.8)))
-        .when(n < SKETCH, F.lit(42))
-        .otherwise(F.greatest(F.lit(FEWEST), F.ceil(F.lit(SKETCH) - n / 4)))
+        F.when(n <= int(0.8 * kept), F.ceil(n * F.lit(0.8)))
+        .when(n < kept, F.ceil(F.lit(0.64 * kept)))
+        .otherwise(F.greatest(F.lit(fewest), F.ceil(F.lit(kept) - n / 4)))
         .cast("int")
     )
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(value, band, cls, n, native): classes under each value of their prefix, in bands of size.
-
-    A class stands in its own band and, as a visitor, in the next, so that linked classes meet in
-    the band of the larger one.
-    """
-    retained = classes.select("cls", "n", F.explode("sketch").alias("value"))
+def prefixes(classes: DataFrame) -> DataFrame:
+    """(cls, n, prefix): the values under which a class is listed, its rarest retained ones."""
+    retained = classes.select("cls", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
     shared = retained.groupBy("value").agg(F.count("*").alias("seen")).where("seen > 1")
     ranked = (
         retained.join(shared, "value")
         .groupBy("cls", "n")
         .agg(F.sort_array(F.collect_list(F.struct("seen", "value"))).alias("values"))
     )
-    held = F.least(F.col("n"), F.lit(SKETCH)).cast("int")
+    held = F.least(F.col("n"), F.lit(LISTED)).cast("int")
     # Values that nobody else retains come first in the order of rarity and take up places.
-    places = held - least_shared(F.col("n")) + 1 - (held - F.size("values"))
+    least = least_shared(F.col("n"), LISTED, LISTED_FEWEST)
+    places = held - least + 1 - (held - F.size("values"))
+    chosen = F.transform(F.slice("values", 1, places), lambda v: v["value"])
+    return ranked.where(places > 0).select("cls", "n", chosen.alias("prefix"))
+
+
+def inverted_lists(listed: DataFrame) -> DataFrame:
+    """(value, band, cls, n, native): classes under each value of their prefix, in bands of size.
+
+    A class stands in its own band and, as a visitor, in the next, so that linked classes meet in
+    the band of the larger one.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
-    listed = (
-        ranked.where(places > 0)
-        .select("cls", "n", band.alias("own"), F.explode(F.slice("values", 1, places)).alias("v"))
-        .select("cls", "n", "own", F.col("v.value").alias("value"))
-    )
+    listed = listed.select("cls", "n", band.alias("own"), F.explode("prefix").alias("value"))
     return listed.select(
         "value", "cls", "n",
         F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("native")),
@@ -262,49 +271,45 @@ def _open_members(lists: DataFrame, leaders: DataFrame, labels: DataFrame) -> Da
     )
 
 
-def _searched(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _searched(members: DataFrame, sets: DataFrame, listed: DataFrame) -> DataFrame:
     """(a, b, sure): links between components found in blocks, and pairs left to be confirmed."""
     wide = sets.select("cls", F.slice("shingles", 1, WIDE).alias("shingles"))
-    spread = members.join(wide, "cls")
+    spread = members.join(wide, "cls").join(listed.select("cls", "prefix"), "cls")
     keys = ["value", "band", "i", "j"]
     dealt = spread.repartition(*keys).sortWithinPartitions(*keys)
-    return map_batches(dealt, _search_blocks, "a binary, b binary, sure boolean").distinct()
+    return map_batches(dealt, _search_blocks, "a binary, b binary, sure boolean")
 
 
-def _search_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by list and pair of blocks; each run of equal keys is searched."""
+def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Tables of the rows with equal keys, from batches in the order of the keys."""
     key, parts = None, []
-
-    def done() -> Iterator[pa.RecordBatch]:
-        found = _block_pairs(pa.Table.from_batches(parts).combine_chunks(), key[2] == key[3])
-        if found:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*found), (pa.binary(), pa.binary(), pa.bool_()))],
-                names=["a", "b", "sure"],
-            )
-
     for batch in batches:
-        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("value", "band", "i", "j")]
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in keys]
         changes = np.zeros(max(0, batch.num_rows - 1), bool)
         for c in columns:
             changes |= c[1:] != c[:-1]
-        starts = np.concatenate([[0], np.flatnonzero(changes) + 1])
-        ends = np.concatenate([starts[1:], [batch.num_rows]])
-        for start, end in zip(starts.tolist(), ends.tolist()):
-            if start == end:
-                continue
-            here = tuple(int(c[start]) for c in columns)
+        starts = [0, *(np.flatnonzero(changes) + 1).tolist()] if batch.num_rows else []
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            here = tuple(c[start] for c in columns)
             if here != key and parts:
-                yield from done()
+                yield key, pa.Table.from_batches(parts).combine_chunks()
                 parts = []
             key = here
             parts.append(batch.slice(start, end - start))
     if parts:
-        yield from done()
+        yield key, pa.Table.from_batches(parts).combine_chunks()
 
 
-def _block_pairs(rows: pa.Table, same_block: bool) -> list[tuple[bytes, bytes, bool]]:
-    """Links of different components, at least one native, of fitting size.
+def _search_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for (value, _, i, j), rows in _runs(batches, ("value", "band", "i", "j")):
+        if found := _block_pairs(rows, value, i == j):
+            kinds = (pa.binary(), pa.binary(), pa.bool_())
+            columns = [pa.array(c, k) for c, k in zip(zip(*found), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "sure"])
+
+
+def _block_pairs(rows: pa.Table, value: int, same_block: bool) -> list[tuple[bytes, bytes, bool]]:
+    """Links of different components, at least one native, of fitting size, not met in another list.
 
     Of links between whole sets only as many are returned as it takes to connect the components.
     """
@@ -314,10 +319,13 @@ def _block_pairs(rows: pa.Table, same_block: bool) -> list[tuple[bytes, bytes, b
     cls, n = rows.column("cls").to_pylist(), rows.column("n").to_numpy()
     comp = np.unique(comps, return_inverse=True)[1]
     native, mine = np.array(rows.column("native").to_pylist()), rows.column("mine").to_numpy()
-    shingles = rows.column("shingles").combine_chunks()
-    sizes = np.diff(shingles.offsets.to_numpy())
-    shared = _shared(shingles.flatten().to_numpy(), sizes)
-    ok = (comp[:, None] != comp[None]) & (native[:, None] | native[None])
+    shared = _shared(*_flat(rows.column("shingles")))
+    prefix, lengths = _flat(rows.column("prefix"))
+    # Members with a smaller common value of their prefixes meet in the list of that value.
+    earlier = prefix < value
+    owner = np.repeat(np.arange(len(rows)), lengths)[earlier]
+    ok = _shared(prefix[earlier], np.bincount(owner, minlength=len(rows))) == 0
+    ok &= (comp[:, None] != comp[None]) & (native[:, None] | native[None])
     ok &= 100 * np.minimum(n[:, None], n[None]) >= 80 * np.maximum(n[:, None], n[None])
     if not same_block:
         ok &= mine[:, None] != mine[None]
@@ -327,24 +335,40 @@ def _block_pairs(rows: pa.Table, same_block: bool) -> list[tuple[bytes, bytes, b
     # At most n / 4 shingles of the union are not shared by a linked pair.
     least = np.maximum(WIDE_FEWEST, WIDE - np.maximum(n[:, None], n[None]) / 4)
     likely = ok & ~whole & (shared >= np.minimum(least, 0.8 * np.maximum(n[:, None], n[None])))
-    parent = list(range(int(comp.max()) + 1))
-
-    def top(c: int) -> int:
-        while parent[c] != c:
-            parent[c] = parent[parent[c]]
-            c = parent[c]
-        return c
-
-    found = []
+    find, found = _Forest(), []
     for x, y in zip(*np.nonzero(linked)):
-        a, b = top(comp[x]), top(comp[y])
-        if a != b:
-            parent[a] = b
+        if find.join(comp[x], comp[y]):
             found.append((*sorted((cls[x], cls[y])), True))
     found += [(*sorted((cls[x], cls[y])), False) for x, y in zip(*np.nonzero(likely))]
     return found
 
 
+class _Forest:
+    """Sets of things that have been joined."""
+
+    def __init__(self):
+        self.parent: dict = {}
+
+    def top(self, c):
+        path = [c]
+        while (up := self.parent.get(path[-1], path[-1])) != path[-1]:
+            path.append(up)
+        self.parent.update(dict.fromkeys(path, path[-1]))
+        return path[-1]
+
+    def join(self, a, b) -> bool:
+        """Whether the two were apart until now."""
+        a, b = self.top(a), self.top(b)
+        self.parent[a] = b
+        return a != b
+
+
+def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a list column, and the length of each list."""
+    lists = lists.combine_chunks()
+    return lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+
+
 def _shared(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """How many values each two of the sets have in common."""
     _, at, seen = np.unique(values, return_inverse=True, return_counts=True)
@@ -364,6 +388,52 @@ def _shared(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return shared
 
 
+def _settled(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """As many of the pairs that are linked on full sets as it takes to connect what they connect.
+
+    The pairs of a group that hangs together are tested in one place, or in pairs of blocks if it is
+    large, so that a full set is sent to each of these once and not with every pair.
+    """
+    labels = staged(components(pairs), "groups")
+    blocks = labels.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    block = lambda c: F.pmod(F.xxhash64(c, F.lit(6)), F.col("blocks")).cast("int")
+    placed = staged(
+        pairs.join(labels.toDF("a", "comp"), "a").join(blocks, "comp")
+        .withColumns({"x": block("a"), "y": block("b")})
+        .select("comp", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "a", "b"),
+        "placed",
+    )
+    keys = ["comp", "i", "j"]
+    ends = placed.select(*keys, F.explode(F.array("a", "b")).alias("cls")).distinct()
+    with_sets = ends.join(sets, "cls").select(
+        *keys, F.lit(0).alias("kind"), F.col("cls").alias("a"), F.lit(None).cast("binary").alias("b"), "shingles"
+    )
+    asked = placed.select(*keys, F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("array<bigint>").alias("shingles"))
+    dealt = with_sets.unionByName(asked).repartition(*keys).sortWithinPartitions(*keys, "kind")
+    return map_batches(dealt, _test_pairs, "a binary, b binary")
+
+
+def _test_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, rows in _runs(batches, ("comp", "i", "j")):
+        kind = rows.column("kind").to_numpy()
+        own = rows.slice(0, int((kind == 0).sum()))
+        values, sizes = _flat(own.column("shingles"))
+        sets = dict(zip(own.column("a").to_pylist(), np.split(values, np.cumsum(sizes)[:-1])))
+        asked = rows.slice(len(own))
+        find, found = _Forest(), []
+        for a, b in zip(asked.column("a").to_pylist(), asked.column("b").to_pylist()):
+            if find.top(a) == find.top(b):
+                continue
+            x, y = sets[a], sets[b]
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * common >= 80 * (len(x) + len(y) - common):
+                find.join(a, b)
+                found.append((a, b))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"]
+        )
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) of every row of ``documents``.
 
@@ -389,7 +459,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    lists = staged(inverted_lists(classes), "lists")
+    listed = staged(prefixes(classes), "prefixes")
+    lists = staged(inverted_lists(listed), "lists")
     leaders = staged(_leaders(lists), "leaders")
     first = staged(_plausible(_leader_pairs(lists, leaders), classes), "pairs")
     ends = first.select(F.explode(F.array("a", "b")).alias("cls"))
@@ -398,9 +469,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     members = staged(_open_members(lists, leaders, labels), "members")
     if not members.isEmpty():
         full = _full_sets(members.select("cls"), classes, documents)
-        found = staged(_searched(members, full), "found")
-        unsure = found.where("NOT sure").select("a", "b")
-        more = [found.where("sure").select("a", "b"), _confirmed(unsure, full)]
+        found = staged(_searched(members, full, listed), "found")
+        more = [found.where("sure").select("a", "b")]
+        unsure = staged(found.where("NOT sure").select("a", "b").distinct(), "unsure")
+        if not unsure.isEmpty():
+            more.append(_settled(unsure, full))
         labels = components(reduce(DataFrame.union, [edges, *more]))
     of_class = staged(
         _with_component(classes.select("cls", "first_id"), labels).select("cls", "first_id", "comp"), "members"
