@@ -33,10 +33,6 @@ def blank_to_null(c: Column) -> Column:
     return F.when(strip(c) != "", c)
 
 
-def truncated(c: Column, limit: int = DETAILS_LIMIT) -> Column:
-    return F.substring(c, 1, limit)
-
-
 def percent(part: Column, whole: Column) -> Column:
     """``part`` in percent of ``whole``; NULL when the whole is zero."""
     return F.try_divide(part.cast("double"), whole.cast("double")) * 100

@@ -1,4 +1,4 @@
-"""Compaction of small data files and search for files nobody refers to."""
+"""Compaction of small data files and removal of what failed jobs have left behind."""
 
 from __future__ import annotations
 
@@ -77,19 +77,23 @@ def compact(
     return Compaction(before, data_files(spark, path).count(), rewritten)
 
 
-def orphan_files(
-    spark: SparkSession,
-    path: str,
-    referenced: DataFrame,
-    now: dt.datetime,
-    retention_days: int = RETENTION_DAYS,
+def leftover_files(
+    spark: SparkSession, path: str, now: dt.datetime, retention_days: int = RETENTION_DAYS
 ) -> DataFrame:
-    """Files below ``path`` that ``referenced`` (column ``path``) lacks and that are old enough."""
-    cutoff = now - dt.timedelta(days=retention_days)
-    old = data_files(spark, path).where(F.col("modified_at") < F.lit(cutoff).cast("timestamp"))
-    return old.join(referenced.select("path"), "path", "left_anti").select(
-        "path", "size", "modified_at"
-    )
+    """``path, size, modified_at`` of old files in the hidden folders of a table.
+
+    Failed jobs leave such folders (``_temporary``, staging folders) behind; no reader sees them, so
+    nothing refers to their files. Files younger than the retention may belong to a running job.
+    """
+    cutoff = int((now - dt.timedelta(days=retention_days)).timestamp() * 1000)
+    found = [
+        (name, size, dt.datetime.fromtimestamp(changed / 1000, dt.timezone.utc))
+        for folder in paths.children(spark, path)
+        if folder.rsplit("/", 1)[1][:1] in "._" and "=" not in folder.rsplit("/", 1)[1]
+        for name, size, changed in paths.files_below(spark, folder)
+        if changed < cutoff
+    ]
+    return spark.createDataFrame(found, "path string, size bigint, modified_at timestamp")
 
 
 def remove_files(spark: SparkSession, files: DataFrame) -> int:

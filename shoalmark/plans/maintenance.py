@@ -1,4 +1,4 @@
-"""Maintenance of all tables: compaction, expiry of versions, orphan files."""
+"""Maintenance of all tables: compaction, expiry of versions, leftovers of failed jobs."""
 
 from __future__ import annotations
 
@@ -9,28 +9,35 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
+from ..functions.text import ERROR_LIMIT
 from ..operators import maintain, metadata, versions
+from ..sources import catalog
 from ..sources.filemeta import data_files
 
 log = logging.getLogger(__name__)
 
 TABLES_AT_ONCE = 4
-COMPLETED, ERROR = "completed", "error"
+# Status words and operations of the log.
+COMPLETED, ERROR, SKIPPED = "completed", "error", "skipped"
 OPTIMIZE, EXPIRE, ORPHANS = "optimize", "expire_snapshots", "remove_orphan_files"
 
 
+class Skipped(Exception):
+    """The operation does not apply to the table."""
+
+
 @dataclass(frozen=True)
 class Table:
-    """A maintained table. ``key`` marks a change log; ``manifest`` lists its referenced files."""
+    """A maintained table. ``key`` marks a change log."""
 
     name: str
     path: str
     partitions: tuple[str, ...] = ()
     key: str | None = None
-    manifest: DataFrame | None = None
 
 
 def _figures(spark: SparkSession, table: Table) -> tuple[int, int]:
@@ -51,19 +58,27 @@ def _operations(
 
     def expire() -> str:
         if table.key is None:
-            return "no version history"
+            raise Skipped("no version history")
         return f"{versions.expire(spark, table.path, table.key, cutoff)} version(s) expired"
 
     def orphans() -> str:
-        if table.manifest is None:
-            return "no manifest"
-        found = maintain.orphan_files(spark, table.path, table.manifest, now, days)
+        found = maintain.leftover_files(spark, table.path, now, days)
         return f"{maintain.remove_files(spark, found)} orphan file(s) removed"
 
-    # Files written by the first two steps are not in the manifest, but too young to be orphans.
     return {OPTIMIZE: optimize, EXPIRE: expire, ORPHANS: orphans}
 
 
+def user_tables(spark: SparkSession, database: str) -> list[Table]:
+    """The user tables of a database; the table property ``history.key`` marks a change log."""
+    found = []
+    for name in catalog.user_tables(spark, database):
+        full = f"`{database}`.`{name}`"
+        path, properties = catalog.place(spark, full), catalog.properties(spark, full)
+        parts = [c.name for c in spark.catalog.listColumns(full) if c.isPartition]
+        found.append(Table(name, path, tuple(parts), properties.get("history.key")))
+    return found
+
+
 def maintain_table(
     spark: SparkSession,
     table: Table,
@@ -79,9 +94,11 @@ def maintain_table(
         status, details = COMPLETED, ""
         try:
             details = operation()
-        except (PySparkException, OSError, ValueError) as problem:
+        except Skipped as reason:
+            status, details = SKIPPED, str(reason)
+        except (PySparkException, Py4JJavaError, OSError, ValueError) as problem:
             log.warning("%s on %s failed: %s", name, table.name, problem)
-            status, details = ERROR, str(problem)[:500]
+            status, details = ERROR, str(problem)[:ERROR_LIMIT]
         snapshots_after, files_after = _figures(spark, table)
         records.append(
             {
@@ -103,15 +120,22 @@ def maintain_table(
 def maintain_all(
     spark: SparkSession,
     lake: str,
-    tables: list[Table],
+    tables: list[Table] | str,
     run_id: str,
     now: dt.datetime | None = None,
     days: int = maintain.RETENTION_DAYS,
 ) -> list[dict[str, Any]]:
-    """Maintain user tables (no leading underscore) and log what was done."""
-    wanted = sorted((t for t in tables if not t.name.startswith("_")), key=lambda t: t.name)
+    """Maintain user tables (no leading underscore) and log what was done.
+
+    ``tables`` may be the name of a database. Whatever happens to one table, the records of the
+    others are stored.
+    """
+    known = user_tables(spark, tables) if isinstance(tables, str) else tables
+    wanted = sorted((t for t in known if not t.name.startswith("_")), key=lambda t: t.name)
     with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
         runs = [pool.submit(maintain_table, spark, t, run_id, now, days) for t in wanted]
-    records = [record for run in runs for record in run.result()]
+    records = [record for run in runs if run.exception() is None for record in run.result()]
     metadata.append(spark, lake, metadata.MAINTENANCE_LOG, records)
+    for run in runs:
+        run.result()
     return records

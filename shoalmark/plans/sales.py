@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-SALES = "sales"
 KEY, DAY = "order_id", "ingestion_date"
 
 # Columns as they come in the source file.
@@ -19,15 +18,9 @@ SOURCE_SCHEMA = T.StructType(
 )
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the folder. Its file footers are read for the schema once per process."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A table of the folder."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def sales_view(spark: SparkSession, folder: str) -> DataFrame:

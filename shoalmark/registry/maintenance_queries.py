@@ -1,4 +1,4 @@
-"""Compaction, orphan files, file figures and the maintenance log."""
+"""Compaction, leftovers, file figures and the maintenance log."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from ..operators import maintain
 from ..plans.maintenance import Table, maintain_all
 from ..operators import versions
 from ..session import scratch_path, staged
-from ..sources.filemeta import data_files, file_stats
+from ..sources.filemeta import file_stats
 from ..sources.listing import decoded_path
 from .common import load, plain
 
@@ -43,18 +43,17 @@ def compact_small_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orphan_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows in files that the list of referenced files does not have: all but the first write."""
+    """Rows in the files that a failed write has left in a hidden folder of the table."""
     path = scratch_path(spark, "orphans")
     rows = _orders(spark, folder)
     rows.where(f"{STATUS} = 'F'").write.parquet(path)
-    known = staged(data_files(spark, path).select("path"), "manifest")
-    rows.where(f"{STATUS} <> 'F'").write.mode("append").parquet(path)
+    attempt = f"{path}/_temporary/0/task_0"
+    rows.where(f"{STATUS} <> 'F'").write.parquet(attempt)
     later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=30)
-    orphans = maintain.orphan_files(spark, path, known, later)
-    content = spark.read.parquet(path).withColumn(
-        "path", decoded_path(F.col("_metadata.file_path"))
-    )
-    return content.join(orphans.select("path"), "path").drop("path")
+    found = staged(maintain.leftover_files(spark, path, later), "leftovers")
+    content = spark.read.parquet(attempt).withColumn("path", decoded_path(F.col("_metadata.file_path")))
+    kept = content.join(found.select("path"), "path").select(*rows.columns)
+    return kept
 
 
 def stats(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,6 +132,7 @@ strftime(MAX(o_orderdate), '%Y-%m-%d %H:%M:%S.%f') AS executed_at
 FROM orders GROUP BY ALL""",
     "maintenance_run": """WITH n AS (SELECT 'orders' AS table_name, COUNT(*) AS rows FROM orders
 UNION ALL SELECT 'history', COUNT(*) FILTER (WHERE o_orderpriority <> '5-LOW') FROM orders)
-SELECT table_name, operation, 'completed' AS status, rows FROM n
+SELECT table_name, operation, CASE WHEN table_name = 'orders' AND operation = 'expire_snapshots'
+  THEN 'skipped' ELSE 'completed' END AS status, rows FROM n
 CROSS JOIN (VALUES ('optimize'), ('expire_snapshots'), ('remove_orphan_files')) AS o(operation)""",
 }

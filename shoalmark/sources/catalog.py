@@ -48,6 +48,16 @@ def user_tables(spark: SparkSession, database: str) -> list[str]:
     return sorted(n for n in names if not n.startswith("_"))
 
 
+def place(spark: SparkSession, table: str) -> str:
+    """The folder of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[-1]["data_type"]
+
+
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def read_path(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet at a path. With a schema, columns that older files lack read as NULL."""
     reader = spark.read.schema(schema) if schema is not None else spark.read

@@ -29,6 +29,18 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().toString() for status in fs.listStatus(jpath)]
 
 
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of change (milliseconds) of all files in a folder and its subfolders."""
+    fs, jpath = _client(spark, path)
+    if not fs.getFileStatus(jpath).isDirectory():
+        return []
+    found, files = [], fs.listFiles(jpath, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return found
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, jpath = _client(spark, path)
     return fs.delete(jpath, True)

@@ -104,17 +104,30 @@ def test_interrupted_upsert_leaves_no_row_twice(spark, path, monkeypatch, at):
     assert got == [(1, "a", 1), (2, "a", 1), (3, "a", 2)]
 
 
-def test_orphans(spark, path):
+def test_leftovers_of_failed_jobs(spark, path):
     tiny_files(spark, path, 3)
-    files = sorted(r["path"] for r in data_files(spark, path).collect())
-    known = spark.createDataFrame([(files[0],)], "path string")
-    old = dt.datetime(2020, 1, 1, tzinfo=UTC).timestamp()
-    os.utime(files[1].removeprefix("file:"), (old, old))
+    for name in ("_temporary/0/a", ".staging"):
+        spark.range(3).coalesce(1).write.parquet(f"{path}/{name}")
     now = dt.datetime.now(UTC)
-    found = maintain.orphan_files(spark, path, known, now)
-    assert [r["path"] for r in found.collect()] == [files[1]]
-    assert maintain.remove_files(spark, found) == 1
-    assert file_count(spark, path) == 2
+    assert maintain.leftover_files(spark, path, now).count() == 0
+    found = maintain.leftover_files(spark, path, now + dt.timedelta(days=8))
+    assert found.where("path LIKE '%.parquet'").count() == 2
+    assert maintain.remove_files(spark, found) == found.count()
+    assert file_count(spark, path) == 3
+
+
+def test_tables_are_found_in_the_catalog(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE kept_db LOCATION '{tmp_path}/db'")
+    spark.range(30).selectExpr("id", "id % 2 AS p").repartition(6).write.partitionBy("p").saveAsTable("kept_db.plain")
+    spark.range(3).write.saveAsTable("kept_db._own")
+    records = maintain_all(spark, str(tmp_path / "lake"), "kept_db", "run-1")
+    assert [(r["table_name"], r["operation"], r["status"]) for r in records] == [
+        ("plain", "optimize", "completed"),
+        ("plain", "expire_snapshots", "skipped"),
+        ("plain", "remove_orphan_files", "completed"),
+    ]
+    assert spark.table("kept_db.plain").count() == 30
+    spark.sql("DROP DATABASE kept_db CASCADE")
 
 
 def test_file_figures(spark, path):
@@ -139,7 +152,7 @@ def test_maintenance_run(spark, tmp_path):
     tables = [
         Table("plain", f"{base}/plain"),
         Table("log", f"{base}/log", ("batch_id",), "k"),
-        Table("broken", f"{base}/broken", manifest=spark.createDataFrame([], "other string")),
+        Table("broken", f"{base}/broken", ("no_such_column",)),
         Table("_hidden", f"{base}/none"),
     ]
     tiny_files(spark, f"{base}/broken", 2)
@@ -150,8 +163,8 @@ def test_maintenance_run(spark, tmp_path):
     assert by["plain", "optimize"]["files_after"] == 1
     assert by["log", "expire_snapshots"]["snapshots_before"] == 2
     assert by["log", "expire_snapshots"]["snapshots_after"] == 1
-    assert by["broken", "remove_orphan_files"]["status"] == "error"
-    assert by["broken", "optimize"]["status"] == "completed"
+    assert by["broken", "optimize"]["status"] == "error"
+    assert by["broken", "remove_orphan_files"]["status"] == "completed"
     effect = maintain.log_effect(metadata.read(spark, base, metadata.MAINTENANCE_LOG)).collect()
     assert {r["files_removed"] for r in effect if r["table_name"] == "plain"} == {4, 0}
 
