@@ -16,7 +16,8 @@ from ..operators.typed_load import rejected_cells, typed_rows
 from ..plans.autoingest import Options, ingest_folder
 from ..session import scratch_path, staged
 from ..sources.delimiter import fingerprint
-from ..sources.listing import list_csv
+from ..sources.listing import list_csv, list_files
+from ..sources.paths import move, remove
 from .common import load, plain
 
 BUCKETS = 16
@@ -169,6 +170,83 @@ def replace_source(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).drop(SOURCE_BUCKET)
 
 
+def replace_source_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """The sources of a table come again, one after the other, each time with other buckets."""
+    path = scratch_path(spark, "table")
+    rows = load(spark, folder, "orders").select(
+        "o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("_source_file")
+    )
+    schema = table_schema(rows.schema)
+    sources = rows.select("_source_file").distinct()
+    replace_by_source(spark, path, schema, rows, sources, BUCKETS)
+    dearer = rows.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    replace_by_source(spark, path, schema, dearer, sources, 4 * BUCKETS)
+    low = F.col("_source_file") == "5-LOW"
+    replace_by_source(spark, path, schema, rows.where(low), sources.where(low), 1)
+    return spark.read.schema(schema).parquet(path).drop(SOURCE_BUCKET)
+
+
+WIDE = [f"column_{n:04d}_{'x' * 34}" for n in range(200)]
+
+
+def autoingest_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """A header of more than 8192 characters, and one with line breaks inside its cells."""
+    root, lake, opts = _lake(spark)
+    supplier = load(spark, folder, "supplier")
+    key = F.col("s_suppkey")
+    wide = supplier.select(*[(key + n + 2).cast("string").alias(c) for n, c in enumerate(WIDE)])
+    _write_csv(wide, f"{root}/wide")
+    names = {"s_suppkey": "key\nof it", "s_name": "name", "s_acctbal": 'the "balance"\nin\nmoney'}
+    broken = supplier.select(*[F.col(c).cast("string").alias(n) for c, n in names.items()])
+    broken.write.options(header=True, sep=";", escape='"').csv(f"{root}/broken")
+    ingest_folder(spark, root, lake, "run-1", opts)
+    one = spark.table(f"{opts.database}.wide").agg(
+        F.lit("wide").alias("table_name"), F.count("*").alias("rows"),
+        F.sum(WIDE[0]).alias("first"), F.sum(WIDE[-1]).cast("double").alias("last"),
+    )
+    two = spark.table(f"{opts.database}.broken").agg(
+        F.lit("broken").alias("table_name"), F.count("*").alias("rows"),
+        F.sum("key_of_it").alias("first"),
+        F.sum(F.col("the_balance_in_money").cast("decimal(18,2)")).cast("double").alias("last"),
+    )
+    return one.unionByName(two)
+
+
+def autoingest_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """One file of many is broken, is tried again after repair, and another changes its content."""
+    root, lake, opts = _lake(spark)
+    orders = _as_text(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    for n in range(1, 6):
+        part = orders.where(F.col("o_orderpriority").startswith(str(n)))
+        _write_csv(part.coalesce(1), f"{root}/orders/p{n}")
+    spark.createDataFrame([("",)], "value string").coalesce(1).write.text(f"{root}/orders/bad")
+    for file in list_files(spark, f"{root}/orders/bad", "*.txt").select("path").collect():
+        move(spark, file["path"], f"{root}/orders/bad/f.csv")
+    ingest_folder(spark, root, lake, "run-1", opts)
+    remove(spark, f"{root}/orders/bad")
+    extra = orders.where("o_orderpriority = '5-LOW'").withColumn("o_orderkey", F.lit("7"))
+    _write_csv(extra.coalesce(1), f"{root}/orders/bad")
+    for file in list_files(spark, f"{root}/orders/bad", "*.csv").select("path").collect():
+        move(spark, file["path"], f"{root}/orders/bad/f.csv")
+    changed = list_files(spark, f"{root}/orders/p1", "*.csv").first()["path"]
+    remove(spark, f"{root}/orders/p1")
+    _write_csv(orders.where("o_orderpriority = '1-URGENT' AND o_orderkey % 2 = 0").coalesce(1), f"{root}/orders/p1")
+    for file in list_files(spark, f"{root}/orders/p1", "*.csv").select("path").collect():
+        move(spark, file["path"], changed)
+    ingest_folder(spark, root, lake, "run-2", opts)
+    tally = (
+        metadata.read(spark, lake, metadata.REGISTRY).groupBy("run_id", "status")
+        .agg(F.count("*").alias("files"), F.sum("row_count").alias("loaded"))
+    )
+    table = spark.table(f"{opts.database}.orders").agg(
+        F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum")
+    )
+    figures = table.first()
+    return tally.select(
+        "*", F.lit(figures["rows"]).alias("rows"), F.lit(figures["key_sum"]).alias("key_sum")
+    )
+
+
 def _lake(spark: SparkSession) -> tuple[str, str, Options]:
     base = scratch_path(spark, "lake")
     database = f"drops_{uuid.uuid4().hex[:10]}"
@@ -238,6 +316,9 @@ QUERIES = {
     "detect_delimiter": detect_delimiter,
     "new_files_antijoin": new_files,
     "replace_by_source": replace_source,
+    "replace_by_source_twice": replace_source_twice,
+    "autoingest_wide": autoingest_wide,
+    "autoingest_failures": autoingest_failures,
     "autoingest_dir": autoingest,
     "evolve_add_column": evolve_add_column,
     "evolve_reconcile": evolve_reconcile,
@@ -281,6 +362,23 @@ SELECT o_orderkey AS id,
 FROM orders"""
 
 ORACLES = {
+    "replace_by_source_twice": """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice ELSE o_totalprice + 1 END
+  AS o_totalprice, o_orderpriority AS _source_file FROM orders""",
+    "autoingest_wide": """
+SELECT 'wide' AS table_name, COUNT(*) AS rows, CAST(SUM(s_suppkey + 2) AS BIGINT) AS first,
+  CAST(SUM(s_suppkey + 201) AS DOUBLE) AS last FROM supplier
+UNION ALL SELECT 'broken', COUNT(*), CAST(SUM(s_suppkey) AS BIGINT),
+  CAST(SUM(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) FROM supplier""",
+    "autoingest_failures": """
+WITH t AS (SELECT o_orderkey AS k FROM orders WHERE o_orderpriority <> '1-URGENT' OR o_orderkey % 2 = 0
+  UNION ALL SELECT 7 FROM orders WHERE o_orderpriority = '5-LOW'),
+f AS (SELECT COUNT(*) AS rows, CAST(SUM(k) AS BIGINT) AS key_sum FROM t)
+SELECT 'run-1' AS run_id, 'success' AS status, CAST(5 AS BIGINT) AS files, COUNT(*) AS loaded,
+  any_value(rows) AS rows, any_value(key_sum) AS key_sum FROM orders, f
+UNION ALL SELECT 'run-1', 'failed', 1, 0, rows, key_sum FROM f
+UNION ALL SELECT 'run-2', 'success', 2, COUNT(*), any_value(rows), any_value(key_sum) FROM orders, f
+  WHERE o_orderpriority = '5-LOW' OR (o_orderpriority = '1-URGENT' AND o_orderkey % 2 = 0)""",
     "sanitise_names": """
 WITH raw AS (SELECT url FROM pages UNION ALL
   SELECT p_size || ' ' || p_name || ' # ' || p_brand FROM part),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import metadata, quality
 from ..operators.quality import SALES_SUITE, Check
+from ..plans.quality_run import run_gate
+from ..session import scratch_path
 from .common import SALES_CTE, load, plain, sales_view
 
 PRICES = {"min_value": 0.01, "max_value": 100000.0}
@@ -126,6 +128,26 @@ def newest_results(spark: SparkSession, folder: str) -> DataFrame:
     return plain(metadata.newest(_history(spark, folder), "executed_at", 20, "check_name"))
 
 
+def run_and_store(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole run: two checks of one name on two tables, stored, read back, then the gate."""
+    lake = scratch_path(spark, "quality")
+    checks = [
+        Check("is_set", "not_null", "gaps", "priority"),
+        Check("is_set", "not_null", "orders", "o_custkey"),
+        Check("unknown", "no_such_type", "orders", "o_custkey"),
+    ]
+    try:
+        run_gate(spark, lake, checks, _tables(spark, folder), "run-1")
+        passed = True
+    except quality.QualityGateError:
+        passed = False
+    stored = metadata.read(spark, lake, metadata.QUALITY_RESULTS)
+    return stored.select(
+        "check_name", "table_name", "status", "failing_rows", "total_rows", "run_id",
+        F.lit(passed).alias("gate"),
+    )
+
+
 QUERIES = {
     "dq_uniqueness": UNIQUENESS,
     "dq_not_null": NOT_NULL,
@@ -140,6 +162,7 @@ QUERIES = {
     "dq_gate_summary": gate_summary,
     "dq_failure_trend": failure_trend,
     "dq_newest_results": newest_results,
+    "dq_run_and_store": run_and_store,
 }
 
 
@@ -223,6 +246,12 @@ SELECT country || '_amount' AS check_name,
 FROM sales GROUP BY ingestion_date, country)"""
 
 ORACLES = {
+    "dq_run_and_store": """
+SELECT 'is_set' AS check_name, 'gaps' AS table_name, 'failed' AS status,
+  COUNT(*) FILTER (WHERE o_orderpriority = '5-LOW') AS failing_rows, COUNT(*) AS total_rows,
+  'run-1' AS run_id, FALSE AS gate FROM orders
+UNION ALL SELECT 'is_set', 'orders', 'passed', 0, COUNT(*), 'run-1', FALSE FROM orders
+UNION ALL SELECT 'unknown', 'orders', 'error', 0, 0, 'run-1', FALSE""",
     "dq_uniqueness": _unique("orders_unique", "orders", "o_orderkey", "orders")
     + " UNION ALL "
     + _unique("lines_unique", "lineitem", "l_orderkey", "lineitem"),

@@ -65,15 +65,25 @@ def _first_lines(spark: SparkSession, paths: list[str], kinds: DataFrame) -> Dat
     return _lines(spark, paths).where("block = 0").join(firsts, ["path", "line_no"]).select("path", "value")
 
 
+def _open_quote(text: str) -> Column:
+    """Whether a line break lies inside a field."""
+    return _occurrences(F.col(text), '"') % 2 == 1
+
+
 def _agreeing(name: str, wanted: str) -> Column:
-    return F.sum(F.when((F.col(wanted) > 0) & (F.col(name) == F.col(wanted)), F.col("n")).otherwise(0))
+    """Lines that hold a delimiter as often as the first; at all, if that ends inside a field."""
+    same = F.when(_open_quote("value"), F.col(name) > 0).otherwise(
+        (F.col(wanted) > 0) & (F.col(name) == F.col(wanted))
+    )
+    return F.sum(F.when(same, F.col("n")).otherwise(0))
 
 
 def _with_delimiter(kinds: DataFrame, firsts: DataFrame) -> DataFrame:
     """``path, etag, delimiter, header, multi_line``.
 
     A delimiter scores the lines that hold it as often as the first line does, quoted text left out,
-    provided that the first line holds it at all. The best score wins, a tie goes to the order of
+    provided that the first line holds it at all; where the first line ends inside a quoted field, it
+    scores the lines that hold it. The best score wins, a tie goes to the order of
     ``DELIMITERS``. At least half of the lines have to agree, otherwise the fallback is used. The
     tag is that of the lines as a set with repetition and of the header.
     """
@@ -112,10 +122,9 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> Iterator[DataFrame]:
 
 def _whole_headers(spark: SparkSession, found: DataFrame) -> DataFrame:
     """A header whose first line leaves a quote open goes on; these few are read as records."""
-    open_quote = _occurrences(F.col("header"), '"') % 2 == 1
     headers = [
         (r["path"], header_record(spark, r["path"], r["delimiter"]))
-        for r in found.where(open_quote).select("path", "delimiter").collect()
+        for r in found.where(_open_quote("header")).select("path", "delimiter").collect()
     ]
     if not headers:
         return found
