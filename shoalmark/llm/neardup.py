@@ -36,6 +36,8 @@ SKETCH, FEWEST, BLOCK = 64, 32, 1024
 LISTED, LISTED_FEWEST = 32, 12
 #: Shingles that are compared at once inside a block, and how many of them a link shares at least.
 WIDE, WIDE_FEWEST, _COLUMNS = 256, 158, 4096
+#: Ids, of some 40 bytes, that are sent to all readers of texts; more are joined by a shuffle.
+_SENT_IDS = 500_000
 _ROUNDS = 60
 
 
@@ -185,13 +187,31 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _full_sets(wanted: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
-    """(cls, shingles): the full sets of the distinct classes in ``wanted``."""
-    ids = classes.select(F.col("cls").alias("wanted"), "first_id").join(
-        wanted.select(F.col("cls").alias("wanted")).distinct(), "wanted"
+    """(cls, shingles): the full sets of the distinct classes in ``wanted``.
+
+    A class comes more than once only if the row it is read from does, at most once for each task.
+    """
+    ids = staged(
+        classes.select(F.col("cls").alias("wanted"), "first_id").join(
+            wanted.select(F.col("cls").alias("wanted")).distinct(), "wanted"
+        ),
+        "ids",
     )
+    if ids.count() <= _SENT_IDS:
+        ids = F.broadcast(ids)
     met = documents.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")))
     made = _with_sets(met.select("wanted", "text"), True).where("cls = wanted")
-    return staged(made.dropDuplicates(["cls"]).select("cls", "shingles"), "sets")
+    return staged(map_batches(made.select("cls", "shingles"), _first_of_each, "cls binary, shingles array<bigint>"), "sets")
+
+
+def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: set[bytes] = set()
+    for batch in batches:
+        new = []
+        for cls in batch.column("cls").to_pylist():
+            new.append(cls not in seen)
+            seen.add(cls)
+        yield batch.filter(pa.array(new, pa.bool_()))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -271,13 +291,35 @@ def _open_members(lists: DataFrame, leaders: DataFrame, labels: DataFrame) -> Da
     )
 
 
+def _dealt(spread: DataFrame, *keys: str) -> DataFrame:
+    return spread.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def _with_partner(members: DataFrame, classes: DataFrame, listed: DataFrame) -> DataFrame:
+    """Members that meet, in their pair of blocks, one they may be linked with by the sketches."""
+    sketches = classes.select("cls", F.col("sketch").alias("shingles"))
+    spread = members.join(sketches, "cls").join(listed.select("cls", "prefix"), "cls")
+    kept = members.schema
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.fields)
+    names = kept.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (value, _, i, j), rows in _runs(batches, _KEYS):
+            likely = _candidates(rows, value, i == j, SKETCH, FEWEST)[0]
+            if likely is not None and (met := likely.any(0) | likely.any(1)).any():
+                yield from rows.filter(pa.array(met)).select(names).combine_chunks().to_batches()
+
+    return map_batches(_dealt(spread, *_KEYS), run, schema)
+
+
+_KEYS = ("value", "band", "i", "j")
+
+
 def _searched(members: DataFrame, sets: DataFrame, listed: DataFrame) -> DataFrame:
     """(a, b, sure): links between components found in blocks, and pairs left to be confirmed."""
     wide = sets.select("cls", F.slice("shingles", 1, WIDE).alias("shingles"))
     spread = members.join(wide, "cls").join(listed.select("cls", "prefix"), "cls")
-    keys = ["value", "band", "i", "j"]
-    dealt = spread.repartition(*keys).sortWithinPartitions(*keys)
-    return map_batches(dealt, _search_blocks, "a binary, b binary, sure boolean")
+    return map_batches(_dealt(spread, *_KEYS), _search_blocks, "a binary, b binary, sure boolean")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[tuple, pa.Table]]:
@@ -301,45 +343,55 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[
 
 
 def _search_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (value, _, i, j), rows in _runs(batches, ("value", "band", "i", "j")):
+    for (value, _, i, j), rows in _runs(batches, _KEYS):
         if found := _block_pairs(rows, value, i == j):
             kinds = (pa.binary(), pa.binary(), pa.bool_())
             columns = [pa.array(c, k) for c, k in zip(zip(*found), kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "sure"])
 
 
-def _block_pairs(rows: pa.Table, value: int, same_block: bool) -> list[tuple[bytes, bytes, bool]]:
-    """Links of different components, at least one native, of fitting size, not met in another list.
+def _candidates(rows: pa.Table, value: int, same_block: bool, kept: int, fewest: int) -> tuple:
+    """Pairs of rows that may be linked, the numbers of common values, and the components.
 
-    Of links between whole sets only as many are returned as it takes to connect the components.
+    A pair is of different components, holds a native, is of fitting size, has not met in the list of
+    a smaller common value of the prefixes, and shares enough of the ``kept`` smallest hashes.
     """
     comps = rows.column("comp").to_pylist()
     if len(rows) < 2 or len(set(comps)) < 2:
-        return []
-    cls, n = rows.column("cls").to_pylist(), rows.column("n").to_numpy()
-    comp = np.unique(comps, return_inverse=True)[1]
+        return None, None, None
+    n, comp = rows.column("n").to_numpy(), np.unique(comps, return_inverse=True)[1]
     native, mine = np.array(rows.column("native").to_pylist()), rows.column("mine").to_numpy()
     shared = _shared(*_flat(rows.column("shingles")))
     prefix, lengths = _flat(rows.column("prefix"))
-    # Members with a smaller common value of their prefixes meet in the list of that value.
     earlier = prefix < value
     owner = np.repeat(np.arange(len(rows)), lengths)[earlier]
     ok = _shared(prefix[earlier], np.bincount(owner, minlength=len(rows))) == 0
     ok &= (comp[:, None] != comp[None]) & (native[:, None] | native[None])
-    ok &= 100 * np.minimum(n[:, None], n[None]) >= 80 * np.maximum(n[:, None], n[None])
+    larger = np.maximum(n[:, None], n[None])
+    ok &= 100 * np.minimum(n[:, None], n[None]) >= 80 * larger
     if not same_block:
         ok &= mine[:, None] != mine[None]
-    ok = np.triu(ok, 1)
+    # Of a linked pair, at most n / 4 of the smallest hashes of the union are not shared.
+    least = np.minimum(np.maximum(fewest, kept - larger / 4), 0.8 * larger)
+    return np.triu(ok & (shared >= least), 1), shared, comp
+
+
+def _block_pairs(rows: pa.Table, value: int, same_block: bool) -> list[tuple[bytes, bytes, bool]]:
+    """Links of different components, and pairs that the wide sketches cannot decide.
+
+    Of links between whole sets only as many are returned as it takes to connect the components.
+    """
+    likely, shared, comp = _candidates(rows, value, same_block, WIDE, WIDE_FEWEST)
+    if likely is None:
+        return []
+    cls, n = rows.column("cls").to_pylist(), rows.column("n").to_numpy()
     whole = (n[:, None] <= WIDE) & (n[None] <= WIDE)
-    linked = ok & whole & (100 * shared >= 80 * (n[:, None] + n[None] - shared))
-    # At most n / 4 shingles of the union are not shared by a linked pair.
-    least = np.maximum(WIDE_FEWEST, WIDE - np.maximum(n[:, None], n[None]) / 4)
-    likely = ok & ~whole & (shared >= np.minimum(least, 0.8 * np.maximum(n[:, None], n[None])))
+    linked = likely & whole & (100 * shared >= 80 * (n[:, None] + n[None] - shared))
     find, found = _Forest(), []
     for x, y in zip(*np.nonzero(linked)):
         if find.join(comp[x], comp[y]):
             found.append((*sorted((cls[x], cls[y])), True))
-    found += [(*sorted((cls[x], cls[y])), False) for x, y in zip(*np.nonzero(likely))]
+    found += [(*sorted((cls[x], cls[y])), False) for x, y in zip(*np.nonzero(likely & ~whole))]
     return found
 
 
@@ -467,6 +519,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     edges = staged(_confirmed(first, _full_sets(ends, classes, documents)), "links")
     labels = components(edges)
     members = staged(_open_members(lists, leaders, labels), "members")
+    if not members.isEmpty():
+        members = staged(_with_partner(members, classes, listed), "partners")
     if not members.isEmpty():
         full = _full_sets(members.select("cls"), classes, documents)
         found = staged(_searched(members, full, listed), "found")
