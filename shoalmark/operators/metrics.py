@@ -167,8 +167,8 @@ def held_alerts(
 
     One row per unbroken run of active samples that lasts long enough: ``active_from``,
     ``firing_from`` (hold time later) and ``firing_to`` (last active sample). A run is broken by an
-    inactive sample and by a gap of more than ``max_gap`` seconds. Needs one sample per series and
-    time.
+    inactive sample and by a gap of more than ``max_gap`` seconds. Several samples of a series at one
+    time count as one, active if all of them are.
 
     Runs are formed per chunk. Those that touch neither end of their chunk are complete; of the
     rest each chunk has two at most, and only these are joined along the series.
@@ -181,6 +181,9 @@ def held_alerts(
         micros(samples, time).alias("_t"),
         F.coalesce(active, F.lit(False)).alias("_on"),
     ).withColumn("_chunk", F.floor(F.col("_t") / (chunk * SECOND)))
+    # Dealt out as the windows need it, so that making times unique takes no exchange of its own.
+    dealt = t.repartition(*series, "_chunk")
+    t = dealt.groupBy(*series, "_chunk", "_t").agg(F.bool_and("_on").alias("_on"))
     order = Window.partitionBy(*series, "_chunk").orderBy("_t")
     begins = F.col("_on") & (
         F.lag("_t").over(order).isNull()

@@ -205,3 +205,12 @@ def test_percentiles_without_groups_and_sketch(spark):
     df = spark.range(1, 101).select(F.col("id").alias("v"))
     assert exact_percentiles(df, [], F.col("v"), {"m": 0.5}).first()["m"] == 50
     assert approx_percentiles(df, [], F.col("v"), {"m": 0.5}).first()["m"] == 50
+
+
+def test_equal_times_count_once(spark):
+    at = [dt.datetime(2024, 1, 1, 0, m) for m in range(0, 12)]
+    rows = [("a", t, 1) for t in at] + [("a", at[3], 1), ("a", at[8], 0)]
+    samples = spark.createDataFrame(rows, "s string, t timestamp, v int")
+    for parts in (1, 7):
+        got = metrics.held_alerts(samples.repartition(parts), ["s"], "t", F.col("v") == 1, 300, 300).collect()
+        assert [(r["active_from"], r["firing_to"]) for r in got] == [(at[0], at[7])]
