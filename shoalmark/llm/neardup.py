@@ -38,7 +38,6 @@ LISTED, LISTED_FEWEST = 32, 12
 WIDE, WIDE_FEWEST, _COLUMNS = 256, 158, 4096
 #: Ids, of some 40 bytes, that are sent to all readers of texts; more are joined by a shuffle.
 _SENT_IDS = 500_000
-_ROUNDS = 60
 
 
 def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -225,29 +224,43 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(cls, comp) of all ends of ``edges``: the least key that can be reached.
 
-    Each round takes the least label of the neighbours, then the label of the label; the table is
-    written after each, until nothing changes.
+    In each round every key hooks to its least neighbour. Two keys that hook to each other are the
+    only circle that this can make, and the lesser of them is the least key of its tree; all keys of
+    a tree become that one, and links inside a tree go. A tree has at least two keys, so with every
+    round at most half of the keys go on, in whatever order they are.
     """
-    both = staged(edges.union(edges.select("b", "a")).toDF("cls", "other"), "edges")
-    labels = staged(
-        both.groupBy("cls").agg(F.min("other").alias("o")).select("cls", F.least("cls", "o").alias("comp")),
-        "labels",
-    )
-    for _ in range(_ROUNDS):
-        near = both.join(labels.toDF("other", "comp"), "other").groupBy("cls").agg(F.min("comp").alias("m"))
-        step = labels.join(near, "cls").select("cls", "comp", F.least("comp", "m").alias("next"))
-        up = labels.toDF("next", "above")
+    links = staged(edges.select("a", "b"), "edges")
+    labels = None
+    while not links.isEmpty():
+        roots = _rooted(links)
+        if labels is None:
+            labels = roots
+        else:
+            above = roots.toDF("comp", "root")
+            moved = labels.join(above, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp"))
+            labels = staged(moved, "labels")
+        ends = links.join(roots.toDF("a", "x"), "a").join(roots.toDF("b", "y"), "b").where("x != y")
+        links = staged(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+    return links.toDF("cls", "comp") if labels is None else labels
+
+
+def _rooted(links: DataFrame) -> DataFrame:
+    """(cls, comp) of all ends of ``links``: the root of the tree that a key hooks into."""
+    both = links.union(links.select("b", "a")).toDF("cls", "up")
+    hooked = staged(both.groupBy("cls").agg(F.min("up").alias("up")), "hooked")
+    above = hooked.toDF("up", "top")
+    root = (F.col("top") == F.col("cls")) & (F.col("cls") <= F.col("up"))
+    tree = staged(hooked.join(above, "up").select("cls", F.when(root, F.col("cls")).otherwise(F.col("up")).alias("comp")), "tree")
+    while True:
+        # The way to the root is halved each time.
+        above = tree.toDF("comp", "top")
         moved = staged(
-            step.join(up, "next").select(
-                "cls", F.least("next", "above").alias("comp"),
-                (F.least("next", "above") != F.col("comp")).alias("changed"),
-            ),
-            "labels",
-        )
-        labels = moved.select("cls", "comp")
+            tree.join(above, "comp").select("cls", F.col("top").alias("comp"), (F.col("top") != F.col("comp")).alias("changed")),
+            "tree",
+        )
+        tree = moved.select("cls", "comp")
         if moved.where("changed").isEmpty():
-            return labels
-    raise RuntimeError("components did not settle")
+            return tree
 
 
 def _with_component(df: DataFrame, labels: DataFrame) -> DataFrame:

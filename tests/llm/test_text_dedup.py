@@ -101,6 +101,28 @@ def test_long_chain_is_one_component(spark):
     assert len(labels) == 301 and {bytes(r["comp"]) for r in labels} == {bytes([0, 0])}
 
 
+@pytest.mark.parametrize("order", ["hashed", "rising"])
+def test_chain_of_thousands_is_one_component(spark, order):
+    keys = [hashlib.md5(str(i).encode()).digest() if order == "hashed" else i.to_bytes(4) for i in range(4000)]
+    parts = [keys[:3000], keys[3000:]]
+    edges = [(min(p), max(p)) for part in parts for p in zip(part, part[1:])]
+    labels = neardup.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
+    want = {key: min(part) for part in parts for key in part}
+    assert len(labels) == 4000 and {bytes(r["cls"]): bytes(r["comp"]) for r in labels} == want
+
+
+def test_components_of_random_links(spark):
+    rng = random.Random(3)
+    keys = [hashlib.md5(str(i).encode()).digest() for i in range(600)]
+    edges = [tuple(sorted(rng.sample(keys, 2))) for _ in range(320)]
+    least = {k: k for pair in edges for k in pair}
+    while any(least[a] != least[b] for a, b in edges):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    labels = neardup.components(spark.createDataFrame(edges + edges[:5], "a binary, b binary")).collect()
+    assert sorted((bytes(r["cls"]), bytes(r["comp"])) for r in labels) == sorted(least.items())
+
+
 def cleaned(rows, least, keep_first):
     sites, places = {}, {}
     for doc, text, _, site in rows:
