@@ -188,17 +188,19 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _full_sets(wanted: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
     """(cls, shingles): the full sets of the distinct classes in ``wanted``.
 
-    A class comes more than once only if the row it is read from does, at most once for each task.
+    A class is read from the rows that have both the id and the text of its first one. It comes more
+    than once only if that row does, at most once for each task.
     """
     ids = staged(
-        classes.select(F.col("cls").alias("wanted"), "first_id").join(
+        classes.select(F.col("cls").alias("wanted"), "first_id", "first_key").join(
             wanted.select(F.col("cls").alias("wanted")).distinct(), "wanted"
         ),
         "ids",
     )
     if ids.count() <= _SENT_IDS:
         ids = F.broadcast(ids)
-    met = documents.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")))
+    rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    met = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key")))
     made = _with_sets(met.select("wanted", "text"), True).where("cls = wanted")
     return staged(map_batches(made.select("cls", "shingles"), _first_of_each, "cls binary, shingles array<bigint>"), "sets")
 
@@ -520,8 +522,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     classes = staged(
         sets.where("n > 0").groupBy("cls").agg(
-            F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
-        ),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"),
+            F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+        ).select("cls", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"), "n", "sketch"),
         "classes",
     )
     listed = staged(prefixes(classes), "prefixes")

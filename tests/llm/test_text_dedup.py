@@ -85,6 +85,23 @@ def test_near_duplicates_equal_brute_force(spark, documents, monkeypatch, block)
     assert ids == sorted({d for d, _, _, keep in near_groups(rows) if keep}, key=str)
 
 
+@pytest.mark.parametrize("doc", [None, 5])
+def test_full_sets_meet_only_the_rows_of_their_text(documents, monkeypatch, doc):
+    base = [[f"w{g}x{i}" for i in range(30)] for g in range(12)]
+    rows = [(doc, " ".join([*words, f"end{k}"]), "en", "s") for words in base for k in range(2)]
+    read, with_sets = [], neardup._with_sets
+
+    def counted(df, full, *more):
+        if full:
+            read.append(df.count())
+        return with_sets(df, full, *more)
+
+    monkeypatch.setattr(neardup, "_with_sets", counted)
+    got = neardup.near_duplicates(documents(rows)).drop("text_key").collect()
+    assert sorted((tuple(r) for r in got), key=str) == near_groups(rows)
+    assert read and max(read) <= len(rows)
+
+
 def test_no_documents(documents):
     docs, one = documents([]), documents(EDGES[:1])
     assert neardup.near_duplicates(docs).count() == 0
