@@ -514,6 +514,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     any has a null component and is kept. Repeated rows are linked with each other and share what
     they get. An empty table gives an empty result; further columns are ignored.
     """
+    return _labelled(documents).drop("chosen")
+
+
+def _labelled(documents: DataFrame) -> DataFrame:
+    """``near_duplicates`` with ``chosen``: whether a row has id and text of the one that stays."""
     sets = staged(
         _with_sets(
             documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), False
@@ -546,10 +551,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             more.append(_settled(unsure, full))
         labels = components(reduce(DataFrame.union, [edges, *more]))
     of_class = staged(
-        _with_component(classes.select("cls", "first_id"), labels).select("cls", "first_id", "comp"), "members"
+        _with_component(classes.select("cls", "first_id", "first_key"), labels)
+        .select("cls", "first_id", "first_key", "comp"),
+        "members",
+    )
+    first_row = F.min(F.struct(F.col("first_id").isNull(), "first_id", "first_key"))
+    least = of_class.groupBy("comp").agg(first_row.alias("first")).select(
+        "comp", F.col("first.first_id").alias("component"), F.col("first.first_key").alias("component_key")
     )
-    least = of_class.groupBy("comp").agg(F.min("first_id").alias("component"))
-    named = of_class.join(least, "comp").select("cls", "component")
+    named = of_class.join(least, "comp").select("cls", "component", "component_key")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return sets.join(named, "cls", "left").select(
         "doc_id",
@@ -557,16 +567,19 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        (F.col("doc_id").eqNullSafe(component) & F.coalesce(F.col("text_key") == F.col("component_key"), F.lit(True)))
+        .alias("chosen"),
     )
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The columns of ``documents``, one row of each component: the one with the least doc_id.
 
+    Null ids come last; of different texts with the least id, the one with the least text key stays.
     Of rows repeated with one id and text one stays; rows without words all stay, but for repeated
     ones.
     """
-    kept = near_duplicates(documents).where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
+    kept = _labelled(documents).where("chosen").groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
     rows = documents.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
     met = rows.join(
         kept, F.col("row.doc_id").eqNullSafe(kept["doc_id"]) & (F.col("key") == kept["text_key"])

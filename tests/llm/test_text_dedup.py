@@ -102,6 +102,20 @@ def test_full_sets_meet_only_the_rows_of_their_text(documents, monkeypatch, doc)
     assert read and max(read) <= len(rows)
 
 
+def test_one_row_of_each_component_stays(documents):
+    text = lambda name, k: " ".join([*(f"{name}{i}" for i in range(30)), f"end{k}"])
+    rows = [(None, text("null", k), "en", "s") for k in range(3)]
+    rows += [(8, text("same", k), "en", "s") for k in range(3)] + [(8, text("same", 1), "en", "s")]
+    rows += [(k, text("mixed", k or 0), "en", "s") for k in (None, 4, 3)]
+    rows += [(None, "", "en", "s"), (None, " ", "en", "s"), (9, None, "en", "s"), (9, "", "en", "s"), (9, "", "en", "s")]
+    got = [(r["doc_id"], r["text"]) for r in neardup.deduplicated(documents(rows)).collect()]
+    groups = sorted((str(d), t.split()[0]) for d, t in got if (t or "").strip())
+    assert groups == [("3", "mixed0"), ("8", "same0"), ("None", "null0")]
+    assert {(d, t) for d, t, *_ in rows} >= set(got)
+    bare = [(d, t) for d, t in got if not (t or "").strip()]
+    assert sorted(bare, key=str) == sorted([(None, ""), (None, " "), (9, None), (9, "")], key=str)
+
+
 def test_no_documents(documents):
     docs, one = documents([]), documents(EDGES[:1])
     assert neardup.near_duplicates(docs).count() == 0
