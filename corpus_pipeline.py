@@ -8,6 +8,9 @@ from shoalmark.llm import decontaminate, linededup, mixing, neardup, toxicity
 from shoalmark.llm.queries import LEVELS, WEIGHTS, table
 from shoalmark.session import staged
 
+#: Words of a shingle in the near-duplicate stage; ``op4_near_duplicates`` has two by its contract.
+SHINGLE_WORDS = 5
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator rejects go."""
@@ -21,8 +24,8 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return neardup.deduplicated(docs)
+    """One document of each group of near-duplicates, by shingles of five words, stays."""
+    return neardup.deduplicated(docs, SHINGLE_WORDS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Near-duplicates by bottom-k sketches from one hash function.
 
-1. Every text becomes the set of its hashed 2-word shingles; texts with equal sets form a class and
+1. Every text becomes the set of its hashed shingles of ``width`` words; texts with equal sets form a class and
    only classes go on.
 2. The ``SKETCH`` smallest hashes of a set are its sketch. Inverted lists of the retained values show
    which classes overlap. Two linked classes share many retained values (``least_shared``), so a
@@ -32,6 +32,8 @@ from .common import byte_slices, map_batches
 from .words import NOT_SPACE, mix, word_hashes
 
 SKETCH, FEWEST, BLOCK = 64, 32, 1024
+#: Words of a shingle, unless a caller asks for more.
+WIDTH = 2
 #: Retained values that may get lists, and how many of them a link shares at least.
 LISTED, LISTED_FEWEST = 32, 12
 #: Shingles that are compared at once inside a block, and how many of them a link shares at least.
@@ -40,18 +42,30 @@ WIDE, WIDE_FEWEST, _COLUMNS = 256, 158, 4096
 _SENT_IDS = 500_000
 
 
-def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes (63 bits) of all texts, sorted within each text, and their numbers."""
+def shingle_sets(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes (63 bits) of all texts, sorted within each text, and their numbers.
+
+    A text of fewer words than ``width`` has all its words as its only shingle.
+    """
     words, counts = word_hashes(texts, NOT_SPACE)
     ends = np.cumsum(counts)
     owner = np.repeat(np.arange(len(texts)), counts)
     if not len(words):
         return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-    pairs = mix(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:] + np.uint64(1))
-    inside = owner[:-1] == owner[1:]
-    alone = ends[counts == 1] - 1
-    hashes = np.concatenate([pairs[inside], mix(words[alone] + np.uint64(2))]) >> np.uint64(1)
-    whose = np.concatenate([owner[:-1][inside], owner[alone]])
+    found, owners, run = [], [], words
+    for length in range(1, width + 1):
+        # ``run`` holds the hash of ``length`` words from each word on.
+        if length > 1:
+            run = mix(run[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[length - 1 :] + np.uint64(1))
+        if length < width:
+            short = np.flatnonzero(counts == length)
+            found.append(mix(run[ends[short] - length] + np.uint64(2)))
+            owners.append(short)
+        else:
+            inside = owner[: len(run)] == owner[length - 1 :]
+            found.append(run[inside])
+            owners.append(owner[: len(run)][inside])
+    hashes, whose = np.concatenate(found) >> np.uint64(1), np.concatenate(owners)
     order = np.lexsort((hashes, whose))
     hashes, whose = hashes[order], whose[order]
     new = np.ones(len(hashes), bool)
@@ -80,7 +94,7 @@ def _set_keys(values: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
     return [packed[16 * i : 16 * i + 16] if n else None for i, n in enumerate(sizes)]
 
 
-def _with_sets(df: DataFrame, full: bool) -> DataFrame:
+def _with_sets(df: DataFrame, full: bool, width: int) -> DataFrame:
     """Columns of ``df`` but ``text``, with n, cls (key of the set) and the sketch or the full set."""
     kept = [c for c in df.columns if c != "text"]
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -89,7 +103,7 @@ def _with_sets(df: DataFrame, full: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, 2 << 20):
-                values, sizes = shingle_sets([t or "" for t in part.column("text").to_pylist()])
+                values, sizes = shingle_sets([t or "" for t in part.column("text").to_pylist()], width)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in kept]
                     + [pa.array(sizes, pa.int64()), pa.array(_set_keys(values, sizes), pa.binary()),
@@ -185,7 +199,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(common >= least).select("a", "b")
 
 
-def _full_sets(wanted: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+def _full_sets(wanted: DataFrame, classes: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     """(cls, shingles): the full sets of the distinct classes in ``wanted``.
 
     A class is read from the rows that have both the id and the text of its first one. It comes more
@@ -201,7 +215,7 @@ def _full_sets(wanted: DataFrame, classes: DataFrame, documents: DataFrame) -> D
         ids = F.broadcast(ids)
     rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     met = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key")))
-    made = _with_sets(met.select("wanted", "text"), True).where("cls = wanted")
+    made = _with_sets(met.select("wanted", "text"), True, width).where("cls = wanted")
     return staged(map_batches(made.select("cls", "shingles"), _first_of_each, "cls binary, shingles array<bigint>"), "sets")
 
 
@@ -501,11 +515,11 @@ def _test_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) of every row of ``documents``.
 
     Words are what stands between blanks and control characters, with A-Z in lower case. A text of
-    one word has that word as its only shingle. Texts with 100 * intersection >= 80 * union of
+    fewer words than ``width`` has all of them as its only shingle. Texts with 100 * intersection >= 80 * union of
     their sets are linked, and so are their links. ``component_id`` is the least doc_id of the
     component, ``kept`` marks the row that has it.
 
@@ -514,14 +528,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     any has a null component and is kept. Repeated rows are linked with each other and share what
     they get. An empty table gives an empty result; further columns are ignored.
     """
-    return _labelled(documents).drop("chosen")
+    return _labelled(documents, width).drop("chosen")
 
 
-def _labelled(documents: DataFrame) -> DataFrame:
+def _labelled(documents: DataFrame, width: int) -> DataFrame:
     """``near_duplicates`` with ``chosen``: whether a row has id and text of the one that stays."""
     sets = staged(
         _with_sets(
-            documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), False
+            documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), False, width
         ),
         "sketches",
     )
@@ -537,13 +551,13 @@ def _labelled(documents: DataFrame) -> DataFrame:
     leaders = staged(_leaders(lists), "leaders")
     first = staged(_plausible(_leader_pairs(lists, leaders), classes), "pairs")
     ends = first.select(F.explode(F.array("a", "b")).alias("cls"))
-    edges = staged(_confirmed(first, _full_sets(ends, classes, documents)), "links")
+    edges = staged(_confirmed(first, _full_sets(ends, classes, documents, width)), "links")
     labels = components(edges)
     members = staged(_open_members(lists, leaders, labels), "members")
     if not members.isEmpty():
         members = staged(_with_partner(members, classes, listed), "partners")
     if not members.isEmpty():
-        full = _full_sets(members.select("cls"), classes, documents)
+        full = _full_sets(members.select("cls"), classes, documents, width)
         found = staged(_searched(members, full, listed), "found")
         more = [found.where("sure").select("a", "b")]
         unsure = staged(found.where("NOT sure").select("a", "b").distinct(), "unsure")
@@ -572,14 +586,14 @@ def _labelled(documents: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(documents: DataFrame) -> DataFrame:
+def deduplicated(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     """The columns of ``documents``, one row of each component: the one with the least doc_id.
 
     Null ids come last; of different texts with the least id, the one with the least text key stays.
     Of rows repeated with one id and text one stays; rows without words all stay, but for repeated
     ones.
     """
-    kept = _labelled(documents).where("chosen").groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
+    kept = _labelled(documents, width).where("chosen").groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
     rows = documents.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
     met = rows.join(
         kept, F.col("row.doc_id").eqNullSafe(kept["doc_id"]) & (F.col("key") == kept["text_key"])

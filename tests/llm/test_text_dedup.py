@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from shoalmark.llm import decontaminate, linededup, neardup
 from shoalmark.llm.words import ALPHANUMERIC, NOT_SPACE, word_hashes
 
@@ -102,6 +103,41 @@ def test_full_sets_meet_only_the_rows_of_their_text(documents, monkeypatch, doc)
     assert read and max(read) <= len(rows)
 
 
+def five_word_groups(rows):
+    sets = []
+    for _, text, *_ in rows:
+        w = split(SPACED, text)
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    group = list(range(len(rows)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if x and 100 * len(x & y) >= 80 * len(x | y) and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    ids = {g: [d for (d, *_), h in zip(rows, group) if h == g and d is not None] for g in group}
+    least = [min(ids[g], default=None) for g in group]
+    return sorted(((d, len(x), m, d == m) for (d, *_), x, m in zip(rows, sets, least)), key=str)
+
+
+def test_five_word_shingles_equal_brute_force(documents):
+    rng, rows = random.Random(55), []
+    for length in (3, 4, 5, 6, 30, 120):
+        words = [f"w{rng.randint(0, 3000)}" for _ in range(length)]
+        rows += [(len(rows) + k, edited(rng, words, (0, 0.01, 0.03)[k % 3]), "en", "s") for k in range(8)]
+    swapped = [f"v{i}" for i in range(60)]
+    rows += [(100, " ".join(swapped), "en", "s"), (101, " ".join([*swapped[:30], "new", "words", *swapped[32:]]), "en", "s")]
+    rows += [(102, "a b c d", "en", "s"), (103, "A b c  d", "en", "s"), (104, "d c b a", "en", "s"), *EDGES]
+    got = neardup.near_duplicates(documents(rows), 5).drop("text_key").collect()
+    assert sorted((tuple(r) for r in got), key=str) == five_word_groups(rows) != near_groups(rows)
+
+
+def test_the_stage_takes_five_words(spark, documents):
+    words = [f"v{i}" for i in range(40)]
+    rows = [(1, " ".join(words), "en", "s"), (2, " ".join([*words[:20], "new", *words[21:]]), "en", "s")]
+    assert len({comp for _, _, comp, _ in near_groups(rows)}) == 1
+    assert len({comp for _, _, comp, _ in five_word_groups(rows)}) == 2
+    assert corpus_pipeline.drop_copies(spark, documents(rows), "").count() == 2
+
+
 def test_one_row_of_each_component_stays(documents):
     text = lambda name, k: " ".join([*(f"{name}{i}" for i in range(30)), f"end{k}"])
     rows = [(None, text("null", k), "en", "s") for k in range(3)]
