@@ -14,8 +14,9 @@
    shingles are compared whole, and only the links that connect components leave the task; larger
    ones by a wide sketch, and what it leaves is confirmed on full sets.
 
-Up to about 128 shingles the sketches can lose no link. Beyond, a link at exactly 0.8 is lost with a
-probability of about 1e-8, a closer one with less.
+Up to ``LOSSLESS`` (80) shingles no link can be lost. Beyond, the method is not exact: a link at
+exactly 0.8 is lost by the lists with a probability of up to 2.6e-8 and, from 128 shingles on, by
+the sketches of 64 with up to 1.9e-8, together about 5e-8 (binomial limits); a closer one with less.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SKETCH, FEWEST, BLOCK = 64, 32, 1024
 WIDTH = 2
 #: Retained values that may get lists, and how many of them a link shares at least.
 LISTED, LISTED_FEWEST = 32, 12
+#: Shingles of the larger set up to which two linked ones share that many in any case.
+LOSSLESS = 4 * min(SKETCH - FEWEST, LISTED - LISTED_FEWEST)
 #: Shingles that are compared at once inside a block, and how many of them a link shares at least.
 WIDE, WIDE_FEWEST, _COLUMNS = 256, 158, 4096
 #: Ids, of some 40 bytes, that are sent to all readers of texts; more are joined by a shuffle.

@@ -1,6 +1,7 @@
 """Near-duplicates, line dedup and decontamination against brute force."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -152,6 +153,16 @@ def test_one_row_of_each_component_stays(documents):
     assert sorted(bare, key=str) == sorted([(None, ""), (None, " "), (9, None), (9, "")], key=str)
 
 
+def test_stated_loss_is_that_of_the_parameters():
+    missed = lambda kept, least: sum(math.comb(kept, i) * 0.8**i * 0.2 ** (kept - i) for i in range(least))
+    assert neardup.LOSSLESS == 80 and "(80) shingles" in neardup.__doc__
+    for kept, least, stated in [
+        (neardup.LISTED, neardup.LISTED_FEWEST, "2.6e-8"), (neardup.SKETCH, neardup.FEWEST, "1.9e-8"),
+    ]:
+        assert f"{missed(kept, least):.1e}".replace("e-0", "e-") == stated and stated in neardup.__doc__
+    assert missed(neardup.WIDE, neardup.WIDE_FEWEST) < 1e-11
+
+
 def test_no_documents(documents):
     docs, one = documents([]), documents(EDGES[:1])
     assert neardup.near_duplicates(docs).count() == 0
