@@ -8,8 +8,8 @@ vector is then put into a leaf of each tree.
 A query walks all trees from one priority queue. The priority of a node is the sum of the margins by
 which the query lies on the wrong side of the splits above it, so it never improves on the way down
 and the queue hands out the leaves of the whole forest in order of priority; they are taken until
-they hold the wanted share of the rows. All members of these leaves are reranked by exact inner
-products. Queries are taken in blocks of bounded size; a block meets each vector once, and a task
+they hold the wanted share of the rows. Members of these leaves, and no others, are reranked by exact
+inner products: the rows are grouped by leaf, and a leaf meets the queries that visit it. Queries are taken in blocks of bounded size; a block meets each vector once, and a task
 keeps the best candidates of each query only.
 """
 
@@ -145,12 +145,8 @@ def _searched(index: DataFrame, shared, width: int, most: int) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                score = queries @ _matrix(part.column("vector"), width).T
                 leaves = _matrix(part.column("leaves"), visited.shape[1]).astype(np.int64)
-                met = np.zeros(score.shape, bool)
-                for t in range(visited.shape[1]):
-                    met |= visited[:, t][:, leaves[:, t]]
-                score[~met] = -np.inf
+                score = _reranked(queries, _matrix(part.column("vector"), width), leaves, visited)
                 key = np.broadcast_to(np.array(part.column("key").to_pylist()), score.shape)
                 score, key = np.hstack([best_score, score]), np.hstack([best_key, key])
                 # Ties go to the smaller key, which is the least id of a vector.
@@ -175,6 +171,18 @@ def _searched(index: DataFrame, shared, width: int, most: int) -> DataFrame:
     return map_batches(index, run, "query bigint, key bigint, score double, ids array<bigint>")
 
 
+def _reranked(queries: np.ndarray, rows: np.ndarray, leaves: np.ndarray, visited: np.ndarray) -> np.ndarray:
+    """Inner products of the queries with the rows in leaves that they visit; minus infinity elsewhere."""
+    score = np.full((len(queries), len(rows)), -np.inf)
+    for t in range(visited.shape[1]):
+        order = np.argsort(leaves[:, t], kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(leaves[order, t])) + 1):
+            asking = np.flatnonzero(visited[:, t, leaves[own[0], t]]) if len(own) else own
+            if len(asking):
+                score[np.ix_(asking, own)] = queries[asking] @ rows[own].T
+    return score
+
+
 def _best(score: np.ndarray, key: np.ndarray, most: int) -> np.ndarray:
     """Columns of the ``most`` largest scores of each row, ties to smaller keys."""
     cut = -np.partition(-score, most - 1, axis=1)[:, most - 1]

@@ -131,3 +131,21 @@ def test_forest_priorities_never_rise_on_the_way_down():
     assert (forest.priorities(x) <= 0).all() and (forest.priorities(x).max(2) == 0).all()
     visited = neighbours._visited(forest.priorities(x), np.full((3, 1 << forest.depth), 10.0), 95)
     assert (visited.sum((1, 2)) == 10).all()
+
+
+def test_only_members_of_visited_leaves_are_scored():
+    made = []
+
+    class Counted(np.ndarray):
+        def __matmul__(self, other):
+            made.append(self.shape[0] * other.shape[1])
+            return np.asarray(self) @ np.asarray(other)
+
+    rng = np.random.default_rng(4)
+    queries, rows = rng.normal(size=(50, 6)), rng.normal(size=(300, 6))
+    leaves, visited = rng.integers(0, 16, (300, 3)), rng.random((50, 3, 16)) < 0.1
+    score = neighbours._reranked(queries.view(Counted), rows, leaves, visited)
+    met = np.array([[[visited[q, t, leaves[r, t]] for t in range(3)] for r in range(300)] for q in range(50)])
+    assert np.allclose(score, np.where(met.any(2), queries @ rows.T, -np.inf))
+    assert sum(made) == met.sum() < 50 * 300 / 2
+    assert (neighbours._reranked(queries, rows[:0], leaves[:0], visited)).shape == (50, 0)
