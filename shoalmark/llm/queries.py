@@ -11,6 +11,7 @@ from . import (
     mixing,
     neardup,
     neighbours,
+    packing,
     quality,
     tokens,
     toxicity,
@@ -119,6 +120,19 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's token ids packed into sequences of at most 1024."""
+    import public_tokenizers
+
+    packed = packing.pack(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 NEAR_DUPLICATES_SQL = f"""
@@ -268,6 +282,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_language": op9_language,
     "op10_line_dedup": op10_line_dedup,
+    "op11_packing": op11_packing,
 }
 ORACLES = {
     "op2_mixing": MIXING_SQL,
