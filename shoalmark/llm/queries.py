@@ -13,6 +13,7 @@ from . import (
     neighbours,
     packing,
     quality,
+    spelling,
     tokens,
     toxicity,
     urlfilter,
@@ -133,6 +134,11 @@ def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """The more frequent spelling of every word, one edit apart."""
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 NEAR_DUPLICATES_SQL = f"""
@@ -271,6 +277,48 @@ SELECT doc_id, domain, lang, source, n_tokens,
 FROM summed
 """
 
+#: The typo hash is CRC-32, which is worked out here byte by byte from its polynomial. Words are near if
+#: one is the other without one letter, or both are equal without the letter at the same place.
+SPELLING_SQL = f"""
+WITH RECURSIVE crc_table AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(CAST(b AS BIGINT), range(8)),
+    lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) ORDER BY b) AS crc
+  FROM range(256) r(b)
+), runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                                 '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(range(octet_length(t)),
+        lambda i: CAST(('0x' || hex(t)[2 * i + 1:2 * i + 2]) AS BIGINT))),
+      lambda x, y: xor(x // 256, crc[xor(x % 256, y) + 1]))) AS h
+  FROM (SELECT *, encode(concat(coalesce(CAST(doc_id AS VARCHAR), 'None'), ':', run)) AS t FROM runs), crc_table
+), words AS MATERIALIZED (
+  SELECT w, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS w, n
+        FROM hashed)
+  WHERE length(w) >= 7 GROUP BY w HAVING sum(n) >= 2
+), without AS MATERIALIZED (
+  SELECT w, n, i, w[1:i - 1] || w[i + 1:] AS v FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.w AS w, b.w AS o, b.n AS m FROM without a JOIN without b ON a.v = b.v AND a.i = b.i AND a.w <> b.w
+  UNION SELECT a.w, b.w, b.n FROM without a JOIN words b ON a.v = b.w
+  UNION SELECT b.w, a.w, a.n FROM without a JOIN words b ON a.v = b.w
+), nearest AS (
+  SELECT w, count(*) AS n_near, max(m) AS m, arg_min(o, (-m, o)) AS o FROM pairs GROUP BY w
+), judged AS (
+  SELECT w, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN o END AS form,
+         CASE WHEN m >= 10 * n THEN m END AS form_n FROM words LEFT JOIN nearest USING (w)
+), chain AS (
+  SELECT w, w AS root, form AS following FROM judged
+  UNION ALL
+  SELECT c.w, j.w, j.form FROM chain c JOIN judged j ON c.following = j.w
+)
+SELECT w AS word, form, root, n, n_near, form_n FROM judged JOIN chain USING (w) WHERE following IS NULL
+"""
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -283,10 +331,12 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_line_dedup": op10_line_dedup,
     "op11_packing": op11_packing,
+    "op12_spelling": op12_spelling,
 }
 ORACLES = {
     "op2_mixing": MIXING_SQL,
     "op4_near_duplicates": NEAR_DUPLICATES_SQL,
     "op6_decontamination": DECONTAMINATION_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
+    "op12_spelling": SPELLING_SQL,
 }
