@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
+    collocations,
     decontaminate,
     langid,
     linededup,
@@ -139,6 +140,11 @@ def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, folder, "documents"))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 best-scoring phrases of every language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 NEAR_DUPLICATES_SQL = f"""
@@ -319,6 +325,40 @@ WITH RECURSIVE crc_table AS MATERIALIZED (
 SELECT w AS word, form, root, n, n_near, form_n FROM judged JOIN chain USING (w) WHERE following IS NULL
 """
 
+COLLOCATIONS_SQL = f"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                            '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)
+), phrases AS MATERIALIZED (
+  SELECT lang, m, array_to_string(w[p:p + m - 1], ' ') AS phrase, any_value(w[p:p + m - 1]) AS w, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM pieces, range(1, 6) r(m) WHERE len(w) >= m)
+  GROUP BY lang, m, phrase
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM phrases WHERE m = 1 GROUP BY lang
+), inside AS (
+  SELECT DISTINCT lang, array_to_string(w[s:s + k - 1], ' ') AS phrase, f
+  FROM (SELECT lang, w, f, k, unnest(range(1, m - k + 2)) AS s
+        FROM phrases, range(2, 5) r(k) WHERE f >= 100 AND k < m)
+), kept AS (
+  SELECT p.* FROM phrases p WHERE m > 1 AND f >= 100
+    AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = p.lang AND i.phrase = p.phrase AND 100 * i.f >= 100 * p.f)
+), cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, u.f AS l, v.f AS r, n,
+         CAST((1000::HUGEINT * c.a * n) // (u.f::HUGEINT * v.f) AS BIGINT) AS score
+  FROM cuts c JOIN phrases u ON u.lang = c.lang AND u.phrase = x
+              JOIN phrases v ON v.lang = c.lang AND v.phrase = y JOIN totals t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -332,6 +372,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_packing": op11_packing,
     "op12_spelling": op12_spelling,
+    "op13_collocations": op13_collocations,
 }
 ORACLES = {
     "op2_mixing": MIXING_SQL,
@@ -339,4 +380,5 @@ ORACLES = {
     "op6_decontamination": DECONTAMINATION_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
     "op12_spelling": SPELLING_SQL,
+    "op13_collocations": COLLOCATIONS_SQL,
 }

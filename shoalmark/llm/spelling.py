@@ -215,11 +215,15 @@ def _search_subtree(rows: pa.Table) -> pa.Table:
                 if at_home and other < vec:
                     continue
                 same = at_home and other == vec
+                # Words one edit apart share the first or the last half of the shorter one.
+                half = min(sum(vec), sum(other)) // 2
                 for a, n in asking:
+                    first, last = a[:half], a[len(a) - half :]
                     for b, m in members:
-                        if not (same and b <= a) and near(a, b):
-                            meet(a, n, b, m)
-                            meet(b, m, a, n)
+                        if (b.startswith(first) or b.endswith(last)) and near(a, b):
+                            if not (same and b < a):
+                                meet(a, n, b, m)
+                                meet(b, m, a, n)
     words = list(count)
     return pa.table(
         {
