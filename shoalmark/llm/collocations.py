@@ -14,9 +14,10 @@ clashes of hashes is dropped by exact joins.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -25,26 +26,99 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import staged
 from .common import byte_slices, map_batches
+from .words import _VALUES, _power_tables, byte_class, mix
 
-#: Bits of a bitmap (a multiple of 2**15), counts held in a task before they are handed on, words and
-#: pairs of words whose marks a task remembers.
-BITS, _COUNTED, _REMEMBERED = 1 << 26, 200_000, 500_000
+#: Bits of a bitmap (a multiple of 2**15), counts held in a task before they are handed on, and bytes of
+#: text looked at together.
+BITS, _COUNTED, _SLICE = 1 << 26, 200_000, 1 << 20
 _BUCKET = 1 << 15
-_LOWER = bytes(range(65, 91)), bytes(range(97, 123))
-#: Lower case, and a line break for everything that ends a piece.
-_PIECES = bytes.maketrans(_LOWER[0] + b".,;:!?\x0b\x0c\r", _LOWER[1] + b"\n" * 9)
+_UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
+_ENDS = b".,;:!?\n\x0b\x0c\r"
+#: Lower case, and a full stop for everything that ends a piece.
+_PIECES = bytes.maketrans(_UPPER + _ENDS, _LOWER + b"." * len(_ENDS))
 #: Lower case, and blanks between all words.
-_WORDS = bytes.maketrans(_LOWER[0] + b".,;:!?", _LOWER[1] + b" " * 6)
+_WORDS = bytes.maketrans(_UPPER + _ENDS, _LOWER + b" " * len(_ENDS))
+_IN_WORD = ~byte_class((0x20, 0x20), (0x09, 0x09), (0x2E, 0x2E))
+_GAP = re.compile(rb"[ \t.]")
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Bitmap:
-    """Which hashes of (lang, text) are wanted; sent to the tasks once per executor."""
+class Words:
+    """The words of a slice of texts, which are joined by full stops and translated by ``_PIECES``.
+
+    Word i lies at ``data[starts[i]:ends[i]]``; ``joined`` says that it follows word i - 1 in one piece.
+    Hashes only serve to look for words; whatever is found is taken from ``data``.
+    """
+
+    def __init__(self, data: bytes, lang: str) -> None:
+        self.data = data
+        codes = np.frombuffer(data, np.uint8)
+        inside = np.concatenate([[False], _IN_WORD[codes], [False]])
+        edges = np.flatnonzero(np.diff(inside.view(np.int8)))
+        self.starts, self.ends = edges[::2], edges[1::2]
+        forward, back = _power_tables(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_VALUES[codes] * forward[: len(data)], out=sums[1:])
+        hashes = mix((sums[self.ends] - sums[self.starts]) * back[self.starts])
+        self.hashes = hashes ^ np.uint64(zlib.crc32(lang.encode()))
+        stops = np.cumsum(codes == 0x2E, dtype=np.int32)[self.starts]
+        self.joined = np.diff(stops, prepend=-1) == 0
+
+    def longer(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Hashes of phrases that go on with the words ``at``."""
+        return mix(hashes * _STEP + self.hashes[at])
+
+    def phrase(self, first: int, last: int) -> bytes:
+        return b" ".join(self.data[self.starts[first] : self.ends[last]].split())
+
 
-    def __init__(self, wanted: DataFrame, text: str | Column) -> None:
-        spark = wanted.sparkSession
-        place = F.crc32(F.concat("lang", F.lit(" "), text).cast("binary")) % BITS
+def slices(texts: list[bytes], ahead: int) -> Iterator[tuple[bytes, int, int]]:
+    """Texts in slices of about a megabyte: (data, begin, end), the part from begin to end being its own.
+
+    A piece that has to be cut comes with one word before and ``ahead`` words after its part.
+    """
+    data = b".".join(texts).translate(_PIECES)
+    following = re.compile(rb"(?:[ \t]*[^ \t.]+){0,%d}" % ahead)
+    start = 0
+    while start < len(data):
+        end, first, last = len(data), start, len(data)
+        if end - start > _SLICE:
+            stop = data.rfind(b".", start + _SLICE // 2, start + _SLICE)
+            gap = _GAP.search(data, start + _SLICE)
+            end = stop if stop >= 0 else gap.start() if gap else end
+            last = following.match(data, end).end()
+        if start and data[start : start + 1] != b".":
+            first = len(data[:start].rstrip(b" \t"))
+            first = max(data.rfind(c, 0, first) for c in (b" ", b"\t", b".")) + 1
+        yield data[first:last], start - first, end - first
+        start = end
+
+
+class Bitmap:
+    """Which hashes of (lang, phrase) are wanted; sent once to every executor, of a fixed size."""
+
+    def __init__(self, wanted: DataFrame, phrase: str | Column) -> None:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                by_lang: dict[str, list[bytes]] = {}
+                for lang, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase"))):
+                    by_lang.setdefault(lang, []).append(text)
+                for lang, phrases in by_lang.items():
+                    words = Words(b".".join(phrases), lang)
+                    first = np.flatnonzero(~words.joined)
+                    sizes = np.diff(np.append(first, len(words.starts)))
+                    hashes = words.hashes[first]
+                    for k in range(1, sizes.max()):
+                        on = sizes > k
+                        hashes[on] = words.longer(hashes[on], first[on] + k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((hashes % np.uint64(BITS)).astype(np.int64))], names=["place"]
+                    )
+
+        text = F.col(phrase) if isinstance(phrase, str) else phrase
+        asked = wanted.select("lang", text.cast("binary").alias("phrase"))
         rows = (
-            wanted.select(place.alias("place"))
+            map_batches(asked, run, "place bigint")
             .groupBy(F.expr(f"place div {_BUCKET}").alias("bucket"))
             .agg(F.bitmap_construct_agg(F.col("place") % _BUCKET).alias("bits"))
         )
@@ -53,43 +127,18 @@ class Bitmap:
         for bucket, part in rows.toLocalIterator():
             at = bucket * _BUCKET // 8
             bits[at : at + len(part)] = np.frombuffer(part, np.uint8)
-        self.sent = spark.sparkContext.broadcast(bits.tobytes())
-
-    def test(self, lang: str) -> Callable[[bytes], bool]:
-        bits, start = self.sent.value, zlib.crc32(f"{lang} ".encode())
+        self.sent = wanted.sparkSession.sparkContext.broadcast(bits.tobytes())
 
-        def wanted(text: bytes) -> bool:
-            place = zlib.crc32(text, start) % BITS
-            return bool(bits[place >> 3] >> (place & 7) & 1)
+    def test(self, hashes: np.ndarray) -> np.ndarray:
+        bits = np.frombuffer(self.sent.value, np.uint8)
+        place = hashes % np.uint64(BITS)
+        return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
-        return wanted
 
-
-class _Marks(dict):
-    """Marks of words, worked out when first asked for."""
-
-    def __init__(self, *tests: Callable[[bytes], bool]) -> None:
-        self.tests = tests
-
-    def __missing__(self, text: bytes) -> int:
-        if len(self) > _REMEMBERED:
-            self.clear()
-        mark = sum(bit << i for i, bit in enumerate(t(text) for t in self.tests))
-        self[text] = mark
-        return mark
-
-
-def counted(
-    documents: DataFrame, make: Callable[[str], Callable[[bytes, Counter], None]]
-) -> DataFrame:
-    """(lang, found, n): what a function finds in the texts of each language, counted in the tasks.
-
-    ``make`` takes the language and returns a function that adds what it finds in a text to a counter.
-    The rows are partial counts.
-    """
+def counted(documents: DataFrame, find: Callable[[str, list[bytes], Counter], None]) -> DataFrame:
+    """(lang, found, n): what ``find`` adds to a counter for texts of one language; partial counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finders: dict[str, Callable] = {}
         counts: dict[str, Counter[bytes]] = {}
 
         def ready() -> Iterator[pa.RecordBatch]:
@@ -106,10 +155,11 @@ def counted(
 
         for batch in batches:
             for part in byte_slices(batch, 4 << 20):
+                texts: dict[str, list[bytes]] = {}
                 for lang, text in zip(*(part.column(c).to_pylist() for c in ("lang", "text"))):
-                    if lang not in finders:
-                        finders[lang] = make(lang)
-                    finders[lang](text, counts.setdefault(lang, Counter()))
+                    texts.setdefault(lang, []).append(text)
+                for lang, those in texts.items():
+                    find(lang, those, counts.setdefault(lang, Counter()))
                 if sum(map(len, counts.values())) > _COUNTED:
                     yield from ready()
         yield from ready()
@@ -124,17 +174,14 @@ def counted(
 def word_counts(documents: DataFrame) -> DataFrame:
     """(lang, phrase, f): occurrences of every word."""
 
-    def make(lang: str) -> Callable:
-        return lambda text, counts: counts.update(text.translate(_WORDS).split())
+    def find(lang: str, texts: list[bytes], counts: Counter) -> None:
+        for text in texts:
+            counts.update(text.translate(_WORDS).split())
 
-    found = counted(documents, make).groupBy("lang", F.col("found").alias("phrase"))
+    found = counted(documents, find).groupBy("lang", F.col("found").alias("phrase"))
     return found.agg(F.sum("n").alias("f"))
 
 
-def _pieces(text: bytes) -> Iterable[list[bytes]]:
-    return map(bytes.split, text.translate(_PIECES).split(b"\n"))
-
-
 def growths(documents: DataFrame, frequent: DataFrame, first: DataFrame, longest: int) -> DataFrame:
     """(lang, before, phrase, words, n): what follows the words ``first``, up to ``longest`` words.
 
@@ -143,32 +190,31 @@ def growths(documents: DataFrame, frequent: DataFrame, first: DataFrame, longest
     """
     known, starts = Bitmap(frequent, "phrase"), Bitmap(first, "phrase")
 
-    def make(lang: str) -> Callable:
-        marks = _Marks(known.test(lang), starts.test(lang))
-
-        def find(text: bytes, counts: Counter) -> None:
-            for words in _pieces(text):
-                found = list(map(marks.__getitem__, words))
-                for i in range(len(words) - 1):
-                    if found[i] & 2 and found[i + 1] & 1:
-                        end, most = i + 2, min(len(words), i + longest)
-                        while end < most and found[end] & 1:
-                            end += 1
-                        before = words[i - 1] if i else b""
-                        counts[before + b"\n" + b" ".join(words[i:end])] += 1
-
-        return find
+    def find(lang: str, texts: list[bytes], counts: Counter) -> None:
+        for data, begin, end in slices(texts, longest):
+            words = Words(data, lang)
+            goes_on = np.append(words.joined & known.test(words.hashes), [False] * longest)
+            own = (words.starts >= begin) & (words.starts < end)
+            at = np.flatnonzero(own & goes_on[1 : len(own) + 1])
+            at = at[starts.test(words.hashes[at])]
+            last, on = at.copy(), np.ones(len(at), bool)
+            for k in range(1, longest):
+                on &= goes_on[at + k]
+                last += on
+            for i, j, follows in zip(at.tolist(), last.tolist(), words.joined[at].tolist()):
+                before = words.phrase(i - 1, i - 1) if follows else b""
+                counts[before + b"\n" + words.phrase(i, j)] += 1
 
     phrase = F.substring_index("found", "\n", -1)
     return (
-        counted(documents, make)
+        counted(documents, find)
         .groupBy("lang", "found")
         .agg(F.sum("n").alias("n"))
         .select(
             "lang",
             F.substring_index("found", "\n", 1).alias("before"),
             phrase.alias("phrase"),
-            (F.size(F.split(phrase, " "))).alias("words"),
+            F.size(F.split(phrase, " ")).alias("words"),
             "n",
         )
     )
@@ -176,33 +222,25 @@ def growths(documents: DataFrame, frequent: DataFrame, first: DataFrame, longest
 
 def lookups(documents: DataFrame, parts: DataFrame, longest: int) -> DataFrame:
     """(lang, phrase, f): occurrences of the given phrases (lang, phrase) of two or more words."""
-    two = F.substring_index("phrase", " ", 2)
-    starts = Bitmap(parts, F.substring_index("phrase", " ", 1))
-    pairs, wholes = Bitmap(parts, two), Bitmap(parts, "phrase")
-
-    def make(lang: str) -> Callable:
-        whole = wholes.test(lang)
-        first, second = _Marks(starts.test(lang)), _Marks(pairs.test(lang), whole)
-
-        def find(text: bytes, counts: Counter) -> None:
-            for words in _pieces(text):
-                found = list(map(first.__getitem__, words))
-                for i in range(len(words) - 1):
-                    if not found[i]:
-                        continue
-                    phrase = words[i] + b" " + words[i + 1]
-                    mark = second[phrase]
-                    if mark & 2:
-                        counts[phrase] += 1
-                    if mark & 1:
-                        for word in words[i + 2 : i + longest]:
-                            phrase += b" " + word
-                            if whole(phrase):
-                                counts[phrase] += 1
-
-        return find
-
-    found = counted(documents, make).groupBy("lang", F.col("found").alias("phrase"))
+    prefixes = [Bitmap(parts, F.substring_index("phrase", " ", k)) for k in (1, 2)]
+    wholes = Bitmap(parts, "phrase")
+
+    def find(lang: str, texts: list[bytes], counts: Counter) -> None:
+        for data, begin, end in slices(texts, longest):
+            words = Words(data, lang)
+            joined = np.append(words.joined, [False] * longest)
+            at = np.flatnonzero((words.starts >= begin) & (words.starts < end))
+            hashes = words.hashes[at]
+            for k in range(1, longest):
+                on = joined[at + k]
+                if k <= len(prefixes):
+                    on &= prefixes[k - 1].test(hashes)
+                at = at[on]
+                hashes = words.longer(hashes[on], at + k)
+                for i in at[wholes.test(hashes)].tolist():
+                    counts[words.phrase(i, i + k)] += 1
+
+    found = counted(documents, find).groupBy("lang", F.col("found").alias("phrase"))
     return found.agg(F.sum("n").alias("f")).join(parts, ["lang", "phrase"], "left_semi")
 
 
@@ -320,7 +358,7 @@ def collocations(
     bounds = frequent.join(totals, "lang").withColumn("bound", _ratio("1000 n", "f"))
     waiting = staged(bounds.select("lang", "phrase", "f", "bound"), "words")
     known, best = [frequent], _nothing(spark)
-    tier = 2 * fewest
+    tier = 8 * fewest
     while True:
         # Full lists say which words can still matter; for the others the next tier is taken.
         scored = waiting.join(to_beat(best, most), "lang", "left")
@@ -331,13 +369,15 @@ def collocations(
         now = F.col("least").isNotNull() | (F.col("f") < tier)
         first = scored.where(now).select("lang", "phrase")
         waiting = scored.where(~now).drop("least")
-        tier *= 16
-        if first.isEmpty():
-            continue
-        rows = staged(growths(documents, frequent, first, longest), "growths")
-        grown = grow(rows, fewest, longest)
-        known.append(grown.select("lang", "phrase", "f"))
-        best = _settled(documents, grown.where("kept").drop("kept"), known, totals, best, most, longest)
+        if not first.isEmpty():
+            rows = staged(growths(documents, frequent, first, longest), "growths")
+            grown = grow(rows, fewest, longest)
+            known.append(grown.select("lang", "phrase", "f"))
+            kept = grown.where("kept").drop("kept")
+            best = _settled(documents, kept, known, totals, best, most, longest)
+        # The nearer the lists are to their end, the shorter the next step.
+        longest_list = best.agg(F.coalesce(F.max("rank"), F.lit(0))).first()[0]
+        tier *= 4 if 4 * longest_list >= most else 16
     return best.select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
