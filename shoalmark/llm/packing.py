@@ -16,6 +16,7 @@ import os
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from struct import pack as pack_numbers
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from .tokens import _SAFE, pieces
 #: Ids on the shelf when packing begins, and when it stops to let the shelf fill up again.
 FULL_SHELF, LOW_SHELF = 1 << 22, 1 << 20
 #: Characters of a text encoded at once, pieces remembered by a worker, rows of an output batch.
-_BLOCK, _PIECES, _ROWS = 1 << 18, 300_000, 4096
+_BLOCK, _PIECES, _ROWS = 1 << 18, 1_000_000, 4096
 #: Sequences of a task are numbered from its number times this.
 _SEQUENCES = 1 << 33
 _ID = np.dtype("<u4")
@@ -47,7 +48,7 @@ def id_encoder(path: str) -> Callable[[str], bytes]:
 
     def ids(parts: list[str]) -> list[bytes]:
         made = encoder.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, _ID).tobytes() for e in made]
+        return [pack_numbers(f"<{len(e)}I", *e.ids) for e in made]
 
     def block_ids(text: str) -> bytes:
         first, rest = pieces(text)
