@@ -22,15 +22,6 @@ class UpsertResult:
     partitions_rewritten: int
 
 
-def scan_order() -> list[Column]:
-    """Order of the rows in their files. Only valid directly on a file scan."""
-    return [
-        F.col("_metadata.file_path"),
-        F.col("_metadata.file_block_start"),
-        F.monotonically_increasing_id(),
-    ]
-
-
 def latest_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The last row of every key by the columns ``order``; rows without a key are all kept.
 

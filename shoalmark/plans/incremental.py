@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.contract import SALES_COLUMNS, SALES_KEYS, SALES_TYPES, contract_violations
-from ..operators.upsert import scan_order, upsert
+from ..operators.upsert import upsert
 from ..operators.watermark import advance_watermark, newer_than, read_watermark
 from ..session import held
 from ..sources import catalog
-from ..sources.csvfiles import check_columns, read_contract_csv, record_options, with_audit
+from ..sources.csvfiles import CsvSource, check_columns, contract_rows, with_audit
+from ..sources.paths import exists
 from .sales import DAY, KEY, SOURCE_SCHEMA
 
 PIPELINE = "sales_pipeline"
@@ -33,15 +34,17 @@ class LoadResult:
     undated_rows: int = 0
 
 
-def land_raw(spark: SparkSession, csv_path: str, raw_path: str) -> None:
+def land_raw(source: CsvSource, raw_path: str) -> None:
     """Copy the source records as text, replacing an earlier copy; every part has the header."""
-    rows = spark.read.options(**record_options(spark, csv_path)).csv(csv_path)
-    rows.write.mode("overwrite").options(header=True, escape='"', emptyValue="").csv(raw_path)
+    rows = source.text()
+    # The writer would strip blanks around cells otherwise.
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.mode("overwrite").options(header=True, escape='"', emptyValue="", **blanks).csv(raw_path)
 
 
-def require_contract(spark: SparkSession, csv_path: str, types: dict[str, str], keys: list[str]) -> None:
+def require_contract(source: CsvSource, types: dict[str, str], keys: list[str]) -> None:
     """Raise if a cell cannot be read as its type or a key is missing."""
-    text = spark.read.options(**record_options(spark, csv_path)).csv(csv_path)
+    text = source.text()
     check_columns(text.columns, SALES_COLUMNS)
     bad = contract_violations(text, types, keys).where("uncastable + null_keys > 0")
     problems = [
@@ -92,18 +95,19 @@ def load_sales(
     raises for all other cells that do not fit, too. ``table`` (``database.name``) registers the
     folder in the catalog.
     """
-    rows = read_contract_csv(spark, csv_path, SOURCE_SCHEMA)
+    if not exists(spark, csv_path):
+        raise FileNotFoundError(csv_path)
+    opened = CsvSource.open(spark, csv_path)
+    # The file order has to be taken at the scan; it decides which of two rows of a key is last.
+    ordered, order = contract_rows(opened, SOURCE_SCHEMA)
     if strict:
-        require_contract(spark, csv_path, SALES_TYPES, SALES_KEYS)
+        require_contract(opened, SALES_TYPES, SALES_KEYS)
     else:
-        require_contract(spark, csv_path, {DAY: SALES_TYPES[DAY]}, [])
+        require_contract(opened, {DAY: SALES_TYPES[DAY]}, [])
     if raw_path:
-        land_raw(spark, csv_path, raw_path)
+        land_raw(opened, raw_path)
     before = read_watermark(spark, state_path, PIPELINE)
-    # The file order has to be taken at the scan; it decides which of two rows of a key is last.
     # Everything after this reads the staged columns it needs, not the text again.
-    order = {f"_order{i}": c for i, c in enumerate(scan_order())}
-    ordered = rows.select("*", *[c.alias(name) for name, c in order.items()])
     with held(ordered, "sales") as source:
         total, late, undated, last = mark_figures(source, before)
         if undated and not allow_undated:
@@ -120,7 +124,7 @@ def load_sales(
             KEY,
             DAY,
             order=[F.col(name) for name in order],
-            drop=list(order),
+            drop=order,
         )
     if table:
         register(spark, table, table_path)

@@ -14,7 +14,9 @@ from ..operators.inference import match_shares, profile, with_type
 from ..operators.replace import SOURCE_BUCKET, replace_by_source, table_schema
 from ..operators.typed_load import rejected_cells, typed_rows
 from ..plans.autoingest import Options, ingest_folder
+from ..plans.incremental import land_raw
 from ..session import scratch_path, staged
+from ..sources.csvfiles import CsvSource, check_columns
 from ..sources.delimiter import fingerprint
 from ..sources.listing import list_csv, list_files
 from ..sources.paths import move, remove
@@ -306,7 +308,26 @@ def evolve_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with line breaks in their cells, dropped as CSV, landed as raw copy and read back."""
+    base = scratch_path(spark, "quoted")
+    documents = load(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    documents.write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(f"{base}/drop")
+    dropped = CsvSource.open(spark, f"{base}/drop")
+    check_columns(dropped.columns(), documents.columns)
+    land_raw(dropped, f"{base}/raw")
+    landed = CsvSource.open(spark, f"{base}/raw").rows(documents.schema)
+    text = F.coalesce("text", F.lit(""))
+    return landed.select(
+        "doc_id", "lang", "source", F.md5(text).alias("text_md5"),
+        F.char_length(text).cast("bigint").alias("n_chars"),
+    )
+
+
 QUERIES = {
+    "load_quoted_breaks": quoted_breaks,
     "sanitise_names": sanitise_names,
     "blank_to_null": blank_cells,
     "type_match_shares": type_shares,
@@ -362,6 +383,9 @@ SELECT o_orderkey AS id,
 FROM orders"""
 
 ORACLES = {
+    "load_quoted_breaks": """
+SELECT doc_id, lang, source, md5(coalesce(text, '')) AS text_md5,
+  CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM documents""",
     "replace_by_source_twice": """
 SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice ELSE o_totalprice + 1 END
   AS o_totalprice, o_orderpriority AS _source_file FROM orders""",

@@ -4,16 +4,27 @@ from __future__ import annotations
 
 import csv
 import io
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import (
+    Column,
+    DataFrame,
+    DataFrameReader,
+    SparkSession,
+    functions as F,
+    types as T,
+)
 
 from ..functions.names import clean_headers
 from .listing import decoded_path, relative_key
 from .paths import exists, qualified
+from .records import csv_records, headers
 
 SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingested_at"
 BAD_RECORD = "_bad_record"
+#: Names of the columns that tell the place of a row: file, split and line.
+PLACE = ("_order0", "_order1", "_order2")
 
 
 class EmptySource(ValueError):
@@ -33,32 +44,98 @@ def check_columns(actual: list[str], expected: list[str]) -> None:
 def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
     """Whether a line has an odd number of quotes, the mark of a line break inside a field.
 
-    Files without one can be read in splits; the others have to be read record by record.
+    Spark's reader splits files without one; the others are put together to records first.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
 
 
+@dataclass(frozen=True)
+class CsvSource:
+    """CSV files with a header, read in splits whatever their line breaks. The text is looked at once
+    to see which way they have to be read."""
+
+    spark: SparkSession
+    path: str
+    quoted: bool
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> CsvSource:
+        return cls(spark, path, has_quoted_breaks(spark, path))
+
+    def columns(self) -> list[str]:
+        """The header of the first file. Records have to have one header in all files."""
+        if not self.quoted:
+            return self._reader().csv(self.path).columns
+        found = headers(csv_records(self.spark, [self.path])).select("header").distinct().take(2)
+        if len(found) > 1:
+            raise ContractError(f"files with different headers: {[r['header'] for r in found]}")
+        return header_cells(found[0]["header"], ",") if found else []
+
+    def rows(self, schema: T.StructType) -> DataFrame:
+        """Rows by position; cells that do not fit their type become NULL."""
+        ordered, order = self.ordered(schema)
+        return ordered.drop(*order)
+
+    def ordered(self, schema: T.StructType) -> tuple[DataFrame, list[str]]:
+        """Rows with further columns that sort them as they stand in their files."""
+        if self.quoted:
+            rows = read_records(self.spark, [self.path], schema)
+            order = dict(zip(PLACE, map(F.col, PLACE)))
+        else:
+            # The header is compared in every file when the reader comes to it.
+            rows = self._reader().options(enforceSchema=False).schema(schema).csv(self.path)
+            order = dict(zip(PLACE, scan_order()))
+        return rows.select(*schema.fieldNames(), *[c.alias(name) for name, c in order.items()]), list(order)
+
+    def text(self) -> DataFrame:
+        """All cells as text."""
+        return self.rows(T.StructType([T.StructField(c, T.StringType()) for c in self.columns()]))
+
+    def _reader(self) -> DataFrameReader:
+        return self.spark.read.options(header=True, escape='"')
+
+
+def scan_order() -> list[Column]:
+    """Order of the rows in their files. Only valid directly on a file scan."""
+    return [
+        F.col("_metadata.file_path"),
+        F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id(),
+    ]
+
+
+def read_records(
+    spark: SparkSession, paths: list[str], schema: T.StructType, delimiter: str = ",", **options: str
+) -> DataFrame:
+    """The records below the headers as rows, with the columns ``PLACE`` for their place."""
+    records = csv_records(spark, paths, delimiter)
+    place = ["path", "block", "line_no"]
+    below = records.join(headers(records).select(place), place, "left_anti")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    row = F.from_csv("text", ddl, {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE", **options})
+    return below.select(row.alias("row"), *[F.col(c).alias(p) for c, p in zip(place, PLACE)]).select(
+        "row.*", *PLACE
+    )
+
+
 def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a CSV whose header must equal ``schema``; missing or empty files are errors.
 
-    The header of the first file is compared here. ``enforceSchema`` makes the reader compare those
-    of all others when it comes to them, so no file can slip in with its columns in another order.
     Cells that do not fit their type become NULL. Count them with ``contract_violations``.
     """
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    options = record_options(spark, path)
-    check_columns(spark.read.options(**options).csv(path).columns, schema.fieldNames())
-    rows = spark.read.options(enforceSchema=False, **options).schema(schema).csv(path)
-    if rows.isEmpty():
-        raise EmptySource(path)
-    return rows
+    return contract_rows(CsvSource.open(spark, path), schema)[0].drop(*PLACE)
 
 
-def record_options(spark: SparkSession, path: str) -> dict:
-    """Reader options for CSV with a header, whole records whatever their line breaks."""
-    return {"header": True, "escape": '"', "multiLine": has_quoted_breaks(spark, path)}
+def contract_rows(source: CsvSource, schema: T.StructType) -> tuple[DataFrame, list[str]]:
+    """Rows of a source whose header must equal ``schema``, with the columns that order them."""
+    check_columns(source.columns(), schema.fieldNames())
+    rows, order = source.ordered(schema)
+    if rows.isEmpty():
+        raise EmptySource(source.path)
+    return rows, order
 
 
 def header_cells(header: str, delimiter: str) -> list[str]:
@@ -92,20 +169,20 @@ def read_text_csv(
     schema = T.StructType(
         [T.StructField(name, T.StringType()) for name in [*names, BAD_RECORD]]
     )
-    rows = (
-        spark.read.schema(schema)
-        .options(
+    if multi_line:
+        rows = read_records(spark, paths, schema, delimiter, columnNameOfCorruptRecord=BAD_RECORD)
+        file = F.col(PLACE[0])
+    else:
+        rows = spark.read.schema(schema).options(
             header=True,
             sep=delimiter,
             escape='"',
-            multiLine=multi_line,
             mode="PERMISSIVE",
             columnNameOfCorruptRecord=BAD_RECORD,
-        )
-        .csv(paths)
-    )
-    key = relative_key(decoded_path(F.col("_metadata.file_path")), qualified(spark, root))
-    return rows.withColumn(SOURCE_FILE, key), names
+        ).csv(paths)
+        file = decoded_path(F.col("_metadata.file_path"))
+    key = relative_key(file, qualified(spark, root))
+    return rows.withColumn(SOURCE_FILE, key).drop(*PLACE), names
 
 
 def with_audit(df: DataFrame, source_file: str) -> DataFrame:
