@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import (
     Column,
@@ -67,7 +68,7 @@ class CsvSource:
         """The header of the first file. Records have to have one header in all files."""
         if not self.quoted:
             return self._reader().csv(self.path).columns
-        found = headers(csv_records(self.spark, [self.path])).select("header").distinct().take(2)
+        found = headers(self._records).select("header").distinct().take(2)
         if len(found) > 1:
             raise ContractError(f"files with different headers: {[r['header'] for r in found]}")
         return header_cells(found[0]["header"], ",") if found else []
@@ -80,7 +81,7 @@ class CsvSource:
     def ordered(self, schema: T.StructType) -> tuple[DataFrame, list[str]]:
         """Rows with further columns that sort them as they stand in their files."""
         if self.quoted:
-            rows = read_records(self.spark, [self.path], schema)
+            rows = record_rows(self._records, schema)
             order = dict(zip(PLACE, map(F.col, PLACE)))
         else:
             # The header is compared in every file when the reader comes to it.
@@ -92,6 +93,10 @@ class CsvSource:
         """All cells as text."""
         return self.rows(T.StructType([T.StructField(c, T.StringType()) for c in self.columns()]))
 
+    @cached_property
+    def _records(self) -> DataFrame:
+        return csv_records(self.spark, [self.path])
+
     def _reader(self) -> DataFrameReader:
         return self.spark.read.options(header=True, escape='"')
 
@@ -105,11 +110,10 @@ def scan_order() -> list[Column]:
     ]
 
 
-def read_records(
-    spark: SparkSession, paths: list[str], schema: T.StructType, delimiter: str = ",", **options: str
+def record_rows(
+    records: DataFrame, schema: T.StructType, delimiter: str = ",", **options: str
 ) -> DataFrame:
     """The records below the headers as rows, with the columns ``PLACE`` for their place."""
-    records = csv_records(spark, paths, delimiter)
     place = ["path", "block", "line_no"]
     below = records.join(headers(records).select(place), place, "left_anti")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -170,7 +174,8 @@ def read_text_csv(
         [T.StructField(name, T.StringType()) for name in [*names, BAD_RECORD]]
     )
     if multi_line:
-        rows = read_records(spark, paths, schema, delimiter, columnNameOfCorruptRecord=BAD_RECORD)
+        records = csv_records(spark, paths, delimiter)
+        rows = record_rows(records, schema, delimiter, columnNameOfCorruptRecord=BAD_RECORD)
         file = F.col(PLACE[0])
     else:
         rows = spark.read.schema(schema).options(

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..session import staged
 from .listing import decoded_path
 
 BYTE_ORDER_MARK = chr(0xFEFF)
@@ -56,8 +57,8 @@ def state_after(value: Column, delimiter: str, inside: bool) -> Column:
 
 
 def _composed(lines: DataFrame, delimiter: str) -> DataFrame:
-    """Per line, for a split that begins outside (0) and inside (1) of a field: the state before and
-    after it, whether the next line starts a record, and the line that its record starts on."""
+    """Per line, for a split that begins outside (0) and inside (1) of a field: the state after it and
+    the line that its record starts on."""
     split = Window.partitionBy("path", "block").orderBy("line_no")
     upto = split.rowsBetween(Window.unboundedPreceding, 0)
     mapped = lines.withColumns(
@@ -77,8 +78,10 @@ def _composed(lines: DataFrame, delimiter: str) -> DataFrame:
         after = after.withColumn(f"before{begin}", before)
         starts = F.when(F.col(f"before{begin}") == 0, F.col("line_no"))
         after = after.withColumn(f"start{begin}", F.last(starts, ignorenulls=True).over(upto))
-    # Null where the split ends: the record may go on in the next one.
-    return after.withColumn("is_last", F.lead("line_no").over(split).isNull())
+    # The record of a split's last line may go on in the next one.
+    is_last = F.lead("line_no").over(split).isNull().alias("is_last")
+    states = [f"{name}{begin}" for begin in (0, 1) for name in ("after", "start")]
+    return after.select("path", "block", "line_no", "value", *states, is_last)
 
 
 def _split_starts(composed: DataFrame) -> DataFrame:
@@ -117,9 +120,10 @@ def csv_records(spark: SparkSession, paths: list[str], delimiter: str = ",") ->
     """(path, block, line_no, text): the records of the files, at the place where each begins.
 
     Records that are blank are left out. The lines of a record are joined by line feeds. ``block`` and
-    ``line_no`` are those of its first line, so a file's records come in their order.
+    ``line_no`` are those of its first line, so a file's records come in their order. The lines are
+    written to the scratch folder once, with their states.
     """
-    composed = _composed(text_lines(spark, paths), delimiter)
+    composed = staged(_composed(text_lines(spark, paths), delimiter), "lines")
     placed = composed.join(_split_starts(composed), ["path", "block"])
     inside = F.col("inside") == 1
     start = F.when(inside, F.col("start1")).otherwise(F.col("start0"))
