@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.replace import SOURCE_BUCKET
 from ..session import scratch_path
 from ..streaming.ingest import dropped_files, stream_ingest, stream_upsert
-from ..streaming.rates import sliding_rate, write_rates
+from ..streaming.rates import all_rates, sliding_rate, write_rates
 from .common import load, monthly_sales, plain
 
 BUCKETS = 8
@@ -47,8 +47,7 @@ def _with_time(events: DataFrame) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def rate_window(spark: SparkSession, folder: str) -> DataFrame:
-    """Rates from a stream; windows after the latest event less the delay stay open."""
+def _rates_of_a_run(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "stream")
     schema = load(spark, folder, "events").schema
     events = _with_time(
@@ -56,7 +55,17 @@ def rate_window(spark: SparkSession, folder: str) -> DataFrame:
     )
     rates = sliding_rate(events, ["event_type"], "ts")
     write_rates(rates, f"{base}/rates", f"{base}/check").awaitTermination()
-    return plain(spark.read.schema(rates.schema).parquet(f"{base}/rates"))
+    return all_rates(spark, f"{base}/rates", f"{base}/check", ["event_type"])
+
+
+def rate_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates from a stream run to its end: windows it has written, and those it has left open."""
+    return plain(_rates_of_a_run(spark, folder).drop("complete"))
+
+
+def rate_open(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows that end after the latest event less the delay: the stream leaves them open."""
+    return plain(_rates_of_a_run(spark, folder).where("not complete").drop("complete"))
 
 
 def rate_window_batch(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +76,7 @@ QUERIES = {
     "stream_ingest_available_now": ingest_available_now,
     "stream_upsert_foreach_batch": upsert_foreach_batch,
     "stream_rate_window": rate_window,
+    "stream_rate_open": rate_open,
     "stream_rate_window_batch": rate_window_batch,
 }
 
@@ -88,7 +98,8 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice * 2 END AS amount,
   strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ingestion_date,
   o_orderstatus AS status, o_orderpriority AS priority FROM orders""",
-    "stream_rate_window": _RATES
-    + " WHERE rates.window_end <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'",
+    "stream_rate_window": _RATES,
+    "stream_rate_open": _RATES
+    + " WHERE rates.window_end > (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'",
     "stream_rate_window_batch": _RATES,
 }

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shoalmark.plans.sales import SOURCE_SCHEMA
 from shoalmark.streaming.ingest import dropped_files, stream_ingest, stream_upsert
-from shoalmark.streaming.rates import sliding_rate, write_rates
+from shoalmark.streaming.rates import all_rates, sliding_rate, write_rates
 
 HEADER = "order_id,customer_id,amount,country,ingestion_date\n"
 
@@ -92,3 +92,22 @@ def test_scratch_is_shared(spark):
 
     root = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(root + os.sep)
+
+
+def test_open_windows_are_read_from_the_state(spark, tmp_path):
+    """After each run, what is written and what is open make up the rates of all events so far."""
+    base = str(tmp_path)
+    start = dt.datetime(2024, 1, 1)
+    rows = [("ab"[i % 2], start + dt.timedelta(seconds=7 * i)) for i in range(120)]
+    schema = "kind string, ts timestamp"
+    for upto in (60, 120):
+        part = rows[upto - 60 : upto]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{base}/events")
+        stream = sliding_rate(spark.readStream.schema(schema).parquet(f"{base}/events"), ["kind"], "ts")
+        write_rates(stream, f"{base}/rates", f"{base}/check").awaitTermination()
+        made = all_rates(spark, f"{base}/rates", f"{base}/check", ["kind"]).collect()
+        table = sliding_rate(spark.createDataFrame(rows[:upto], schema), ["kind"], "ts").collect()
+        assert sorted(tuple(r)[:4] for r in made) == sorted(map(tuple, table))
+        mark = rows[upto - 1][1] - dt.timedelta(minutes=1)
+        assert {r["window_end"] > mark for r in made if not r["complete"]} == {True}
+        assert {r["window_end"] > mark for r in made if r["complete"]} == {False}
