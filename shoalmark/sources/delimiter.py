@@ -9,16 +9,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..functions.ordered_hash import MODULI, PLACES, moved, terms
 from ..session import held
 from .csvfiles import header_record
-from .listing import decoded_path
+from .records import BYTE_ORDER_MARK, text_lines
 
 # The delimiters tried and the fallback.
 DELIMITERS = (",", ";", "\t", "|")
 FALLBACK = ","
-BYTE_ORDER_MARK = chr(0xFEFF)
 _COUNTS = [f"c{i}" for i in range(len(DELIMITERS))]
 
 
@@ -31,38 +31,43 @@ def _with_counts(lines: DataFrame) -> DataFrame:
     return lines.withColumns({c: _occurrences(bare, d) for c, d in zip(_COUNTS, DELIMITERS)})
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lines with their file, block and number; a file that has gone meanwhile has none."""
-    return (
-        spark.read.option("ignoreMissingFiles", True)
-        .text(paths)
-        .select(
-            decoded_path(F.col("_metadata.file_path")).alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line_no"),
-            F.ltrim("value", F.lit(BYTE_ORDER_MARK)).alias("value"),
-        )
-        .where("value <> ''")
-    )
-
-
 def _line_kinds(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Per file and kind of line: how many, the sum of their hashes, odd quotes, the first line."""
+    """Per split of a file and kind of line: how many, the first of them, odd quotes, hash in order.
+
+    A file that has gone meanwhile has no lines. Everything that is told of a file comes from this scan.
+    """
+    lines = text_lines(spark, paths).withColumn("value", F.ltrim("value", F.lit(BYTE_ORDER_MARK)))
+    place = F.col("line_no").bitwiseAND(PLACES - 1)
+    hashes = terms(F.col("value"), place)
     return (
-        _with_counts(_lines(spark, paths))
-        .groupBy("path", *_COUNTS)
+        _with_counts(lines)
+        .groupBy("path", "block", (F.col("value") == "").alias("blank"), *_COUNTS)
         .agg(
             F.count("*").alias("n"),
-            F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("hashes"),
+            F.min(place).alias("place"),
+            *[F.sum(h).alias(f"hash{i}") for i, h in enumerate(hashes)],
             F.max(_occurrences(F.col("value"), '"') % 2).alias("odd"),
-            F.min(F.when(F.col("block") == 0, F.col("line_no"))).alias("line_no"),
+            F.min(F.struct("block", "line_no", "value")).alias("first"),
         )
     )
 
 
-def _first_lines(spark: SparkSession, paths: list[str], kinds: DataFrame) -> DataFrame:
-    firsts = kinds.groupBy("path").agg(F.min("line_no").alias("line_no"))
-    return _lines(spark, paths).where("block = 0").join(firsts, ["path", "line_no"]).select("path", "value")
+def _tags(kinds: DataFrame) -> DataFrame:
+    """(path, tag) of all lines in their order, blank ones too, however the file was split."""
+    names = [f"hash{i}" for i in range(len(MODULI))]
+    splits = kinds.groupBy("path", "block").agg(
+        F.sum("n").alias("n"), F.min("place").alias("place"), *[F.sum(h).alias(h) for h in names]
+    )
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.coalesce(F.sum("n").over(before), F.lit(0))
+    placed = splits.withColumn("at", F.pmod(at, F.lit(PLACES)))
+    parts = placed.select(
+        "path",
+        "n",
+        *[h.alias(name) for h, name in zip(moved([F.col(h) for h in names], F.col("place"), F.col("at")), names)],
+    )
+    total = [F.sum(h) % p for h, (p, _) in zip(names, MODULI)]
+    return parts.groupBy("path").agg(F.concat_ws("-", F.sum("n"), *total).alias("tag"))
 
 
 def _open_quote(text: str) -> Column:
@@ -78,20 +83,21 @@ def _agreeing(name: str, wanted: str) -> Column:
     return F.sum(F.when(same, F.col("n")).otherwise(0))
 
 
-def _with_delimiter(kinds: DataFrame, firsts: DataFrame) -> DataFrame:
+def _with_delimiter(kinds: DataFrame) -> DataFrame:
     """``path, etag, delimiter, header, multi_line``.
 
     A delimiter scores the lines that hold it as often as the first line does, quoted text left out,
     provided that the first line holds it at all; where the first line ends inside a quoted field, it
     scores the lines that hold it. The best score wins, a tie goes to the order of
-    ``DELIMITERS``. At least half of the lines have to agree, otherwise the fallback is used. The
-    tag is that of the lines as a set with repetition and of the header.
+    ``DELIMITERS``. At least half of the lines have to agree, otherwise the fallback is used. Blank
+    lines count for the tag only, which is that of all lines in their order.
     """
+    tags, kinds = _tags(kinds), kinds.where("not blank")
+    firsts = kinds.groupBy("path").agg(F.min("first").alias("first")).select("path", "first.value")
     wanted = {c: f"wanted_{c}" for c in _COUNTS}
     first = _with_counts(firsts).withColumnsRenamed(wanted)
     scored = kinds.join(first, "path").groupBy("path", "value").agg(
         F.sum("n").alias("lines"),
-        F.sum("hashes").alias("hashes"),
         (F.max("odd") == 1).alias("multi_line"),
         *[_agreeing(c, w).alias(f"score_{c}") for c, w in wanted.items()],
     )
@@ -99,9 +105,9 @@ def _with_delimiter(kinds: DataFrame, firsts: DataFrame) -> DataFrame:
     chosen = F.when((best == 0) | (best * 2 < F.col("lines")), FALLBACK)
     for c, d in zip(_COUNTS, DELIMITERS):
         chosen = chosen.when(F.col(f"score_{c}") == best, d)
-    return scored.select(
+    return scored.join(tags, "path").select(
         "path",
-        F.md5(F.concat_ws("-", "lines", "hashes", "value")).alias("etag"),
+        F.md5("tag").alias("etag"),
         chosen.alias("delimiter"),
         F.col("value").alias("header"),
         "multi_line",
@@ -116,7 +122,7 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> Iterator[DataFrame]:
     a field; the others can be read in splits later.
     """
     with held(_line_kinds(spark, paths), "lines") as kinds:
-        with held(_with_delimiter(kinds, _first_lines(spark, paths, kinds)), "dialects") as found:
+        with held(_with_delimiter(kinds), "dialects") as found:
             yield _whole_headers(spark, found)
 
 

@@ -102,3 +102,37 @@ def test_long_lines(spark, tmp_path):
     (tmp_path / "t" / "f.csv").write_text("\n".join(lines) + "\n")
     found = _probe(spark, str(tmp_path))["t/f.csv"]
     assert (found["delimiter"], found["header"], found["multi_line"]) == ("|", lines[0], False)
+
+
+def test_tag_knows_the_order_of_lines_and_blank_ones(spark, tmp_path):
+    """Also lines that any sum of moments takes for equal; the splits of a file make no difference."""
+    cell = 'id,t\n1,"{}"\n'
+    odd = "abbabaabbaababba"
+    texts = {
+        "plain": cell.format("x\nb\nc\ny"),
+        "swapped": cell.format("x\nc\nb\ny"),
+        "blank": cell.format("x\n\n\nb\nc\ny"),
+        "odd": cell.format("\n".join(odd)),
+        "even": cell.format("\n".join(odd.translate({97: 98, 98: 97}))),
+        "long": "id,t\n" + "".join(f"{i},{i * i}\n" for i in range(500)),
+        "touched": "id,t\n" + "".join(f"{i},{i * i}\n" for i in range(500)),
+        "moved": "id,t\n" + "".join(f"{i},{i * i}\n" for i in (*range(1, 500), 0)),
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before, seen = {n: spark.conf.get(n) for n in names}, []
+    try:
+        for size in ("97", "1000", "100000000"):
+            spark.conf.set(names[0], size)
+            spark.conf.set(names[1], "0")
+            with fingerprint(spark, [str(tmp_path / f"{n}.csv") for n in texts]) as found:
+                rows = {r["path"].rsplit("/", 1)[1][:-4]: r for r in found.collect()}
+            assert {r["header"] for r in rows.values()} == {"id,t"}
+            seen.append({n: r["etag"] for n, r in rows.items()})
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert seen[0] == seen[1] == seen[2]
+    assert seen[0]["long"] == seen[0]["touched"]
+    assert len(set(seen[0].values())) == len(texts) - 1
