@@ -61,7 +61,8 @@ def training_labels(labels: DataFrame, label: str, modulus: int, rest: int, rows
         .groupBy("doc_id")
         .agg(F.max(F.col(label).cast("int")).alias("y"))
     )
-    return hash_sample(known, rows, known.count(), "doc_id").limit(rows)
+    drawn = hash_sample(known, rows, known.count(), "doc_id")
+    return drawn.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(rows)
 
 
 def hash_sample(df: DataFrame, rows: int, of: int, *keys: str) -> DataFrame:
@@ -115,6 +116,29 @@ def map_texts(
     return map_batches(df, run, schema)
 
 
+def text_function(
+    spark: SparkSession, make: Callable[[], Callable[[list[str]], list]], kind: pa.DataType,
+    returns: str, slice_bytes: int = 2 << 20,
+) -> Callable[[Column], Column]:
+    """A function of a text column, computed by Python in slices of about ``slice_bytes``.
+
+    Only the texts are sent to Python; the other columns of a row stay where they are. A null text is
+    handed over as the empty text. ``make`` runs once per task and returns the function from texts to
+    values, which have the Arrow type ``kind`` and the Spark type ``returns``.
+    """
+    ship(spark)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        work = make()
+        for texts in batches:
+            found = [pa.array([], kind)]
+            for part in byte_slices(pa.RecordBatch.from_arrays([texts], names=["text"]), slice_bytes):
+                found.append(pa.array(work([t or "" for t in part.column("text").to_pylist()]), kind))
+            yield pa.concat_arrays(found)
+
+    return F.arrow_udf(run, returns)
+
+
 def byte_slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no slice of several rows holds more than ``most`` bytes of text."""
     sizes = np.asarray([0 if v is None else v for v in _lengths(batch)], dtype=np.int64)

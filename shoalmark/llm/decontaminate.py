@@ -1,11 +1,15 @@
 """Benchmark decontamination with suffix arrays of the training texts.
 
 Each shard of documents, a few megabytes inside a task, gets a suffix array over its words. Every
-test suffix is looked up in it by binary search; the range of training suffixes that begin with its
-window gives all verbatim occurrences and their places, and each occurrence is extended to the
-longest match. Suffixes that begin with a word pair that no test text has cannot be found by any
-search and are left out of the array. Test texts are sent to the tasks in blocks of bounded size,
-one pass for each block, and nothing is shuffled.
+distinct window of the test texts is looked up in it by binary search; the range of training suffixes
+that begin with it gives all verbatim occurrences and their places. Suffixes that begin with a word
+pair that no test text has cannot be found by any search and are left out of the array.
+
+The words that are hit, and the test texts they come from, are put into one further suffix array, by
+doubling of prefixes. Next to a training suffix stands the test suffix with which it shares most
+words, so the longest matches cost no more than sorting, however long or repetitive they are.
+
+Test texts are sent to the tasks in blocks of bounded size, and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -17,41 +21,62 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_slices, map_batches
+from .common import text_function
 from .words import ALPHANUMERIC, word_hashes
 
 #: Words in a block of test texts: 8 bytes each, and ten times as much for the searched windows.
 BLOCK_WORDS = 400_000
 _SHARD_BYTES = 2 << 20
-_SPAN = "array<struct<start:int,len:int,longest:int,item:string,item_start:int>>"
-_SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("len", pa.int32()), ("longest", pa.int32()),
-                                 ("item", pa.string()), ("item_start", pa.int32())]))
+_FOUND = "struct<n_words:bigint,items:array<string>,spans:array<struct<start:int,longest:int,item:string,item_start:int>>>"
+_FOUND_TYPE = pa.struct([
+    ("n_words", pa.int64()), ("items", pa.list_(pa.string())),
+    ("spans", pa.list_(pa.struct([("start", pa.int32()), ("longest", pa.int32()),
+                                  ("item", pa.string()), ("item_start", pa.int32())]))),
+])
+
+
+@dataclass
+class Windows:
+    """The distinct windows of one length: a place of each, and the numbers of the texts that hold it."""
+
+    places: np.ndarray
+    offsets: np.ndarray
+    holders: np.ndarray
 
 
 @dataclass
 class TestBlock:
-    """Test suffixes that are at least one window long, grouped by the length of their window."""
+    """The words of the distinct test texts one after the other, and their windows by length."""
 
     words: np.ndarray
-    ends: np.ndarray  # for each word, the end of its item
-    items: list[str]
-    item_of: np.ndarray
-    starts: dict[int, np.ndarray]  # window length: word positions of suffixes
+    ends: np.ndarray  # for each word, the end of its text
+    text_of: np.ndarray  # for each word, the number of its text
+    starts: np.ndarray  # for each text, its first word
+    items: list[list[str]]  # for each text, the items that have it
+    windows: dict[int, Windows]
 
     @classmethod
     def of(cls, rows: list[tuple[str, str]], window: int) -> TestBlock:
-        words, counts = word_hashes([t for _, t in rows], ALPHANUMERIC)
+        by_text: dict[str, list[str]] = {}
+        for item, text in rows:
+            by_text.setdefault(text, []).append(item)
+        words, counts = word_hashes(list(by_text), ALPHANUMERIC)
         stops = np.cumsum(counts)
-        starts: dict[int, list[np.ndarray]] = {}
-        for stop, n in zip(stops, counts):
-            if n:
-                length = int(min(window, n))
-                starts.setdefault(length, []).append(np.arange(stop - n, stop - length + 1))
-        return cls(
-            words, np.repeat(stops, counts), [i for i, _ in rows],
-            np.repeat(np.arange(len(rows)), counts),
-            {k: np.concatenate(v) for k, v in starts.items()},
-        )
+        ends, text_of = np.repeat(stops, counts), np.repeat(np.arange(len(counts)), counts)
+        windows = {}
+        for length in np.unique(np.minimum(window, counts[counts > 0])).tolist():
+            long = counts >= window if length == window else counts == length
+            inside = long[text_of] if len(words) else np.zeros(0, bool)
+            at = np.flatnonzero(inside & (np.arange(len(words)) + length <= ends))
+            keys = _columns(words, ends, at, length)
+            order = np.lexsort(keys[::-1])
+            new = np.ones(len(at), bool)
+            new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+            pairs = np.unique((np.cumsum(new) - 1) * len(counts) + text_of[at[order]])
+            which, holders = np.divmod(pairs, len(counts))
+            offsets = np.searchsorted(which, np.arange(int(new.sum()) + 1))
+            windows[length] = Windows(at[order][new], offsets, holders)
+        return cls(words, ends, text_of, stops - counts, list(by_text.values()), windows)
 
 
 def _columns(words: np.ndarray, ends: np.ndarray, at: np.ndarray, width: int) -> list[np.ndarray]:
@@ -98,40 +123,101 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a * np.uint64(0x9E3779B97F4A7C15) + b
 
 
-def occurrences(texts: list[str], block: TestBlock, window: int) -> tuple[np.ndarray, ...]:
-    """Word counts of the texts, and of each occurrence: text, place in it, window, test place, longest."""
+@dataclass
+class Matches:
+    """What a shard has in common with a block of test texts."""
+
+    counts: np.ndarray  # words of each document
+    documents: np.ndarray  # distinct pairs of a document and a test text with a window in it
+    texts: np.ndarray
+    starts: np.ndarray  # matches that lie in no earlier one: word of the shard, words, place in the block
+    longest: np.ndarray
+    test_places: np.ndarray
+
+
+def matches(texts: list[str], block: TestBlock, window: int) -> Matches:
+    """All matches of the texts; the work is that of sorting their words and those of the test texts."""
     words, counts = word_hashes(texts, ALPHANUMERIC)
-    ends = np.repeat(np.cumsum(counts), counts)
-    none = np.zeros(0, np.int64)
-    if not len(words) or not block.starts:
-        return counts, none, none, none, none, none
-    long = np.concatenate([v for k, v in block.starts.items() if k > 1] or [none])
-    pairs = _pair(block.words[long], block.words[long + 1]) if len(long) else none.astype(np.uint64)
-    array = SuffixArray(words, ends, window, block.words[block.starts.get(1, none)], np.unique(pairs))
-    found = []
-    for length, starts in block.starts.items():
-        if not len(array.places):
-            break
-        wanted = _columns(block.words, block.ends, starts, length)
+    ends, owner = np.repeat(np.cumsum(counts), counts), np.repeat(np.arange(len(counts)), counts)
+    longest, source = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    long = np.concatenate([w.places for k, w in block.windows.items() if k > 1] or [np.zeros(0, np.int64)])
+    single = block.windows[1].places if 1 in block.windows else long[:0]
+    pairs = np.unique(_pair(block.words[long], block.words[long + 1])) if len(long) else np.zeros(0, np.uint64)
+    array = SuffixArray(words, ends, window, block.words[single], pairs)
+    held = [np.zeros(0, np.int64)]
+    for length in sorted(block.windows) if len(array.places) else ():
+        found = block.windows[length]
+        wanted = _columns(block.words, block.ends, found.places, length)
         low, high = array.search(wanted, False), array.search(wanted, True)
         many = high - low
-        total = int(many.sum())
-        if total:
-            rank = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(total)
-            found.append((array.places[rank], np.full(total, length), np.repeat(starts, many)))
-    if not found:
-        return counts, none, none, none, none, none
-    place, length, test = (np.concatenate(x) for x in zip(*found))
-    longest, growing = length.copy(), np.arange(len(place))
-    while len(growing):
-        p, t = place[growing] + longest[growing], test[growing] + longest[growing]
-        going = (p < ends[place[growing]]) & (t < block.ends[test[growing]])
-        going[going] = words[p[going]] == block.words[t[going]]
-        growing = growing[going]
-        longest[growing] += 1
-    text = np.searchsorted(np.cumsum(counts), place, side="right")
-    begins = np.cumsum(counts) - counts
-    return counts, text, place - begins[text], length, test, longest
+        which = np.repeat(np.arange(len(many)), many)
+        place = array.places[np.repeat(low - (np.cumsum(many) - many), many) + np.arange(len(which))]
+        longest[place], source[place] = length, found.places[which]
+        seen = np.unique(owner[place] * len(many) + which)
+        documents, which = np.divmod(seen, len(many))
+        many = found.offsets[which + 1] - found.offsets[which]
+        holders = found.holders[np.repeat(found.offsets[which] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
+        held.append(np.unique(np.repeat(documents, many) * len(block.items) + holders))
+        if length == window and len(place):
+            place = np.sort(place)
+            involved = np.unique(holders)
+            longest[place], source[place] = _longest(words, ends, place, block, involved, window)
+    documents, which = np.divmod(np.unique(np.concatenate(held)), max(1, len(block.items)))
+    starts = np.flatnonzero(longest)
+    upto = starts + longest[starts]
+    farthest = np.concatenate([[0], np.maximum.accumulate(upto)[:-1]]) if len(upto) else upto
+    starts = starts[upto > farthest]
+    return Matches(counts, documents, which, starts, longest[starts], source[starts])
+
+
+def _longest(
+    words: np.ndarray, ends: np.ndarray, places: np.ndarray, block: TestBlock, texts: np.ndarray, window: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each place, at which a window of ``texts`` begins: the words of the longest match, and its test place."""
+    depth = np.zeros(len(words) + 1, np.int64)
+    depth[places] += 1
+    np.subtract.at(depth, places + window, 1)
+    hit = np.flatnonzero(np.cumsum(depth)[:-1])
+    breaks = np.ones(len(hit), bool)
+    breaks[1:] = (hit[1:] != hit[:-1] + 1) | (ends[hit[1:]] != ends[hit[:-1]])
+    tested = np.flatnonzero(np.isin(block.text_of, texts))
+    test_breaks = np.ones(len(tested), bool)
+    test_breaks[1:] = block.text_of[tested[1:]] != block.text_of[tested[:-1]]
+    # All runs in a row, each behind a mark that equals nothing else, and one more mark at the end.
+    new = np.concatenate([breaks, test_breaks])
+    at = np.arange(len(new)) + np.cumsum(new)
+    size = int(at[-1]) + 2
+    values, codes = np.unique(np.concatenate([words[hit], block.words[tested]]), return_inverse=True)
+    ranks = np.zeros(size, np.int64)
+    marks = np.ones(size, bool)
+    marks[at] = False
+    ranks[marks], ranks[at] = len(values) + np.arange(int(marks.sum())), codes
+    levels, width = [ranks], 1
+    while levels[-1].max() + 1 < size:
+        follow = np.zeros(size, np.int64)
+        follow[:-width] = levels[-1][width:] + 1
+        levels.append(np.unique(levels[-1] * (size + 1) + follow, return_inverse=True)[1])
+        width *= 2
+    sorted_places = np.argsort(levels[-1])
+    origin = np.full(size, -1, np.int64)
+    origin[at[len(hit) :]] = tested
+    ranked = np.arange(size)
+    is_test = origin[sorted_places] >= 0
+    above = np.maximum.accumulate(np.where(is_test, ranked, -1))
+    below = np.minimum.accumulate(np.where(is_test, ranked, size)[::-1])[::-1]
+    own = at[np.searchsorted(hit, places)]
+    best, source = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+    for near in (above[levels[-1][own]], below[levels[-1][own]]):
+        there = np.flatnonzero((near >= 0) & (near < size))
+        a, b = own[there], sorted_places[near[there]]
+        other, length = origin[b], np.zeros(len(there), np.int64)
+        for k in reversed(range(len(levels))):
+            same = levels[k][a] == levels[k][b]
+            step = np.where(same, 1 << k, 0)
+            a, b, length = a + step, b + step, length + step
+        more = length > best[there]
+        best[there[more]], source[there[more]] = length[more], other[more]
+    return best, source
 
 
 def _blocks(benchmark: DataFrame, window: int) -> Iterator[TestBlock]:
@@ -150,48 +236,48 @@ def _blocks(benchmark: DataFrame, window: int) -> Iterator[TestBlock]:
 
 
 def find_matches(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """All columns of ``documents`` as ``row``, with n_words and the places of test windows.
+    """All columns of ``documents`` as ``row``, with n_words, items and spans.
 
-    ``spans`` has for each occurrence: its first word and length in the document, the length of the
-    longest verbatim match from there, the item, and the first word of the window in the item.
+    ``items`` lists the items of which a window occurs. ``spans`` has, in order, the longest verbatim
+    matches that do not lie inside an earlier one: the first word in the document, the number of words,
+    one item and the place there. They cover all words that are hit. An item that is larger than a block
+    of test texts has a block of its own.
     """
-    found = documents.select(
-        F.struct("*").alias("row"), F.col("text"), F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast(_SPAN).alias("spans"),
-    )
-    kind = documents.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    schema = f"`row` {kind}, text string, n_words bigint, spans {_SPAN}"
+    spark = documents.sparkSession
+    parts = []
     for block in _blocks(benchmark, window):
-        shared = documents.sparkSession.sparkContext.broadcast(block)
-        found = map_batches(found, _search_pass(shared, window), schema)
-    return found.drop("text")
+        shared = spark.sparkContext.broadcast(block)
+        search = text_function(spark, _searcher(shared, window), _FOUND_TYPE, _FOUND, _SHARD_BYTES)
+        parts.append(search(F.col("text")))
+    names = [f"found{i}" for i in range(len(parts))]
+    found = documents.select(F.struct("*").alias("row"), *[p.alias(n) for p, n in zip(parts, names)])
+    joined = lambda field: F.flatten(F.array(*[F.col(f"{n}.{field}") for n in names]))
+    spans = joined("spans") if len(parts) == 1 else F.array_sort(joined("spans"))
+    return found.select(
+        "row", F.col("found0.n_words").alias("n_words"),
+        F.array_sort(F.array_distinct(joined("items"))).alias("items"), spans.alias("spans"),
+    )
 
 
-def _search_pass(shared, window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _searcher(shared, window: int):
+    def work(texts: list[str]) -> list[dict]:
         block = shared.value
-        for batch in batches:
-            for part in byte_slices(batch, _SHARD_BYTES):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                counts, text, place, length, test, longest = occurrences(texts, block, window)
-                spans = part.column("spans").to_pylist()
-                item = block.item_of[test]
-                first = test - np.searchsorted(block.item_of, item)
-                for t, *values in zip(*(x.tolist() for x in (text, place, length, longest, item, first))):
-                    spans[t].append((*values[:3], block.items[values[3]], values[4]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("text"), pa.array(counts, pa.int64()),
-                     pa.array([[_named(s) for s in x] for x in spans], _SPAN_TYPE)],
-                    names=["row", "text", "n_words", "spans"],
-                )
-
-    return run
-
-
-def _named(span) -> dict:
-    if isinstance(span, dict):
-        return span
-    return dict(zip(("start", "len", "longest", "item", "item_start"), span))
+        found = matches(texts, block, window)
+        rows = [{"n_words": n, "items": [], "spans": []} for n in found.counts.tolist()]
+        for d, t in zip(found.documents.tolist(), found.texts.tolist()):
+            rows[d]["items"] += block.items[t]
+        ends = np.cumsum(found.counts)
+        owner = np.searchsorted(ends, found.starts, side="right")
+        inside = found.starts - (ends - found.counts)[owner]
+        text = block.text_of[found.test_places]
+        first = found.test_places - block.starts[text]
+        named = {t: min(block.items[t]) for t in set(text.tolist())}
+        for d, start, longest, t, place in zip(*(x.tolist() for x in (owner, inside, found.longest, text, first))):
+            span = {"start": start, "longest": longest, "item": named[t], "item_start": place}
+            rows[d]["spans"].append(span)
+        return rows
+
+    return lambda: work
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -206,8 +292,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10)
     document is hit; no documents give no rows; further columns stay in ``row``.
     """
     found = find_matches(documents, benchmark, window)
-    items = F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["item"])))
-    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("a"), (s["start"] + s["len"]).alias("b"))))
+    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("a"), (s["start"] + s["longest"]).alias("b"))))
     start = F.struct(F.lit(0).alias("upto"), F.lit(0).alias("hit"))
     covered = F.aggregate(
         ordered,
@@ -218,7 +303,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10)
         ),
         lambda s: s["hit"],
     )
-    made = found.select("row", "n_words", "spans", covered.cast("bigint").alias("n_hit"), items.alias("items"))
+    made = found.select("row", "n_words", "spans", covered.cast("bigint").alias("n_hit"), "items")
     return made.select(
         "row", "n_words", "n_hit",
         F.size("items").cast("bigint").alias("n_items"),

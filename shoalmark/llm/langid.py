@@ -25,7 +25,7 @@ _KNOWN_WORDS = 400_000
 
 
 def codewords(k: int, seed: int = 3) -> np.ndarray:
-    """A matrix of +1 and -1, a row for each of ``k`` languages, rows far apart, no equal columns.
+    """A matrix of +1 and -1, a row for each of ``k`` languages, rows far apart, no equal or opposite columns.
 
     Up to six languages get every split into two groups; more get the best of some random codes.
     """
@@ -36,9 +36,15 @@ def codewords(k: int, seed: int = 3) -> np.ndarray:
         return np.array([[1 if s >> i & 1 else -1 for s in splits] for i in range(k)], np.int8)
     rng, bits, best = np.random.default_rng(seed), max(16, int(10 * np.ceil(np.log2(k)))), None
     for _ in range(60):
-        code = rng.choice(np.array([-1, 1], np.int8), (k, bits))
+        columns: dict[bytes, np.ndarray] = {}
+        while len(columns) < bits:
+            column = rng.choice(np.array([-1, 1], np.int8), k)
+            column *= column[0]  # a split and its opposite are one
+            if abs(int(column.sum())) < k:
+                columns[column.tobytes()] = column
+        code = np.stack(list(columns.values()), axis=1)
         apart = min((code[i] != code[j]).sum() for i, j in combinations(range(k), 2))
-        if (np.abs(code.sum(0)) < k).all() and (best is None or apart > best[0]):
+        if best is None or apart > best[0]:
             best = (apart, code)
     return best[1]
 
@@ -103,6 +109,9 @@ def _margins(weights: np.ndarray):
         if start + len(new) > len(table):
             table = np.vstack([table[:start], np.zeros((start + 2 * len(new), bits + 1), np.float32)])
         at, owners = ngrams(new)
+        # Runs of fractions, superscripts and the like hold no letter and tell nothing.
+        lettered = np.fromiter((any(map(str.isalpha, w)) for w in new), bool, len(new))
+        at, owners = at[lettered[owners]], owners[lettered[owners]]
         for b in range(bits):
             table[start : start + len(new), b] = np.bincount(owners, weights[at, b], len(new))
         table[start : start + len(new), bits] = np.bincount(owners, minlength=len(new))
@@ -110,11 +119,11 @@ def _margins(weights: np.ndarray):
         sizes = np.array([len(s) for s in split])
         ids = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, sizes.sum())
         total = np.zeros((len(texts), bits + 1))
-        has = sizes > 0
-        if has.any():
-            starts = (np.cumsum(sizes) - sizes)[has]
-            total[has] = np.add.reduceat(table[ids].astype(np.float64), starts, axis=0)
-        return total[:, :bits] / np.maximum(1, total[:, bits:]), has
+        worded = sizes > 0
+        if worded.any():
+            starts = (np.cumsum(sizes) - sizes)[worded]
+            total[worded] = np.add.reduceat(table[ids].astype(np.float64), starts, axis=0)
+        return total[:, :bits] / np.maximum(1, total[:, bits:]), total[:, bits] > 0
 
     return run
 

@@ -111,7 +111,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _indexed(vectors: DataFrame, shared, width: int) -> DataFrame:
-    """(key, vector, ids, leaves): the leaf of every distinct vector in every tree."""
+    """(key, first, vector, ids, leaves): the leaf of every distinct vector in every tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = shared.value
@@ -122,7 +122,7 @@ def _indexed(vectors: DataFrame, shared, width: int) -> DataFrame:
                 names=[*batch.schema.names, "leaves"],
             )
 
-    return map_batches(vectors, run, "key bigint, vector array<double>, ids array<bigint>, leaves array<bigint>")
+    return map_batches(vectors, run, "key bigint, first bigint, vector array<double>, ids array<bigint>, leaves array<bigint>")
 
 
 def _visited(priorities: np.ndarray, sizes: np.ndarray, wanted: float) -> np.ndarray:
@@ -142,17 +142,23 @@ def _searched(index: DataFrame, shared, width: int, most: int) -> DataFrame:
         queries, keys, visited = shared.value
         best_score = np.full((len(queries), 0), -np.inf)
         best_key, best_ids = np.zeros((len(queries), 0), np.int64), {}
+        best_first = np.zeros((len(queries), 0), np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
                 leaves = _matrix(part.column("leaves"), visited.shape[1]).astype(np.int64)
                 score = _reranked(queries, _matrix(part.column("vector"), width), leaves, visited)
-                key = np.broadcast_to(np.array(part.column("key").to_pylist()), score.shape)
+                key, first = (
+                    np.broadcast_to(np.array(part.column(c).to_pylist()), score.shape) for c in ("key", "first")
+                )
                 score, key = np.hstack([best_score, score]), np.hstack([best_key, key])
-                # Ties go to the smaller key, which is the least id of a vector.
-                keep = np.lexsort((key, -score), axis=1)[:, :most] if score.shape[1] <= 4 * most else _best(score, key, most)
+                first = np.hstack([best_first, first])
+                # Ties go to the smaller least id of a vector, then to the key.
+                few = score.shape[1] <= 4 * most
+                keep = np.lexsort((key, first, -score), axis=1)[:, :most] if few else _best(score, first, key, most)
                 best_score = np.take_along_axis(score, keep, 1)
                 best_key = np.take_along_axis(key, keep, 1)
+                best_first = np.take_along_axis(first, keep, 1)
                 held = set(best_key[best_score > -np.inf].tolist())
                 ids = zip(part.column("key").to_pylist(), part.column("ids").to_pylist())
                 best_ids.update((k, v) for k, v in ids if k in held)
@@ -183,13 +189,13 @@ def _reranked(queries: np.ndarray, rows: np.ndarray, leaves: np.ndarray, visited
     return score
 
 
-def _best(score: np.ndarray, key: np.ndarray, most: int) -> np.ndarray:
-    """Columns of the ``most`` largest scores of each row, ties to smaller keys."""
+def _best(score: np.ndarray, first: np.ndarray, key: np.ndarray, most: int) -> np.ndarray:
+    """Columns of the ``most`` largest scores of each row, ties to smaller first ids, then keys."""
     cut = -np.partition(-score, most - 1, axis=1)[:, most - 1]
     found = np.zeros((len(score), most), np.int64)
-    for i, (s, k, c) in enumerate(zip(score, key, cut)):
+    for i, (s, f, k, c) in enumerate(zip(score, first, key, cut)):
         near = np.flatnonzero(s >= c)
-        found[i] = near[np.lexsort((k[near], -s[near]))[:most]]
+        found[i] = near[np.lexsort((k[near], f[near], -s[near]))[:most]]
     return found
 
 
@@ -207,7 +213,8 @@ def nearest(
 
     Rows without id, and vectors that are null, zero, or hold null or non-finite components, take no
     part, nor do vectors of another length than most have. A row repeated with the same id and vector
-    counts once; of several vectors with one id each is a candidate. With fewer than ``k``
+    counts once. Of several vectors with one id each is a candidate, also for the others, and a query of
+    its own, so that such an id has several rows of each rank. With fewer than ``k``
     candidates all found are returned; an empty table gives an empty result; other columns are
     ignored.
     """
@@ -232,15 +239,15 @@ def nearest(
         .selectExpr("key", "id", order).where(F.col("place") <= k + 1)
         .groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("ids"))
     )
-    distinct = staged(keys.join(first_ids, "key").select(F.col("first").alias("key"), "vector", "ids", "asked"), "distinct")
+    distinct = staged(keys.join(first_ids, "key").select("key", "first", "vector", "ids", "asked"), "distinct")
     total, norm = distinct.agg(
         F.count("*"), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)))
     ).first()
-    chosen = hash_sample(distinct, sample, total, "key").select("key", "vector").orderBy("key").limit(2 * sample)
+    chosen = hash_sample(distinct, sample, total, "first").select("first", "key", "vector").orderBy("first", "key").limit(2 * sample)
     data = np.array([r["vector"] for r in chosen.collect()], np.float64).reshape(-1, width)
     shared = spark.sparkContext.broadcast(fit(data, norm, trees, depth))
     forest = shared.value
-    index = staged(_indexed(distinct.select("key", "vector", "ids"), shared, width), "forest")
+    index = staged(_indexed(distinct.select("key", "first", "vector", "ids"), shared, width), "forest")
     sizes = np.zeros((trees, 1 << forest.depth))
     for r in (
         index.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect()
@@ -263,19 +270,23 @@ def nearest(
     candidates = found[0]
     for more in found[1:]:
         candidates = candidates.union(more)
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "ids")))
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "ids", "key")))
     best = candidates.groupBy("query").agg(ranked.alias("near"))
     # All ids of equal score are put in order of the id, whatever vector they belong to.
     listed = F.flatten(
-        F.transform("near", lambda v: F.transform(v["ids"], lambda i: F.struct(v["far"].alias("far"), i.alias("id"))))
+        F.transform(
+            "near",
+            lambda v: F.transform(
+                v["ids"], lambda i: F.struct(v["far"].alias("far"), i.alias("id"), v["key"].alias("key"))
+            ),
+        )
     )
     best = best.select("query", F.slice(F.array_sort(listed), 1, k + 1).alias("near"))
-    askers = rows.where("asks").select("id", F.xxhash64("vector").alias("hash")).distinct().join(
-        keys.select(F.col("key").alias("hash"), F.col("first").alias("query")), "hash"
-    )
+    askers = rows.where("asks").select("id", F.xxhash64("vector").alias("query")).distinct()
+    own_row = lambda v: (v["id"] == F.col("id")) & (v["key"] == F.col("query"))
     own = askers.join(best, "query").select(
         F.col("id").alias("query_id"),
-        F.posexplode(F.slice(F.filter("near", lambda v: v["id"] != F.col("id")), 1, k)).alias("rank", "v"),
+        F.posexplode(F.slice(F.filter("near", lambda v: ~own_row(v)), 1, k)).alias("rank", "v"),
     )
     return own.select(
         "query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("v.id").alias("vec_id"),

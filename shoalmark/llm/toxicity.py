@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fit_logistic, held_out, map_batches, map_texts, squash, training_labels, with_text
+from .common import fit_logistic, held_out, map_batches, map_texts, squash, text_function, training_labels, with_text
 
 #: Letters that look alike, and digits and marks written for letters.
 HOMOGLYPHS = {
@@ -264,13 +264,11 @@ def score(
 def keep_clean(documents: DataFrame, lexicon: Lexicon, threshold: float = 0.5) -> DataFrame:
     """The rows of ``documents`` whose score is below ``threshold``, with all their columns.
 
-    Rows without text are kept. The text is scored in place, so nothing is joined or shuffled.
+    Rows without text are kept. The texts alone go through Python; nothing is joined or shuffled.
     """
-    hidden, packed = "__text", "__score"
-    rows = documents.select(F.struct("*").alias(hidden), F.col("text"))
-    scored = map_texts(
-        rows,
-        lambda: (lambda measure: lambda texts: [lexicon.score(measure(texts)[0])])(_measurer(lexicon)),
-        [(packed, pa.float64(), "double")],
-    )
-    return scored.where(F.col(packed) < threshold).select(f"{hidden}.*")
+    score = text_function(
+        documents.sparkSession,
+        lambda: (lambda measure: lambda texts: lexicon.score(measure(texts)[0]))(_measurer(lexicon)),
+        pa.float64(), "double",
+    )
+    return documents.where(score(F.col("text")) < threshold)

@@ -1,8 +1,10 @@
 """Words of many texts as 64-bit hashes, without a Python object for each word.
 
-A word's hash is a polynomial over its bytes with a random value for each byte, taken from prefix
-sums modulo 2**64 and mixed afterwards. Texts are hashed in pieces of about a megabyte, cut between
-words, so that the working memory does not grow with the length of a text.
+A word's hash is the sum, modulo 2**64, of a pseudo-random number for each of its bytes and the place
+of that byte in the word, mixed afterwards. No family of words has equal hashes by construction, as
+polynomials modulo 2**64 have; two given words meet with a probability of about 2**-64. Texts are
+hashed in pieces of about a megabyte, cut between words, so that the working memory does not grow
+with the length of a text.
 """
 
 from __future__ import annotations
@@ -50,13 +52,31 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def _random(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """A pseudo-random number for each place in a word and byte there."""
+    return mix(mix((place.astype(np.uint64) << np.uint64(8)) | byte) + np.uint64(_BASE))
+
+
+#: The numbers of the first places, which most words do not go beyond.
+_FIRST = 32
+_NUMBERS = _random(np.arange(_FIRST << 8) >> 8, np.arange(_FIRST << 8, dtype=np.uint64) & np.uint64(255))
+
+
 def _hash_piece(data: np.ndarray, word: np.ndarray) -> np.ndarray:
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], word[data], [False]]).view(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
-    forward, back = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[LOWER[data]] * forward[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * back[starts])
+    inside = word[data]
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
+    lengths = edges[1::2] - edges[::2]
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    stops = np.cumsum(lengths)
+    letters = LOWER[data[inside]]
+    place = np.arange(stops[-1]) - np.repeat(stops - lengths, lengths)
+    numbers = _NUMBERS[(np.minimum(place, _FIRST - 1) << 8) | letters]
+    if lengths.max() > _FIRST:
+        far = np.flatnonzero(place >= _FIRST)
+        numbers[far] = _random(place[far], letters[far].astype(np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(numbers, dtype=np.uint64)])
+    return mix(sums[stops] - sums[stops - lengths])
 
 
 def word_hashes(texts: list[str], word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

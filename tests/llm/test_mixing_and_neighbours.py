@@ -149,3 +149,15 @@ def test_only_members_of_visited_leaves_are_scored():
     assert np.allclose(score, np.where(met.any(2), queries @ rows.T, -np.inf))
     assert sum(made) == met.sum() < 50 * 300 / 2
     assert (neighbours._reranked(queries, rows[:0], leaves[:0], visited)).shape == (50, 0)
+
+
+def test_rows_of_one_id_are_neighbours(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (21, [0.9, 0.1]), (40, [0.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    made = neighbours.nearest(vectors, F.col("vec_id") % 20 == 0, k=20).collect()
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 6)) for r in made)
+    assert got == sorted([
+        (20, 1, 21, 0.9), (20, 2, 20, 0.5), (20, 3, 40, 0.0),
+        (20, 1, 20, 0.5), (20, 2, 21, 0.5), (20, 3, 40, 0.5),
+        (40, 1, 20, 0.5), (40, 2, 21, 0.1), (40, 3, 20, 0.0),
+    ])

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shoalmark.llm import langid, quality, tokens, toxicity
+from shoalmark.llm import common, langid, quality, tokens, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
 EDGES = [
@@ -149,3 +149,38 @@ def test_token_counts(spark, documents):
         n = len(encoder.encode(text, add_special_tokens=False))
         assert (r["n_tokens"], r["n_bytes"], r["over_limit"]) == (n, len(text.encode()), n > 512), repr(text[:80])
     assert tokens.count_tokens(documents([]), path).count() == 0
+
+
+@pytest.mark.parametrize("k", [7, 9, 20])
+def test_code_columns_are_distinct_splits(k):
+    code = langid.codewords(k)
+    splits = {tuple(column * column[0]) for column in code.T}
+    assert len(splits) == code.shape[1] and (np.abs(code.sum(0)) < k).all()
+
+
+def test_texts_without_a_letter_have_no_language(spark, documents, tables):
+    model = langid.train(tables[0])
+    odd = ["½", "²", "①", "Ⅻ", "½ ² ①", "12 _ ¾", "é", "x²"]
+    rows = [(i, t, None, "s") for i, t in enumerate(odd)]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(documents(rows), model).collect()}
+    assert [got[i] == "und" for i in range(len(odd))] == [not any(map(str.isalpha, t)) for t in odd]
+
+
+def test_the_training_sample_is_the_same_on_every_cluster(spark, tables):
+    samples = set()
+    for partitions in (1, 4, 9, 31):
+        labels = tables[1].repartition(partitions)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        drawn = common.training_labels(labels, "quality", 4, 2, 50).collect()
+        samples.add(tuple(sorted(map(tuple, drawn))))
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert len(samples) == 1
+
+
+def test_clean_rows_keep_all_columns(documents, tables):
+    lexicon = toxicity.train(*tables)
+    docs = documents(EDGES)
+    kept, scored = toxicity.keep_clean(docs, lexicon), toxicity.score(docs, lexicon)
+    assert kept.columns == docs.columns
+    assert kept.count() == scored.where("predicted = 0").count()
+    assert not kept.where("text IS NULL").isEmpty()
