@@ -34,8 +34,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is taken into the mix, with ``copies`` as the number of times."""
-    return mixing.mix(docs, LEVELS, WEIGHTS).where("copies > 0").select("row.*", F.col("copies"))
+    """What is taken into the mix, with ``copies`` as the number of times.
+
+    Where the documents have such a column, in whatever case, the number is ``copies_``, and so on.
+    """
+    name, taken = "copies", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return mixing.mix(docs, LEVELS, WEIGHTS).where("copies > 0").select("row.*", F.col("copies").alias(name))
 
 
 STAGES = [
