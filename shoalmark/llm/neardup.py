@@ -21,14 +21,15 @@ the sketches of 64 with up to 1.9e-8, together about 5e-8 (binomial limits); a c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack, contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import staged
+from ..session import held, staged
 from .common import byte_slices, map_batches
 from .words import NOT_SPACE, mix, word_hashes
 
@@ -41,10 +42,19 @@ LISTED, LISTED_FEWEST = 32, 12
 LOSSLESS = 4 * min(SKETCH - FEWEST, LISTED - LISTED_FEWEST)
 #: Shingles that are compared at once inside a block, and how many of them a link shares at least.
 WIDE, WIDE_FEWEST, _COLUMNS = 256, 158, 4096
+#: Bits that show which shared retained values a class has.
+_BITS = [f"bits{i}" for i in range(4)]
 #: Ids, of some 40 bytes, that are sent to all readers of texts; more are joined by a shuffle.
 _SENT_IDS = 500_000
 
 
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``staged`` for the steps inside; their tables are removed when the steps are done."""
+    with ExitStack() as tables:
+        yield lambda df, label: tables.enter_context(held(df, label))
+
+
 def shingle_sets(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes (63 bits) of all texts, sorted within each text, and their numbers.
 
@@ -133,7 +143,12 @@ def least_shared(n: Column, kept: int = SKETCH, fewest: int = FEWEST) -> Column:
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
-    """(cls, n, prefix): the values under which a class is listed, its rarest retained ones."""
+    """(cls, n, prefix, bits, spare): the values under which a class is listed, its rarest retained ones.
+
+    ``bits0`` to ``bits3`` have a bit for each of its values that others retain, too, and ``spare`` is the
+    number of these values beyond that of the bits. So two classes share at most as many retained
+    values as they share bits, plus the lesser ``spare``.
+    """
     retained = classes.select("cls", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
     shared = retained.groupBy("value").agg(F.count("*").alias("seen")).where("seen > 1")
     ranked = (
@@ -141,52 +156,71 @@ def prefixes(classes: DataFrame) -> DataFrame:
         .groupBy("cls", "n")
         .agg(F.sort_array(F.collect_list(F.struct("seen", "value"))).alias("values"))
     )
-    held = F.least(F.col("n"), F.lit(LISTED)).cast("int")
+    least_held = F.least(F.col("n"), F.lit(LISTED)).cast("int")
     # Values that nobody else retains come first in the order of rarity and take up places.
     least = least_shared(F.col("n"), LISTED, LISTED_FEWEST)
-    places = held - least + 1 - (held - F.size("values"))
+    places = least_held - least + 1 - (least_held - F.size("values"))
     chosen = F.transform(F.slice("values", 1, places), lambda v: v["value"])
-    return ranked.where(places > 0).select("cls", "n", chosen.alias("prefix"))
+
+    def bits(part: int) -> Column:
+        # Retained values are the smallest hashes, so only their low bits are evenly spread.
+        own = lambda v: F.pmod(F.shiftright(v["value"], 6), F.lit(len(_BITS))) == part
+        one = lambda v: F.call_function("shiftleft", F.lit(1).cast("bigint"), (v["value"] % 64).cast("int"))
+        return F.aggregate(F.filter("values", own), F.lit(0).cast("bigint"), lambda x, v: x.bitwiseOR(one(v)))
+
+    made = ranked.where(places > 0).select(
+        "cls", "n", chosen.alias("prefix"), F.size("values").alias("size"), *[bits(i).alias(c) for i, c in enumerate(_BITS)]
+    )
+    used = reduce(Column.__add__, [F.bit_count(c) for c in _BITS])
+    return made.withColumn("spare", (F.col("size") - used).cast("int")).drop("size")
 
 
 def inverted_lists(listed: DataFrame) -> DataFrame:
-    """(value, band, cls, n, native): classes under each value of their prefix, in bands of size.
+    """(value, band, cls, n, native, bits, spare): classes under each value of their prefix, in bands of size.
 
     A class stands in its own band and, as a visitor, in the next, so that linked classes meet in
     the band of the larger one.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
-    listed = listed.select("cls", "n", band.alias("own"), F.explode("prefix").alias("value"))
+    signature = [*_BITS, "spare"]
+    listed = listed.select("cls", "n", *signature, band.alias("own"), F.explode("prefix").alias("value"))
     return listed.select(
-        "value", "cls", "n",
+        "value", "cls", "n", *signature,
         F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("native")),
                           F.struct((F.col("own") + 1).alias("band"), F.lit(False).alias("native")))
                   ).alias("place"),
-    ).select("value", "place.band", "cls", "n", "place.native")
+    ).select("value", "place.band", "cls", "n", "place.native", *signature)
 
 
 def _leaders(lists: DataFrame) -> DataFrame:
     """(value, band, leaders): natives with the least and greatest key and the least hash of it."""
-    own = F.when(F.col("native"), F.struct("cls", "n"))
-    by_hash = F.when(F.col("native"), F.struct(F.xxhash64("cls").alias("h"), "cls", "n"))
+    whole = F.struct("cls", "n", *_BITS, "spare")
+    own = F.when(F.col("native"), whole)
+    by_hash = F.when(F.col("native"), F.struct(F.xxhash64("cls").alias("h"), whole.alias("who")))
     grouped = lists.groupBy("value", "band").agg(
         F.count("*").alias("size"), F.min(own).alias("a"), F.max(own).alias("b"),
         F.min(by_hash).alias("c"),
     )
-    third = F.struct(F.col("c.cls").alias("cls"), F.col("c.n").alias("n"))
     return grouped.where("size > 1 AND a IS NOT NULL").select(
-        "value", "band", "size", F.array_distinct(F.array("a", "b", third)).alias("leaders")
+        "value", "band", "size", F.array_distinct(F.array("a", "b", "c.who")).alias("leaders")
     )
 
 
 def _leader_pairs(lists: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of a leader and another of its list of fitting size."""
-    met = lists.join(leaders, ["value", "band"]).select(
-        "cls", "n", F.explode("leaders").alias("leader")
+    """Distinct pairs (a, b), a < b, of a leader and another of its list.
+
+    Both have fitting sizes, and their bits allow as many common retained values as a link has.
+    """
+    signature = [*_BITS, "spare"]
+    met = lists.join(leaders.select("value", "band", "leaders"), ["value", "band"]).select(
+        "cls", "n", *signature, F.explode("leaders").alias("leader")
     )
     fitting = 100 * F.least("n", "leader.n") >= 80 * F.greatest("n", "leader.n")
+    common = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseAND(F.col(f"leader.{c}"))) for c in _BITS])
+    least = F.greatest(*[least_shared(F.col(n), LISTED, LISTED_FEWEST) for n in ("n", "leader.n")])
+    likely = common + F.least("spare", "leader.spare") >= least
     return (
-        met.where((F.col("cls") != F.col("leader.cls")) & fitting)
+        met.where((F.col("cls") != F.col("leader.cls")) & fitting & likely)
         .select(F.least("cls", "leader.cls").alias("a"), F.greatest("cls", "leader.cls").alias("b"))
         .distinct()
     )
@@ -202,13 +236,15 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(common >= least).select("a", "b")
 
 
-def _full_sets(wanted: DataFrame, classes: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+def _full_sets(
+    wanted: DataFrame, classes: DataFrame, documents: DataFrame, width: int, keep: Callable = staged
+) -> DataFrame:
     """(cls, shingles): the full sets of the distinct classes in ``wanted``.
 
     A class is read from the rows that have both the id and the text of its first one. It comes more
     than once only if that row does, at most once for each task.
     """
-    ids = staged(
+    ids = keep(
         classes.select(F.col("cls").alias("wanted"), "first_id", "first_key").join(
             wanted.select(F.col("cls").alias("wanted")).distinct(), "wanted"
         ),
@@ -219,7 +255,7 @@ def _full_sets(wanted: DataFrame, classes: DataFrame, documents: DataFrame, widt
     rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     met = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key")))
     made = _with_sets(met.select("wanted", "text"), True, width).where("cls = wanted")
-    return staged(map_batches(made.select("cls", "shingles"), _first_of_each, "cls binary, shingles array<bigint>"), "sets")
+    return keep(map_batches(made.select("cls", "shingles"), _first_of_each, "cls binary, shingles array<bigint>"), "sets")
 
 
 def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,32 +284,31 @@ def components(edges: DataFrame) -> DataFrame:
     a tree become that one, and links inside a tree go. A tree has at least two keys, so with every
     round at most half of the keys go on, in whatever order they are.
     """
-    links = staged(edges.select("a", "b"), "edges")
-    labels = None
-    while not links.isEmpty():
-        roots = _rooted(links)
-        if labels is None:
-            labels = roots
-        else:
+    with scratch() as keep:
+        links = keep(edges.select("a", "b"), "edges")
+        labels = links.toDF("cls", "comp").limit(0)
+        while not links.isEmpty():
+            roots = _rooted(links, keep)
             above = roots.toDF("comp", "root")
             moved = labels.join(above, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp"))
-            labels = staged(moved, "labels")
-        ends = links.join(roots.toDF("a", "x"), "a").join(roots.toDF("b", "y"), "b").where("x != y")
-        links = staged(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
-    return links.toDF("cls", "comp") if labels is None else labels
+            new = roots.join(labels, "cls", "left_anti")
+            labels = keep(moved.union(new), "labels")
+            ends = links.join(roots.toDF("a", "x"), "a").join(roots.toDF("b", "y"), "b").where("x != y")
+            links = keep(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        return staged(labels, "components")
 
 
-def _rooted(links: DataFrame) -> DataFrame:
+def _rooted(links: DataFrame, keep: Callable) -> DataFrame:
     """(cls, comp) of all ends of ``links``: the root of the tree that a key hooks into."""
     both = links.union(links.select("b", "a")).toDF("cls", "up")
-    hooked = staged(both.groupBy("cls").agg(F.min("up").alias("up")), "hooked")
+    hooked = keep(both.groupBy("cls").agg(F.min("up").alias("up")), "hooked")
     above = hooked.toDF("up", "top")
     root = (F.col("top") == F.col("cls")) & (F.col("cls") <= F.col("up"))
-    tree = staged(hooked.join(above, "up").select("cls", F.when(root, F.col("cls")).otherwise(F.col("up")).alias("comp")), "tree")
+    tree = keep(hooked.join(above, "up").select("cls", F.when(root, F.col("cls")).otherwise(F.col("up")).alias("comp")), "tree")
     while True:
         # The way to the root is halved each time.
         above = tree.toDF("comp", "top")
-        moved = staged(
+        moved = keep(
             tree.join(above, "comp").select("cls", F.col("top").alias("comp"), (F.col("top") != F.col("comp")).alias("changed")),
             "tree",
         )
@@ -327,10 +362,18 @@ def _dealt(spread: DataFrame, *keys: str) -> DataFrame:
     return spread.repartition(*keys).sortWithinPartitions(*keys)
 
 
+def _with_earlier(members: DataFrame, listed: DataFrame) -> DataFrame:
+    """Members with those values of their prefix, as ``prefix``, whose lists come before the own one."""
+    before = F.filter("prefix", lambda v: v < F.col("value"))
+    return members.join(listed.select("cls", "prefix"), "cls").withColumn("prefix", before)
+
+
 def _with_partner(members: DataFrame, classes: DataFrame, listed: DataFrame) -> DataFrame:
     """Members that meet, in their pair of blocks, one they may be linked with by the sketches."""
-    sketches = classes.select("cls", F.col("sketch").alias("shingles"))
-    spread = members.join(sketches, "cls").join(listed.select("cls", "prefix"), "cls")
+    # Half of each value is enough here: values taken for equal only let more members go on.
+    low = F.transform("sketch", lambda v: v.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    sketches = classes.select("cls", low.alias("shingles"))
+    spread = _with_earlier(members.join(sketches, "cls"), listed)
     kept = members.schema
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.fields)
     names = kept.names
@@ -350,7 +393,7 @@ _KEYS = ("value", "band", "i", "j")
 def _searched(members: DataFrame, sets: DataFrame, listed: DataFrame) -> DataFrame:
     """(a, b, sure): links between components found in blocks, and pairs left to be confirmed."""
     wide = sets.select("cls", F.slice("shingles", 1, WIDE).alias("shingles"))
-    spread = members.join(wide, "cls").join(listed.select("cls", "prefix"), "cls")
+    spread = _with_earlier(members.join(wide, "cls"), listed)
     return map_batches(_dealt(spread, *_KEYS), _search_blocks, "a binary, b binary, sure boolean")
 
 
@@ -454,7 +497,10 @@ def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shared(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """How many values each two of the sets have in common."""
+    """How many values each two of the sets have in common.
+
+    A value that a set has more than once is counted for all it may stand for.
+    """
     _, at, seen = np.unique(values, return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     often = seen[at] > 1
@@ -463,13 +509,15 @@ def _shared(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     order = np.argsort(at, kind="stable")
     at, owner = at[order], owner[order]
     shared = np.zeros((len(sizes), len(sizes)), np.float32)
+    repeated = np.bincount(owner, minlength=len(sizes)).astype(np.float32)
     width = int(at[-1]) + 1 if len(at) else 0
     for start in range(0, width, _COLUMNS):
         low, high = np.searchsorted(at, [start, start + _COLUMNS])
         holds = np.zeros((len(sizes), min(_COLUMNS, width - start)), np.float32)
         holds[owner[low:high], at[low:high] - start] = 1
         shared += holds @ holds.T
-    return shared
+        repeated -= holds.sum(1)
+    return shared + repeated[:, None] + repeated[None]
 
 
 def _settled(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -478,7 +526,7 @@ def _settled(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     The pairs of a group that hangs together are tested in one place, or in pairs of blocks if it is
     large, so that a full set is sent to each of these once and not with every pair.
     """
-    labels = staged(components(pairs), "groups")
+    labels = components(pairs)
     blocks = labels.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     block = lambda c: F.pmod(F.xxhash64(c, F.lit(6)), F.col("blocks")).cast("int")
     placed = staged(
@@ -536,42 +584,14 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def _labelled(documents: DataFrame, width: int) -> DataFrame:
     """``near_duplicates`` with ``chosen``: whether a row has id and text of the one that stays."""
-    sets = staged(
-        _with_sets(
-            documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), False, width
-        ),
-        "sketches",
-    )
-    classes = staged(
-        sets.where("n > 0").groupBy("cls").agg(
-            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"),
-            F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-        ).select("cls", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"), "n", "sketch"),
-        "classes",
-    )
-    listed = staged(prefixes(classes), "prefixes")
-    lists = staged(inverted_lists(listed), "lists")
-    leaders = staged(_leaders(lists), "leaders")
-    first = staged(_plausible(_leader_pairs(lists, leaders), classes), "pairs")
-    ends = first.select(F.explode(F.array("a", "b")).alias("cls"))
-    edges = staged(_confirmed(first, _full_sets(ends, classes, documents, width)), "links")
-    labels = components(edges)
-    members = staged(_open_members(lists, leaders, labels), "members")
-    if not members.isEmpty():
-        members = staged(_with_partner(members, classes, listed), "partners")
-    if not members.isEmpty():
-        full = _full_sets(members.select("cls"), classes, documents, width)
-        found = staged(_searched(members, full, listed), "found")
-        more = [found.where("sure").select("a", "b")]
-        unsure = staged(found.where("NOT sure").select("a", "b").distinct(), "unsure")
-        if not unsure.isEmpty():
-            more.append(_settled(unsure, full))
-        labels = components(reduce(DataFrame.union, [edges, *more]))
-    of_class = staged(
-        _with_component(classes.select("cls", "first_id", "first_key"), labels)
-        .select("cls", "first_id", "first_key", "comp"),
-        "members",
-    )
+    with scratch() as keep:
+        classes, sets = _classes(documents, width, keep)
+        labels = _linked(classes, documents, width)
+        of_class = staged(
+            _with_component(classes.select("cls", "first_id", "first_key"), labels)
+            .select("cls", "first_id", "first_key", "comp"),
+            "members",
+        )
     first_row = F.min(F.struct(F.col("first_id").isNull(), "first_id", "first_key"))
     least = of_class.groupBy("comp").agg(first_row.alias("first")).select(
         "comp", F.col("first.first_id").alias("component"), F.col("first.first_key").alias("component_key")
@@ -589,18 +609,60 @@ def _labelled(documents: DataFrame, width: int) -> DataFrame:
     )
 
 
+def _classes(documents: DataFrame, width: int, keep: Callable) -> tuple[DataFrame, DataFrame]:
+    """(cls, first_id, first_key, n, sketch) of each distinct set, and (doc_id, text_key, n, cls) of each row."""
+    with scratch() as once:
+        rows = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+        sets = once(_with_sets(rows, False, width), "sketches")
+        classes = keep(
+            sets.where("n > 0").groupBy("cls").agg(
+                F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"),
+                F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+            ).select("cls", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"), "n", "sketch"),
+            "classes",
+        )
+        return classes, staged(sets.select("doc_id", "text_key", "n", "cls"), "rows")
+
+
+def _linked(classes: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """(cls, comp) of the classes that are linked with others."""
+    with scratch() as keep:
+        listed = keep(prefixes(classes), "prefixes")
+        with scratch() as once:
+            lists = once(inverted_lists(listed), "lists")
+            leaders = once(_leaders(lists), "leaders")
+            first = once(_plausible(_leader_pairs(lists, leaders), classes), "pairs")
+            ends = first.select(F.explode(F.array("a", "b")).alias("cls"))
+            edges = keep(_confirmed(first, _full_sets(ends, classes, documents, width, once)), "links")
+            labels = components(edges)
+            members = keep(_open_members(lists, leaders, labels), "members")
+        if not members.isEmpty():
+            members = keep(_with_partner(members, classes, listed), "partners")
+        if members.isEmpty():
+            return labels
+        full = _full_sets(members.select("cls"), classes, documents, width, keep)
+        found = keep(_searched(members, full, listed), "found")
+        more = [found.where("sure").select("a", "b")]
+        unsure = keep(found.where("NOT sure").select("a", "b").distinct(), "unsure")
+        if not unsure.isEmpty():
+            more.append(_settled(unsure, full))
+        return components(reduce(DataFrame.union, [edges, *more]))
+
+
 def deduplicated(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     """The columns of ``documents``, one row of each component: the one with the least doc_id.
 
     Null ids come last; of different texts with the least id, the one with the least text key stays.
     Of rows repeated with one id and text one stays; rows without words all stay, but for repeated
-    ones.
+    ones. Only the ids and text keys of rows that go, or are repeated, meet the documents.
     """
-    kept = _labelled(documents, width).where("chosen").groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
     rows = documents.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
-    met = rows.join(
-        kept, F.col("row.doc_id").eqNullSafe(kept["doc_id"]) & (F.col("key") == kept["text_key"])
-    )
-    once = met.where("copies = 1").select("row.*")
-    repeated = met.where("copies > 1").dropDuplicates(["doc_id", "text_key"]).select("row.*")
+    marked = staged(
+        _labelled(documents, width).groupBy("doc_id", "text_key")
+        .agg(F.count("*").alias("rows"), F.max("chosen").alias("chosen")).where("rows > 1 OR NOT chosen"),
+        "marked",
+    )
+    same = F.col("row.doc_id").eqNullSafe(marked["doc_id"]) & (F.col("key") == marked["text_key"])
+    once = rows.join(marked, same, "left_anti").select("row.*")
+    repeated = rows.join(marked.where("chosen"), same).dropDuplicates(["doc_id", "text_key"]).select("row.*")
     return once.union(repeated)
