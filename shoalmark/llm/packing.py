@@ -13,6 +13,7 @@ Each task packs what it reads, with a shelf of bounded size: nothing is shuffled
 from __future__ import annotations
 
 import os
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -33,11 +34,17 @@ _BLOCK, _PIECES, _ROWS = 1 << 18, 1_000_000, 4096
 #: Sequences of a task are numbered from its number times this.
 _SEQUENCES = 1 << 33
 _ID = np.dtype("<u4")
+_WHITE = re.compile(r"\s")
 
 
 @lru_cache(maxsize=2)
-def id_encoder(path: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids as little-endian 32-bit numbers, one for each worker."""
+def id_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """A function from texts to their ids as little-endian 32-bit numbers, one for each worker.
+
+    Several texts are encoded together, one alone in blocks. New words go through the library as the
+    lines of one text, where each begins a pre-token after the line break; should the ids not show the
+    line breaks one by one, the words are encoded singly.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -50,16 +57,39 @@ def id_encoder(path: str) -> Callable[[str], bytes]:
         made = encoder.encode_batch_fast(parts, add_special_tokens=False)
         return [pack_numbers(f"<{len(e)}I", *e.ids) for e in made]
 
-    def block_ids(text: str) -> bytes:
-        first, rest = pieces(text)
-        new = list(set(rest).difference(known))
+    line_break = ids(["\n"])[0]
+
+    def word_ids(words: list[str]) -> list[bytes]:
+        raw = ids([" " + "\n ".join(words)])[0]
+        numbers = np.frombuffer(raw, _ID)
+        breaks = np.flatnonzero(numbers == np.frombuffer(line_break, _ID)[0]) * _ID.itemsize
+        if len(line_break) != _ID.itemsize or len(breaks) != len(words) - 1:
+            return ids([" " + w for w in words])
+        ends = breaks.tolist()
+        starts = [0, *(e + _ID.itemsize for e in ends)]
+        return [raw[start:end] for start, end in zip(starts, [*ends, len(raw)])]
+
+    def together(texts: list[str]) -> list[bytes]:
+        firsts, rests = zip(*map(pieces, texts))
+        used = set().union(*rests)
+        new = used.difference(known)
         if len(known) + len(new) > _PIECES:
             known.clear()
-            new = list(set(rest))
-        known.update(zip(new, ids([p if p[:1] == "\n" else " " + p for p in new])))
-        return ids([first])[0] + b"".join(map(known.__getitem__, rest))
+            new = used
+        words = [p for p in new if p and not _WHITE.search(p)]
+        others = list(new.difference(words))
+        if words:
+            known.update(zip(words, word_ids(words)))
+        known.update(zip(others, ids([p if p[:1] == "\n" else " " + p for p in others])))
+        begun = ids(list(firsts))
+        return [b + b"".join(map(known.__getitem__, rest)) for b, rest in zip(begun, rests)]
+
+    def encode(texts: list[str]) -> list[bytes]:
+        if len(texts) != 1:
+            return together(texts) if texts else []
+        return [b"".join(together([block])[0] for block in blocks(texts[0]))]
 
-    return lambda text: b"".join(map(block_ids, blocks(text)))
+    return encode
 
 
 def blocks(text: str, size: int = _BLOCK) -> Iterator[str]:
@@ -205,8 +235,9 @@ def pack(documents: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int
         for batch in batches:
             key_type = batch.schema.field("doc_id").type
             for part in byte_slices(batch, 1 << 20):
-                for doc_id, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text"))):
-                    ids = encode(text) + end
+                doc_ids, texts = (part.column(c).to_pylist() for c in ("doc_id", "text"))
+                for doc_id, ids in zip(doc_ids, encode(texts)):
+                    ids += end
                     document = (doc_id, len(ids) // _ID.itemsize)
                     upto = len(ids) // whole * whole
                     for at in range(0, upto, whole):

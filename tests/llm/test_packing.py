@@ -52,7 +52,7 @@ def test_fullest_equals_the_best_of_all_combinations(counts):
 @given(st.text("ab .\n\t'9é|<>", max_size=80), st.integers(1, 12))
 def test_blocks_are_encoded_as_the_whole_text(text, size):
     assert "".join(blocks(text, size)) == text
-    parts = b"".join(map(id_encoder(PATH), blocks(text, size)))
+    parts = b"".join(id_encoder(PATH)(list(blocks(text, size))))
     assert np.frombuffer(parts, "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
 
 
