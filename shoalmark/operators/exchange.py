@@ -1,7 +1,12 @@
-"""Exchange of data files of a plain Parquet table."""
+"""Exchange of data files of a plain Parquet table.
+
+One job at a time may exchange files of a table. A job that finds files gone it wanted to replace gives
+up before it has changed anything; work of other jobs that is not ready is left alone until it is old.
+"""
 
 from __future__ import annotations
 
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
@@ -11,6 +16,8 @@ from ..sources import paths
 
 WORK_FOLDER = "_compaction"
 MOVERS = 16
+# Fixed value: days of retention.
+RETENTION_DAYS = 7
 _NEW, _PLAN = "new", "plan"
 
 
@@ -60,6 +67,8 @@ def _swap(spark: SparkSession, table: str, work: str) -> None:
         list(pool.map(drop, [r["path"] for r in plan if not r["is_new"]]))
         list(pool.map(show, new))
     paths.remove(spark, work)
+    if not paths.children(spark, f"{table}/{WORK_FOLDER}"):
+        paths.remove_empty(spark, f"{table}/{WORK_FOLDER}")
 
 
 def exchange_files(
@@ -72,7 +81,8 @@ def exchange_files(
 
     The new files are written to a hidden folder inside the table, then the list of old ones is
     stored, then they are exchanged. Until the list is stored nothing has changed; after that anyone
-    can complete the exchange with ``finish_interrupted``.
+    can complete the exchange with ``finish_interrupted``. If one of the ``old`` files is gone by then,
+    another job has changed the table; the new files are dropped and the job fails.
     """
     work = f"{table}/{WORK_FOLDER}/{uuid.uuid4().hex[:12]}"
     if partitions:
@@ -83,6 +93,11 @@ def exchange_files(
     base = paths.qualified(spark, f"{work}/{_NEW}")
     new = [(file[len(base) :], True) for file in data_files_below(spark, base)]
     replaced = set(old)
+    with ThreadPoolExecutor(MOVERS) as pool:
+        still_there = all(pool.map(lambda file: paths.exists(spark, file), old))
+    if not still_there:
+        paths.remove(spark, work)
+        raise RuntimeError(f"another job has changed {table}; nothing was exchanged")
     if whole_folders:
         folders = {f"{table}{file.rsplit('/', 1)[0]}" for file, _ in new}
         with ThreadPoolExecutor(MOVERS) as pool:
@@ -94,11 +109,21 @@ def exchange_files(
 
 
 def finish_interrupted(spark: SparkSession, path: str) -> int:
-    """Complete or undo what an earlier, interrupted exchange left behind."""
+    """Complete what an earlier, interrupted exchange left behind; returns the exchanges found.
+
+    Files without a stored plan may belong to a job that is still writing them. They count for
+    nothing, and go when none of them has changed for ``RETENTION_DAYS``.
+    """
     pending = paths.children(spark, f"{path}/{WORK_FOLDER}")
     for work in pending:
         if paths.exists(spark, f"{work}/{_PLAN}/_SUCCESS"):
             _swap(spark, path, work)
-        else:
+        elif _age_in_days(spark, work) > RETENTION_DAYS:
             paths.remove(spark, work)
     return len(pending)
+
+
+def _age_in_days(spark: SparkSession, work: str) -> float:
+    changed = paths.changed_at(spark, work)
+    newest = max([changed, *(at for _, _, at in paths.files_below(spark, work))])
+    return (time.time() - newest / 1000) / 86_400

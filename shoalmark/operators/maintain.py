@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import paths
 from ..sources.filemeta import data_files
-from .exchange import WORK_FOLDER, exchange_files, finish_interrupted
+from .exchange import RETENTION_DAYS, WORK_FOLDER, exchange_files, finish_interrupted
 
-# Files below this size are compacted; days of retention.
+# Fixed value: files below this size are compacted.
 SMALL_FILE_BYTES = 10 * 1024 * 1024
-RETENTION_DAYS = 7
 TARGET_BYTES = 128 * 1024 * 1024
 FILES_PER_WAVE = 10_000
 
@@ -72,8 +71,6 @@ def compact(
         files = math.ceil(sum(row["size"] for row in wave) / target)
         exchange_files(spark, path, old, rows, partitions or [], files=files)
         rewritten += len(wave)
-    if rewritten:
-        paths.remove(spark, f"{path}/{WORK_FOLDER}")
     return Compaction(before, data_files(spark, path).count(), rewritten)
 
 

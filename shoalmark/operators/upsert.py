@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import held
-from ..sources.paths import exists
+from ..sources.paths import exists, qualified
+from .exchange import finish_interrupted
 from .partitions import (
     append_rows,
     in_values,
@@ -87,6 +88,7 @@ def upsert(
         if not exists(spark, path):
             append_rows(batch, path, partition)
             return UpsertResult(rows_merged, 0)
+        finish_interrupted(spark, qualified(spark, path))
         lacking = set(spark.read.parquet(path).columns) - set(batch.columns)
         if lacking:
             raise ValueError(f"the source lacks columns of the table: {sorted(lacking)}")

@@ -53,6 +53,22 @@ def remove_if_empty(spark: SparkSession, path: str) -> None:
         remove(spark, path)
 
 
+def remove_empty(spark: SparkSession, path: str) -> None:
+    """Remove a folder; one that has got a child in the meantime stays."""
+    fs, jpath = _client(spark, path)
+    try:
+        fs.delete(jpath, False)
+    except Exception:
+        if not children(spark, path):
+            raise
+
+
+def changed_at(spark: SparkSession, path: str) -> int:
+    """Time of change in milliseconds."""
+    fs, jpath = _client(spark, path)
+    return fs.getFileStatus(jpath).getModificationTime()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, jpath = _client(spark, path)
     fs.mkdirs(jpath)

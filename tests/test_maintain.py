@@ -5,6 +5,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from shoalmark.operators.exchange import data_files_below, exchange_files
+from shoalmark.operators.replace import replace_by_source, table_schema
 from shoalmark.operators.upsert import upsert
 from shoalmark.operators import maintain, metadata, versions
 from shoalmark.plans.maintenance import Table, maintain_all
@@ -61,6 +63,51 @@ def test_interrupted_before_the_exchange(spark, path):
     assert rows(spark, path) == before
 
 
+def half_written(spark, path):
+    """A folder that another job is writing its new files to, old or not."""
+    work = f"{path}/{maintain.WORK_FOLDER}/000000"
+    spark.range(3).coalesce(1).write.parquet(f"{work}/new")
+    return work
+
+
+def test_work_of_a_running_job_survives(spark, path):
+    schema = "k int, p string, _source_file string"
+    rows = spark.createDataFrame([(1, "a", "f"), (2, "a", "f"), (3, "b", "g")], schema)
+    upsert(spark, f"{path}/1", rows, "k", "p")
+    work = half_written(spark, f"{path}/1")
+    upsert(spark, f"{path}/1", rows.withColumn("p", F.lit("c")), "k", "p")
+    assert spark.read.parquet(f"{path}/1").where("p = 'c'").count() == 3 and paths.exists(spark, work)
+    rows.repartition(2, "k").write.parquet(f"{path}/2")
+    work = half_written(spark, f"{path}/2")
+    assert maintain.compact(spark, f"{path}/2").files_rewritten == 2 and paths.exists(spark, work)
+    table = table_schema(rows.schema)
+    for _ in range(2):
+        replace_by_source(spark, f"{path}/3", table, rows, rows.select("_source_file").distinct())
+        work = half_written(spark, f"{path}/3") if not paths.exists(spark, f"{path}/3/_compaction") else work
+    assert spark.read.parquet(f"{path}/3").count() == 3 and paths.exists(spark, work)
+
+
+def test_old_work_without_a_plan_goes(spark, path):
+    tiny_files(spark, path, 3)
+    work = half_written(spark, path)
+    for folder, _, files in os.walk(work):
+        for name in [".", *files]:
+            os.utime(f"{folder}/{name}", (0, 0))
+    maintain.finish_interrupted(spark, path)
+    assert not paths.exists(spark, work)
+
+
+def test_files_replaced_by_another_job_stop_the_exchange(spark, path):
+    tiny_files(spark, path, 3)
+    table, before = paths.qualified(spark, path), rows(spark, path)
+    old = data_files_below(spark, table)
+    found = spark.createDataFrame(spark.read.parquet(path).collect())
+    maintain.compact(spark, path)
+    with pytest.raises(RuntimeError, match="another job"):
+        exchange_files(spark, table, old, found, [])
+    assert rows(spark, path) == before
+
+
 @pytest.mark.parametrize("at", [0, 1, 2, 4, 7])
 def test_interrupted_during_the_exchange(spark, path, monkeypatch, at):
     tiny_files(spark, path, 6, ["p"])
