@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.replace import SOURCE_BUCKET
 from ..session import scratch_path
-from ..streaming.ingest import dropped_files, stream_ingest, stream_upsert
+from ..streaming.ingest import dropped_files, late_rows, stream_ingest, stream_upsert
 from ..streaming.rates import all_rates, sliding_rate, write_rates
 from .common import load, monthly_sales, plain
 
@@ -43,6 +43,25 @@ def upsert_foreach_batch(spark: SparkSession, folder: str) -> DataFrame:
     return plain(spark.read.parquet(f"{base}/table"))
 
 
+def late(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders in two lots behind a mark, final ones first: what came on time, and what came too late."""
+    base = scratch_path(spark, "stream")
+    rows = monthly_sales(spark, folder)
+    first = F.expr("status = 'F' AND month(ingestion_date) <= 6")
+    for lot, part in enumerate((rows.where(first), rows.where(~first))):
+        part.write.parquet(f"{base}/drop/lot{lot}")
+        stream = dropped_files(spark, f"{base}/drop", rows.schema, "parquet").drop(
+            "_source_file", "_ingested_at"
+        )
+        stream_upsert(
+            stream, f"{base}/table", "order_id", "ingestion_date", f"{base}/check",
+            state_path=f"{base}/state", late_path=f"{base}/late",
+        ).awaitTermination()
+    kept = spark.read.parquet(f"{base}/table").select(*rows.columns, F.lit("on time").alias("arrived"))
+    rest = late_rows(spark, f"{base}/late", rows.schema)
+    return plain(kept.unionByName(rest.select(*rows.columns, F.lit("late").alias("arrived"))))
+
+
 def _with_time(events: DataFrame) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -75,6 +94,7 @@ def rate_window_batch(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "stream_ingest_available_now": ingest_available_now,
     "stream_upsert_foreach_batch": upsert_foreach_batch,
+    "stream_late_rows": late,
     "stream_rate_window": rate_window,
     "stream_rate_open": rate_open,
     "stream_rate_window_batch": rate_window_batch,
@@ -98,6 +118,13 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice * 2 END AS amount,
   strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ingestion_date,
   o_orderstatus AS status, o_orderpriority AS priority FROM orders""",
+    "stream_late_rows": """
+WITH rows AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount,
+  date_trunc('month', o_orderdate) AS at, o_orderstatus AS status, o_orderpriority AS priority,
+  o_orderstatus = 'F' AND month(o_orderdate) <= 6 AS first_lot FROM orders)
+SELECT order_id, customer_id, amount, strftime(at, '%Y-%m-%d') AS ingestion_date, status, priority,
+  CASE WHEN first_lot OR at > (SELECT MAX(at) FROM rows WHERE first_lot) THEN 'on time'
+    ELSE 'late' END AS arrived FROM rows""",
     "stream_rate_window": _RATES,
     "stream_rate_open": _RATES
     + " WHERE rates.window_end > (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.replace import BUCKETS, replace_by_source, table_schema
@@ -17,10 +17,11 @@ from ..operators.watermark import advance_watermark, newer_than, read_watermark
 from ..session import held
 from ..sources.csvfiles import INGESTED_AT, SOURCE_FILE
 from ..sources.listing import decoded_path, relative_key
-from ..sources.paths import qualified
+from ..sources.paths import exists, qualified
 
 log = logging.getLogger(__name__)
 
+LATE_BATCH = "late_batch"
 # Fixed value: pause between two looks at the folder.
 POLL = "5 minutes"
 
@@ -57,6 +58,18 @@ def stream_ingest(
     return _start(rows.writeStream.foreachBatch(load), checkpoint, once)
 
 
+def late_rows(spark: SparkSession, late_path: str, schema: T.StructType) -> DataFrame:
+    """Rows that ``stream_upsert`` has left out, with the ``mark`` and the ``late_batch`` they met.
+
+    ``schema`` is that of the stream. Without any late row the result is empty.
+    """
+    mark = T.StructField("mark", T.DateType())
+    whole = T.StructType([*schema.fields, mark, T.StructField(LATE_BATCH, T.LongType())])
+    if not exists(spark, late_path):
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).parquet(late_path)
+
+
 def stream_upsert(
     rows: DataFrame,
     table_path: str,
@@ -67,11 +80,15 @@ def stream_upsert(
     state_path: str | None = None,
     pipeline: str = "stream",
     once: bool = True,
+    late_path: str | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch. With ``state_path``, rows at or before the mark are left out.
 
-    The mark is the highest partition value of the batches before; the rows left out are counted
-    in the log.
+    The mark is the highest partition value of the batches before. Rows left out are counted while the
+    batch is written down, and kept in ``late_path`` if it is given, a folder for one checkpoint: each
+    batch has its own folder there, written before the mark moves. So a batch that is repeated after
+    the mark has moved doesn't put its own rows there. A row without partition value is left out too
+    once there is a mark, and kept with the others.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -79,14 +96,21 @@ def stream_upsert(
         if not state_path:
             upsert(spark, table_path, batch, key, partition, order)
             return
-        with held(batch, f"upsert-{batch_id}") as arrived:
-            mark = read_watermark(spark, state_path, pipeline)
-            fresh = newer_than(arrived, partition, mark)
-            last = fresh.agg(F.max(partition)).first()[0]
-            late = 0 if mark is None else arrived.where(F.col(partition) <= F.lit(mark)).count()
+        mark = read_watermark(spark, state_path, pipeline)
+        is_late = F.lit(False) if mark is None else ~F.coalesce(F.col(partition) > F.lit(mark), F.lit(False))
+        seen = Observation(f"batch-{batch_id}")
+        counted = batch.observe(
+            seen, F.count_if(is_late).alias("late"), F.max(F.when(~is_late, F.col(partition))).alias("last")
+        )
+        with held(counted, f"upsert-{batch_id}") as arrived:
+            late = seen.get["late"]
             if late:
                 log.info("batch %d: %d row(s) at or before the mark %s", batch_id, late, mark)
-            upsert(spark, table_path, fresh, key, partition, order)
-            advance_watermark(spark, state_path, pipeline, last)
+            folder = f"{late_path}/{LATE_BATCH}={batch_id}"
+            if late_path and not exists(spark, f"{folder}/_SUCCESS"):
+                marked = arrived.where(is_late).withColumn("mark", F.lit(mark).cast("date"))
+                marked.write.mode("overwrite").parquet(folder)
+            upsert(spark, table_path, newer_than(arrived, partition, mark), key, partition, order)
+            advance_watermark(spark, state_path, pipeline, seen.get["last"])
 
     return _start(rows.writeStream.foreachBatch(load), checkpoint, once)

@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from shoalmark.plans.sales import SOURCE_SCHEMA
-from shoalmark.streaming.ingest import dropped_files, stream_ingest, stream_upsert
+from shoalmark.streaming.ingest import dropped_files, late_rows, stream_ingest, stream_upsert
 from shoalmark.streaming.rates import all_rates, sliding_rate, write_rates
 
 HEADER = "order_id,customer_id,amount,country,ingestion_date\n"
@@ -42,6 +42,31 @@ def test_repeated_batch_does_no_harm(spark, tmp_path):
     assert spark.read.parquet(f"{base}/table").count() == 1
 
 
+def test_late_rows_are_kept_once(spark, tmp_path):
+    """Losing the checkpoint repeats the batches, after the mark has moved; rows on time stay out."""
+    base = str(tmp_path)
+
+    def run(check):
+        rows = dropped_files(spark, f"{base}/drop", SOURCE_SCHEMA)
+        schema = rows.schema
+        stream_upsert(
+            rows.withColumn("ingestion_date", F.to_date("ingestion_date")),
+            f"{base}/table", "order_id", "ingestion_date", f"{base}/{check}",
+            state_path=f"{base}/state", late_path=f"{base}/late",
+        ).awaitTermination()
+        found = late_rows(spark, f"{base}/late", schema).select("order_id", "late_batch", "mark")
+        return sorted(map(tuple, found.collect()))
+
+    drop(tmp_path, "a/1.csv", "o1,c,1,Italy,2024-01-05")
+    assert run("check") == []
+    drop(tmp_path, "a/2.csv", "o2,c,1,Italy,2024-01-05", "o3,c,1,Italy,2024-01-06", "o4,c,1,Italy,2024-01-01")
+    mark = dt.date(2024, 1, 5)
+    assert run("check") == [("o2", 1, mark), ("o4", 1, mark)]
+    assert run("again") == [("o2", 1, mark), ("o4", 1, mark)]
+    assert {r["order_id"] for r in spark.read.parquet(f"{base}/table").collect()} == {"o1", "o3"}
+    assert late_rows(spark, f"{base}/none", SOURCE_SCHEMA).count() == 0
+
+
 def test_upsert_with_mark(spark, tmp_path):
     base = str(tmp_path)
 
