@@ -2,6 +2,9 @@
 
 The log is append-only and partitioned by ``batch_id``. Each batch holds at most one row per key,
 with ``op`` (insert, update or delete) and ``_ingested_at``, the same for the whole batch.
+
+Beside the batches, a hidden folder may hold bases: the whole state at some versions. A read as of a
+version then opens one base and the batches after it, however long the log is.
 """
 
 from __future__ import annotations
@@ -11,15 +14,21 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..sources.csvfiles import INGESTED_AT
+from ..sources.paths import children, exists, remove
 from .partitions import overwrite_partitions, partition_values
 
 BATCH, OP, DELETE = "batch_id", "op", "delete"
+_BASES = "_bases"
 
 
 def commit(
     rows: DataFrame, path: str, batch_id: int, op: str | Column, at: dt.datetime | None = None
 ) -> None:
-    """Append one batch. Running it again for the same ``batch_id`` replaces that batch only."""
+    """Append one batch. Running it again for the same ``batch_id`` replaces that batch only.
+
+    Bases at or after ``batch_id`` don't hold for the new log and are removed first.
+    """
+    _drop_bases(rows.sparkSession, path, batch_id)
     moment = F.current_timestamp() if at is None else F.lit(at)
     batch = (
         rows.withColumn(OP, F.lit(op) if isinstance(op, str) else op)
@@ -32,6 +41,71 @@ def commit(
     ).parquet(path)
 
 
+def _numbers(spark: SparkSession, folder: str, column: str) -> list[int]:
+    """Values of a numbered partition folder, in order; one for each version."""
+    names = [child.rsplit("/", 1)[1] for child in children(spark, folder)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}="))
+
+
+def bases(spark: SparkSession, path: str) -> list[int]:
+    """Versions whose state is stored as a whole."""
+    found = _numbers(spark, f"{path}/{_BASES}", "version")
+    return [v for v in found if exists(spark, f"{path}/{_BASES}/version={v}/_SUCCESS")]
+
+
+def _drop_bases(spark: SparkSession, path: str, since: int, upto: int | None = None) -> None:
+    for v in _numbers(spark, f"{path}/{_BASES}", "version"):
+        if v >= since and (upto is None or v <= upto):
+            remove(spark, f"{path}/{_BASES}/version={v}")
+
+
+def _with_base(spark: SparkSession, path: str, key: str, version: int) -> DataFrame:
+    """Newest log rows per key as of ``version``, deletes left out."""
+    base = max((v for v in bases(spark, path) if v <= version), default=None)
+    stored = f"{path}/{_BASES}/version={base}"
+    later = [
+        f"{path}/{BATCH}={b}"
+        for b in _numbers(spark, path, BATCH)
+        if b <= version and (base is None or b > base)
+    ]
+    if later:
+        log = spark.read.option("basePath", path).option("mergeSchema", True).parquet(*later)
+        log = log.withColumn(BATCH, F.col(BATCH).cast("bigint"))
+        if base is not None:
+            log = spark.read.parquet(stored).unionByName(log, allowMissingColumns=True)
+        return _newest(log, key).where(F.col(OP) != DELETE)
+    return spark.read.parquet(stored) if base is not None else read_log(spark, path).where(F.lit(False))
+
+
+def write_base(spark: SparkSession, path: str, key: str, version: int) -> None:
+    """Store the state at ``version``, computed from the base before it and the batches since."""
+    state = _with_base(spark, path, key, version)
+    state.write.mode("overwrite").parquet(f"{path}/{_BASES}/version={version}")
+
+
+def keep_bases(spark: SparkSession, path: str, key: str, every: int) -> int | None:
+    """Store a base at the newest version if ``every`` batches or more have come since the last base.
+
+    Called after each commit, it keeps every read as of a version to one base and fewer than ``every``
+    batches. Returns the version of a new base.
+    """
+    found = _numbers(spark, path, BATCH)
+    last = max(bases(spark, path), default=None)
+    if not found or sum(last is None or b > last for b in found) < every:
+        return None
+    write_base(spark, path, key, found[-1])
+    return found[-1]
+
+
+def as_of_version(spark: SparkSession, path: str, key: str, version: int) -> DataFrame:
+    """Table state at ``version``, from the last base up to it and the batches after that.
+
+    The same rows as ``as_of``, with all columns that base and batches have. Only these folders are
+    listed and read.
+    """
+    return _with_base(spark, path, key, version).drop(OP)
+
+
 def read_log(spark: SparkSession, path: str, all_columns: bool = False) -> DataFrame:
     """The log with ``batch_id`` as a number.
 
@@ -133,5 +207,6 @@ def expire(spark: SparkSession, path: str, key: str, cutoff: dt.datetime) -> int
     touched = partition_values(old, BATCH)
     before = version_count(log)
     if touched:
+        _drop_bases(spark, path, min(touched), max(touched) - 1)
         overwrite_partitions(expired(log, key, cutoff), path, BATCH, touched)
     return before - version_count(read_log(spark, path)) if touched else 0

@@ -41,6 +41,21 @@ def asof_version(spark: SparkSession, folder: str) -> DataFrame:
     return _state(spark, _log(spark, folder), version=2)
 
 
+def asof_base(spark: SparkSession, folder: str) -> DataFrame:
+    """The fifth of six versions, two priorities repriced and two deleted, with a base at every second."""
+    path = scratch_path(spark, "log")
+    orders = load(spark, folder, "orders").select(KEY, "o_totalprice", "o_orderstatus", "o_orderpriority")
+    steps = [(None, 1), ("1-URGENT", 2), ("2-HIGH", 3), ("3-MEDIUM", None), ("1-URGENT", 5), ("5-LOW", None)]
+    for version, (priority, factor) in enumerate(steps, 1):
+        rows = orders.where(F.lit(True) if priority is None else F.col("o_orderpriority") == priority)
+        op = versions.DELETE if factor is None else "insert" if priority is None else "update"
+        price = (F.col("o_totalprice") * F.lit(factor)).cast("double")
+        versions.commit(rows.withColumn("o_totalprice", price), path, version, op)
+        versions.keep_bases(spark, path, KEY, 2)
+    state = versions.as_of_version(spark, path, KEY, 5)
+    return state.select(KEY, "o_totalprice", "o_orderstatus", "o_orderpriority", "batch_id")
+
+
 def asof_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     return _state(spark, _log(spark, folder), timestamp=DAYS[2] + dt.timedelta(hours=1))
 
@@ -70,6 +85,7 @@ def rollback(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "asof_version": asof_version,
     "asof_timestamp": asof_timestamp,
+    "asof_base": asof_base,
     "version_counts_union": counts,
     "version_history": history,
     "expire_versions": expire,
@@ -83,6 +99,11 @@ ORACLES = {
     "asof_version": f"SELECT {_COLUMNS.format(price=_DOUBLED)} FROM orders",
     "asof_timestamp": f"SELECT {_COLUMNS.format(price=_DOUBLED)} FROM orders "
     "WHERE o_orderpriority <> '5-LOW'",
+    "asof_base": """
+SELECT o_orderkey, o_totalprice * CASE o_orderpriority WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 3
+    ELSE 1 END AS o_totalprice, o_orderstatus, o_orderpriority,
+  CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 3 ELSE 1 END AS BIGINT) AS batch_id
+FROM orders WHERE o_orderpriority <> '3-MEDIUM'""",
     "version_counts_union": """
 SELECT 'first' AS version, COUNT(*) AS rows FROM orders WHERE o_orderstatus <> 'P'
 UNION ALL SELECT 'previous', COUNT(*) FROM orders

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -101,3 +102,51 @@ def test_expire_removes_emptied_batches(spark, path):
     assert versions.expire(spark, path, "k", at(4)) == 3
     assert state(spark, path) == {"b": 4, "c": 4, "d": 4}
     assert versions.expire(spark, path, "k", at(0 + 1)) == 0
+
+
+def based(spark, path, version):
+    found = versions.as_of_version(spark, path, "k", version)
+    return {r["k"]: r["v"] for r in found.collect()}
+
+
+def test_bases_give_the_same_state_from_few_folders(spark, path):
+    random.seed(3)
+    keys, every = [f"k{i}" for i in range(8)], 5
+    for batch in range(1, 24):
+        chosen = random.sample(keys, 3)
+        commit(spark, path, batch, [(k, batch, random.choice(["update", "delete"])) for k in chosen])
+        versions.keep_bases(spark, path, "k", every)
+    assert versions.bases(spark, path) == [5, 10, 15, 20]
+    for version in (0, 1, 4, 5, 6, 14, 19, 20, 23):
+        assert based(spark, path, version) == state(spark, path, version=version)
+        files = versions.as_of_version(spark, path, "k", version).inputFiles()
+        assert len({f.rsplit("/", 1)[0] for f in files}) <= every
+    assert based(spark, path, 99) == state(spark, path)
+
+
+def test_a_batch_run_again_drops_the_bases_it_makes_wrong(spark, path):
+    three(spark, path)
+    for version in (1, 2, 3):
+        versions.write_base(spark, path, "k", version)
+    commit(spark, path, 2, [("b", 7, "update")])
+    assert versions.bases(spark, path) == [1]
+    assert based(spark, path, 3) == state(spark, path) == {"b": 3, "c": 1}
+    assert based(spark, path, 2) == {"a": 1, "b": 7, "c": 1}
+
+
+def test_a_base_that_was_not_finished_does_not_count(spark, path):
+    three(spark, path)
+    spark.range(3).write.parquet(f"{path}/_bases/version=2")
+    os.remove(f"{path}/_bases/version=2/_SUCCESS")
+    assert versions.bases(spark, path) == [] and based(spark, path, 2) == state(spark, path, version=2)
+    versions.write_base(spark, path, "k", 2)
+    assert versions.bases(spark, path) == [2] and based(spark, path, 2) == state(spark, path, version=2)
+
+
+def test_expiry_keeps_reads_of_younger_versions_with_bases(spark, path):
+    three(spark, path)
+    versions.write_base(spark, path, "k", 1)
+    versions.write_base(spark, path, "k", 2)
+    versions.expire(spark, path, "k", at(2))
+    assert based(spark, path, 2) == {"a": 1, "b": 2, "c": 1, "d": 2}
+    assert based(spark, path, 3) == state(spark, path) == {"b": 3, "c": 1, "d": 2}
