@@ -18,6 +18,11 @@ DETAILS_LIMIT = 1000
 ERROR_LIMIT = 500
 
 
+def fitted(c: Column, limit: int) -> Column:
+    """The text as the metadata tables hold it: NULL as empty, at most ``limit`` characters."""
+    return F.substring(F.coalesce(c, F.lit("")), 1, limit)
+
+
 def strip(c: Column) -> Column:
     """Remove blanks of every kind from both ends.
 

@@ -21,6 +21,10 @@ RETENTION_DAYS = 7
 _NEW, _PLAN = "new", "plan"
 
 
+class TableChanged(OSError):
+    """Files that were to be replaced are gone."""
+
+
 def data_files_below(spark: SparkSession, folder: str) -> list[str]:
     """Data files below ``folder``, in its partition folders."""
     found, folders = [], [folder]
@@ -97,7 +101,7 @@ def exchange_files(
         still_there = all(pool.map(lambda file: paths.exists(spark, file), old))
     if not still_there:
         paths.remove(spark, work)
-        raise RuntimeError(f"another job has changed {table}; nothing was exchanged")
+        raise TableChanged(f"another job has changed {table}; nothing was exchanged")
     if whole_folders:
         folders = {f"{table}{file.rsplit('/', 1)[0]}" for file, _ in new}
         with ThreadPoolExecutor(MOVERS) as pool:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources import paths
 from ..sources.filemeta import data_files
 from .exchange import RETENTION_DAYS, WORK_FOLDER, exchange_files, finish_interrupted
+from .versions import BASES
 
 # Fixed value: files below this size are compacted.
 SMALL_FILE_BYTES = 10 * 1024 * 1024
@@ -80,13 +81,15 @@ def leftover_files(
     """``path, size, modified_at`` of old files in the hidden folders of a table.
 
     Failed jobs leave such folders (``_temporary``, staging folders) behind; no reader sees them, so
-    nothing refers to their files. Files younger than the retention may belong to a running job.
+    nothing refers to their files. Files younger than the retention may belong to a running job. The
+    bases of a change log are no leftovers.
     """
     cutoff = int((now - dt.timedelta(days=retention_days)).timestamp() * 1000)
     found = [
         (name, size, dt.datetime.fromtimestamp(changed / 1000, dt.timezone.utc))
         for folder in paths.children(spark, path)
         if folder.rsplit("/", 1)[1][:1] in "._" and "=" not in folder.rsplit("/", 1)[1]
+        if folder.rsplit("/", 1)[1] != BASES
         for name, size, changed in paths.files_below(spark, folder)
         if changed < cutoff
     ]

@@ -18,7 +18,7 @@ from ..sources.paths import children, exists, remove
 from .partitions import overwrite_partitions, partition_values
 
 BATCH, OP, DELETE = "batch_id", "op", "delete"
-_BASES = "_bases"
+BASES = "_bases"
 
 
 def commit(
@@ -49,20 +49,20 @@ def _numbers(spark: SparkSession, folder: str, column: str) -> list[int]:
 
 def bases(spark: SparkSession, path: str) -> list[int]:
     """Versions whose state is stored as a whole."""
-    found = _numbers(spark, f"{path}/{_BASES}", "version")
-    return [v for v in found if exists(spark, f"{path}/{_BASES}/version={v}/_SUCCESS")]
+    found = _numbers(spark, f"{path}/{BASES}", "version")
+    return [v for v in found if exists(spark, f"{path}/{BASES}/version={v}/_SUCCESS")]
 
 
 def _drop_bases(spark: SparkSession, path: str, since: int, upto: int | None = None) -> None:
-    for v in _numbers(spark, f"{path}/{_BASES}", "version"):
+    for v in _numbers(spark, f"{path}/{BASES}", "version"):
         if v >= since and (upto is None or v <= upto):
-            remove(spark, f"{path}/{_BASES}/version={v}")
+            remove(spark, f"{path}/{BASES}/version={v}")
 
 
 def _with_base(spark: SparkSession, path: str, key: str, version: int) -> DataFrame:
     """Newest log rows per key as of ``version``, deletes left out."""
     base = max((v for v in bases(spark, path) if v <= version), default=None)
-    stored = f"{path}/{_BASES}/version={base}"
+    stored = f"{path}/{BASES}/version={base}"
     later = [
         f"{path}/{BATCH}={b}"
         for b in _numbers(spark, path, BATCH)
@@ -80,7 +80,7 @@ def _with_base(spark: SparkSession, path: str, key: str, version: int) -> DataFr
 def write_base(spark: SparkSession, path: str, key: str, version: int) -> None:
     """Store the state at ``version``, computed from the base before it and the batches since."""
     state = _with_base(spark, path, key, version)
-    state.write.mode("overwrite").parquet(f"{path}/{_BASES}/version={version}")
+    state.write.mode("overwrite").parquet(f"{path}/{BASES}/version={version}")
 
 
 def keep_bases(spark: SparkSession, path: str, key: str, every: int) -> int | None:

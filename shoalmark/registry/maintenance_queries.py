@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import maintain
+from ..functions.text import DETAILS_LIMIT, ERROR_LIMIT, fitted
+from ..operators import maintain, metadata
 from ..plans.maintenance import Table, maintain_all
 from ..operators import versions
 from ..session import scratch_path, staged
+from ..sources import catalog
 from ..sources.filemeta import file_stats
 from ..sources.listing import decoded_path
 from .common import load, plain
@@ -110,7 +113,74 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
     return done.join(left[0].unionByName(left[1]), "table_name")
 
 
+def _database(spark: SparkSession, folder: str, base: str) -> str:
+    """A database with a plain table in small files, a change log, and a table of its own records."""
+    name = f"kept_{uuid.uuid4().hex[:12]}"
+    catalog.create_database(spark, name, f"{base}/{name}")
+    rows = _orders(spark, folder)
+    many = rows.repartition(8, "o_orderpriority", "o_orderkey")
+    many.write.partitionBy(STATUS).saveAsTable(f"{name}.orders")
+    path = f"{base}/history"
+    versions.commit(rows, path, 1, "insert", dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
+    versions.commit(rows.where("o_orderpriority = '5-LOW'"), path, 2, versions.DELETE)
+    schema = versions.read_log(spark, path).schema
+    catalog.create_table(spark, f"{name}.history", schema, path, [versions.BATCH])
+    spark.sql(f"ALTER TABLE {name}.history SET TBLPROPERTIES ('history.key' = 'o_orderkey')")
+    spark.sql(f"ALTER TABLE {name}.history RECOVER PARTITIONS")
+    rows.select(STATUS).distinct().write.saveAsTable(f"{name}._own")
+    return name
+
+
+def logged(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored log of a run that finds its tables in the catalog, and what each table holds then."""
+    base = scratch_path(spark, "logged")
+    name = _database(spark, folder, base)
+    maintain_all(spark, f"{base}/lake", name, "run-1")
+    log = metadata.read(spark, f"{base}/lake", metadata.MAINTENANCE_LOG)
+    orders = spark.read.parquet(catalog.place(spark, f"{name}.orders"))
+    history = versions.as_of(versions.read_log(spark, f"{base}/history"), "o_orderkey")
+    left = [
+        rows.agg(F.lit(table).alias("table_name"), F.count("*").alias("rows"))
+        for table, rows in (("orders", orders), ("history", history))
+    ]
+    return log.select(
+        "table_name", "operation", "status", "run_id",
+        (F.col("executed_at").isNotNull() & F.col("files_after").isNotNull()).alias("measured"),
+    ).join(left[0].unionByName(left[1]), "table_name")
+
+
+def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """User tables of a database with the types of their columns and their rows."""
+    name = _database(spark, folder, scratch_path(spark, "catalog"))
+    found = None
+    for table in catalog.user_tables(spark, name):
+        columns = list(catalog.describe(spark, f"{name}.{table}").items())
+        listed = spark.createDataFrame(
+            [(table, *c) for c in columns], "table_name string, column_name string, data_type string"
+        )
+        counted = spark.table(f"{name}.{table}").agg(
+            F.lit(table).alias("table_name"),
+            F.lit(name in catalog.databases(spark)).alias("listed"),
+            F.count("*").alias("rows"),
+        )
+        part = listed.join(counted, "table_name")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def fitted_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as details and as error message of a record."""
+    return load(spark, folder, "documents").select(
+        "doc_id",
+        fitted(F.col("text"), DETAILS_LIMIT).alias("details"),
+        fitted(F.col("text"), ERROR_LIMIT).alias("error_message"),
+    )
+
+
 QUERIES = {
+    "maintenance_logged": logged,
+    "catalog_tables": catalog_tables,
+    "fitted_texts": fitted_texts,
     "compact_small_files": compact_small_files,
     "orphan_files": orphan_files,
     "file_stats": stats,
@@ -120,7 +190,24 @@ QUERIES = {
 
 _ROW = "o_orderkey, o_totalprice, o_orderpriority, o_orderstatus"
 
+_TYPES = """(VALUES ('orders', 'o_orderkey', 'BIGINT'), ('orders', 'o_totalprice', 'DOUBLE'),
+  ('orders', 'o_orderpriority', 'STRING'), ('orders', 'o_orderstatus', 'STRING'),
+  ('history', 'o_orderkey', 'BIGINT'), ('history', 'o_totalprice', 'DOUBLE'),
+  ('history', 'o_orderpriority', 'STRING'), ('history', 'o_orderstatus', 'STRING'),
+  ('history', 'op', 'STRING'), ('history', '_ingested_at', 'TIMESTAMP'), ('history', 'batch_id', 'BIGINT'))"""
+
 ORACLES = {
+    "maintenance_logged": """WITH n AS (SELECT 'orders' AS table_name, COUNT(*) AS rows FROM orders
+UNION ALL SELECT 'history', COUNT(*) FILTER (WHERE o_orderpriority <> '5-LOW') FROM orders)
+SELECT table_name, operation, CASE WHEN table_name = 'orders' AND operation = 'expire_snapshots'
+  THEN 'skipped' ELSE 'completed' END AS status, 'run-1' AS run_id, TRUE AS measured, rows FROM n
+CROSS JOIN (VALUES ('optimize'), ('expire_snapshots'), ('remove_orphan_files')) AS o(operation)""",
+    "catalog_tables": f"""WITH n AS (SELECT 'orders' AS table_name, COUNT(*) AS rows FROM orders
+UNION ALL SELECT 'history', COUNT(*) + COUNT(*) FILTER (WHERE o_orderpriority = '5-LOW') FROM orders)
+SELECT table_name, column_name, data_type, TRUE AS listed, rows
+FROM {_TYPES} AS t(table_name, column_name, data_type) JOIN n USING (table_name)""",
+    "fitted_texts": """SELECT doc_id, left(coalesce(text, ''), 1000) AS details,
+  left(coalesce(text, ''), 500) AS error_message FROM documents""",
     "compact_small_files": f"SELECT {_ROW}, TRUE AS fewer_files, TRUE AS stable FROM orders",
     "orphan_files": f"SELECT {_ROW} FROM orders WHERE o_orderstatus <> 'F'",
     "file_stats": """SELECT o_orderstatus, 'PARQUET' AS file_format, COUNT(*) AS record_count,

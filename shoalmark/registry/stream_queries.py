@@ -119,12 +119,12 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ingestion_date,
   o_orderstatus AS status, o_orderpriority AS priority FROM orders""",
     "stream_late_rows": """
-WITH rows AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount,
-  date_trunc('month', o_orderdate) AS at, o_orderstatus AS status, o_orderpriority AS priority,
+WITH dropped AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount,
+  date_trunc('month', o_orderdate) AS due, o_orderstatus AS status, o_orderpriority AS priority,
   o_orderstatus = 'F' AND month(o_orderdate) <= 6 AS first_lot FROM orders)
-SELECT order_id, customer_id, amount, strftime(at, '%Y-%m-%d') AS ingestion_date, status, priority,
-  CASE WHEN first_lot OR at > (SELECT MAX(at) FROM rows WHERE first_lot) THEN 'on time'
-    ELSE 'late' END AS arrived FROM rows""",
+SELECT order_id, customer_id, amount, strftime(due, '%Y-%m-%d') AS ingestion_date, status, priority,
+  CASE WHEN first_lot OR due > (SELECT MAX(due) FROM dropped WHERE first_lot) THEN 'on time'
+    ELSE 'late' END AS arrived FROM dropped""",
     "stream_rate_window": _RATES,
     "stream_rate_open": _RATES
     + " WHERE rates.window_end > (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -91,6 +92,18 @@ def _csv(rows: DataFrame, path: str) -> str:
     return path
 
 
+def load_as_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads of the sales file, the second with later months, read back as a table by its name."""
+    rows = sales_view(spark, folder).withColumn(MONTH, F.trunc(MONTH, "month"))
+    base = scratch_path(spark, "load")
+    table = f"loaded_{uuid.uuid4().hex[:12]}.sales"
+    for lot, part in enumerate((rows.where(F.col(MONTH) <= F.lit(MARK)), rows)):
+        file = _csv(part, f"{base}/{lot}")
+        load_sales(spark, file, f"{base}/sales", f"{base}/state", source_name=f"lot {lot}", table=table)
+    loaded = spark.table(table)
+    return plain(loaded.select("order_id", "customer_id", "amount", "country", MONTH, "_source_file"))
+
+
 def watermark_advance(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads of the sales file: up to the mark, then the whole file with changed amounts.
 
@@ -147,6 +160,7 @@ QUERIES = {
     "upsert_last_wins": last_wins,
     "overwrite_by_date": overwrite_by_date,
     "watermark_advance": watermark_advance,
+    "load_as_table": load_as_table,
 }
 
 _MONTH = "strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ingestion_date"
@@ -183,6 +197,11 @@ FROM orders FULL JOIN last ON o_orderkey = l_orderkey""",
 WHERE o_orderpriority = '1-URGENT' OR date_trunc('month', o_orderdate) NOT IN (
   SELECT date_trunc('month', o_orderdate) FROM orders
   WHERE year(o_orderdate) = 1997 AND o_orderpriority = '1-URGENT')""",
+    "load_as_table": f"""WITH {SALES_CTE}, months AS (SELECT CAST(order_id AS VARCHAR) AS order_id,
+  CAST(customer_id AS VARCHAR) AS customer_id, amount, country,
+  CAST(date_trunc('month', ingestion_date) AS DATE) AS month FROM sales)
+SELECT order_id, customer_id, amount, country, strftime(month, '%Y-%m-%d') AS ingestion_date,
+  CASE WHEN month <= DATE '{MARK}' THEN 'lot 0' ELSE 'lot 1' END AS _source_file FROM months""",
     "watermark_advance": f"""WITH {SALES_CTE}, months AS (
 SELECT date_trunc('month', ingestion_date) AS month, amount FROM sales)
 SELECT strftime(month, '%Y-%m-%d') AS ingestion_date, COUNT(*) AS orders,

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from shoalmark.operators.exchange import data_files_below, exchange_files
+from shoalmark.operators.exchange import TableChanged, data_files_below, exchange_files
 from shoalmark.operators.replace import replace_by_source, table_schema
 from shoalmark.operators.upsert import upsert
 from shoalmark.operators import maintain, metadata, versions
@@ -103,7 +103,7 @@ def test_files_replaced_by_another_job_stop_the_exchange(spark, path):
     old = data_files_below(spark, table)
     found = spark.createDataFrame(spark.read.parquet(path).collect())
     maintain.compact(spark, path)
-    with pytest.raises(RuntimeError, match="another job"):
+    with pytest.raises(TableChanged, match="another job"):
         exchange_files(spark, table, old, found, [])
     assert rows(spark, path) == before
 
@@ -151,6 +151,13 @@ def test_interrupted_upsert_leaves_no_row_twice(spark, path, monkeypatch, at):
     assert got == [(1, "a", 1), (2, "a", 1), (3, "a", 2)]
 
 
+def test_bases_of_a_change_log_are_no_leftovers(spark, path):
+    versions.commit(spark.range(3).withColumnRenamed("id", "k"), path, 1, "insert")
+    versions.write_base(spark, path, "k", 1)
+    later = dt.datetime.now(UTC) + dt.timedelta(days=30)
+    assert maintain.leftover_files(spark, path, later).where("path LIKE '%_bases%'").count() == 0
+
+
 def test_leftovers_of_failed_jobs(spark, path):
     tiny_files(spark, path, 3)
     for name in ("_temporary/0/a", ".staging"):
