@@ -3,6 +3,8 @@
 A series may be long and hold a large share of all samples, so no window runs over a whole series
 of raw samples. Time is cut into chunks and windows run per series and chunk; what a chunk needs
 from before its start is added to it: the samples of the trailing window and one earlier sample.
+A chunk with very many samples is cut further, between slots of time as long as the trailing window,
+so that each part has at most a given number of samples, or a single slot.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import percent
+from ..session import staged
 from .partitions import overwrite_partitions, partition_folder, partition_values
 
 # Trailing window, sampling step, hold times, threshold in percent, retention.
@@ -27,6 +30,7 @@ LOWEST_STATUS = "red"
 
 SECOND = 1_000_000
 CHUNK_SECONDS = 6 * 3600
+CHUNK_ROWS = 1_000_000
 
 
 def micros(df: DataFrame, time: str) -> Column:
@@ -37,6 +41,50 @@ def micros(df: DataFrame, time: str) -> Column:
     return F.unix_micros(F.col(time))
 
 
+def chunk_cuts(slots: DataFrame, series: list[str], per_chunk: int, budget: int) -> DataFrame:
+    """Slots at which chunks with more than ``budget`` samples are cut: ``series…, _coarse, _starts``.
+
+    ``slots`` has the number of samples ``_n`` per series and ``_slot``. A chunk has ``per_chunk`` slots,
+    so there are fewer cuts than that in each.
+    """
+    along = Window.partitionBy(*series, "_coarse").orderBy("_slot")
+    filled = F.floor((F.sum("_n").over(along) - 1) / budget)
+    parts = slots.withColumn("_coarse", F.floor(F.col("_slot") / per_chunk).cast("bigint"))
+    cut = parts.withColumn("_part", filled).select(
+        *series, "_coarse", "_slot", (F.col("_part") > F.lag("_part").over(along)).alias("_new")
+    )
+    starts = F.sort_array(F.collect_list("_slot")).alias("_starts")
+    return cut.where("_new").groupBy(*series, "_coarse").agg(starts)
+
+
+def with_chunk(rows: DataFrame, series: list[str], cuts: DataFrame | None, per_chunk: int) -> DataFrame:
+    """Add ``_own``, the chunk of a row's ``_slot``, and ``_next``, that of the slot after it."""
+    coarse = F.floor(F.col("_slot") / per_chunk).cast("bigint")
+    if cuts is None:
+        found = rows.withColumn("_starts", F.array().cast("array<bigint>"))
+    else:
+        keys = [F.col(c).alias(f"_key{i}") for i, c in enumerate(series)]
+        places = cuts.select(*keys, F.col("_coarse").alias("_key"), "_starts")
+        same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(series)]
+        found = rows.join(places, [*same, coarse == F.col("_key")], "left")
+
+    def chunk(slot: Column) -> Column:
+        before = F.size(F.filter(F.coalesce("_starts", F.array().cast("array<bigint>")), lambda s: s <= slot))
+        return coarse * per_chunk + before
+
+    after = F.col("_slot") + 1
+    following = F.when(F.pmod(after, F.lit(per_chunk)) == 0, (coarse + 1) * per_chunk).otherwise(chunk(after))
+    return found.select(
+        *rows.columns, chunk(F.col("_slot")).alias("_own"), following.cast("bigint").alias("_next")
+    )
+
+
+def _cuts(slots: DataFrame, series: list[str], per_chunk: int, budget: int) -> DataFrame | None:
+    """``chunk_cuts``, or None where no chunk has to be cut. There is one row for each that has."""
+    cuts = staged(chunk_cuts(slots, series, per_chunk, budget), "cuts")
+    return None if cuts.isEmpty() else cuts
+
+
 def counter_increase(
     samples: DataFrame,
     series: list[str],
@@ -44,11 +92,13 @@ def counter_increase(
     value: str,
     window: int = WINDOW_SECONDS,
     chunk: int = CHUNK_SECONDS,
+    budget: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Each sample with ``increase``: growth of the counter over the trailing window ``(t-w, t]``.
 
     A drop means that the counter started again from zero, so the new value is the growth. The
-    first sample of a series has no growth. Needs one sample per series and time.
+    first sample of a series has no growth. Needs one sample per series and time. The counts per slot
+    are taken first, by a job of its own; chunks with more than ``budget`` samples are cut by them.
     """
     per_chunk = chunk // window
     if chunk % window:
@@ -57,24 +107,23 @@ def counter_increase(
     t = samples.withColumn("_t", micros(samples, time)).withColumn(
         "_slot", F.floor(F.col("_t") / (window * SECOND)).cast("bigint")
     )
-    own = F.floor(F.col("_slot") / per_chunk).cast("bigint")
-    # The last slot of a chunk is also the trailing window of the next one.
-    places = F.when(
-        F.pmod("_slot", F.lit(per_chunk)) == per_chunk - 1, F.array(own, own + 1)
-    ).otherwise(F.array(own))
-    rows = t.withColumn("_own", own).withColumn("_chunk", F.explode(places))
-
     # One row per series and slot is enough to know the sample just before each chunk.
-    slots = t.groupBy(*series, "_slot").agg(
-        F.max("_t").alias("_t"), F.max_by(value, "_t").alias(value)
+    counted = t.groupBy(*series, "_slot").agg(
+        F.max("_t").alias("_t"), F.max_by(value, "_t").alias(value), F.count("*").alias("_n")
     )
+    slots = staged(counted, "slots")
+    cuts = _cuts(slots, series, per_chunk, budget)
+    # The last slot of a chunk is also the trailing window of the next one.
+    places = F.array_distinct(F.array("_own", "_next"))
+    rows = with_chunk(t, series, cuts, per_chunk).withColumn("_chunk", F.explode(places)).drop("_next")
     by_slot = Window.partitionBy(*series).orderBy("_slot")
-    before = slots.select(
+    earlier = slots.select(
         *series,
         "_slot",
         F.lag("_t").over(by_slot).alias("_t"),
         F.lag(value).over(by_slot).alias(value),
-    ).withColumn("_chunk", F.explode(places))
+    )
+    before = with_chunk(earlier, series, cuts, per_chunk).withColumn("_chunk", F.explode(places))
     seeds = (
         before.groupBy(*series, "_chunk")
         .agg(F.min_by("_t", "_slot").alias("_t"), F.min_by(value, "_slot").alias(value))
@@ -162,6 +211,7 @@ def held_alerts(
     hold: int = HOLD_SECONDS,
     max_gap: int = WINDOW_SECONDS,
     chunk: int = CHUNK_SECONDS,
+    budget: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Intervals in which a condition has held for at least ``hold`` seconds.
 
@@ -171,16 +221,21 @@ def held_alerts(
     time count as one, active if all of them are.
 
     Runs are formed per chunk. Those that touch neither end of their chunk are complete; of the
-    rest each chunk has two at most, and only these are joined along the series.
+    rest each chunk has two at most, and only these are joined along the series. Chunks with more than
+    ``budget`` samples are cut between slots of ``max_gap`` seconds, which a job counts before.
     """
     if chunk < max_gap:
         raise ValueError("chunk must not be shorter than max_gap")
+    per_chunk = chunk // max_gap
     gap = max_gap * SECOND
     t = samples.select(
         *series,
         micros(samples, time).alias("_t"),
         F.coalesce(active, F.lit(False)).alias("_on"),
-    ).withColumn("_chunk", F.floor(F.col("_t") / (chunk * SECOND)))
+    ).withColumn("_slot", F.floor(F.col("_t") / gap).cast("bigint"))
+    slots = t.groupBy(*series, "_slot").agg(F.count("*").alias("_n"))
+    t = with_chunk(t, series, _cuts(slots, series, per_chunk, budget), per_chunk)
+    t = t.withColumnRenamed("_own", "_chunk").drop("_slot", "_next")
     # Dealt out as the windows need it, so that making times unique takes no exchange of its own.
     dealt = t.repartition(*series, "_chunk")
     t = dealt.groupBy(*series, "_chunk", "_t").agg(F.bool_and("_on").alias("_on"))

@@ -138,6 +138,42 @@ def test_no_window_over_a_whole_series_of_samples(spark):
     assert sum("_chunk#" in w for w in windows) == 2, "one runs over the slots, one row per slot"
 
 
+def hot_series(seed):
+    """One series with nine tenths of the samples, most of them within an hour, and one without a name."""
+    rnd = random.Random(seed)
+    rows = {("hot", rnd.randrange(3600)): rnd.randrange(9) for _ in range(2000)}
+    rows |= {("hot", rnd.randrange(90_000)): rnd.randrange(9) for _ in range(200)}
+    for name in ("b", "c", None):
+        rows |= {(name, rnd.randrange(90_000)): rnd.randrange(9) for _ in range(70)}
+    return [(s, t, float(v)) for (s, t), v in rows.items()]
+
+
+@pytest.mark.parametrize("budget", [1, 60, 500])
+def test_chunks_of_a_hot_series_are_cut(spark, budget):
+    rows = hot_series(budget)
+    found = increases(samples(spark, rows), chunk=21600, budget=budget)
+    named = [(s or "", t, v) for s, t, v in rows]
+    assert {(s or "", t): v for (s, t), v in found.items()} == brute_increase(named)
+    flags = [(s or "", t, float(v > 1)) for s, t, v in rows]
+    runs = alerts(samples(spark, flags), 60, max_gap=300, budget=budget)
+    assert runs == alerts(samples(spark, flags), 60, max_gap=300) and runs
+
+
+def test_no_chunk_holds_much_more_than_the_others(spark):
+    """Parts have at most the budget, or one slot; the largest is below three times the median."""
+    rnd = random.Random(5)
+    rows = {("hot", rnd.randrange(21600)): 1.0 for _ in range(9000)}
+    rows |= {(f"s{i}", rnd.randrange(21600)): 1.0 for i in range(10) for _ in range(100)}
+    df = samples(spark, [(s, t, v) for (s, t), v in rows.items()])
+    slotted = df.withColumn("_slot", F.floor(metrics.micros(df, "ts") / (300 * metrics.SECOND)))
+    slots = slotted.groupBy("series", "_slot").agg(F.count("*").alias("_n"))
+    cuts = metrics.chunk_cuts(slots, ["series"], 72, 400)
+    dealt = metrics.with_chunk(slotted, ["series"], cuts, 72).groupBy("series", "_own").count()
+    sizes = sorted(r["count"] for r in dealt.where("series = 'hot'").collect())
+    assert sum(sizes) > 7000 and sizes[-1] <= 3 * sizes[len(sizes) // 2] and sizes[-1] <= 400 + 150
+    assert dealt.where("series <> 'hot'").count() == 10
+
+
 def test_gauges(spark):
     df = samples(spark, [("a", 0, 1.0), ("a", 9, 0.0), ("b", 0, 0.0), ("b", 9, 1.0), ("c", 5, 1.0)])
     row = metrics.count_in_state(df, ["series"], "ts", "value").first()
