@@ -13,6 +13,8 @@ from ..sources.paths import exists
 REGISTRY = "_ingest_registry"
 QUALITY_RESULTS = "_quality_results"
 MAINTENANCE_LOG = "_maintenance_log"
+# Status of a file whose size or time has changed, but not its content.
+UNCHANGED = "unchanged"
 
 # Size and time of a file stand beside its tag, so that an unchanged file is not read again.
 SCHEMAS = {
@@ -80,17 +82,22 @@ def newest(records: DataFrame, time_column: str, n: int = 20, *ties: str) -> Dat
 
 
 def known_files(registry: DataFrame) -> DataFrame:
-    """Files that were loaded; failed ones do not count and are tried again."""
-    return registry.where(F.col("status") == "success")
+    """What the table holds of each file: ``key, etag, size, modified_at`` of its last good record.
+
+    Failed loads do not count, so such files are tried again. A file that has got an earlier content
+    back is another file than the one loaded last.
+    """
+    good = registry.where(F.col("status").isin("success", UNCHANGED))
+    last = F.max_by(F.struct("etag", "size", "modified_at"), "ingested_at").alias("_last")
+    return good.groupBy(F.col("file_key").alias("key")).agg(last).select("key", "_last.*")
 
 
 def new_files(files: DataFrame, registry: DataFrame) -> DataFrame:
     """Files whose key, size and time are not those of a loaded file."""
-    known = known_files(registry).select(F.col("file_key").alias("key"), "size", "modified_at")
+    known = known_files(registry).drop("etag")
     return files.join(known, ["key", "size", "modified_at"], "left_anti")
 
 
 def changed_files(files: DataFrame, registry: DataFrame) -> DataFrame:
     """Files whose key and content tag are not those of a loaded file."""
-    known = known_files(registry).select(F.col("file_key").alias("key"), "etag")
-    return files.join(known, ["key", "etag"], "left_anti")
+    return files.join(known_files(registry).select("key", "etag"), ["key", "etag"], "left_anti")

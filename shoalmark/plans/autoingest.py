@@ -250,20 +250,26 @@ def _load_table(
 
 def _described(
     spark: SparkSession, candidates: DataFrame, wave: list[Any], registry: DataFrame
-) -> tuple[list[Any], list[Any]]:
-    """Listing entries of changed files with tag and dialect, and of files that could not be read."""
+) -> tuple[list[Any], list[Any], list[Any]]:
+    """Listing entries of changed files with tag and dialect, of files that could not be read, and of
+    files that only look changed."""
     try:
         with fingerprint(spark, [f["path"] for f in wave]) as probed:
             with held(candidates.join(probed, "path"), "described") as described:
                 changed = metadata.changed_files(described, registry).collect()
-                seen = {r["path"] for r in described.select("path").toLocalIterator()}
-        return changed, [f for f in wave if f["path"] not in seen]
+                seen = described.collect()
+        loaded, read = {f["path"] for f in changed}, {f["path"] for f in seen}
+        return (
+            changed,
+            [f for f in wave if f["path"] not in read],
+            [f for f in seen if f["path"] not in loaded],
+        )
     except _PROBLEMS:
         if len(wave) == 1:
-            return [], wave
+            return [], wave, []
         middle = len(wave) // 2
         halves = [_described(spark, candidates, w, registry) for w in (wave[:middle], wave[middle:])]
-        return halves[0][0] + halves[1][0], halves[0][1] + halves[1][1]
+        return tuple(one + other for one, other in zip(*halves))
 
 
 def ingest_folder(
@@ -272,7 +278,8 @@ def ingest_folder(
     """Load all new and changed CSV files below ``root``; returns their registry records.
 
     Files whose size and time are in the registry are not opened. The others are read as lines for a
-    content tag, which also gives delimiter and header. All files of a table that a run finds are
+    content tag, which also gives delimiter and header. Those with the content loaded last are put in
+    the registry with their new time, and not returned. All files of a table that a run finds are
     typed together. The driver holds the listing entries of the new files, as a reader takes its
     paths as a list; whatever happens to one table, the records of the others are stored.
     """
@@ -280,14 +287,16 @@ def ingest_folder(
     catalog.create_database(spark, opts.database)
     registry = metadata.read(spark, lake, metadata.REGISTRY)
     records: list[dict] = []
+    touched: list[dict] = []
     with held(metadata.new_files(list_csv(spark, root), registry), "candidates") as candidates:
         warn_large(candidates)
         by_table: dict[str, list[Any]] = defaultdict(list)
         listed = candidates.orderBy("key").collect()
         for wave in _waves(listed, opts.files_per_wave):
-            changed, unread = _described(spark, candidates, wave, registry)
+            changed, unread, same = _described(spark, candidates, wave, registry)
             for f in changed:
                 by_table[f["table_name"]].append(f)
+            touched += [_record(f, run_id, metadata.UNCHANGED, FileCounts()) for f in same]
             for f in unread:
                 there = exists(spark, f["path"])
                 problem = "no header row" if there else "the file is gone"
@@ -304,7 +313,7 @@ def ingest_folder(
         for load in loads:
             if load.exception() is None:
                 records.extend(load.result())
-        metadata.append(spark, lake, metadata.REGISTRY, records)
+        metadata.append(spark, lake, metadata.REGISTRY, records + touched)
         for load in loads:
             load.result()
     return records

@@ -152,6 +152,9 @@ def new_files(spark: SparkSession, folder: str) -> DataFrame:
         key.alias("file_key"),
         F.lit("F").alias("etag"),
         F.when(F.col("o_orderpriority") == "5-LOW", "failed").otherwise("success").alias("status"),
+        F.length("o_orderpriority").cast("bigint").alias("size"),
+        F.col("o_orderdate").alias("modified_at"),
+        F.col("o_orderdate").alias("ingested_at"),
     )
     return metadata.changed_files(files, registry)
 

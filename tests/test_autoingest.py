@@ -80,6 +80,29 @@ def test_new_unchanged_and_changed_file(lake):
     assert sources == {"staff/a.csv", "staff/b.csv"}
 
 
+def test_touched_file_is_read_once(lake, monkeypatch):
+    lake.put("staff/a.csv", STAFF)
+    lake.run()
+    os.utime(f"{lake.root}/staff/a.csv", (1, 1))
+    assert lake.run() == {}
+    registry = metadata.read(lake.spark, lake.lake, metadata.REGISTRY)
+    assert sorted(r["status"] for r in registry.collect()) == ["success", "unchanged"]
+    monkeypatch.setattr(autoingest, "fingerprint", lambda *a: pytest.fail("the file was read again"))
+    assert lake.run() == {}
+
+
+def test_a_file_that_gets_its_old_content_back_is_loaded_again(lake):
+    lake.put("staff/a.csv", STAFF)
+    lake.run()
+    first = os.stat(f"{lake.root}/staff/a.csv")
+    lake.put("staff/a.csv", STAFF.replace("N1,", "Z1,"))
+    assert lake.run() == {"staff/a.csv": ("success", 10, 0)}
+    lake.put("staff/a.csv", STAFF)
+    os.utime(f"{lake.root}/staff/a.csv", ns=(first.st_mtime_ns, first.st_mtime_ns))
+    assert lake.run() == {"staff/a.csv": ("success", 10, 0)}
+    assert ("N1",) in lake.rows("staff", "name") and ("Z1",) not in lake.rows("staff", "name")
+
+
 def test_extra_and_missing_columns(lake):
     lake.put("t/a.csv", "a,b\n5,x\n6,y\n")
     lake.run()
