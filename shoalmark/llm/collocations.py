@@ -122,9 +122,9 @@ class Bitmap:
             .groupBy(F.expr(f"place div {_BUCKET}").alias("bucket"))
             .agg(F.bitmap_construct_agg(F.col("place") % _BUCKET).alias("bits"))
         )
-        # At most BITS / 2**15 rows of 4 KB, whatever the input.
+        # At most BITS / 2**15 rows of 4 KB, whatever the input, fetched by one job.
         bits = np.zeros(BITS // 8, np.uint8)
-        for bucket, part in rows.toLocalIterator():
+        for bucket, part in rows.collect():
             at = bucket * _BUCKET // 8
             bits[at : at + len(part)] = np.frombuffer(part, np.uint8)
         self.sent = wanted.sparkSession.sparkContext.broadcast(bits.tobytes())
@@ -134,6 +134,10 @@ class Bitmap:
         place = hashes % np.uint64(BITS)
         return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
+    def drop(self) -> None:
+        """Free the memory of the driver and of the executors; only once all scans with it are done."""
+        self.sent.destroy()
+
 
 def counted(documents: DataFrame, find: Callable[[str, list[bytes], Counter], None]) -> DataFrame:
     """(lang, found, n): what ``find`` adds to a counter for texts of one language; partial counts."""
@@ -186,7 +190,8 @@ def growths(documents: DataFrame, frequent: DataFrame, first: DataFrame, longest
     """(lang, before, phrase, words, n): what follows the words ``first``, up to ``longest`` words.
 
     A phrase ends with its piece or before a word that is not in ``frequent``. ``before`` is the word in
-    front of it, empty at the begin of a piece.
+    front of it, empty at the begin of a piece. Words whose hash clashes with one of ``first`` are expanded,
+    too; ``grow`` drops them.
     """
     known, starts = Bitmap(frequent, "phrase"), Bitmap(first, "phrase")
 
@@ -206,7 +211,7 @@ def growths(documents: DataFrame, frequent: DataFrame, first: DataFrame, longest
                 counts[before + b"\n" + words.phrase(i, j)] += 1
 
     phrase = F.substring_index("found", "\n", -1)
-    return (
+    rows = (
         counted(documents, find)
         .groupBy("lang", "found")
         .agg(F.sum("n").alias("n"))
@@ -218,6 +223,7 @@ def growths(documents: DataFrame, frequent: DataFrame, first: DataFrame, longest
             "n",
         )
     )
+    return _scanned(rows, "growths", known, starts)
 
 
 def lookups(documents: DataFrame, parts: DataFrame, longest: int) -> DataFrame:
@@ -241,13 +247,23 @@ def lookups(documents: DataFrame, parts: DataFrame, longest: int) -> DataFrame:
                     counts[words.phrase(i, i + k)] += 1
 
     found = counted(documents, find).groupBy("lang", F.col("found").alias("phrase"))
-    return found.agg(F.sum("n").alias("f")).join(parts, ["lang", "phrase"], "left_semi")
+    rows = found.agg(F.sum("n").alias("f")).join(parts, ["lang", "phrase"], "left_semi")
+    return _scanned(rows, "looked-up", *prefixes, wholes)
+
+
+def _scanned(rows: DataFrame, label: str, *bitmaps: Bitmap) -> DataFrame:
+    """``staged``; the bitmaps of the scan go afterwards."""
+    made = staged(rows, label)
+    for bitmap in bitmaps:
+        bitmap.drop()
+    return made
 
 
-def grow(rows: DataFrame, fewest: int, longest: int) -> DataFrame:
+def grow(rows: DataFrame, first: DataFrame, fewest: int, longest: int) -> DataFrame:
     """(lang, phrase, words, f, kept): phrases of ``rows`` that come ``fewest`` times, level by level.
 
-    Only rows whose shorter phrase is frequent go on to the next level. A phrase that the same word
+    They begin with one of the words ``first``: a word that is expanded in another tier, and only came
+    along by its hash, would bring its phrases into the lists twice. Only rows whose shorter phrase is frequent go on to the next level. A phrase that the same word
     always precedes or always follows lies inside a longer one of the same count and is not kept.
     """
     levels, there = [], rows
@@ -264,6 +280,10 @@ def grow(rows: DataFrame, fewest: int, longest: int) -> DataFrame:
             )
             .where(F.col("f") >= fewest)
         )
+        if words == 2:
+            head = F.substring_index("phrase", " ", 1)
+            begins = first.select("lang", F.col("phrase").alias("head"))
+            summed = summed.withColumn("head", head).join(begins, ["lang", "head"], "left_semi")
         inside = F.lit(False)
         if words < longest:
             for c in ("before", "after"):
@@ -370,8 +390,8 @@ def collocations(
         first = scored.where(now).select("lang", "phrase")
         waiting = scored.where(~now).drop("least")
         if not first.isEmpty():
-            rows = staged(growths(documents, frequent, first, longest), "growths")
-            grown = grow(rows, fewest, longest)
+            rows = growths(documents, frequent, first, longest)
+            grown = grow(rows, first, fewest, longest)
             known.append(grown.select("lang", "phrase", "f"))
             kept = grown.where("kept").drop("kept")
             best = _settled(documents, kept, known, totals, best, most, longest)
@@ -414,7 +434,7 @@ def _settled(
     missing = cut.where("r is null").join(open_ones, ["lang", "phrase"], "left_semi")
     parts = staged(missing.select("lang", F.col("part").alias("phrase")).distinct(), "parts")
     if not parts.isEmpty():
-        known.append(staged(lookups(documents, parts, longest - 1), "looked-up"))
+        known.append(lookups(documents, parts, longest - 1))
         scored = phrases.join(open_ones, ["lang", "phrase"], "left_semi")
         exact = exact.unionAll(
             lowest(cuts(scored, reduce(DataFrame.unionAll, known), totals)).where("exact").drop("exact")

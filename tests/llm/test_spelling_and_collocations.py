@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -137,6 +138,17 @@ def test_collocations_equal_brute_force(documents, most):
     assert as_list(made) == brute_collocations(rows, most, 10, 5)
 
 
+def test_words_of_clashing_hashes_are_expanded_once(documents):
+    """Two words of one place in the bitmaps, which belong to different tiers."""
+    rare, common = "w19615", "w32016"
+    places = C.Words(f"{rare} {common}".encode(), "en").hashes % np.uint64(C.BITS)
+    assert places[0] == places[1]
+    rows = [(d, f"{common} of them. {common} here. {common} of all", "en", "s") for d in range(20)]
+    rows += [(100 + d, f"{rare} thing", "en", "s") for d in range(6)]
+    made = C.collocations(documents(rows), 10_000, 5)
+    assert as_list(made) == brute_collocations(rows, 10_000, 5, 5)
+
+
 def test_collocations_of_an_empty_table(documents):
     assert C.collocations(documents([])).collect() == []
 
