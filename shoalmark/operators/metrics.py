@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.window import WindowSpec
 
 from ..functions.text import percent
 from ..session import staged
@@ -135,15 +136,36 @@ def counter_increase(
     growth = F.when(F.col(value) >= last, F.col(value) - last).when(
         last.isNotNull(), F.col(value)
     )
-    trailing = order.rangeBetween(1 - window * SECOND, 0)
+    grown = everything.withColumn("_growth", growth)
     return (
-        everything.withColumn("_growth", growth)
-        .withColumn("increase", F.coalesce(F.sum("_growth").over(trailing), F.lit(0)))
+        grown.withColumn("increase", _trailing_sum(grown, order, window))
         .where(F.col("_own") == F.col("_chunk"))
         .select(*series, *kept, value, "increase")
     )
 
 
+def _trailing_sum(grown: DataFrame, order: WindowSpec, window: int) -> Column:
+    """The sum of ``_growth`` over ``(_t - window, _t]``, zero without any.
+
+    For whole numbers and decimals it is the difference of two running sums, so that the work does not grow
+    with the number of samples in a window. Floating-point sums, and decimals too wide for a running sum, are
+    not exact that way; a sliding frame adds up each of their windows.
+    """
+    sliding = F.coalesce(F.sum("_growth").over(order.rangeBetween(1 - window * SECOND, 0)), F.lit(0))
+    kind = grown.schema["_growth"].dataType
+    if isinstance(kind, T.IntegralType):
+        wide, result = F.col("_growth").cast("decimal(20,0)"), "bigint"
+    elif isinstance(kind, T.DecimalType) and kind.precision <= 27:
+        wide, result = F.col("_growth"), f"decimal({kind.precision + 10},{kind.scale})"
+    else:
+        return sliding
+
+    def upto(end: int) -> Column:
+        return F.coalesce(F.sum(wide).over(order.rangeBetween(Window.unboundedPreceding, end)), F.lit(0))
+
+    return (upto(Window.currentRow) - upto(-window * SECOND)).cast(result)
+
+
 def counter_rate(
     samples: DataFrame, series: list[str], time: str, value: str, window: int = WINDOW_SECONDS, **kw
 ) -> DataFrame:

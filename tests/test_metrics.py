@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -250,3 +251,28 @@ def test_equal_times_count_once(spark):
     for parts in (1, 7):
         got = metrics.held_alerts(samples.repartition(parts), ["s"], "t", F.col("v") == 1, 300, 300).collect()
         assert [(r["active_from"], r["firing_to"]) for r in got] == [(at[0], at[7])]
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(18,2)", "bigint"])
+def test_increase_of_very_unequal_values(spark, kind):
+    """Nothing outside of a window shows in its sum, and sums have one type."""
+    rows = [("a", 0, 0.0), ("a", 10, 1e15), ("a", 290, 1.0), ("a", 320, 3.0), ("a", 595, 9.0), ("a", 1300, 9.0)]
+    df = samples(spark, rows).withColumn("value", F.col("value").cast(kind))
+    out = metrics.counter_increase(df, ["series"], "ts", "value")
+    assert dict(out.dtypes)["increase"] == {"double": "double", "bigint": "bigint"}.get(kind, "decimal(29,2)")
+    assert increases(df) == brute_increase(rows)
+
+
+def test_dense_windows_take_no_sliding_frame(spark):
+    """30,000 samples in one window of a series: a frame gone through for each took their square."""
+    df = spark.range(30_000).selectExpr(
+        "'a' AS series", "timestamp_micros(id * 1000) AS ts", "CAST(id % 100 AS DECIMAL(18,2)) AS value"
+    )
+    out = metrics.counter_increase(df, ["series"], "ts", "value")
+    frames = re.findall(r"specifiedwindowframe\(RangeFrame, ([^,]*), ", plan_text(out))
+    assert set(frames) == {"unboundedpreceding$()"}
+    assert out.agg(F.max("increase")).first()[0] == sum(i % 100 - (i - 1) % 100 if i % 100 else 0 for i in range(1, 30_000))
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().analyzed().toString()
