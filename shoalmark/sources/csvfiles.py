@@ -19,7 +19,7 @@ from pyspark.sql import (
 from ..functions.names import clean_headers
 from .listing import decoded_path, relative_key
 from .paths import exists, qualified
-from .records import csv_records, headers
+from .records import headers, placed_lines, records_of
 
 SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingested_at"
@@ -68,7 +68,7 @@ class CsvSource:
         """The header of the first file. Records have to have one header in all files."""
         if not self.quoted:
             return self._reader().csv(self.path).columns
-        found = headers(self._records).select("header").distinct().take(2)
+        found = self._headers.select("header").distinct().take(2)
         if len(found) > 1:
             raise ContractError(f"files with different headers: {[r['header'] for r in found]}")
         return header_cells(found[0]["header"], ",") if found else []
@@ -81,7 +81,7 @@ class CsvSource:
     def ordered(self, schema: T.StructType) -> tuple[DataFrame, list[str]]:
         """Rows with further columns that sort them as they stand in their files."""
         if self.quoted:
-            rows = record_rows(self._records, schema)
+            rows = record_rows(self._lines, self._headers, schema)
             order = dict(zip(PLACE, map(F.col, PLACE)))
         else:
             # The header is compared in every file when the reader comes to it.
@@ -94,8 +94,12 @@ class CsvSource:
         return self.rows(T.StructType([T.StructField(c, T.StringType()) for c in self.columns()]))
 
     @cached_property
-    def _records(self) -> DataFrame:
-        return csv_records(self.spark, [self.path])
+    def _lines(self) -> DataFrame:
+        return placed_lines(self.spark, [self.path])
+
+    @cached_property
+    def _headers(self) -> DataFrame:
+        return headers(self._lines)
 
     def _reader(self) -> DataFrameReader:
         return self.spark.read.options(header=True, escape='"')
@@ -111,11 +115,11 @@ def scan_order() -> list[Column]:
 
 
 def record_rows(
-    records: DataFrame, schema: T.StructType, delimiter: str = ",", **options: str
+    lines: DataFrame, heads: DataFrame, schema: T.StructType, delimiter: str = ",", **options: str
 ) -> DataFrame:
-    """The records below the headers as rows, with the columns ``PLACE`` for their place."""
+    """The records of ``lines`` below the headers as rows, with the columns ``PLACE`` for their place."""
     place = ["path", "block", "line_no"]
-    below = records.join(headers(records).select(place), place, "left_anti")
+    below = records_of(lines).join(heads.select(place), place, "left_anti")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     row = F.from_csv("text", ddl, {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE", **options})
     return below.select(row.alias("row"), *[F.col(c).alias(p) for c, p in zip(place, PLACE)]).select(
@@ -174,8 +178,8 @@ def read_text_csv(
         [T.StructField(name, T.StringType()) for name in [*names, BAD_RECORD]]
     )
     if multi_line:
-        records = csv_records(spark, paths, delimiter)
-        rows = record_rows(records, schema, delimiter, columnNameOfCorruptRecord=BAD_RECORD)
+        lines = placed_lines(spark, paths, delimiter)
+        rows = record_rows(lines, headers(lines), schema, delimiter, columnNameOfCorruptRecord=BAD_RECORD)
         file = F.col(PLACE[0])
     else:
         rows = spark.read.schema(schema).options(

@@ -116,25 +116,37 @@ def _split_starts(composed: DataFrame) -> DataFrame:
     return found.select("path", "block", "inside", "came")
 
 
-def csv_records(spark: SparkSession, paths: list[str], delimiter: str = ",") -> DataFrame:
-    """(path, block, line_no, text): the records of the files, at the place where each begins.
+def placed_lines(spark: SparkSession, paths: list[str], delimiter: str = ",") -> DataFrame:
+    """(path, record, line, single): the lines of the files, with the place of the line their record begins on.
 
-    Records that are blank are left out. The lines of a record are joined by line feeds. ``block`` and
-    ``line_no`` are those of its first line, so a file's records come in their order. The lines are
-    written to the scratch folder once, with their states.
+    ``single`` lines are records of their own. The lines are written to the scratch folder once, with their
+    states, and so are the few rows for the begins of the splits: Spark then knows their size, and the lines
+    need no exchange to meet them.
     """
     composed = staged(_composed(text_lines(spark, paths), delimiter), "lines")
-    placed = composed.join(_split_starts(composed), ["path", "block"])
+    placed = composed.join(staged(_split_starts(composed), "splits"), ["path", "block"])
     inside = F.col("inside") == 1
     start = F.when(inside, F.col("start1")).otherwise(F.col("start0"))
     after = F.when(inside, F.col("after1")).otherwise(F.col("after0"))
     own = F.struct("block", start.alias("line_no"))
-    lines = placed.select(
+    return placed.select(
         "path",
         F.when(start.isNotNull(), own).otherwise(F.col("came")).alias("record"),
         F.struct("block", "line_no", "value").alias("line"),
         (~F.col("is_last") & (after == 0) & (start == F.col("line_no"))).alias("single"),
     )
+
+
+def _without_mark(text: str) -> Column:
+    return F.ltrim(text, F.lit(BYTE_ORDER_MARK))
+
+
+def records_of(lines: DataFrame) -> DataFrame:
+    """(path, block, line_no, text): the records of ``placed_lines``, at the place where each begins.
+
+    Records that are blank are left out. The lines of a record are joined by line feeds. ``block`` and
+    ``line_no`` are those of its first line, so a file's records come in their order.
+    """
     # A line that begins and ends outside of a field is a record; only the others are brought together.
     whole = lines.where(F.coalesce("single", F.lit(False))).select("path", "record", F.col("line.value").alias("text"))
     parts = (
@@ -145,14 +157,29 @@ def csv_records(spark: SparkSession, paths: list[str], delimiter: str = ",") ->
     )
     return (
         whole.unionAll(parts)
-        .select("path", "record.*", F.ltrim("text", F.lit(BYTE_ORDER_MARK)).alias("text"))
+        .select("path", "record.*", _without_mark("text").alias("text"))
         .where(F.trim("text") != "")
     )
 
 
-def headers(records: DataFrame) -> DataFrame:
-    """(path, block, line_no, header): the first record of every file."""
-    first = F.min(F.struct("block", "line_no", "text")).alias("first")
-    return records.groupBy("path").agg(first).select(
-        "path", "first.block", "first.line_no", F.col("first.text").alias("header")
+def csv_records(spark: SparkSession, paths: list[str], delimiter: str = ",") -> DataFrame:
+    """``records_of`` the lines of the files."""
+    return records_of(placed_lines(spark, paths, delimiter))
+
+
+def headers(lines: DataFrame) -> DataFrame:
+    """(path, block, line_no, header): the first record of every file of ``placed_lines``.
+
+    Its place is found by the lines that records begin on, so only its own lines are brought together. A
+    record that is blank has one line. The result, one row for each file, is written to the scratch folder.
+    """
+    begins = (F.col("line.block") == F.col("record.block")) & (F.col("line.line_no") == F.col("record.line_no"))
+    first = (
+        lines.where(begins & (F.trim(_without_mark("line.value")) != ""))
+        .groupBy("path")
+        .agg(F.min("record").alias("at"))
+        .select("path", F.col("at.block").alias("block"), F.col("at.line_no").alias("line_no"))
     )
+    placed = lines.select("path", "record.block", "record.line_no", "record", "line", F.lit(False).alias("single"))
+    own = placed.join(staged(first, "firsts"), ["path", "block", "line_no"], "left_semi")
+    return staged(records_of(own).withColumnRenamed("text", "header"), "headers")

@@ -94,3 +94,17 @@ def test_raw_copy_keeps_breaks_and_blanks(small_splits, tmp_path):
     land_raw(CsvSource.open(small_splits, str(tmp_path / "f.csv")), str(tmp_path / "raw"))
     copied = CsvSource.open(small_splits, str(tmp_path / "raw")).text().collect()
     assert sorted(map(list, copied)) == rows[1:]
+
+
+def test_lines_meet_the_splits_and_headers_without_an_exchange(spark, tmp_path):
+    """Only the lines of records that span several go through one; headers are found without the others."""
+    rows = [["a", "b"], *[[str(i), f"x\ny {i}"] for i in range(300)]]
+    for k in range(3):
+        (tmp_path / f"f{k}.csv").write_text(written(rows))
+    source = CsvSource.open(spark, str(tmp_path))
+    assert source.columns() == ["a", "b"]
+    made = source.text()
+    assert made.count() == 900
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in final
