@@ -44,6 +44,8 @@ LOSSLESS = 4 * min(SKETCH - FEWEST, LISTED - LISTED_FEWEST)
 WIDE, WIDE_FEWEST, _COLUMNS = 256, 158, 4096
 #: Bits that show which shared retained values a class has.
 _BITS = [f"bits{i}" for i in range(4)]
+#: Shingles of a set in a block of full sets, on average; larger ones make more blocks.
+_SET = 1024
 #: Ids, of some 40 bytes, that are sent to all readers of texts; more are joined by a shuffle.
 _SENT_IDS = 500_000
 
@@ -142,35 +144,54 @@ def least_shared(n: Column, kept: int = SKETCH, fewest: int = FEWEST) -> Column:
     )
 
 
+def _band(n: str) -> Column:
+    """Linked classes are in the same band of size or in neighbouring ones."""
+    return F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(1.25))).cast("int")
+
+
+def _one(place: Column) -> Column:
+    """A number with one of its 64 bits set."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
+
+
 def prefixes(classes: DataFrame) -> DataFrame:
-    """(cls, n, prefix, bits, spare): the values under which a class is listed, its rarest retained ones.
+    """(cls, n, prefix, roles, bits, spare): the values under which a class is listed, its rarest retained ones.
 
-    ``bits0`` to ``bits3`` have a bit for each of its values that others retain, too, and ``spare`` is the
-    number of these values beyond that of the bits. So two classes share at most as many retained
-    values as they share bits, plus the lesser ``spare``.
+    A value counts for a class only if another one of a fitting band of size retains it. Its role says
+    where that one can be met: 1 in the own band, 2 in the next, 3 in both. ``bits0`` to ``bits3`` have
+    a bit for each of the values that count, and ``spare`` is the number of these values beyond that of
+    the bits. So two classes of fitting bands share at most as many retained values as they share
+    bits, plus the lesser ``spare``.
     """
     retained = classes.select("cls", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
-    shared = retained.groupBy("value").agg(F.count("*").alias("seen")).where("seen > 1")
+    shared = (
+        retained.groupBy("value").agg(F.count("*").alias("seen"), F.bit_or(_one(_band("n"))).alias("bands")).where("seen > 1")
+    )
+    # Bands that are 64 apart share a bit, which can only make a value count that need not.
+    in_band = lambda step: F.col("bands").bitwiseAND(_one(_band("n") + step)) != 0
+    in_own = (F.col("seen") > F.bit_count("bands")) | in_band(-1)
     ranked = (
         retained.join(shared, "value")
+        .withColumn("role", in_own.cast("int") + 2 * in_band(1).cast("int"))
+        .where("role > 0")
         .groupBy("cls", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("seen", "value"))).alias("values"))
+        .agg(F.sort_array(F.collect_list(F.struct("seen", "value", "role"))).alias("values"))
     )
     least_held = F.least(F.col("n"), F.lit(LISTED)).cast("int")
-    # Values that nobody else retains come first in the order of rarity and take up places.
+    # Values that do not count come first in the order of rarity and take up places.
     least = least_shared(F.col("n"), LISTED, LISTED_FEWEST)
     places = least_held - least + 1 - (least_held - F.size("values"))
-    chosen = F.transform(F.slice("values", 1, places), lambda v: v["value"])
+    chosen = lambda part: F.transform(F.slice("values", 1, places), lambda v: v[part])
 
     def bits(part: int) -> Column:
         # Retained values are the smallest hashes, so only their low bits are evenly spread.
         own = lambda v: F.pmod(F.shiftright(v["value"], 6), F.lit(len(_BITS))) == part
-        one = lambda v: F.call_function("shiftleft", F.lit(1).cast("bigint"), (v["value"] % 64).cast("int"))
-        return F.aggregate(F.filter("values", own), F.lit(0).cast("bigint"), lambda x, v: x.bitwiseOR(one(v)))
+        return F.aggregate(F.filter("values", own), F.lit(0).cast("bigint"), lambda x, v: x.bitwiseOR(_one(v["value"])))
 
     made = ranked.where(places > 0).select(
-        "cls", "n", chosen.alias("prefix"), F.size("values").alias("size"), *[bits(i).alias(c) for i, c in enumerate(_BITS)]
-    )
+        "cls", "n", chosen("value").alias("prefix"), chosen("role").alias("roles"), F.size("values").alias("size"),
+        *[bits(i).alias(c) for i, c in enumerate(_BITS)],
+    )
     used = reduce(Column.__add__, [F.bit_count(c) for c in _BITS])
     return made.withColumn("spare", (F.col("size") - used).cast("int")).drop("size")
 
@@ -179,30 +200,30 @@ def inverted_lists(listed: DataFrame) -> DataFrame:
     """(value, band, cls, n, native, bits, spare): classes under each value of their prefix, in bands of size.
 
     A class stands in its own band and, as a visitor, in the next, so that linked classes meet in
-    the band of the larger one.
+    the band of the larger one. Where its role tells that nobody is met, it is left out.
     """
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
     signature = [*_BITS, "spare"]
-    listed = listed.select("cls", "n", *signature, band.alias("own"), F.explode("prefix").alias("value"))
+    listed = listed.select("cls", "n", *signature, _band("n").alias("own"), F.explode(F.arrays_zip("prefix", "roles")).alias("at"))
+    native = F.struct(F.col("own").alias("band"), F.lit(True).alias("native"))
+    visitor = F.struct((F.col("own") + 1).alias("band"), F.lit(False).alias("native"))
+    places = F.when(F.col("at.roles") == 1, F.array(native)).when(F.col("at.roles") == 2, F.array(visitor))
     return listed.select(
-        "value", "cls", "n", *signature,
-        F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("native")),
-                          F.struct((F.col("own") + 1).alias("band"), F.lit(False).alias("native")))
-                  ).alias("place"),
+        F.col("at.prefix").alias("value"), "cls", "n", *signature,
+        F.explode(places.otherwise(F.array(native, visitor))).alias("place"),
     ).select("value", "place.band", "cls", "n", "place.native", *signature)
 
 
 def _leaders(lists: DataFrame) -> DataFrame:
-    """(value, band, leaders): natives with the least and greatest key and the least hash of it."""
+    """(value, band, size, natives, leaders): natives with the least and greatest key and the least hash of it."""
     whole = F.struct("cls", "n", *_BITS, "spare")
     own = F.when(F.col("native"), whole)
     by_hash = F.when(F.col("native"), F.struct(F.xxhash64("cls").alias("h"), whole.alias("who")))
     grouped = lists.groupBy("value", "band").agg(
-        F.count("*").alias("size"), F.min(own).alias("a"), F.max(own).alias("b"),
+        F.count("*").alias("size"), F.count_if("native").alias("natives"), F.min(own).alias("a"), F.max(own).alias("b"),
         F.min(by_hash).alias("c"),
     )
     return grouped.where("size > 1 AND a IS NOT NULL").select(
-        "value", "band", "size", F.array_distinct(F.array("a", "b", "c.who")).alias("leaders")
+        "value", "band", "size", "natives", F.array_distinct(F.array("a", "b", "c.who")).alias("leaders")
     )
 
 
@@ -268,14 +289,6 @@ def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.filter(pa.array(new, pa.bool_()))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs with 100 * intersection >= 80 * union of the full sets."""
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
-    return both.where(100 * common >= 80 * union).select("a", "b")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(cls, comp) of all ends of ``edges``: the least key that can be reached.
 
@@ -324,10 +337,13 @@ def _with_component(df: DataFrame, labels: DataFrame) -> DataFrame:
 def _open_members(lists: DataFrame, leaders: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of lists that the leaders have not settled, with the pairs of blocks they go to.
 
-    The members of the largest component of a list have blocks of their own, which meet those of
-    the others only; the others meet everyone.
+    The leaders have met everyone. So a list is settled if all its natives lead it, since visitors meet
+    natives only, or if one member alone does not. A list that fits into a block is one. In a longer
+    one, the members of the largest component have blocks of their own, which meet those of the
+    others only; the others meet everyone.
     """
-    larger = leaders.where("size > 2").select("value", "band")
+    led = F.size("leaders")
+    larger = leaders.where((F.col("size") > led + 1) & (F.col("natives") > led)).select("value", "band")
     placed = _with_component(lists.join(larger, ["value", "band"]), labels)
     sizes = placed.groupBy("value", "band", "comp").agg(F.count("*").alias("n"))
     most = F.max(F.struct("n", "comp"))
@@ -337,14 +353,15 @@ def _open_members(lists: DataFrame, leaders: DataFrame, labels: DataFrame) -> Da
         .where(F.col("all") > F.col("most.n"))
         .select(
             "value", "band", F.col("most.comp").alias("big"),
-            F.ceil(F.col("most.n") / BLOCK).cast("int").alias("big_blocks"),
-            F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("blocks"),
+            F.when(F.col("all") <= BLOCK, 0).otherwise(F.ceil(F.col("most.n") / BLOCK)).cast("int").alias("big_blocks"),
+            F.when(F.col("all") <= BLOCK, 1).otherwise(F.ceil((F.col("all") - F.col("most.n")) / BLOCK)).cast("int").alias("blocks"),
         )
     )
     met = placed.join(open_lists, ["value", "band"])
-    in_big, first = F.col("comp") == F.col("big"), F.col("big_blocks")
+    first = F.col("big_blocks")
+    in_big = (first > 0) & (F.col("comp") == F.col("big"))
     draw = F.xxhash64("cls", F.lit(5))
-    mine = F.when(in_big, F.pmod(draw, first)).otherwise(first + F.pmod(draw, F.col("blocks")))
+    mine = F.when(in_big, F.pmod(draw, F.greatest(first, F.lit(1)))).otherwise(first + F.pmod(draw, F.col("blocks")))
     others = F.sequence(first, first + F.col("blocks") - 1)
     everyone = F.sequence(F.lit(0), first + F.col("blocks") - 1)
     meetings = F.transform(
@@ -353,8 +370,8 @@ def _open_members(lists: DataFrame, leaders: DataFrame, labels: DataFrame) -> Da
     )
     return (
         met.withColumn("mine", mine.cast("int"))
-        .select("value", "band", "cls", "n", "comp", "native", "mine", F.explode(meetings).alias("at"))
-        .select("value", "band", "at.i", "at.j", "cls", "n", "comp", "native", "mine")
+        .select("value", "band", "cls", "n", "comp", "native", "mine", *_BITS, "spare", F.explode(meetings).alias("at"))
+        .select("value", "band", "at.i", "at.j", "cls", "n", "comp", "native", "mine", *_BITS, "spare")
     )
 
 
@@ -362,6 +379,40 @@ def _dealt(spread: DataFrame, *keys: str) -> DataFrame:
     return spread.repartition(*keys).sortWithinPartitions(*keys)
 
 
+def _with_common_bits(members: DataFrame) -> DataFrame:
+    """Members that meet, in their pair of blocks, one that may share as many retained values as a link.
+
+    This is told by the bits, which stand in the lists, so that sketches are joined to few members.
+    """
+    kept = members.drop(*_BITS, "spare")
+    names = kept.columns
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, _, i, j), rows in _runs(batches, _KEYS):
+            likely = _with_bits_of_links(rows, i == j)
+            if likely is not None and (met := likely.any(0) | likely.any(1)).any():
+                yield from rows.filter(pa.array(met)).select(names).combine_chunks().to_batches()
+
+    return map_batches(_dealt(members, *_KEYS), run, schema)
+
+
+def _with_bits_of_links(rows: pa.Table, same_block: bool) -> np.ndarray | None:
+    ok, *_ = _comparable(rows, same_block)
+    if ok is None:
+        return None
+    words = np.stack([rows.column(c).to_numpy() for c in _BITS], 1).astype("<i8")
+    bits = np.unpackbits(words.view(np.uint8), axis=1).astype(np.float32)
+    n, spare = rows.column("n").to_numpy(), rows.column("spare").to_numpy()
+    # As in least_shared.
+    least = np.maximum(LISTED_FEWEST, np.ceil(LISTED - n / 4))
+    least[n < LISTED] = np.ceil(0.64 * LISTED)
+    few = n <= int(0.8 * LISTED)
+    least[few] = np.ceil(n[few] * 0.8)
+    common = bits @ bits.T + np.minimum(spare[:, None], spare[None])
+    return np.triu(ok & (common >= np.maximum(least[:, None], least[None])), 1)
+
+
 def _with_earlier(members: DataFrame, listed: DataFrame) -> DataFrame:
     """Members with those values of their prefix, as ``prefix``, whose lists come before the own one."""
     before = F.filter("prefix", lambda v: v < F.col("value"))
@@ -425,27 +476,35 @@ def _search_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "sure"])
 
 
+def _comparable(rows: pa.Table, same_block: bool) -> tuple:
+    """Pairs of rows of different components and fitting size, with a native; the components and sizes."""
+    comps = rows.column("comp").to_pylist()
+    if len(rows) < 2 or len(set(comps)) < 2:
+        return None, None, None
+    n, comp = rows.column("n").to_numpy(), np.unique(comps, return_inverse=True)[1]
+    native, mine = np.array(rows.column("native").to_pylist()), rows.column("mine").to_numpy()
+    larger = np.maximum(n[:, None], n[None])
+    ok = 100 * np.minimum(n[:, None], n[None]) >= 80 * larger
+    ok &= (comp[:, None] != comp[None]) & (native[:, None] | native[None])
+    if not same_block:
+        ok &= mine[:, None] != mine[None]
+    return ok, comp, larger
+
+
 def _candidates(rows: pa.Table, value: int, same_block: bool, kept: int, fewest: int) -> tuple:
     """Pairs of rows that may be linked, the numbers of common values, and the components.
 
     A pair is of different components, holds a native, is of fitting size, has not met in the list of
     a smaller common value of the prefixes, and shares enough of the ``kept`` smallest hashes.
     """
-    comps = rows.column("comp").to_pylist()
-    if len(rows) < 2 or len(set(comps)) < 2:
+    ok, comp, larger = _comparable(rows, same_block)
+    if ok is None:
         return None, None, None
-    n, comp = rows.column("n").to_numpy(), np.unique(comps, return_inverse=True)[1]
-    native, mine = np.array(rows.column("native").to_pylist()), rows.column("mine").to_numpy()
     shared = _shared(*_flat(rows.column("shingles")))
     prefix, lengths = _flat(rows.column("prefix"))
     earlier = prefix < value
     owner = np.repeat(np.arange(len(rows)), lengths)[earlier]
-    ok = _shared(prefix[earlier], np.bincount(owner, minlength=len(rows))) == 0
-    ok &= (comp[:, None] != comp[None]) & (native[:, None] | native[None])
-    larger = np.maximum(n[:, None], n[None])
-    ok &= 100 * np.minimum(n[:, None], n[None]) >= 80 * larger
-    if not same_block:
-        ok &= mine[:, None] != mine[None]
+    ok &= _shared(prefix[earlier], np.bincount(owner, minlength=len(rows))) == 0
     # Of a linked pair, at most n / 4 of the smallest hashes of the union are not shared.
     least = np.minimum(np.maximum(fewest, kept - larger / 4), 0.8 * larger)
     return np.triu(ok & (shared >= least), 1), shared, comp
@@ -520,16 +579,18 @@ def _shared(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return shared + repeated[:, None] + repeated[None]
 
 
-def _settled(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _settled(pairs: DataFrame, sets: DataFrame, keep: Callable) -> DataFrame:
     """As many of the pairs that are linked on full sets as it takes to connect what they connect.
 
-    The pairs of a group that hangs together are tested in one place, or in pairs of blocks if it is
-    large, so that a full set is sent to each of these once and not with every pair.
+    The pairs of a group that hangs together are tested in one place, or in pairs of blocks if it has
+    many or large sets, so that a full set is sent to each of these once and not with every pair.
     """
     labels = components(pairs)
-    blocks = labels.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = sets.select("cls", F.size("shingles").alias("n"))
+    larger = F.greatest(F.count("*") / BLOCK, F.sum("n") / (BLOCK * _SET))
+    blocks = labels.join(sizes, "cls").groupBy("comp").agg(F.ceil(larger).cast("int").alias("blocks"))
     block = lambda c: F.pmod(F.xxhash64(c, F.lit(6)), F.col("blocks")).cast("int")
-    placed = staged(
+    placed = keep(
         pairs.join(labels.toDF("a", "comp"), "a").join(blocks, "comp")
         .withColumns({"x": block("a"), "y": block("b")})
         .select("comp", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "a", "b"),
@@ -631,11 +692,13 @@ def _linked(classes: DataFrame, documents: DataFrame, width: int) -> DataFrame:
         with scratch() as once:
             lists = once(inverted_lists(listed), "lists")
             leaders = once(_leaders(lists), "leaders")
-            first = once(_plausible(_leader_pairs(lists, leaders), classes), "pairs")
+            met = once(_leader_pairs(lists, leaders), "met")
+            first = once(_plausible(met, classes), "pairs")
             ends = first.select(F.explode(F.array("a", "b")).alias("cls"))
-            edges = keep(_confirmed(first, _full_sets(ends, classes, documents, width, once)), "links")
+            edges = keep(_settled(first, _full_sets(ends, classes, documents, width, once), once), "links")
             labels = components(edges)
-            members = keep(_open_members(lists, leaders, labels), "members")
+            members = once(_open_members(lists, leaders, labels), "members")
+            members = keep(_with_common_bits(members), "likely")
         if not members.isEmpty():
             members = keep(_with_partner(members, classes, listed), "partners")
         if members.isEmpty():
@@ -645,7 +708,7 @@ def _linked(classes: DataFrame, documents: DataFrame, width: int) -> DataFrame:
         more = [found.where("sure").select("a", "b")]
         unsure = keep(found.where("NOT sure").select("a", "b").distinct(), "unsure")
         if not unsure.isEmpty():
-            more.append(_settled(unsure, full))
+            more.append(_settled(unsure, full, keep))
         return components(reduce(DataFrame.union, [edges, *more]))
 
 
