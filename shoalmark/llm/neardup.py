@@ -5,12 +5,13 @@
 2. The ``SKETCH`` smallest hashes of a set are its sketch. Inverted lists of the retained values show
    which classes overlap. Two linked classes share many retained values (``least_shared``), so a
    class is listed only under its rarest values, as many as are needed to meet every partner
-   (prefix filter); frequent passages hardly get lists.
+   (prefix filter); frequent passages hardly get lists. Values that no class of a fitting size
+   retains do not count.
 3. A list is cut into bands of set size. In each, three leaders meet all others. Pairs whose union
    sketch speaks against a similarity of 0.8 go; the rest is confirmed on full sets, and components
    are formed.
-4. Only lists that still hold several components are searched pair by pair, in blocks, inside the
-   tasks. The largest component of a list is not compared with itself. Sets of up to ``WIDE``
+4. Only lists that the leaders do not settle and that still hold several components are searched
+   pair by pair, in blocks, inside the tasks, by the bits of their values first. The largest component of a list is not compared with itself. Sets of up to ``WIDE``
    shingles are compared whole, and only the links that connect components leave the task; larger
    ones by a wide sketch, and what it leaves is confirmed on full sets.
 

@@ -125,6 +125,39 @@ def test_full_sets_meet_only_the_rows_of_their_text(documents, monkeypatch, doc)
     assert read and max(read) <= len(rows)
 
 
+def test_values_count_only_among_fitting_sizes(spark):
+    """A class of 10 shingles that shares all of them with one of 100 cannot be linked with it."""
+    of = lambda key, n, values: (bytes([key]), n, [64 * v for v in values])
+    schema = "cls binary, n bigint, sketch array<bigint>"
+    apart = [of(1, 10, range(10)), of(2, 100, range(64))]
+    assert neardup.prefixes(spark.createDataFrame(apart, schema)).count() == 0
+    near = [of(3, 10, range(200, 210)), of(4, 11, [*range(200, 210), 301])]
+    listed = neardup.prefixes(spark.createDataFrame(apart + near, schema))
+    assert sorted(bytes(r["cls"])[0] for r in listed.collect()) == [3, 4]
+    met = {(r["value"], r["band"]) for r in neardup.inverted_lists(listed).collect()}
+    bands = {r[0] for r in spark.createDataFrame(near, schema).select(neardup._band("n")).collect()}
+    assert met and {band for _, band in met} <= bands
+
+
+def test_lists_that_the_leaders_settle_are_not_opened(spark):
+    row = lambda value, key, native: (value, 9, bytes([key]), 10, native, 1, 0, 0, 0, 0)
+    rows = [row(1, k, k < 2) for k in range(4)] + [row(2, k, k > 7) for k in range(7, 9)] + [row(3, k, True) for k in range(10, 16)]
+    columns = "value bigint, band int, cls binary, n bigint, native boolean, bits0 bigint, bits1 bigint, bits2 bigint, bits3 bigint, spare int"
+    lists = spark.createDataFrame(rows, columns)
+    labels = spark.createDataFrame([], "cls binary, comp binary")
+    members = neardup._open_members(lists, neardup._leaders(lists), labels).collect()
+    assert sorted((r["value"], bytes(r["cls"])[0], r["i"], r["j"]) for r in members) == [(3, k, 0, 0) for k in range(10, 16)]
+
+
+def test_members_without_common_bits_meet_no_sketches(spark):
+    row = lambda key, bits: (3, 9, 0, 0, bytes([key]), 10, bytes([key]), True, 0, bits, 0, 0, 0, 0)
+    names = ["value bigint, band int, i int, j int, cls binary, n bigint, comp binary, native boolean, mine int"]
+    schema = ", ".join(names + [f"bits{i} bigint" for i in range(4)] + ["spare int"])
+    rows = [row(1, 0b1111111100), row(2, 0b1111111111), row(3, 0b0000000111), row(4, -(1 << 63) | 1)]
+    members = neardup._with_common_bits(spark.createDataFrame(rows, schema))
+    assert sorted(bytes(r["cls"])[0] for r in members.collect()) == [1, 2] and "spare" not in members.columns
+
+
 def five_word_groups(rows):
     sets = []
     for _, text, *_ in rows:
